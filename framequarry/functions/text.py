@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 # Unicode white space and line boundaries, as regular expression classes.
-_SPACES = r"\t-\r\x1c-\x20\x85\xa0  -     　"
+_SPACES = r"\t-\r\x1c-\x20\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 SPACE = f"[{_SPACES}]"
 NOT_SPACE = f"[^{_SPACES}]"
-LINE_BREAK = r"\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85  ]"
+LINE_BREAK = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\x{2028}\x{2029}]"
 
 _DIGITS = r"[0-9]+(?:_[0-9]+)*"
 _NUMBER = (

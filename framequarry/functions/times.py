@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, functions as F
 
 from .text import stripped
@@ -9,12 +11,13 @@ from .text import stripped
 # The keys of a session's metadata that may hold its start, best first.
 START_KEYS = ("captured_at", "started_at", "start_time", "start", "date")
 
-# year, month, day, (hour, minute, second, fraction), offset; separators all present or all absent.
+# Date, hour, minute, second, fraction, offset sign and parts; separators all present or all absent.
 _MOMENT = (
     r"(?s)^(\d{4})(-?)(\d{2})\2(\d{2})"
     r"(?:.(\d{2})(?:(:?)(\d{2})(?:\6(\d{2})(?:[.,](\d+))?)?)?"
     r"(?:([+-])(\d{2})(?::?(\d{2})(?::?(\d{2}))?)?)?)?$"
 )
+_PARTS = "$1-$3-$4|$5|$7|$8|$9|$10|$11|$12|$13"
 _WEEK = r"^(\d{4})(-?)W(\d{2})(?:\2([1-7]))?(?!\d)"
 
 
@@ -39,27 +42,35 @@ def _week_to_calendar(text: Column) -> Column:
     ).otherwise(text)
 
 
-def iso_time(text: Column) -> Column:
-    """ISO 8601 text to an instant: basic or extended, date only or with time, offset or UTC; else NULL."""
-    moment = _week_to_calendar(F.replace(stripped(text), F.lit("Z"), F.lit("+00:00")))
+def _bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body` of `value`, with `value` worked out once however often `body` names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
-    def group(n: int) -> Column:
-        return F.regexp_extract(moment, _MOMENT, n)
 
+def _instant(parts: Column) -> Column:
     def part(n: int) -> Column:
-        return F.coalesce(F.nullif(group(n), F.lit("")), F.lit("00"))
+        return F.coalesce(F.nullif(F.get(parts, F.lit(n)), F.lit("")), F.lit("00"))
 
+    fraction = F.substring(F.rpad(F.get(parts, F.lit(4)), 6, "0"), 1, 6)
     clock = F.concat(
-        group(1), F.lit("-"), group(3), F.lit("-"), group(4), F.lit(" "),
-        part(5), F.lit(":"), part(7), F.lit(":"), part(8), F.lit("."),
-        F.substring(F.rpad(group(9), 6, "0"), 1, 6),
-        F.lit("+00:00"),
+        part(0), F.lit(" "), part(1), F.lit(":"), part(2), F.lit(":"), part(3), F.lit("."), fraction, F.lit("+00:00")
     )
     local = F.try_to_timestamp(clock, F.lit("yyyy-MM-dd HH:mm:ss.SSSSSSxxx"))
-    offset = part(11).cast("bigint") * 3600 + part(12).cast("bigint") * 60 + part(13).cast("bigint")
-    signed = F.when(group(10) == "-", -offset).otherwise(offset)
-    shifted = F.timestamp_micros(F.unix_micros(local) - signed * 1_000_000)
-    return F.when(moment.rlike(_MOMENT) & (offset < 86400), shifted)
+    offset = part(6).cast("bigint") * 3600 + part(7).cast("bigint") * 60 + part(8).cast("bigint")
+    signed = F.when(part(5) == "-", -offset).otherwise(offset)
+    return F.when(offset < 86400, F.timestamp_micros(F.unix_micros(local) - signed * 1_000_000))
+
+
+def iso_time(text: Column) -> Column:
+    """ISO 8601 text to an instant: basic or extended, date only or with time, offset or UTC; else NULL."""
+    plain = F.replace(stripped(text), F.lit("Z"), F.lit("+00:00"))
+    moment = _bound(plain, _week_to_calendar)
+    return _bound(
+        moment,
+        lambda m: F.when(
+            m.rlike(_MOMENT), _bound(F.split(F.regexp_replace(m, _MOMENT, _PARTS), r"\|"), _instant)
+        ),
+    )
 
 
 def session_time(session_id: Column) -> Column:
@@ -76,13 +87,12 @@ def session_time(session_id: Column) -> Column:
 
 def metadata_time(meta: Column) -> Column:
     """First usable start time in a session's metadata text; NULL for bad JSON or a non-object."""
-    document = F.try_parse_json(meta)
 
-    def text_at(key: str) -> Column:
+    def text_at(document: Column, key: str) -> Column:
         kind = F.schema_of_variant(F.try_variant_get(document, f"$.{key}", "variant"))
         return F.when(kind == "STRING", F.try_variant_get(document, f"$.{key}", "string"))
 
-    return F.coalesce(*[iso_time(text_at(key)) for key in START_KEYS])
+    return _bound(F.try_parse_json(meta), lambda doc: F.coalesce(*[iso_time(text_at(doc, key)) for key in START_KEYS]))
 
 
 def captured_at(meta: Column, session_id: Column) -> Column:
