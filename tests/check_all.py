@@ -13,7 +13,7 @@ from framequarry.session import build_session  # noqa: E402
 
 if __name__ == "__main__":
     folder, names = sys.argv[1], sys.argv[2:]
-    spark = build_session(master="local[8]", spark__sql__shuffle__partitions="8", spark__driver__memory="8g")
+    spark = build_session(master="local[8]", spark__sql__shuffle__partitions="8", spark__driver__memory="8g", spark__ui__showConsoleProgress="false")
     spark.sparkContext.setLogLevel("ERROR")
     con, queries, sql = duck(folder), entry_point.queries(), entry_point.oracle_sql()
     bad = 0
