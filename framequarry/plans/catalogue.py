@@ -1,4 +1,4 @@
 """Importing this module registers every query."""
 
-from . import label_queries, lane_queries, path_queries  # noqa: F401
+from . import label_queries, lane_queries, path_queries, relation_queries  # noqa: F401
 from .registry import QUERIES, SQL  # noqa: F401
