@@ -1 +1,8 @@
 """Image-catalogue engine on Spark DataFrames: list, find what is pending, transform, upsert by key."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Task functions travel with the job, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
