@@ -92,7 +92,8 @@ def metadata_time(meta: Column) -> Column:
         kind = F.schema_of_variant(F.try_variant_get(document, f"$.{key}", "variant"))
         return F.when(kind == "STRING", F.try_variant_get(document, f"$.{key}", "string"))
 
-    return _bound(F.try_parse_json(meta), lambda doc: F.coalesce(*[iso_time(text_at(doc, key)) for key in START_KEYS]))
+    texts = _bound(F.try_parse_json(meta), lambda doc: F.array(*[text_at(doc, key) for key in START_KEYS]))
+    return F.get(F.filter(F.transform(texts, iso_time), lambda t: t.isNotNull()), F.lit(0))
 
 
 def captured_at(meta: Column, session_id: Column) -> Column:

@@ -13,7 +13,7 @@ from ..plans.redaction import raw_frames, redact_user_images
 from ..operators.redact import pixmap_codec, redact_contents
 from ..operators.tables import CatalogueTable
 from ..schemas import CLASSIFICATIONS, IMAGES, SOURCE_DATASETS, USER_IMAGES_PRIVACY
-from ..session import shared_dir, stage
+from ..session import shared_dir, small_frame, stage
 from ..sources.descriptors import first_valid, read_descriptor, scan_descriptors
 from ..sources.formats import json_samples, list_samples
 from ..sources.objects import list_objects, read_objects, user_images
@@ -167,12 +167,12 @@ def _list_dataset(spark, sf, layout: Layout, dataset: str, options: str = "") ->
 
 
 def _put_descriptor(spark, layout: Layout, dataset: str, text: str) -> None:
-    put(spark.createDataFrame([(f"{layout.descriptors_root}/{dataset}.yml", text)], "uri string, data string"))
+    put(small_frame(spark, [(f"{layout.descriptors_root}/{dataset}.yml", text)], "uri string, data string"))
 
 
 def _layout(spark) -> Layout:
     base = shared_dir(spark, "lake")
-    return Layout(*[f"{base}/{n}" for n in ("raw-public", "public", "raw-user", "user", "tables")])
+    return Layout(*[f"{base}/{n}" for n in ("raw-public", "public", "raw-user", "user", "tables")], table_buckets=8)
 
 
 @query("list_samples", f"""

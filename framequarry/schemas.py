@@ -105,6 +105,6 @@ def align(df: DataFrame, schema: T.StructType) -> DataFrame:
 
     def column(f: T.StructField) -> Column:
         value = F.col(f"`{f.name}`") if f.name in present else F.lit(None)
-        return value.cast(f.dataType).alias(f.name)
+        return value.cast(f.dataType.simpleString()).alias(f.name)
 
     return df.select([column(f) for f in schema.fields])

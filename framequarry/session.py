@@ -61,3 +61,8 @@ def stage(df: DataFrame, purpose: str) -> DataFrame:
     path = shared_dir(spark, purpose)
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def small_frame(spark: SparkSession, rows: list, schema) -> DataFrame:
+    """A handful of driver rows as one partition, so a small job is one task."""
+    return spark.createDataFrame(rows, schema).coalesce(1)

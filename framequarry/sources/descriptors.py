@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
+from ..session import small_frame
 from .objects import list_objects, read_objects
 from .store import problem
 
@@ -80,7 +81,7 @@ def first_valid(descriptors: DataFrame) -> DataFrame:
 def read_descriptor(spark: SparkSession, root: str, dataset: str) -> Row:
     """One dataset's descriptor; raises when it is missing or unusable."""
     path = f"{root.rstrip('/')}/{dataset}.yml"
-    row = parse_descriptors(spark.createDataFrame([(path, dataset)], "path string, run_dataset string")).first()
+    row = parse_descriptors(small_frame(spark, [(path, dataset)], "path string, run_dataset string")).first()
     if row.error:
         raise ValueError(f"descriptor of {dataset!r}: {row.error}")
     return row

@@ -17,6 +17,7 @@ from ..functions import lanes as LN
 from ..functions import paths as P
 from ..functions.text import LINE_BREAK, stripped
 from ..schemas import SAMPLES, align
+from ..session import small_frame
 from .objects import list_objects
 from .store import Store
 
@@ -113,8 +114,8 @@ def _all(spark: SparkSession, frames: list[DataFrame]) -> DataFrame:
 
 def list_samples(spark: SparkSession, descriptor: Row, root: str, splits: Set[str] | None = None) -> DataFrame:
     """Images named by list files: the first column of every line."""
-    question = spark.createDataFrame(
-        [(root, descriptor.list_dir, descriptor.label_dir)], "root string, list_dir string, label_dir string"
+    question = small_frame(
+        spark, [(root, descriptor.list_dir, descriptor.label_dir)], "root string, list_dir string, label_dir string"
     )
     layout = question.mapInPandas(_probe_rows, _PROBE).first()
     base = F.lit(root)
@@ -137,7 +138,7 @@ def json_samples(spark: SparkSession, descriptor: Row, root: str, splits: Set[st
     """Images of split folders: named whole-line by `<folder>.txt`, or listed where there is no such file
     and images without labels are wanted."""
     wanted = {f: s for f, s in NATIVE_FOLDERS.items() if splits is None or s in splits}
-    question = spark.createDataFrame([(f, _slashes(root, f, f"{f}.txt")) for f in wanted], "folder string, uri string")
+    question = small_frame(spark, [(f, _slashes(root, f, f"{f}.txt")) for f in wanted], "folder string, uri string")
 
     def probe(batches):
         store = Store()

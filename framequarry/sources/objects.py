@@ -7,7 +7,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.paths import is_user_image
-from ..session import shared_dir
+from ..session import shared_dir, small_frame
 from .store import THREADS, Store, extended, pieces, problem
 
 _ENTRIES = "path string, is_folder boolean, length long, modificationTime timestamp"
@@ -41,19 +41,17 @@ def list_objects(spark: SparkSession, *prefixes: str) -> DataFrame:
     file index ever holds the listing. Each level is written once to the shared folder.
     """
     base = shared_dir(spark, "listing")
-    width = 4 * spark.sparkContext.defaultParallelism
     starts = [(p.rpartition("/")[0], p.rpartition("/")[2]) for p in prefixes]
-    folders = spark.createDataFrame(starts, "folder string, prefix string")
-    # Only names of the tree's first folders are ever local; later levels are tables.
+    folders, number = small_frame(spark, starts, "folder string, prefix string"), len(starts)
     levels = []
-    while True:
+    while number:
         path = f"{base}/level={len(levels)}"
-        folders.repartition(width, "folder").mapInArrow(_list_folders, _ENTRIES).write.parquet(path)
+        tasks = min(number, 4 * spark.sparkContext.defaultParallelism)
+        folders.repartition(tasks, "folder").mapInArrow(_list_folders, _ENTRIES).write.parquet(path)
         levels.append(path)
         entries = spark.read.schema(_ENTRIES).parquet(path)
         folders = entries.filter("is_folder").select(F.col("path").alias("folder"), F.lit("").alias("prefix"))
-        if folders.isEmpty():
-            break
+        number = folders.count()
     found = spark.read.schema(_ENTRIES).parquet(*levels)
     return found.filter(~F.col("is_folder")).select("path", "length", "modificationTime")
 
