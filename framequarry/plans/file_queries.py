@@ -308,8 +308,10 @@ def ingest_versions(spark, sf):
     _json_dataset(spark, sf, layout, "curves", "options: {ingest_unlabeled: true}\n")
     run = ingest(spark, layout, "curves", EPOCH)
     versions = CatalogueTable(spark, layout.table_path(SOURCE_DATASETS.name), SOURCE_DATASETS).read()
-    ok = run.outcome.filter("status = 'ok'").agg(F.count_if("has_label").alias("labelled"), F.count_if(F.col("split") == "test").alias("in_test"))
-    return versions.select("dataset", "version", "license", "num_images", "notes").crossJoin(ok)
+    ok = run.outcome.filter("status = 'ok'").groupBy(F.lit("curves").alias("dataset")).agg(
+        F.count_if("has_label").alias("labelled"), F.count_if(F.col("split") == "test").alias("in_test")
+    )
+    return versions.select("dataset", "version", "license", "num_images", "notes").join(ok, "dataset")
 
 
 @query("ingest_manifests", f"WITH {_ROADS_SQL} SELECT leaf || '/' || coalesce(category, split) || '.txt' AS txt_rel, leaf || '/images/' || rel AS path FROM r WHERE has_label AND toxic = 0")

@@ -17,7 +17,7 @@ from ..operators import rows as R
 from ..operators.object_io import place_samples
 from ..operators.tables import CatalogueTable
 from ..schemas import IMAGES, SOURCE_DATASETS
-from ..session import stage
+from ..session import spread, stage
 from ..sources.descriptors import read_descriptor
 from ..sources.formats import FORMATS, SPLITS, DatasetFormat, find_format
 from ..sources.objects import list_objects, read_objects, with_existence
@@ -55,18 +55,23 @@ def output_names(df: DataFrame, out_root: Column) -> DataFrame:
     })
 
 
-def _place(df: DataFrame, objects: DataFrame, overwrite: bool, epoch: int) -> DataFrame:
+def _with_existing(df: DataFrame, objects: DataFrame | None) -> DataFrame:
+    """Add whether a sample's image and label are in place; nothing is when there is no listing."""
+    for uri, flag in (("gcs_uri", "_image_there"), ("label_out_uri", "_label_there")):
+        df = df.withColumn(flag, F.lit(False)) if objects is None else with_existence(df, uri, objects, flag)
+    return df
+
+
+def _place(planned: DataFrame, overwrite: bool, epoch: int) -> DataFrame:
     """Copy images and write labels that are not there yet (all of them when overwriting)."""
-    known = with_existence(with_existence(df, "gcs_uri", objects, "_image_there"), "label_out_uri", objects, "_label_there")
-    planned = O.copy_action(known, F.col("_image_there"), F.lit(overwrite))
     ok = F.col("status") == "ok"
     # Image and label are decided apart: a label lost between the two writes is made good by a rerun.
     wants_label = ok & F.col("has_label") & (F.lit(overwrite) | ~F.col("_label_there"))
-    planned = planned.withColumns({
+    work = planned.withColumns({
         "_copy": ok & ~F.col("reused"),
         "_label": F.when(wants_label, LN.label_text(F.col("rounded"), F.lit(epoch))),
-    }).drop("rounded", "_image_there", "_label_there")
-    placed = place_samples(planned, "_copy", "src_image_uri", "gcs_uri", "label_out_uri", "_label").drop("_copy", "_label")
+    }).drop("rounded")
+    placed = place_samples(work, "_copy", "src_image_uri", "gcs_uri", "label_out_uri", "_label").drop("_copy", "_label")
     return placed.withColumns({
         "error": F.coalesce("error", "write_error"),
         "status": F.when(F.col("write_error").isNotNull(), "error").otherwise(F.col("status")),
@@ -78,7 +83,12 @@ def ingest(
     spark: SparkSession, layout: Layout, dataset: str, epoch: int, dry_run: bool = False, limit: int | None = None,
     splits: Set[str] | None = None, formats: dict[str, DatasetFormat] = FORMATS,
 ) -> IngestRun:
-    """Run one dataset. A bad descriptor raises; a bad sample only fails its row."""
+    """Run one dataset. A bad descriptor raises; a bad sample only fails its row.
+
+    Names are joined with the target listing first, while rows are small. Reading a label, judging it,
+    copying the image and writing the label then happen in one pass over tasks sized for object access,
+    so neither labels nor images are ever shuffled.
+    """
     descriptor = read_descriptor(spark, layout.descriptors_root, dataset)
     form = find_format(descriptor.adapter, formats)
     raw_root, out_root = f"{layout.raw_public.rstrip('/')}/{dataset}", f"{layout.public.rstrip('/')}/{dataset}"
@@ -86,17 +96,18 @@ def ingest(
     samples = form.samples(spark, descriptor, raw_root, splits)
     if limit is not None:
         samples = samples.orderBy("split", "category", "rel_path").limit(limit)
-    named = output_names(labelled_samples(samples, form, descriptor), F.lit(out_root))
-    if dry_run:
-        outcome = stage(named.drop("rounded").withColumn("reused", F.lit(False)), "ingest-outcome")
-        return IngestRun(dataset, outcome, O.ingest_summary(outcome), True)
-
-    objects = list_objects(spark, out_root + "/")
-    outcome = stage(_place(named, objects, descriptor.overwrite, epoch), "ingest-outcome")
-    ok, _ = O.split_outcome(outcome)
-    _write_manifests(spark, ok, objects, out_root, descriptor.overwrite)
-    _write_rows(spark, layout, ok, descriptor, dataset, out_root, epoch)
-    return IngestRun(dataset, outcome, O.ingest_summary(outcome), False)
+    samples = stage(output_names(samples, F.lit(out_root)), "ingest-samples")
+    objects = None if dry_run else list_objects(spark, out_root + "/")
+    known = spread(_with_existing(samples, objects), samples.count(), "gcs_uri")
+    judged = labelled_samples(known, form, descriptor)
+    planned = O.copy_action(judged, F.col("_image_there"), F.lit(descriptor.overwrite))
+    done = planned.drop("rounded") if dry_run else _place(planned, descriptor.overwrite, epoch)
+    outcome = stage(done.drop("_image_there", "_label_there"), "ingest-outcome")
+    if not dry_run:
+        ok, _ = O.split_outcome(outcome)
+        _write_manifests(spark, ok, objects, out_root, descriptor.overwrite)
+        _write_rows(spark, layout, ok, descriptor, dataset, out_root, epoch)
+    return IngestRun(dataset, outcome, O.ingest_summary(outcome), dry_run)
 
 
 def _write_manifests(spark: SparkSession, ok: DataFrame, objects: DataFrame, out_root: str, overwrite: bool) -> None:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -16,7 +17,7 @@ from ..operators import rows as R
 from ..operators.redact import BATCH, Codec, Detector, redact_objects
 from ..operators.tables import CatalogueTable
 from ..schemas import IMAGES, USER_IMAGES_PRIVACY
-from ..session import stage
+from ..session import spread, stage
 from ..sources.objects import list_objects, user_images, with_existence
 from ..sources.sessions import session_starts, with_session_start
 
@@ -59,14 +60,14 @@ def redact_user_images(
     targets = PD.unprocessed(raw_frames(objects, layout), audit.read(), as_of)
     # Staged, because the audit changes while the slices are worked off.
     targets = stage(PD.first_by(targets, "raw_uri", limit), "redaction-targets")
+    rows = targets.count()
 
     parts = []
     for number in range(slices):
         todo = targets.filter(F.pmod(F.xxhash64("image_id"), F.lit(slices)) == number)
         done = redact_objects(
-            # Listing files are few and uneven; the work is spread by key over the cluster.
-            todo.repartition(4 * spark.sparkContext.defaultParallelism, "image_id"),
-            "raw_uri", "clean_uri", detector, codec, dry_run, "raw_lines", "clean_lines", min_confidence, kernel, batch,
+            spread(todo, math.ceil(rows / slices), "image_id"), "raw_uri", "clean_uri", detector, codec,
+            dry_run, "raw_lines", "clean_lines", min_confidence, kernel, batch,
         )
         status = F.when(F.col("error").isNull(), "ok").otherwise("error")
         part = stage(done.withColumn("status", status), "redaction-outcome")

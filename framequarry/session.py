@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 
@@ -66,3 +67,19 @@ def stage(df: DataFrame, purpose: str) -> DataFrame:
 def small_frame(spark: SparkSession, rows: list, schema) -> DataFrame:
     """A handful of driver rows as one partition, so a small job is one task."""
     return spark.createDataFrame(rows, schema).coalesce(1)
+
+
+# Objects a task reads or writes: enough to pay for the task, few enough to redo when it is lost.
+OBJECTS_PER_TASK = 2048
+
+
+def spread(df: DataFrame, rows: int, *keys: str) -> DataFrame:
+    """Hash `df` by unique keys into tasks sized for object access.
+
+    Rows that name objects are tiny, so partitions sized by bytes would give a task millions of reads.
+    The number of tasks follows the number of rows instead: about `OBJECTS_PER_TASK` each, and for small
+    inputs a few tasks per core.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    tasks = max(math.ceil(rows / OBJECTS_PER_TASK), min(math.ceil(rows / 64), 2 * cores), 1)
+    return df.repartition(tasks, *keys)

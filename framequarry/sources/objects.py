@@ -7,7 +7,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.paths import is_user_image
-from ..session import shared_dir, small_frame
+from ..session import shared_dir, small_frame, spread
 from .store import THREADS, Store, extended, pieces, problem
 
 _ENTRIES = "path string, is_folder boolean, length long, modificationTime timestamp"
@@ -46,8 +46,8 @@ def list_objects(spark: SparkSession, *prefixes: str) -> DataFrame:
     levels = []
     while number:
         path = f"{base}/level={len(levels)}"
-        tasks = min(number, 4 * spark.sparkContext.defaultParallelism)
-        folders.repartition(tasks, "folder").mapInArrow(_list_folders, _ENTRIES).write.parquet(path)
+        # A folder stands for many objects, so it weighs as much as a few dozen of them.
+        spread(folders, number * 64, "folder").mapInArrow(_list_folders, _ENTRIES).write.parquet(path)
         levels.append(path)
         entries = spark.read.schema(_ENTRIES).parquet(path)
         folders = entries.filter("is_folder").select(F.col("path").alias("folder"), F.lit("").alias("prefix"))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions import paths as P
 from ..functions.times import captured_at
+from ..session import spread, stage
 from .objects import read_objects
 
 
@@ -14,7 +15,8 @@ def session_starts(frames: DataFrame, raw_root: str) -> DataFrame:
 
     Expects user_id and session_id; a session without usable metadata falls back to its name.
     """
-    sessions = frames.select("user_id", "session_id").distinct()
+    sessions = stage(frames.select("user_id", "session_id").distinct(), "sessions")
+    sessions = spread(sessions, sessions.count(), "user_id", "session_id")
     uri = P.join_path(F.lit(raw_root), "user_id", "session_id", F.lit("meta.json"))
     read = read_objects(sessions.withColumn("_uri", uri), "_uri", as_text=True)
     return read.select("user_id", "session_id", captured_at(F.col("content"), F.col("session_id")).alias("captured_at"))

@@ -7,10 +7,12 @@ functions run on executors, per object; partitioning, joining and counting stay
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 from urllib.parse import urlsplit
 
 # Fixed value: requests in flight per task; object stores answer slowly and in parallel.
 THREADS = 16
+CHUNK = 8 << 20
 
 
 class Store:
@@ -101,23 +103,29 @@ class Store:
         return sorted(found)
 
     def write(self, uri: str, data: bytes) -> None:
-        """Put an object whole: a reader sees the old or the new content, also after a retry."""
-        system, path = self.locate(uri)
-        if system.type_name in ("local", "hdfs"):
-            system.create_dir(path.rpartition("/")[0], recursive=True)
-            part = f"{path}.{uuid.uuid4().hex}.part"
-            with system.open_output_stream(part) as out:
-                out.write(data)
-            system.move(part, path)
-        else:  # object stores show an object only once it is complete
-            with system.open_output_stream(path) as out:
-                out.write(data)
+        with self._target(uri) as out:
+            out.write(data)
 
     def copy(self, source: str, target: str) -> None:
-        data = self.read(source)
-        if data is None:
-            raise FileNotFoundError(source)
-        self.write(target, data)
+        """Copy in chunks, so the size of an object does not matter."""
+        system, path = self.locate(source)
+        with system.open_input_stream(path) as stream, self._target(target) as out:
+            while chunk := stream.read(CHUNK):
+                out.write(chunk)
+
+    @contextmanager
+    def _target(self, uri: str):
+        """Stream to a new object: a reader sees the old or the whole new content, also after a retry."""
+        system, path = self.locate(uri)
+        if system.type_name not in ("local", "hdfs"):  # object stores show an object only once it is complete
+            with system.open_output_stream(path) as out:
+                yield out
+            return
+        system.create_dir(path.rpartition("/")[0], recursive=True)
+        part = f"{path}.{uuid.uuid4().hex}.part"
+        with system.open_output_stream(part) as out:
+            yield out
+        system.move(part, path)
 
 
 def problem(error: BaseException) -> str:
