@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, types as T
 
 from ..session import use_utc
 
@@ -27,7 +27,11 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Input table; time stamps without a zone are UTC."""
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    naive = [f.name for f in df.schema.fields if f.dataType.typeName() == "timestamp_ntz"]
-    return df.withColumns({n: df[n].cast("timestamp") for n in naive})
+    """Input table; time stamps without a zone are read as UTC, so filters on them still reach the scan."""
+    path = f"{sf_dir}/{name}.parquet"
+    found = spark.read.parquet(path)
+    fields = [
+        T.StructField(f.name, T.TimestampType() if isinstance(f.dataType, T.TimestampNTZType) else f.dataType)
+        for f in found.schema.fields
+    ]
+    return spark.read.schema(T.StructType(fields)).parquet(path)
