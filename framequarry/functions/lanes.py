@@ -135,9 +135,10 @@ def bend(lane: Column) -> Column:
     """Largest distance of a lane's points from its chord, as a share of the chord (0 for a straight lane)."""
     first, last = F.get(lane, F.lit(0)), F.element_at(lane, -1)
     dx, dy = last.x - first.x, last.y - first.y
-    chord = F.sqrt(dx * dx + dy * dy)
-    away = F.array_max(F.transform(lane, lambda p: F.abs(dx * (p.y - first.y) - dy * (p.x - first.x))))
-    return F.when((F.size(lane) >= 3) & (chord > 0), away / (chord * chord))
+    squared = dx * dx + dy * dy
+    # Twice the area between chord and point is the distance times the chord.
+    areas = F.array_max(F.transform(lane, lambda p: F.abs(dx * (p.y - first.y) - dy * (p.x - first.x))))
+    return F.when((F.size(lane) >= 3) & (squared > 0), areas / squared)
 
 
 def road_geometry(lanes: Column, threshold: float = 0.05) -> Column:

@@ -145,8 +145,9 @@ _SPLIT_SQL = "CASE lang WHEN 'en' THEN 'train' WHEN 'de' THEN 'val' ELSE 'test'
 _CATEGORY_SQL = "CASE lang WHEN 'fr' THEN 'normal' WHEN 'es' THEN 'night' END"
 
 
-def _list_dataset(spark, sf, layout: Layout, dataset: str, options: str = "") -> None:
-    """Images are the documents' texts, nested under their driver; labels go by the labels table: broken
+def _list_dataset(spark, sf, layout: Layout, dataset: str) -> None:
+    """Lists, image folders and splits are found by probing; the label folder is named, as the first listed
+    image need not have a label. Images are the documents' texts, nested under their driver; labels go by the labels table: broken
     (toxic), empty (quality 0), lanes (quality 1), none (not in the table)."""
     root = f"{layout.raw_public}/{dataset}"
     docs = table(spark, sf, "documents").select(
@@ -163,7 +164,7 @@ def _list_dataset(spark, sf, layout: Layout, dataset: str, options: str = "") ->
     line = F.concat(F.lit("/"), "rel", F.lit(" /seg.png 1 0"))
     for lang, name in (("en", "train.txt"), ("de", "val.txt"), ("fr", "test_split/test0_normal.txt"), ("es", "test_split/night.txt")):
         docs.filter(F.col("lang") == lang).select(F.explode(F.array(line, F.lit("  "))).alias("value")).write.text(f"{lists}/{name}")
-    _put_descriptor(spark, layout, dataset, f"dataset: roads\nversion: 2.0\nlicense: research\nadapter: culane\nsource_url: http://x\n{options}")
+    _put_descriptor(spark, layout, dataset, f"dataset: roads\nversion: 2.0\nlicense: research\nadapter: culane\nsource_url: http://x\noptions: {{label_dir: annotations_new}}\n")
 
 
 def _put_descriptor(spark, layout: Layout, dataset: str, text: str) -> None:
@@ -299,19 +300,26 @@ def ingest_runs(spark, sf):
 
 
 @query("ingest_versions", """
-SELECT 'curves' AS dataset, '' AS version, CAST(NULL AS VARCHAR) AS license, count(*) AS num_images, CAST(NULL AS VARCHAR) AS notes, count(l.doc_id) AS labelled,
-       count(*) FILTER (WHERE lang = 'fr') AS in_test
+SELECT 'curves' AS dataset, '' AS version, CAST(NULL AS VARCHAR) AS license, count(*) AS num_images, CAST(NULL AS VARCHAR) AS notes
 FROM documents d LEFT JOIN labels l USING (doc_id) WHERE lang <> 'es' AND coalesce(toxic, 0) = 0""")
 def ingest_versions(spark, sf):
-    """Dataset row of a native-JSON dataset with images without labels, and how many have one."""
+    """Dataset row of a native-JSON dataset, images without labels included."""
     layout = _layout(spark)
     _json_dataset(spark, sf, layout, "curves", "options: {ingest_unlabeled: true}\n")
-    run = ingest(spark, layout, "curves", EPOCH)
+    ingest(spark, layout, "curves", EPOCH)
     versions = CatalogueTable(spark, layout.table_path(SOURCE_DATASETS.name), SOURCE_DATASETS).read()
-    ok = run.outcome.filter("status = 'ok'").groupBy(F.lit("curves").alias("dataset")).agg(
-        F.count_if("has_label").alias("labelled"), F.count_if(F.col("split") == "test").alias("in_test")
-    )
-    return versions.select("dataset", "version", "license", "num_images", "notes").join(ok, "dataset")
+    return versions.select("dataset", "version", "license", "num_images", "notes")
+
+
+@query("ingest_outcomes", f"""
+SELECT {_JSON_SPLIT_SQL} AS split, CASE WHEN toxic = 1 THEN 'error' ELSE 'ok' END AS status, l.doc_id IS NOT NULL AS has_label, count(*) AS rows
+FROM documents d LEFT JOIN labels l USING (doc_id) WHERE lang <> 'es' GROUP BY ALL""")
+def ingest_outcomes(spark, sf):
+    """Outcomes of a dry run over a native-JSON dataset, by split."""
+    layout = _layout(spark)
+    _json_dataset(spark, sf, layout, "curves", "options: {ingest_unlabeled: true}\n")
+    run = ingest(spark, layout, "curves", EPOCH, dry_run=True)
+    return run.outcome.groupBy("split", "status", "has_label").agg(F.count("*").alias("rows"))
 
 
 @query("ingest_manifests", f"WITH {_ROADS_SQL} SELECT leaf || '/' || coalesce(category, split) || '.txt' AS txt_rel, leaf || '/images/' || rel AS path FROM r WHERE has_label AND toxic = 0")
