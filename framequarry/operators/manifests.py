@@ -43,7 +43,7 @@ def write_manifests(merged: DataFrame, old: DataFrame, root: str) -> DataFrame:
     The lines are staged first, because a manifest is replaced while its old lines are an input. The
     loop runs over manifest names only: one per split and test category.
     """
-    lines = stage(merged, "manifest-lines")
+    lines = stage(merged, "manifest-lines", "txt_rel")
     report = stage(manifest_changes(lines, old), "manifest-report")
     for row in report.filter("changed").select("txt_rel").collect():
         part = lines.filter(F.col("txt_rel") == row.txt_rel).select("path")
@@ -55,12 +55,8 @@ def write_manifests(merged: DataFrame, old: DataFrame, root: str) -> DataFrame:
 
 def read_manifests(spark: SparkSession, root: str, names: list[str]) -> DataFrame:
     """Lines of the named manifests (files or folders of parts) as (txt_rel, path) rows."""
-    base = root.rstrip("/")
-    if not names:
-        return spark.createDataFrame([], "txt_rel string, path string")
-    lines = spark.read.text([f"{base}/{n}" for n in names]).withColumn("_file", F.col("_metadata.file_path"))
-    # A part lies in its manifest's folder; a single file is the manifest itself.
-    name = F.lit(None).cast("string")
-    for n in names:
-        name = F.when(F.contains(F.col("_file"), F.lit(f"/{n}/")) | F.endswith(F.col("_file"), F.lit(f"/{n}")), n).otherwise(name)
-    return lines.select(name.alias("txt_rel"), F.col("value").alias("path"))
+    out = spark.createDataFrame([], "txt_rel string, path string")
+    for name in names:
+        lines = spark.read.text(f"{root.rstrip('/')}/{name}")
+        out = out.unionByName(lines.select(F.lit(name).alias("txt_rel"), F.col("value").alias("path")))
+    return out

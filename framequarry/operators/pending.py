@@ -36,9 +36,14 @@ def expired_unprocessed(raw: DataFrame, audit: DataFrame, as_of: Column) -> Data
 
 
 def without_revoked(images: DataFrame, identity: DataFrame) -> DataFrame:
-    """Images of users who did not withdraw; images without a user stay."""
+    """Images of users who did not withdraw; images without a user stay.
+
+    Public images have no user and are most of the catalogue: they go past the join, where their NULL
+    keys would all meet in one partition.
+    """
     revoked = identity.filter(F.col("revoked_at").isNotNull()).select("user_id")
-    return images.join(revoked, "user_id", "left_anti")
+    owned = images.filter(F.col("user_id").isNotNull()).join(revoked, "user_id", "left_anti")
+    return owned.unionByName(images.filter(F.col("user_id").isNull()))
 
 
 def pseudonym(real_ref: Column, salt: str) -> Column:

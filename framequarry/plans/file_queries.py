@@ -13,7 +13,7 @@ from ..plans.redaction import raw_frames, redact_user_images
 from ..operators.redact import pixmap_codec, redact_contents
 from ..operators.tables import CatalogueTable
 from ..schemas import CLASSIFICATIONS, IMAGES, SOURCE_DATASETS, USER_IMAGES_PRIVACY
-from ..session import shared_dir, small_frame, stage
+from ..session import shared_dir, small_frame, spread, stage
 from ..sources.descriptors import first_valid, read_descriptor, scan_descriptors
 from ..sources.formats import json_samples, list_samples
 from ..sources.objects import list_objects, read_objects, user_images
@@ -48,6 +48,10 @@ def _document_tree(spark, sf, root: str) -> DataFrame:
     return docs
 
 
+def _names(docs: DataFrame) -> DataFrame:
+    return spread(docs.select("doc_id", "uri"), docs.count(), "doc_id")
+
+
 @query("object_listing", """
 SELECT lang || '/' || source || '/' || doc_id || '.txt' AS name, CAST(strlen(text) AS BIGINT) AS length FROM documents WHERE lang IN ('en', 'es')""")
 def object_listing(spark, sf):
@@ -80,14 +84,14 @@ def image_listing(spark, sf):
 @query("binary_reads", """
 SELECT doc_id, lang <> 'fr' AS found, CASE lang WHEN 'fr' THEN NULL WHEN 'de' THEN md5('') ELSE md5(text) END AS digest, CAST(NULL AS VARCHAR) AS read_error FROM documents""")
 def binary_reads(spark, sf):
-    docs = _document_tree(spark, sf, shared_dir(spark, "objects")).select("doc_id", "uri")
+    docs = _names(_document_tree(spark, sf, shared_dir(spark, "objects")))
     return read_objects(docs, "uri").select("doc_id", "found", F.md5("content").alias("digest"), "read_error")
 
 
 @query("text_reads", """
 SELECT doc_id, lang <> 'fr' AS found, CASE lang WHEN 'fr' THEN NULL WHEN 'de' THEN 0 ELSE CAST(length(text) AS INTEGER) END AS n_chars FROM documents""")
 def text_reads(spark, sf):
-    docs = _document_tree(spark, sf, shared_dir(spark, "objects")).select("doc_id", "uri")
+    docs = _names(_document_tree(spark, sf, shared_dir(spark, "objects")))
     return read_objects(docs, "uri", as_text=True).select("doc_id", "found", F.length("content").alias("n_chars"))
 
 
@@ -96,7 +100,7 @@ SELECT doc_id, lang = 'fr' AS failed, CASE lang WHEN 'fr' THEN NULL WHEN 'de' TH
 def object_copies(spark, sf):
     """Every object copied to a second tree and read back; a missing source fails its row only."""
     root = shared_dir(spark, "objects")
-    docs = _document_tree(spark, sf, f"{root}/a").select("doc_id", "uri", P.swap_root("uri", f"{root}/a", f"{root}/b").alias("copy"))
+    docs = _names(_document_tree(spark, sf, f"{root}/a")).withColumn("copy", P.swap_root("uri", f"{root}/a", f"{root}/b"))
     copied = stage(copy_objects(docs, "uri", "copy").drop("uri"), "copies")
     return read_objects(copied, "copy").select("doc_id", F.col("write_error").isNotNull().alias("failed"), F.md5("content").alias("digest"))
 

@@ -52,7 +52,7 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, purpose: str) -> DataFrame:
+def stage(df: DataFrame, purpose: str, *partition_by: str) -> DataFrame:
     """Write `df` once to the shared folder and read it back.
 
     Used after steps with side effects or a costly model call: later consumers read the staged
@@ -60,7 +60,7 @@ def stage(df: DataFrame, purpose: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = shared_dir(spark, purpose)
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
