@@ -116,13 +116,23 @@ def lane_report(rounded: Column, width: Column, height: Column) -> Column:
     )
 
 
+def exploded_points(df: DataFrame, keys: list[str], lanes: str) -> DataFrame:
+    """One row per point: keys, lane_no, point_no and the point `p`.
+
+    The outer form is used and empty rows are dropped afterwards: the inner form makes the optimizer
+    infer a filter on the array and push it down, which parses every label several times.
+    """
+    rows = df.select(*keys, F.posexplode_outer(lanes).alias("lane_no", "lane"))
+    points = rows.select(*keys, "lane_no", F.posexplode_outer("lane").alias("point_no", "p"))
+    return points.filter(F.col("point_no").isNotNull())
+
+
 def point_errors(df: DataFrame, keys: list[str], lanes: str, rounded: str) -> DataFrame:
     """One row per point: parsed and rounded coordinates and what the rounding moved."""
-    pairs = df.select(*keys, F.posexplode(F.arrays_zip(F.col(lanes).alias("o"), F.col(rounded).alias("r"))).alias("lane_no", "lane"))
-    points = pairs.select(
-        *keys, "lane_no",
-        F.posexplode(F.arrays_zip(F.col("lane.o").alias("o"), F.col("lane.r").alias("r"))).alias("point_no", "p"),
+    pairs = F.zip_with(
+        lanes, rounded, lambda old, new: F.zip_with(old, new, lambda o, r: F.struct(o.alias("o"), r.alias("r")))
     )
+    points = exploded_points(df.select(*keys, pairs.alias("_pairs")), keys, "_pairs")
     return points.select(
         *keys, "lane_no", "point_no",
         F.col("p.o.x").alias("x"), F.col("p.o.y").alias("y"),

@@ -153,7 +153,8 @@ class CatalogueTable:
     def upsert(self, rows: DataFrame, order: Sequence[Column] = (), attempts: int = 5) -> int:
         """Insert or replace rows by key; returns the number of rows sent. No rows, no write.
 
-        Several rows with one key are reduced to the first by `order`.
+        Several rows with one key are reduced to the first by `order`. `rows` is passed over twice (rows
+        with and without a complete key), so stage it first if it is costly.
         """
         wanted = [c for c in self.spec.schema.names if c in rows.columns]
         ranked = rows.select(*wanted, *[o.alias(f"_rank{i}") for i, o in enumerate(order)])

@@ -34,10 +34,8 @@ def _text_labels(spark, sf, bad_label: int):
     return LN.parse_text_lanes(_halves(spark, sf).withColumn("text", text), "text")
 
 
-def _exploded(df, *more):
-    lanes = df.select("vec_id", *more, F.posexplode("rounded").alias("lane_no", "lane"))
-    points = lanes.select("vec_id", *more, "lane_no", F.posexplode("lane").alias("point_no", "p"))
-    return points.select("vec_id", *more, "lane_no", "point_no", "p.x", "p.y")
+def _exploded(df):
+    return LN.exploded_points(df, ["vec_id"], "rounded").select("vec_id", "lane_no", "point_no", "p.x", "p.y")
 
 
 @query("lanes_from_text", f"""

@@ -73,7 +73,7 @@ def redact_user_images(
         part = stage(done.withColumn("status", status), "redaction-outcome")
         if not dry_run:
             ok, _ = O.split_outcome(part)
-            timed = with_session_start(ok, session_starts(ok, layout.raw_user))
+            timed = stage(with_session_start(ok, session_starts(ok, layout.raw_user)), "redaction-timed")
             # The catalogue first: should the run die between the two, the frames are still pending.
             images.upsert(R.user_rows(timed, as_of))
             audit.upsert(R.audit_rows(ok, as_of, model_version))

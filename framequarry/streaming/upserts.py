@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.tables import CatalogueTable
+from ..session import stage
 
 
 def upsert_stream(
@@ -17,7 +18,8 @@ def upsert_stream(
     checkpoint, leaves the same table."""
 
     def work(batch: DataFrame, number: int) -> None:
-        table.upsert(batch, order)
+        # An upsert passes over its rows more than once; the stream's source is read only here.
+        table.upsert(stage(batch, "stream-batch"), order)
 
     return rows.writeStream.foreachBatch(work).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
 
