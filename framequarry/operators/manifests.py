@@ -12,14 +12,19 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..session import stage
 
 
-def merged_lines(new: DataFrame, old: DataFrame | None) -> DataFrame:
+def manifest_names(new: DataFrame) -> list[str]:
+    """Manifests that get lines: one per split and test category, so a handful."""
+    return sorted(r.txt_rel for r in new.select("txt_rel").distinct().collect())
+
+
+def merged_lines(new: DataFrame, old: DataFrame | None, names: list[str]) -> DataFrame:
     """Distinct (txt_rel, path) of the new and the old lines; blank old lines are dropped.
 
-    Only manifests that get new lines are listed. Without `old` the manifests are replaced.
+    Only the manifests in `names` are listed. Without `old` the manifests are replaced.
     """
     lines = new.select("txt_rel", "path")
     if old is not None:
-        kept = old.filter(F.col("path") != "").join(new.select("txt_rel").distinct(), "txt_rel", "left_semi")
+        kept = old.filter((F.col("path") != "") & F.col("txt_rel").isin(names))
         lines = lines.unionByName(kept.select("txt_rel", "path"))
     return lines.distinct()
 

@@ -112,15 +112,15 @@ def ingest(
 
 def _write_manifests(spark: SparkSession, ok: DataFrame, objects: DataFrame, out_root: str, overwrite: bool) -> None:
     new = ok.select("txt_rel", F.col("img_rel").alias("path"))
-    # Names only: one per split and test category. A manifest is a file or a folder of parts.
-    names = [r.txt_rel for r in new.select("txt_rel").distinct().collect()]
+    names = M.manifest_names(new)
     below = P.below("path", out_root)
+    # A manifest is a file or a folder of parts.
     there = F.filter(
         F.array(*[F.lit(n) for n in names]), lambda n: (below == n) | F.startswith(below, F.concat(n, F.lit("/")))
     )
     present = [r.name for r in objects.select(F.explode(there).alias("name")).distinct().collect()] if names else []
     old = M.read_manifests(spark, out_root, present)
-    M.write_manifests(M.merged_lines(new, None if overwrite else old), old, out_root)
+    M.write_manifests(M.merged_lines(new, None if overwrite else old, names), old, out_root)
 
 
 def _write_rows(spark, layout: Layout, ok: DataFrame, descriptor: Row, dataset: str, out_root: str, epoch: int) -> None:

@@ -338,7 +338,7 @@ def _manifest_lines(spark, sf):
 @query("manifest_lines", f"WITH {_MANIFEST_SQL} SELECT txt_rel, path FROM merged")
 def manifest_lines(spark, sf):
     new, old = _manifest_lines(spark, sf)
-    return M.merged_lines(new, old)
+    return M.merged_lines(new, old, M.manifest_names(new))
 
 
 @query("manifest_changes", f"""
@@ -347,7 +347,7 @@ SELECT m.txt_rel, count(*) AS lines, count(*) FILTER (WHERE k.path IS NULL) AS a
 FROM merged m LEFT JOIN kept k ON k.txt_rel = m.txt_rel AND k.path = m.path GROUP BY m.txt_rel""")
 def manifest_changes(spark, sf):
     new, old = _manifest_lines(spark, sf)
-    return M.manifest_changes(M.merged_lines(new, old), old)
+    return M.manifest_changes(M.merged_lines(new, old, M.manifest_names(new)), old)
 
 
 @query("manifest_files", f"""
@@ -357,11 +357,11 @@ def manifest_files(spark, sf):
     """Manifests written as sorted parts and read back; a second write finds nothing to change."""
     root = shared_dir(spark, "manifests")
     new, old = _manifest_lines(spark, sf)
-    merged = M.merged_lines(new, old)
-    names = [r.txt_rel for r in M.write_manifests(merged, old, root).select("txt_rel").collect()]
+    names = M.manifest_names(new)
+    M.write_manifests(M.merged_lines(new, old, names), old, root)
     written = M.read_manifests(spark, root, names)
-    again = M.write_manifests(M.merged_lines(new, written), written, root)
-    lines = M.read_manifests(spark, root, names).join(again.filter(~F.col("changed")), "txt_rel", "left_semi")
+    again = M.write_manifests(M.merged_lines(new, written, names), written, root)
+    lines = M.read_manifests(spark, root, [r.txt_rel for r in again.filter(~F.col("changed")).collect()])
     return lines.groupBy("txt_rel").agg(
         F.count("*").alias("lines"), F.min("path").alias("first_path"), F.max("path").alias("last_path"),
         F.sum(F.length("path")).alias("n_chars"),
