@@ -7,7 +7,7 @@ functions run on executors, per object; partitioning, joining and counting stay
 from __future__ import annotations
 
 import uuid
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
 from urllib.parse import urlsplit
 
 # Fixed value: requests in flight per task; object stores answer slowly and in parallel.
@@ -115,17 +115,24 @@ class Store:
 
     @contextmanager
     def _target(self, uri: str):
-        """Stream to a new object: a reader sees the old or the whole new content, also after a retry."""
+        """Stream to a new object: a reader sees the old or the whole new content, also after a retry.
+
+        What a failed write leaves is removed, as a cut object would count as present in the next run.
+        """
         system, path = self.locate(uri)
-        if system.type_name not in ("local", "hdfs"):  # object stores show an object only once it is complete
-            with system.open_output_stream(path) as out:
+        renames = system.type_name in ("local", "hdfs")  # object stores show an object once it is closed
+        part = f"{path}.{uuid.uuid4().hex}.part" if renames else path
+        if renames:
+            system.create_dir(path.rpartition("/")[0], recursive=True)
+        try:
+            with system.open_output_stream(part) as out:
                 yield out
-            return
-        system.create_dir(path.rpartition("/")[0], recursive=True)
-        part = f"{path}.{uuid.uuid4().hex}.part"
-        with system.open_output_stream(part) as out:
-            yield out
-        system.move(part, path)
+        except BaseException:
+            with suppress(OSError):
+                system.delete_file(part)
+            raise
+        if renames:
+            system.move(part, path)
 
 
 def problem(error: BaseException) -> str:

@@ -33,7 +33,8 @@ def test_reads_tell_missing_from_empty(spark, tmp_path):
 
 
 def test_writes_and_copies_report_per_row(spark, tmp_path):
-    df = spark.createDataFrame([(f"{tmp_path}/o/1", "x"), (f"{tmp_path}/o/2", None), (None, "y"), (f"{tmp_path}/o/1/below", "z")], "u string, d string").coalesce(1)
+    write(tmp_path, {"file": "in the way"})
+    df = spark.createDataFrame([(f"{tmp_path}/o/1", "x"), (f"{tmp_path}/o/2", None), (None, "y"), (f"{tmp_path}/file/below", "z")], "u string, d string").coalesce(1)
     errors = [r.write_error for r in write_objects(df, "u", "d").collect()]
     assert errors[:3] == [None, None, None] and errors[3]
     assert (tmp_path / "o/1").read_text() == "x" and not (tmp_path / "o/2").exists()
@@ -50,6 +51,15 @@ def test_large_objects_are_copied_in_chunks(tmp_path):
     assert (tmp_path / "copy").read_bytes() == data
 
 
+def test_failed_write_leaves_nothing(tmp_path):
+    write(tmp_path, {"o/old": "old"})
+    for name in ("new", "old"):
+        with pytest.raises(RuntimeError), Store()._target(f"{tmp_path}/o/{name}") as out:
+            out.write(b"half")
+            raise RuntimeError
+    assert [p.name for p in (tmp_path / "o").iterdir()] == ["old"] and (tmp_path / "o/old").read_text() == "old"
+
+
 def test_descriptors(spark, tmp_path):
     write(tmp_path, {
         "default.yml": "adapter: ''", "a.yml": "adapter: [", "b.yml": "dataset: x", "c.yml": "", "notes.txt": "adapter: x",
