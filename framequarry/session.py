@@ -3,13 +3,10 @@
 from __future__ import annotations
 
 import math
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_bases: dict[str, str] = {}
-
 
 def build_session(app: str = "framequarry", master: str | None = None, **conf: str) -> SparkSession:
     """Session with the settings the engine relies on; `conf` keys use `__` for dots."""
@@ -36,20 +33,16 @@ def use_utc(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession, purpose: str) -> str:
-    """New folder path under the folder the cluster names in `spark.checkpoint.dir`.
+    """New folder path in storage that all executors share, removed when the application ends.
 
-    Where the setting is unset, a local folder is used, which is only right while driver and
-    executors are one machine; any other master is refused.
+    The folder is the one the cluster names in `spark.checkpoint.dir`. Where that is unset it is the warehouse
+    folder, which a cluster shares as well; a temporary folder of one machine is never used.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        app = spark.sparkContext.applicationId
-        if app not in _local_bases:
-            _local_bases[app] = tempfile.mkdtemp(prefix="framequarry-")
-        base = _local_bases[app]
-    return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    base = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_staged"
+    path = f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
+    return path
 
 
 def stage(df: DataFrame, purpose: str, *partition_by: str) -> DataFrame:

@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as entry_point
 from compare import differences, duck
+from framequarry.plans import catalogue
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -14,12 +15,12 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(entry_point.oracle_sql()) == set(entry_point.queries())
+    assert set(catalogue.SQL) == set(catalogue.QUERIES)
 
 
-@pytest.mark.parametrize("name", sorted(entry_point.queries()))
+@pytest.mark.parametrize("name", sorted(catalogue.QUERIES))
 def test_same_as_sql(spark, con, name):
-    assert differences(spark, entry_point.queries()[name], entry_point.oracle_sql()[name], FOLDER, con) is None
+    assert differences(spark, catalogue.QUERIES[name], catalogue.SQL[name], FOLDER, con) is None
 
 
 def test_entry(spark):
