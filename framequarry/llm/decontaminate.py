@@ -14,14 +14,11 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..session import stage
 from .registry import batch, map_batches, query, read, renamed
+from .slots import in_table, slot_table
 from .words import ALNUM, Words, texts, windows, words
 
 #: Words in a fingerprinted k-gram.
 GRAM = 7
-#: Bits of the table that drops fingerprints no item has; its size is fixed, and a full table drops nothing.
-TABLE_BITS = 1 << 22
-
-_PRINTS = "hash long, length int, at long, before int, context binary"
 
 
 def _smallest(hashes: np.ndarray, text: np.ndarray, span: int) -> np.ndarray:
@@ -59,8 +56,7 @@ def _fingerprints(found: Words, window: int, lengths: list[int], wanted: np.ndar
     for length in [window, *lengths]:
         first, hashes = winnowed(found, window) if length == window else windows(found, length)
         if wanted is not None and len(first):
-            slot = (hashes % np.uint64(TABLE_BITS)).astype(np.int64)
-            ok = (wanted[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1
+            ok = in_table(wanted, hashes)
             first, hashes = first[ok], hashes[ok]
         yield length, first, hashes
 
@@ -123,11 +119,8 @@ def contamination(
         yield batch("item string, hash long, length int, item_before int, item_context binary", *[list(x) for x in zip(*out)] or [[]] * 5)
 
     prints = stage(map_batches(items, item_prints, "item string, hash long, length int, item_before int, item_context binary").distinct(), "items")
-    # Both are bounded whatever the benchmark's size: at most TABLE_BITS slots, at most window - 1 lengths.
-    slots = prints.select(F.expr(f"int(hash & {TABLE_BITS - 1})").alias("slot")).distinct().toPandas()["slot"].to_numpy(np.int64)
-    lengths = sorted(r[0] for r in prints.where(F.col("length") < window).select("length").distinct().collect())
-    wanted = np.zeros(TABLE_BITS // 8, np.uint8)
-    np.bitwise_or.at(wanted, slots >> 3, (1 << (slots & 7)).astype(np.uint8))
+    wanted = slot_table(prints, F.col("hash"))
+    lengths = sorted(r[0] for r in prints.where(F.col("length") < window).select("length").distinct().collect())  # below `window` values
 
     def doc_prints(part):
         ids = part.column("doc_id")

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..session import stage
 from .components import components
 from .registry import batch, map_batches, query, read, renamed
+from .slots import in_table, slot_table
 from .words import LOWERED, sequence_hash, texts, windows, words
 
 #: Texts sampled to find tokens that are frequent; the order of tokens decides speed only, never the result.
@@ -249,22 +250,33 @@ def jaccard_components(df: DataFrame, id_column: str = "doc_id", text_column: st
     )
     light = nodes.select("node", "n", "bits")
 
-    def set_of(part):
-        for found, sig, at in zip(shingle_sets(part.column("text"), k), part.column("sig").to_pylist(), part.column("node").to_pylist()):
-            if signature(found) == sig:
-                yield at, found.tobytes()
+    keyed = docs.select(F.coalesce("doc_id", F.lit(0)).alias("key"), "text")
 
-    def sets_of(part):
-        found = list(set_of(part))
-        yield batch("node long, tokens binary", [x[0] for x in found], [x[1] for x in found])
+    def sets_of(pairs: DataFrame) -> DataFrame:
+        """The sets of the nodes in some pairs, from the text of a document of each; a bit table lets few other texts through."""
+        ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+        wanted = stage(ends.join(nodes.select("node", "label", "sig"), "node").select("node", F.coalesce("label", F.lit(0)).alias("key"), "sig"), "wanted")
+        table = slot_table(wanted, F.xxhash64("key"))
 
-    candidates = shared.select("node").distinct().join(nodes.select("node", "label", "sig"), "node")
-    with_text = docs.join(candidates, docs["doc_id"].eqNullSafe(candidates["label"])).select("node", "sig", "text")
-    sets = stage(
-        map_batches(with_text, sets_of, "node long, tokens binary").groupBy("node").agg(F.first("tokens").alias("tokens")), "sets",
-    )
+        def pick(part):
+            ok = in_table(table, part.column("slot").to_numpy())
+            yield batch("key long, text string", *(part.column(c).filter(pa.array(ok)) for c in ("key", "text")))
+
+        def sets(part):
+            found, nodes_of = [], []
+            for tokens, sig, at in zip(shingle_sets(part.column("text"), k), part.column("sig").to_pylist(), part.column("node").to_pylist()):
+                if signature(tokens) == sig:
+                    found.append(tokens.tobytes())
+                    nodes_of.append(at)
+            yield batch("node long, tokens binary", nodes_of, found)
+
+        few = map_batches(keyed.withColumn("slot", F.xxhash64("key")), pick, "key long, text string")
+        once = few.join(wanted, "key").groupBy("key", "node", "sig", F.xxhash64("text").alias("which")).agg(F.first("text").alias("text"))
+        return stage(map_batches(once, sets, "node long, tokens binary"), "sets")
 
     def linked(pairs: DataFrame) -> DataFrame:
+        pairs = stage(pairs, "pairs")
+        sets = sets_of(pairs)
         left = sets.select(F.col("node").alias("a"), F.col("tokens").alias("set_a"))
         right = sets.select(F.col("node").alias("b"), F.col("tokens").alias("set_b"))
         return map_batches(pairs.join(left, "a").join(right, "b").select("a", "b", "set_a", "set_b"), _linked(percent), "a long, b long")
