@@ -5,9 +5,9 @@ Texts with one set are one node. Any two sets above the threshold share a token
 in tiles of one token and two neighbouring size bands; inside a tile the bit counts of parity bitmaps bound the overlap
 from above, and what remains is decided by intersecting the sorted sets.
 
-A large group of near copies is not expanded into its pairs: each node is first compared with the smallest node of each
-of its tokens, and tiles then compare only nodes that are not yet connected. Every pair that could connect two
-components is compared, so the components are those of all links.
+A large group of near copies is not expanded into its pairs: each node is first compared with the node that leads most
+of its tokens, then in each tile with its nearest nodes of other components, and last with all nodes it is not yet
+connected with. Every pair that could connect two components is compared, so the components are those of all links.
 """
 
 from __future__ import annotations
@@ -30,6 +30,8 @@ SAMPLED_TEXTS = 4000
 FREQUENT_TOKENS = 65536
 #: Nodes of one tile that are compared in one piece; larger tiles are cut into blocks, and all pairs of blocks compared.
 TILE_NODES = 1024
+#: Candidates a node proposes per tile before all that are left are compared.
+NEAREST = 2
 _NO_TOKENS = np.empty(0, np.uint64)
 
 
@@ -144,7 +146,7 @@ def _shared(batches):
         told = bool(keep[-1])
 
 
-def _tile_pairs(percent: int):
+def _tile_pairs(percent: int, nearest: int | None):
     """Of rows sorted by tile: pairs of unconnected nodes whose sizes and bit counts leave the threshold possible."""
 
     def run(batches):
@@ -169,7 +171,10 @@ def _tile_pairs(percent: int):
                     if not len(at):
                         continue
                     apart = np.bitwise_count(maps[i - lo + 1 + at] ^ maps[i - lo]).sum(axis=1, dtype=np.int64)
-                    at = at[can_link(n[rest][at], n[i], apart, percent)]
+                    ok = can_link(n[rest][at], n[i], apart, percent)
+                    at, apart = at[ok], apart[ok]
+                    if nearest and len(at) > nearest:
+                        at = at[np.argpartition(apart / (n[rest][at] + n[i]), nearest)[:nearest]]
                     other = node[rest][at]
                     left.append(np.minimum(other, node[i]))
                     right.append(np.maximum(other, node[i]))
@@ -281,36 +286,43 @@ def jaccard_components(df: DataFrame, id_column: str = "doc_id", text_column: st
         right = sets.select(F.col("node").alias("b"), F.col("tokens").alias("set_b"))
         return map_batches(pairs.join(left, "a").join(right, "b").select("a", "b", "set_a", "set_b"), _linked(percent), "a long, b long")
 
-    stars = shared.where("node != hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
-    stars = (
-        stars.join(light.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("bits").alias("bits_b")), "b")
-        .join(light.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("bits").alias("bits_a")), "a")
-        .select("a", "b", "n_a", "n_b", "bits_a", "bits_b")
-    )
-    links = stage(linked(map_batches(stars, _bounded(percent), "a long, b long")), "links")
+    def bounded(pairs: DataFrame) -> DataFrame:
+        ends = pairs.join(light.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("bits").alias("bits_b")), "b").join(
+            light.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("bits").alias("bits_a")), "a")
+        return map_batches(ends.select("a", "b", "n_a", "n_b", "bits_a", "bits_b"), _bounded(percent), "a long, b long")
+
+    hubs = shared.where("node != hub").groupBy("node", "hub").agg(F.count("*").alias("common"))
+    best = hubs.groupBy("node").agg(F.max(F.struct("common", F.negative("hub").alias("low"))).alias("best"))
+    links = stage(linked(bounded(best.select(F.negative("best.low").alias("a"), F.col("node").alias("b")))), "links")
     parts = stage(components(links, "a", "b"), "parts")
 
-    placed = shared.select("token", "node").join(parts, "node", "left").select("token", "node", F.coalesce("component", "node").alias("component"))
-    tokens_between = (
-        placed.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("size"))
-        .where("lo < hi").select("token", "size")
-    )
-    band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent)))
-    blocks = F.greatest(F.lit(1), F.ceil(F.col("size") / TILE_NODES)).cast("int")
-    tiles = (
-        placed.join(tokens_between, "token").join(light, "node")
-        .withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-        .withColumn("own", F.explode(F.array(F.lit(True), F.lit(False)))).withColumn("band", band + F.when(F.col("own"), 0).otherwise(1))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select(
-            F.xxhash64("token", "band", F.least("block", "other"), F.greatest("block", "other")).alias("tile"), "node", "component", "n", "own",
-            "block", (F.col("block") != F.col("other")).alias("cross"), "bits",
+    def tile_pairs(nearest: int | None) -> DataFrame:
+        """Pairs of nodes of two components that share a token and can link by size and bits, or each node's nearest of them."""
+        placed = shared.select("token", "node").join(parts, "node", "left").select("token", "node", F.coalesce("component", "node").alias("component"))
+        between = (
+            placed.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("size"))
+            .where("lo < hi").select("token", "size")
         )
-    )
-    pairs = tiles.repartition("tile").sortWithinPartitions("tile", "node").mapInArrow(_tile_pairs(percent), "a long, b long").distinct()
-    more = stage(linked(pairs), "links")
-    if not more.isEmpty():
-        parts = stage(components(links.unionByName(more), "a", "b"), "parts")
+        band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent)))
+        blocks = F.greatest(F.lit(1), F.ceil(F.col("size") / TILE_NODES)).cast("int")
+        tiles = (
+            placed.join(between, "token").join(light, "node")
+            .withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+            .withColumn("own", F.explode(F.array(F.lit(True), F.lit(False)))).withColumn("band", band + F.when(F.col("own"), 0).otherwise(1))
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            .select(
+                F.xxhash64("token", "band", F.least("block", "other"), F.greatest("block", "other")).alias("tile"), "node", "component", "n", "own",
+                "block", (F.col("block") != F.col("other")).alias("cross"), "bits",
+            )
+        )
+        return tiles.repartition("tile").sortWithinPartitions("tile", "node").mapInArrow(_tile_pairs(percent, nearest), "a long, b long").distinct()
+
+    # The nearest ones first: they connect most of a group of near copies, whose other pairs then need no look.
+    for nearest in (NEAREST, None):
+        more = stage(linked(tile_pairs(nearest)), "links")
+        if not more.isEmpty():
+            links = links.unionByName(more)
+            parts = stage(components(links, "a", "b"), "parts")
 
     rooted = nodes.select("node", "sig", "label").join(parts, "node", "left").withColumn("root", F.coalesce("component", "node"))
     lowest = rooted.groupBy("root").agg(F.min("label").alias("lowest"))
