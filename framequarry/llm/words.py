@@ -102,10 +102,13 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def spans_hash(folded: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Hash of each byte span (sorted, not overlapping), block by block so that memory stays bounded."""
+def spans_hash(folded: np.ndarray, start: np.ndarray, end: np.ndarray, heads: tuple[int, ...] = ()) -> np.ndarray:
+    """Hash of each byte span (sorted, not overlapping), block by block so that memory stays bounded.
+
+    With `heads`, one row per number of bytes: the hashes of the spans' first so many bytes, then a row of the whole spans.
+    """
     global _UP, _DOWN
-    found = np.empty(len(start), np.uint64)
+    found = np.empty((len(heads) + 1, len(start)), np.uint64)
     i = 0
     while i < len(start):
         base = int(start[i])
@@ -116,9 +119,11 @@ def spans_hash(folded: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.nda
         sums = np.zeros(size + 1, np.uint64)
         np.cumsum(_WEIGHT[folded[base : base + size]] * _UP[:size], out=sums[1:])
         a, b = start[i:j] - base, end[i:j] - base
-        found[i:j] = (sums[b] - sums[a]) * _DOWN[a] + (b - a).astype(np.uint64)
+        for row, head in enumerate((*heads, size)):
+            stop = np.minimum(a + head, b)
+            found[row, i:j] = (sums[stop] - sums[a]) * _DOWN[a] + (stop - a).astype(np.uint64)
         i = j
-    return mixed(found)
+    return mixed(found) if heads else mixed(found[0])
 
 
 def words(chunk: Texts, how: Rule) -> Words:
