@@ -1,4 +1,4 @@
 """Importing this module registers every corpus query."""
 
-from . import decontaminate, jaccard_join, language, line_dedup, quality, toxicity, url_filter  # noqa: F401
+from . import decontaminate, jaccard_join, language, line_dedup, pieces, quality, sentence_spans, toxicity, url_filter  # noqa: F401
 from .registry import QUERIES, SQL  # noqa: F401
