@@ -12,7 +12,6 @@ lattice, and the parts of many texts are filtered and sampled together as arrays
 from __future__ import annotations
 
 import re
-from functools import lru_cache
 from typing import NamedTuple
 
 import numpy as np
@@ -47,9 +46,14 @@ def _keys(data: np.ndarray) -> np.ndarray:
     return (_WEIGHT[data] * _powers(_STEP, data.shape[1])).sum(axis=1, dtype=np.uint64)
 
 
-@lru_cache(maxsize=4)
 def vocabulary(path: str) -> Vocabulary:
-    """Read a model file. Scores are log weights; those of a BPE model are merge ranks, weighted by Zipf's law."""
+    """A model file, read once. Scores are log weights; those of a BPE model are merge ranks, weighted by Zipf's law."""
+    if path not in _vocabularies:
+        _vocabularies[path] = _read(path)
+    return _vocabularies[path]
+
+
+def _read(path: str) -> Vocabulary:
     import sentencepiece
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -89,6 +93,9 @@ def vocabulary(path: str) -> Vocabulary:
     )
 
 
+_vocabularies: dict[str, Vocabulary] = {}
+
+
 class Lattice(NamedTuple):
     """Edges into every (part, position), sorted by it: their running probability, bytes and piece id (-1: spelled)."""
 
@@ -239,9 +246,6 @@ def decoded(ids: np.ndarray, words: Vocabulary) -> np.ndarray:
     return words.flat[np.repeat(words.starts[ids] - (total - sizes), sizes) + np.arange(total[-1] if len(total) else 0)]
 
 
-_samplers: dict[tuple, Sampler] = {}
-
-
 def encode_texts(
     df: DataFrame, key: Column, id_column: str = "doc_id", text_column: str = "text", path: str = VOCABULARY, alpha: float = ALPHA, seed: int = 0,
 ) -> DataFrame:
@@ -255,9 +259,14 @@ def encode_texts(
     kind = dict(docs.dtypes)["doc_id"].replace("bigint", "long")
     schema = f"doc_id {kind}, pieces array<int>, n_pieces long, lossless boolean"
 
-    def encode(part):
-        words = vocabulary(path)
-        sampler = _samplers.setdefault((path, alpha, seed), Sampler(words, alpha, seed))
+    def encode(batches):
+        sampler = Sampler(vocabulary(path), alpha, seed)
+        for part in batches:
+            if part.num_rows:
+                yield from encode_part(part, sampler)
+
+    def encode_part(part, sampler):
+        words = sampler.words
         null = part.column("text").is_null().to_numpy(zero_copy_only=False)
         keys = part.column("key").fill_null(0).to_numpy(zero_copy_only=False)
         ids = part.column("doc_id")
@@ -272,7 +281,7 @@ def encode_texts(
             lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(found, pa.int32()), mask=pa.array(null[rows]))
             yield batch(schema, ids.slice(chunk.first, chunk.n), lists.cast(pa.list_(pa.int32())), np.diff(bounds), pa.array(same))
 
-    return map_batches(docs, encode, schema)
+    return docs.mapInArrow(encode, schema)
 
 
 def decode_texts(df: DataFrame, id_column: str = "doc_id", pieces_column: str = "pieces", path: str = VOCABULARY) -> DataFrame:

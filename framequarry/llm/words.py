@@ -29,7 +29,14 @@ def _powers(base: int, n: int) -> np.ndarray:
     return np.multiply.accumulate(found)
 
 
-_UP, _DOWN = _powers(_STEP, _BLOCK + 1), _powers(_BACK, _BLOCK + 1)
+_tables: dict[str, np.ndarray] = {}  # made where they are used: functions travel to executors with what stands here
+
+
+def _step_tables(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the step and of its inverse, for more than `size` bytes."""
+    if len(_tables.get("up", ())) <= size:
+        _tables["up"], _tables["down"] = (_powers(base, max(2 * size, _BLOCK) + 1) for base in (_STEP, _BACK))
+    return _tables["up"], _tables["down"]
 
 
 class Rule(NamedTuple):
@@ -107,21 +114,19 @@ def spans_hash(folded: np.ndarray, start: np.ndarray, end: np.ndarray, heads: tu
 
     With `heads`, one row per number of bytes: the hashes of the spans' first so many bytes, then a row of the whole spans.
     """
-    global _UP, _DOWN
     found = np.empty((len(heads) + 1, len(start)), np.uint64)
     i = 0
     while i < len(start):
         base = int(start[i])
         j = max(i + 1, int(np.searchsorted(end, base + _BLOCK, "right")))
         size = int(end[j - 1]) - base
-        if size >= len(_UP):
-            _UP, _DOWN = _powers(_STEP, 2 * size), _powers(_BACK, 2 * size)
+        up, down = _step_tables(size)
         sums = np.zeros(size + 1, np.uint64)
-        np.cumsum(_WEIGHT[folded[base : base + size]] * _UP[:size], out=sums[1:])
+        np.cumsum(_WEIGHT[folded[base : base + size]] * up[:size], out=sums[1:])
         a, b = start[i:j] - base, end[i:j] - base
         for row, head in enumerate((*heads, size)):
             stop = np.minimum(a + head, b)
-            found[row, i:j] = (sums[stop] - sums[a]) * _DOWN[a] + (stop - a).astype(np.uint64)
+            found[row, i:j] = (sums[stop] - sums[a]) * down[a] + (stop - a).astype(np.uint64)
         i = j
     return mixed(found) if heads else mixed(found[0])
 
@@ -159,7 +164,3 @@ def sequence_hash(hashes: np.ndarray) -> int:
     for h in hashes.tolist():
         total = (total * int(_ROLL) + h) % 2**64
     return int(mixed(np.array([(total + len(hashes)) % 2**64], np.uint64))[0])
-
-
-def binaries(parts: list[bytes | None]) -> pa.Array:
-    return pa.array(parts, pa.binary())
