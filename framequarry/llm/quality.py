@@ -7,13 +7,13 @@ fixed threshold goes.
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from ..session import stage
 from .registry import batch, column, map_batches, query, read, renamed
+from .slots import in_table, slot_table
 from .words import PLAIN, Texts, Words, mixed, spans_hash, texts, windows, words
 
 #: Buckets of the two multinomials; what is gathered from the corpus is two counts per bucket and task.
@@ -84,30 +84,46 @@ def _mean_log_ratio(found: Words, ratio: np.ndarray, n: int) -> np.ndarray:
     return np.where(count > 0, total / np.maximum(count, 1), 0.0)
 
 
-def bucket_counts(docs: DataFrame) -> DataFrame:
-    """(bucket, n_all, n_trusted) over all rows of `docs` (text, trusted); one row per bucket and task is shuffled."""
+def bucket_counts(texts_only: DataFrame) -> DataFrame:
+    """(bucket, n) over all rows of `texts_only` (text); one row per bucket and task is shuffled."""
 
     def count(batches):
-        counts = np.zeros((2, BUCKETS), np.int64)
+        counts = np.zeros(BUCKETS, np.int64)
         for part in batches:
-            trusted = part.column("trusted").fill_null(False).to_numpy(zero_copy_only=False)
             for chunk in texts(part.column("text")):
-                buckets, text = ngram_buckets(words(chunk, PLAIN))
-                counts[0] += np.bincount(buckets, minlength=BUCKETS)
-                counts[1] += np.bincount(buckets[trusted[chunk.first : chunk.first + chunk.n][text]], minlength=BUCKETS)
-        used = np.flatnonzero(counts[0])
-        yield batch("bucket long, n_all long, n_trusted long", used, *counts[:, used])
+                counts += np.bincount(ngram_buckets(words(chunk, PLAIN))[0], minlength=BUCKETS)
+        used = np.flatnonzero(counts)
+        yield batch("bucket long, n long", used, counts[used])
+
+    return texts_only.mapInArrow(count, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
+
+
+def trusted_texts(docs: DataFrame, trusted: DataFrame) -> DataFrame:
+    """The texts of `docs` (doc_id, text) whose id is in `trusted` (known).
+
+    A bit table keeps back most other texts before the join, which is a shuffle at every size, so that its cost follows
+    the trusted texts.
+    """
+    ids = stage(trusted.where("known is not null").distinct(), "trusted")
+    table = slot_table(ids, F.xxhash64("known"))
+    kind = dict(docs.dtypes)["doc_id"].replace("bigint", "long")
+
+    def pick(part):
+        ok = pa.array(in_table(table, part.column("slot").to_numpy()))
+        yield batch(f"doc_id {kind}, text string", part.column("doc_id").filter(ok), part.column("text").filter(ok))
 
-    return docs.mapInArrow(count, "bucket long, n_all long, n_trusted long").groupBy("bucket").agg(F.sum("n_all").alias("n_all"), F.sum("n_trusted").alias("n_trusted"))
+    few = map_batches(docs.select("doc_id", "text", F.xxhash64("doc_id").alias("slot")), pick, f"doc_id {kind}, text string")
+    return few.join(ids.hint("merge"), few["doc_id"] == ids["known"], "left_semi").select("text")
 
 
-def log_ratios(counts: DataFrame) -> np.ndarray:
-    """Log ratio of each bucket under add-one smoothing, from at most BUCKETS rows."""
+def log_ratios(target: DataFrame, raw: DataFrame) -> np.ndarray:
+    """Log ratio of each bucket under add-one smoothing, from at most BUCKETS rows each."""
     found = np.zeros((2, BUCKETS))
-    for row in counts.collect():
-        found[:, row["bucket"]] = row["n_all"], row["n_trusted"]
+    for k, counts in enumerate((target, raw)):
+        rows = counts.toPandas()
+        found[k, rows["bucket"].to_numpy(np.int64)] = rows["n"]
     shares = (found + 1) / (found.sum(axis=1, keepdims=True) + BUCKETS)
-    return np.log(shares[1]) - np.log(shares[0])
+    return np.log(shares[0]) - np.log(shares[1])
 
 
 def judge_quality(
@@ -121,8 +137,8 @@ def judge_quality(
     empty table gives no rows.
     """
     docs = renamed(df, doc_id=id_column, text=text_column)
-    ids = trusted.select(column(trusted, trusted.columns[0]).alias("known")).where("known is not null").distinct().withColumn("trusted", F.lit(True))
-    ratio = log_ratios(bucket_counts(docs.join(ids, docs["doc_id"] == ids["known"], "left").select("text", "trusted")))
+    ids = trusted.select(column(trusted, trusted.columns[0]).alias("known"))
+    ratio = log_ratios(bucket_counts(trusted_texts(docs, ids)), bucket_counts(docs.select("text")))
 
     def judge(part):
         columns = [[] for _ in range(8)]
