@@ -133,7 +133,8 @@ def drop_repeated_spans(df: DataFrame, id_column: str = "doc_id", text_column: s
         "placed",
     )
     at = F.struct("doc_id", "which", "lo")
-    first = placed.groupBy("h", "g").agg(F.min(at).alias("first"), F.count("*").alias("n")).where("n > 1").select("h", "g", "first")
+    # A table of its own: then a run that very many texts hold is split by the join instead of meeting in one task.
+    first = stage(placed.groupBy("h", "g").agg(F.min(at).alias("first"), F.count("*").alias("n")).where("n > 1").select("h", "g", "first"), "first")
     later = placed.join(first, ["h", "g"]).where(at > F.col("first")).select("doc_id", "which", "lo", "hi").distinct()
     cuts = later.groupBy("doc_id", "which").agg(F.collect_list("lo").alias("lo"), F.collect_list("hi").alias("hi"))
     joined = docs.alias("d").join(
