@@ -30,24 +30,6 @@ class Codec:
     encode: Callable[[object], bytes | None]
 
 
-def library_codec() -> Codec:
-    """JPEG through OpenCV, for clusters that have it."""
-
-    def decode(data):
-        import cv2
-        import numpy as np
-
-        return cv2.imdecode(np.frombuffer(data, np.uint8), cv2.IMREAD_COLOR)
-
-    def encode(picture):
-        import cv2
-
-        ok, out = cv2.imencode(".jpg", picture, [int(cv2.IMWRITE_JPEG_QUALITY), 95])
-        return out.tobytes() if ok else None
-
-    return Codec(decode, encode)
-
-
 def pixmap_codec() -> Codec:
     """Binary portable pixmaps (`P6`), which need no image library."""
 
@@ -112,10 +94,13 @@ def blurred(picture, boxes: Sequence[Sequence[float]], kernel: int = BLUR_KERNEL
     return out
 
 
+# What a detector's class name holds for each kind, tried in this order.
+KIND_MARKS = (("face", ("face",)), ("plate", ("plate", "licen")))
+
+
 def kind_of(name: str | None) -> str | None:
-    """Face, plate or neither, by the class name; the column form is `boxes.detection_kind`."""
-    low = (name or "").lower()
-    return "face" if "face" in low else "plate" if "plate" in low or "licen" in low else None
+    """The kind of a class name, as `boxes.detection_kind` gives it for columns."""
+    return next((kind for kind, marks in KIND_MARKS for mark in marks if mark in (name or "").lower()), None)
 
 
 def redact_batch(contents: list, detect, codec: Codec, min_confidence: float, kernel: int) -> list[dict]:
@@ -123,6 +108,9 @@ def redact_batch(contents: list, detect, codec: Codec, min_confidence: float, ke
     results: list[dict] = [{"error": "image: not readable"} for _ in contents]
     pictures = {}
     for i, data in enumerate(contents):
+        if isinstance(data, Exception):
+            results[i] = {"error": f"image: {problem(data)}"}
+            continue
         try:
             picture = None if data is None else codec.decode(data)
         except Exception as error:  # noqa: BLE001 - a broken file is a failed row
@@ -138,20 +126,33 @@ def redact_batch(contents: list, detect, codec: Codec, min_confidence: float, ke
         for i in pictures:
             results[i] = {"error": f"detector: {problem(error)}"}
         return results
+    if len(found) != len(pictures):
+        for i in pictures:
+            results[i] = {"error": f"detector: {len(found)} answers for {len(pictures)} pictures"}
+        return results
     for (i, picture), detections in zip(pictures.items(), found):
-        kept = [(kind_of(d[0]), d[2:]) for d in detections if d[1] >= min_confidence and kind_of(d[0])]
-        clean = codec.encode(blurred(picture, [box for _, box in kept], kernel) if kept else picture)
-        if clean is None:
-            results[i] = {"error": "image: not encodable"}
-            continue
-        kinds = [kind for kind, _ in kept]
-        results[i] = {
-            "clean": clean, "faces": kinds.count("face"), "plates": kinds.count("plate"),
-            "width": picture.shape[1], "height": picture.shape[0], "error": None,
-        }
+        try:
+            results[i] = redacted(picture, detections, codec, min_confidence, kernel)
+        except Exception as error:  # noqa: BLE001 - a box or codec that fails costs its own row
+            results[i] = {"error": f"redaction: {problem(error)}"}
     return results
 
 
+def redacted(picture, detections: Sequence[Detection], codec: Codec, min_confidence: float, kernel: int) -> dict:
+    """Clean bytes, counts and size of one picture."""
+    kept = [(kind_of(d[0]), d[2:]) for d in detections if d[1] >= min_confidence and kind_of(d[0])]
+    clean = codec.encode(blurred(picture, [box for _, box in kept], kernel) if kept else picture)
+    if clean is None:
+        return {"error": "image: not encodable"}
+    if not isinstance(clean, (bytes, bytearray)):
+        raise TypeError(f"the codec gave {type(clean).__name__}, not bytes")
+    kinds = [kind for kind, _ in kept]
+    return {
+        "clean": bytes(clean), "faces": kinds.count("face"), "plates": kinds.count("plate"), "width": picture.shape[1], "height": picture.shape[0],
+        "error": None,
+    }
+
+
 _RESULT = [("faces", T.LongType()), ("plates", T.LongType()), ("width", T.LongType()), ("height", T.LongType())]
 
 
@@ -203,8 +204,8 @@ def redact_objects(
         def fetch(uri):
             try:
                 return store.read(uri)
-            except Exception:  # noqa: BLE001 - an unreadable object is a failed row
-                return None
+            except Exception as error:  # noqa: BLE001 - an unreadable object is a failed row, with its reason
+                return error
 
         def finish(row, result):
             if result["error"] is None and not dry_run:

@@ -14,6 +14,7 @@ import math
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
@@ -24,7 +25,8 @@ ROWS_PER_FILE = 5_000_000
 
 
 def _complete(keys: Sequence[str]) -> Column:
-    return F.forall(F.array(*[F.col(k).isNotNull() for k in keys]), lambda known: known)
+    """Whether all keys are known, as a conjunction that reaches the scan."""
+    return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
 
 
 def dedup(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:

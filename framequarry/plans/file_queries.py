@@ -130,8 +130,7 @@ def _put_descriptors(spark, sf, root: str) -> None:
     text = F.when(kind % 5 == 0, "a: [1\n").when(kind % 5 == 1, "dataset: x\n").otherwise(whole)
     sources = table(spark, sf, "documents").select("source").distinct()
     put(sources.select(_uri(root, F.concat("source", F.lit(".yml"))).alias("uri"), text.alias("data")))
-    template = sources.limit(1).select(_uri(root, F.lit("default.yml")).alias("uri"), F.lit("adapter: ''\n").alias("data"))
-    put(template)
+    put(small_frame(spark, [(f"{root}/default.yml", "adapter: ''\n")], "uri string, data string"))
 
 
 @query("first_valid_descriptor", """

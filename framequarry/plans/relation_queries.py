@@ -91,11 +91,10 @@ def pending_window(spark, sf):
 
 
 @query("retention_expired", """
-SELECT event_id FROM events e WHERE ts < TIMESTAMP '2024-01-30 00:00:00' AND event_type <> 'purchase'
+SELECT event_id FROM events e WHERE ts < TIMESTAMP '2024-01-30 00:00:00'
   AND NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_orderkey = e.event_id AND o.o_orderstatus = 'F')""")
 def retention_expired(spark, sf):
-    events = table(spark, sf, "events").filter(F.col("event_type") != "purchase")
-    raw = events.select(F.col("event_id").alias("image_id"), F.col("ts").alias("modificationTime"))
+    raw = table(spark, sf, "events").select(F.col("event_id").alias("image_id"), F.col("ts").alias("modificationTime"))
     audit = table(spark, sf, "orders").filter("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("image_id"))
     return PD.expired_unprocessed(raw, audit, epoch_time(AS_OF)).select(F.col("image_id").alias("event_id"))
 
@@ -239,9 +238,8 @@ def redaction_summary(spark, sf):
     images = table(spark, sf, "orders").select(
         F.col("o_orderkey").alias("image_id"), F.when(F.col("o_orderstatus") != "F", "ok").otherwise("error").alias("status")
     )
-    found = table(spark, sf, "lineitem").filter(F.col("l_returnflag").isin("A", "N")).select(
-        F.col("l_orderkey").alias("image_id"), F.when(F.col("l_returnflag") == "A", "face").otherwise("plate").alias("kind")
-    )
+    kind = F.when(F.col("l_returnflag") == "A", "face").when(F.col("l_returnflag") == "N", "plate")  # NULL: a class nobody asked for
+    found = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("image_id"), kind.alias("kind"))
     return O.redaction_summary(redaction_counts(images, found))
 
 
@@ -317,9 +315,10 @@ def user_rows(spark, sf):
     return rows.withColumns({"captured_us": F.unix_micros("captured_at"), "ingested_us": F.unix_micros("ingested_at")}).drop("captured_at", "ingested_at")
 
 
-# New manifest lines are the documents; the old lines are the labelled ones, a few strangers and blank lines.
-_MANIFEST_SQL = """new AS (SELECT lang || '/' || lang || '.txt' AS txt_rel, lang || '/images/' || source || '/' || doc_id || '.jpg' AS path FROM documents WHERE lang <> 'fr'),
-old AS (SELECT lang || '/' || lang || '.txt' AS txt_rel, CASE WHEN toxic = 1 AND lang <> 'de' THEN 'gone/' || doc_id WHEN quality = 0 THEN '' ELSE lang || '/images/' || source || '/' || doc_id || '.jpg' END AS path
+# New manifest lines are the documents; the old lines are the labelled ones, a few strangers and blank lines, and a
+# manifest that no new line names.
+_MANIFEST_SQL = """new AS (SELECT lang || '/' || lang || '.txt' AS txt_rel, lang || '/images/' || source || '/' || doc_id || '.jpg' AS path FROM documents),
+old AS (SELECT CASE WHEN toxic = 1 AND lang = 'de' THEN 'closed/closed.txt' ELSE lang || '/' || lang || '.txt' END AS txt_rel, CASE WHEN toxic = 1 AND lang <> 'de' THEN 'gone/' || doc_id WHEN quality = 0 THEN '' ELSE lang || '/images/' || source || '/' || doc_id || '.jpg' END AS path
         FROM documents JOIN labels USING (doc_id)),
 merged AS (SELECT * FROM new UNION SELECT * FROM old WHERE path <> '' AND txt_rel IN (SELECT txt_rel FROM new))"""
 
@@ -331,8 +330,9 @@ def _manifest_lines(spark, sf):
     })
     stray = F.concat(F.lit("gone/"), F.col("doc_id").cast("string"))
     old_path = F.when((F.col("toxic") == 1) & (F.col("lang") != "de"), stray).when(F.col("quality") == 0, "").otherwise(F.col("path"))
-    old = docs.join(table(spark, sf, "labels"), "doc_id").select("txt_rel", old_path.alias("path"))
-    return docs.filter("lang <> 'fr'").select("txt_rel", "path"), old
+    old_name = F.when((F.col("toxic") == 1) & (F.col("lang") == "de"), "closed/closed.txt").otherwise(F.col("txt_rel"))
+    old = docs.join(table(spark, sf, "labels"), "doc_id").select(old_name.alias("txt_rel"), old_path.alias("path"))
+    return docs.select("txt_rel", "path"), old
 
 
 @query("manifest_lines", f"WITH {_MANIFEST_SQL} SELECT txt_rel, path FROM merged")

@@ -15,11 +15,16 @@ def upsert_stream(
     rows: DataFrame, table: CatalogueTable, checkpoint: str, order: Sequence[Column] = (), **trigger
 ) -> StreamingQuery:
     """Upsert every micro-batch. A batch repeated after a failure, or a replay from the start with a new
-    checkpoint, leaves the same table."""
+    checkpoint, leaves the same table. With an `order`, stored rows are ranked together with the new ones of their
+    keys, so a late row does not replace one that comes before it in the order."""
 
     def work(batch: DataFrame, number: int) -> None:
         # An upsert passes over its rows more than once; the stream's source is read only here.
-        table.upsert(stage(batch, "stream-batch"), order)
+        rows = stage(batch, "stream-batch")
+        if order:
+            stored = table.read().join(rows.select(*table.spec.key), list(table.spec.key), "left_semi")
+            rows = rows.unionByName(stored.select(*rows.columns))
+        table.upsert(rows, order)
 
     return rows.writeStream.foreachBatch(work).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
 

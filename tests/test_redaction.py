@@ -168,3 +168,20 @@ def test_failing_model_fails_rows_not_the_run(spark, lake):
     row = run.summary.first()
     assert (row.candidates, row.anonymized, row.failed) == (4, 0, 4)
     assert tree(lake.tables) == {}
+
+
+def test_a_failing_picture_costs_its_own_row():
+    import numpy as np
+
+    from framequarry.operators.redact import Codec, pixmap_codec, redact_batch
+
+    plain = pixmap_codec()
+    data = plain.encode(np.zeros((4, 4, 3), np.uint8))
+    boxes = iter([[("face", 0.9, float("nan"), 0, 2, 2)], [("face", 0.9, 0, 0, 2, 2)], []])
+    found = redact_batch([data, data, OSError("no route"), data], lambda ps: [next(boxes) for _ in ps], plain, 0.1, 3)
+    assert found[0]["error"].startswith("redaction:") and found[1]["error"] is None and found[1]["faces"] == 1
+    assert "no route" in found[2]["error"] and found[3]["error"] is None
+    short = redact_batch([data, data], lambda ps: [[]], plain, 0.1, 3)
+    assert all(r["error"] == "detector: 1 answers for 2 pictures" for r in short)
+    wrong = redact_batch([data], lambda ps: [[]], Codec(plain.decode, lambda p: "text"), 0.1, 3)
+    assert "not bytes" in wrong[0]["error"]

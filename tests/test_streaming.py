@@ -55,3 +55,19 @@ def test_descriptor_stream_end_to_end(spark, lake, tmp_path):
     assert [(r.dataset, r.outcome) for r in empty_descriptors(spark, lake.descriptors_root).collect()] == [("hollow", FAILED_INGEST)]
     # A manual rerun of a dataset is the same function.
     assert run_dataset("a", run_ingest, run_label)[2]["reused"] == 1
+
+
+def test_a_late_row_does_not_replace_a_later_one(spark, tmp_path):
+    from pyspark.sql import functions as F, types as T
+
+    from framequarry.operators.tables import CatalogueTable
+    from framequarry.schemas import TableSpec
+    from framequarry.streaming.upserts import upsert_stream
+
+    spec = TableSpec("latest", T.StructType([T.StructField("user_id", T.LongType()), T.StructField("event_id", T.LongType())]), ("user_id",))
+    latest = CatalogueTable(spark, str(tmp_path / "table"), spec, buckets=2)
+    for number, rows in enumerate([[(1, 9), (2, 4)], [(1, 3), (2, 5)]]):
+        spark.createDataFrame(rows, spec.schema).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = spark.readStream.schema(spec.schema).parquet(str(tmp_path / "in"))
+        upsert_stream(stream, latest, str(tmp_path / "checkpoint"), order=[-F.col("event_id")]).awaitTermination()
+    assert sorted(map(tuple, latest.read().collect())) == [(1, 9), (2, 5)]
