@@ -7,10 +7,15 @@ the folder as text, or joining the parts in name order, gives the list.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import stage
 
+#: Stands after the name of a manifest that is being replaced.
+REPLACED = ".replaced-"
+
 
 def manifest_names(new: DataFrame) -> list[str]:
     """Manifests that get lines: one per split and test category, so a handful."""
@@ -43,25 +48,67 @@ def manifest_changes(merged: DataFrame, old: DataFrame) -> DataFrame:
 
 
 def write_manifests(merged: DataFrame, old: DataFrame, root: str) -> DataFrame:
-    """Write every changed manifest below `root`; returns the change report.
+    """Write every changed manifest below `root`; returns the change report. Without a change nothing is written.
 
-    The lines are staged first, because a manifest is replaced while its old lines are an input. The
-    loop runs over manifest names only: one per split and test category.
+    All manifests are written by one job into a new folder and then put into place one by one. Old lines are deleted
+    only when the new ones are in place, and `read_manifests` reads what is left of both, so a run that dies at any
+    point loses no line; the next run that changes the manifest removes what is left.
     """
+    spark = merged.sparkSession
     lines = stage(merged, "manifest-lines", "txt_rel")
     report = stage(manifest_changes(lines, old), "manifest-report")
-    for row in report.filter("changed").select("txt_rel").collect():
-        part = lines.filter(F.col("txt_rel") == row.txt_rel).select("path")
-        part.repartitionByRange("path").sortWithinPartitions("path").write.mode("overwrite").text(
-            f"{root.rstrip('/')}/{row.txt_rel}"
-        )
+    # One per split and test category.
+    names = sorted(r.txt_rel for r in report.filter("changed").select("txt_rel").collect())
+    if not names:
+        return report
+    root = root.rstrip("/")
+    written = f"{root}/_manifests-{uuid.uuid4().hex}"
+    number = F.array_position(F.array(*[F.lit(n) for n in names]), F.col("txt_rel"))
+    numbered = lines.select(number.alias("number"), "path").filter("number > 0")
+    # Parts are numbered in the order of the ranges, so a manifest's parts in name order are sorted.
+    numbered.repartitionByRange("number", "path").sortWithinPartitions("number", "path").write.partitionBy("number").text(written)
+    for i, name in enumerate(names, 1):
+        _put_in_place(spark, f"{written}/number={i}", f"{root}/{name}")
+    fs, path = _file_system(spark, written)
+    fs.delete(path, True)
     return report
 
 
+def _file_system(spark: SparkSession, uri: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(uri)
+    return path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), path
+
+
+def _left_behind(spark: SparkSession, target: str) -> list[str]:
+    """Replaced manifests whose successor may not have come into place."""
+    fs, folder = _file_system(spark, target.rpartition("/")[0])
+    name = target.rpartition("/")[2]
+    found = fs.listStatus(folder) if fs.exists(folder) else []
+    return sorted(f"{target.rpartition('/')[0]}/{s.getPath().getName()}" for s in found if s.getPath().getName().startswith(f"{name}{REPLACED}"))
+
+
+def _put_in_place(spark: SparkSession, new: str, target: str) -> None:
+    fs, path = _file_system(spark, target)
+    fs.mkdirs(path.getParent())
+    moves = [(new, target)]
+    if fs.exists(path):
+        moves.insert(0, (target, f"{target}{REPLACED}{uuid.uuid4().hex}"))
+    for source, to in moves:
+        if not fs.rename(_file_system(spark, source)[1], _file_system(spark, to)[1]):
+            raise OSError(f"{source} could not be renamed to {to}")
+    for replaced in _left_behind(spark, target):
+        fs.delete(_file_system(spark, replaced)[1], True)
+
+
 def read_manifests(spark: SparkSession, root: str, names: list[str]) -> DataFrame:
-    """Lines of the named manifests (files or folders of parts) as (txt_rel, path) rows."""
+    """Lines of the named manifests (files or folders of parts) as (txt_rel, path) rows; a missing one has none."""
     out = spark.createDataFrame([], "txt_rel string, path string")
     for name in names:
-        lines = spark.read.text(f"{root.rstrip('/')}/{name}")
-        out = out.unionByName(lines.select(F.lit(name).alias("txt_rel"), F.col("value").alias("path")))
+        target = f"{root.rstrip('/')}/{name}"
+        fs, path = _file_system(spark, target)
+        replaced = _left_behind(spark, target)
+        found = [target] * fs.exists(path) + replaced
+        if found:
+            lines = spark.read.text(found)
+            out = out.unionByName((lines.distinct() if replaced else lines).select(F.lit(name).alias("txt_rel"), F.col("value").alias("path")))
     return out

@@ -105,21 +105,15 @@ def ingest(
     outcome = stage(done.drop("_image_there", "_label_there"), "ingest-outcome")
     if not dry_run:
         ok, _ = O.split_outcome(outcome)
-        _write_manifests(spark, ok, objects, out_root, descriptor.overwrite)
+        _write_manifests(spark, ok, out_root, descriptor.overwrite)
         _write_rows(spark, layout, ok, descriptor, dataset, out_root, epoch)
     return IngestRun(dataset, outcome, O.ingest_summary(outcome), dry_run)
 
 
-def _write_manifests(spark: SparkSession, ok: DataFrame, objects: DataFrame, out_root: str, overwrite: bool) -> None:
+def _write_manifests(spark: SparkSession, ok: DataFrame, out_root: str, overwrite: bool) -> None:
     new = ok.select("txt_rel", F.col("img_rel").alias("path"))
     names = M.manifest_names(new)
-    below = P.below("path", out_root)
-    # A manifest is a file or a folder of parts.
-    there = F.filter(
-        F.array(*[F.lit(n) for n in names]), lambda n: (below == n) | F.startswith(below, F.concat(n, F.lit("/")))
-    )
-    present = [r.name for r in objects.select(F.explode(there).alias("name")).distinct().collect()] if names else []
-    old = M.read_manifests(spark, out_root, present)
+    old = M.read_manifests(spark, out_root, names)
     M.write_manifests(M.merged_lines(new, None if overwrite else old, names), old, out_root)
 
 

@@ -2,6 +2,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F, types as T
 
+from framequarry.operators import manifests as M
 from framequarry.operators import tables as TB
 from framequarry.schemas import IMAGES, TableSpec, align
 
@@ -125,3 +126,29 @@ def test_merge_for_providers_that_have_it(spark):
             TB.merge_into(frame(spark, [("p", "1", None)]), "merge_probe", SPEC)
     finally:
         spark.sql("DROP TABLE merge_probe")
+
+
+def test_manifests_survive_a_run_that_dies_between_the_renames(spark, tmp_path, monkeypatch):
+    root, names = str(tmp_path), ["val/val.txt"]
+
+    def write(*paths):
+        old = M.read_manifests(spark, root, names)
+        new = spark.createDataFrame([(names[0], p) for p in paths], "txt_rel string, path string")
+        return M.write_manifests(M.merged_lines(new, old, names), old, root).first().changed
+
+    def lines():
+        return sorted(r.path for r in M.read_manifests(spark, root, names).collect())
+
+    assert write("b", "a") and lines() == ["a", "b"]
+    written = {p.name for p in (tmp_path / "val/val.txt").iterdir()}
+    assert not write("a") and {p.name for p in (tmp_path / "val/val.txt").iterdir()} == written
+    # Dies after the old lines were put aside.
+    (tmp_path / "val/val.txt").rename(tmp_path / f"val/val.txt{M.REPLACED}1")
+    assert lines() == ["a", "b"]
+    assert write("c") and lines() == ["a", "b", "c"]
+    assert [p.name for p in (tmp_path / "val").iterdir()] == ["val.txt"]
+    # Dies before what was replaced is deleted.
+    monkeypatch.setattr(M, "_left_behind", lambda *_: [])
+    assert write("d")
+    monkeypatch.undo()
+    assert lines() == ["a", "b", "c", "d"] and not write("d")
