@@ -1,24 +1,24 @@
 """Dataset formats: from a descriptor to one row per image, all with the same schema.
 
-The small part of a dataset (which list files there are, where images and labels lie) is probed once in
-a one-row job; the large part (list lines, folder listings) is read as DataFrames with the probe's
-answers as literals.
+The small part of a dataset (which list files there are, where images and labels lie) is found first, as
+ranked candidates that are joined to a listing or looked up; the large part (list lines, folder listings) is
+read as DataFrames with those answers as literals.
 """
 
 from __future__ import annotations
 
-import posixpath
-from collections.abc import Callable, Iterator, Set
+from collections.abc import Callable, Set
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame, Row, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 
 from ..functions import lanes as LN
 from ..functions import paths as P
 from ..functions.text import LINE_BREAK, stripped
 from ..schemas import SAMPLES, align
 from ..session import small_frame
-from .objects import list_objects
+from .objects import list_objects, with_presence
 from .store import Store
 
 # The folders and list files of the two formats, and the picture size of the first.
@@ -37,63 +37,18 @@ class DatasetFormat:
     parse: Callable[[DataFrame, str], DataFrame]
 
 
-_PROBE = "list_dir string, under_driver boolean, strategy string, lists array<struct<uri:string,split:string,category:string>>"
-
-
 def _slashes(*parts: str) -> str:
     return "/".join(p.strip("/") if i else p.rstrip("/") for i, p in enumerate(parts) if p)
 
 
-def probe_list_layout(store: Store, root: str, list_dir: str | None, label_dir: str | None) -> dict:
-    """Where a list-file dataset keeps its lists, images and labels."""
-
-    def category_lists(folder):
-        return store.texts_under(_slashes(root, folder, "test_split"), ".txt")
-
-    def has_lists(folder):
-        return store.has_text(_slashes(root, folder, "train.txt")) or category_lists(folder)
-
-    chosen = list_dir or next((d for d in LIST_DIRS if has_lists(d)), LIST_DIRS[0])
-    plain = {s: _slashes(root, chosen, f"{s}.txt") for s in SPLITS}
-    present = {s: uri for s, uri in plain.items() if store.has_text(uri)}
-    categories = category_lists(chosen)
-    lists = [(present[s], s, False) for s in ("train", "val") if s in present]
-    if categories:
-        lists += [(uri, "test", True) for uri in categories]
-    elif "test" in present:
-        lists.append((present["test"], "test", False))
-
-    first = next((line for uri in [*present.values(), *categories] if (line := store.first_line(uri))), None)
-    under_driver, strategy = False, label_dir or LABEL_PLACES[0]
-    if first:
-        rel = first.split()[0].lstrip("/")
-        driver = rel.split("/", 1)[0]
-        label = posixpath.splitext(rel)[0]
-        places = dict(zip(LABEL_PLACES, ((), (driver,), ("annotations_new",))))
-        under_driver = not store.exists(_slashes(root, rel)) and store.exists(_slashes(root, driver, rel))
-        if not label_dir:
-            strategy = next(
-                (s for s, folder in places.items() if store.exists(_slashes(root, *folder, label + P.TEXT_LABEL_SUFFIX))),
-                LABEL_PLACES[0],
-            )
-    return {"list_dir": chosen, "under_driver": under_driver, "strategy": strategy, "lists": lists}
-
-
-def _probe_rows(batches: Iterator) -> Iterator:
-    import pandas as pd
-
-    store = Store()
-    for pdf in batches:
-        for root, list_dir, label_dir in zip(pdf.root, pdf.list_dir, pdf.label_dir):
-            found = probe_list_layout(store, root, list_dir, label_dir)
-            found["lists"] = [{"uri": u, "split": s, "category": u if c else None} for u, s, c in found["lists"]]
-            yield pd.DataFrame([found])
-
-
 def _lines(spark: SparkSession, uri: str) -> DataFrame:
-    """Lines of a list file that are not blank; a long file is split over tasks."""
-    rows = spark.read.text(uri).select(F.explode(F.split("value", LINE_BREAK)).alias("line"))
-    return rows.filter(stripped(F.col("line")) != "")
+    """Lines of a list file that are not blank, and their place in its order; a long file is split over tasks."""
+    rows = spark.read.text(uri).select(
+        F.col("_metadata.file_path").alias("part"), F.col("_metadata.file_block_start").alias("start"),
+        F.explode(F.split("value", LINE_BREAK)).alias("line"),
+    )
+    placed = rows.select("line", F.struct("part", "start", F.monotonically_increasing_id().alias("row")).alias("place"))
+    return placed.filter(stripped(F.col("line")) != "")
 
 
 def _samples(entries: DataFrame, dataset: str, size=(None, None)) -> DataFrame:
@@ -112,24 +67,77 @@ def _all(spark: SparkSession, frames: list[DataFrame]) -> DataFrame:
     return out
 
 
-def list_samples(spark: SparkSession, descriptor: Row, root: str, splits: Set[str] | None = None) -> DataFrame:
-    """Images named by list files: the first column of every line."""
-    question = small_frame(
-        spark, [(root, descriptor.list_dir, descriptor.label_dir)], "root string, list_dir string, label_dir string"
+def list_files(spark: SparkSession, root: str, list_dir: str | None) -> list[Row]:
+    """(path, split, of_category) of the list files in use, in reading order; a dataset has a handful.
+
+    The folder is the named one, else the first of `LIST_DIRS` with a train list or anything below `test_split`.
+    Category lists stand for the test split; a plain test list counts only where there are none.
+    """
+    folders = [list_dir.strip("/")] if list_dir else list(LIST_DIRS)
+    below = P.below("path", root)
+    # A list is one file or a folder of parts.
+    listed = list_objects(spark, f"{_slashes(root, list_dir or LIST_DIRS[0])}/").select(
+        below.alias("object"), F.regexp_replace(below, r"\.txt/[^/]*$", ".txt").alias("path")
+    )
+    placed = listed.withColumn("folder", F.explode(F.array(*[F.lit(f) for f in folders]))).withColumns({
+        "rank": F.array_position(F.array(*[F.lit(f) for f in folders]), F.col("folder")),
+        "order": F.array_position(F.array(*[F.lit(f"{s}.txt") for s in SPLITS]), F.expr("substr(path, length(folder) + 2)")),
+        "in_categories": F.startswith("object", F.concat("folder", F.lit("/test_split"))),
+    }).filter(F.startswith("object", F.concat("folder", F.lit("/"))) & ((F.col("order") > 0) | F.col("in_categories")))
+    names = placed.groupBy("rank", "order", "in_categories", "path").agg(F.lit(1).alias("_"))
+    per_folder = names.groupBy("rank").agg(
+        F.bool_or((F.col("order") == 1) | F.col("in_categories")).alias("usable"),
+        F.bool_or(F.col("in_categories") & F.endswith("path", F.lit(".txt"))).alias("has_categories"),
+    )
+    # Folders without a sign of lists come last; the first of them is still read.
+    chosen = per_folder.orderBy(F.desc("usable"), "rank").limit(1).filter(F.col("usable") | (F.col("rank") == 1))
+    files = names.join(chosen, "rank").filter(
+        F.when(F.col("in_categories"), F.endswith("path", F.lit(".txt"))).otherwise((F.col("order") < len(SPLITS)) | ~F.col("has_categories"))
     )
-    layout = question.mapInPandas(_probe_rows, _PROBE).first()
-    base = F.lit(root)
+    split = F.when(F.col("in_categories"), SPLITS[-1]).otherwise(F.get(F.array(*[F.lit(s) for s in SPLITS]), F.col("order").cast("int") - 1))
+    return files.select("path", split.alias("split"), F.col("in_categories").alias("of_category")).orderBy("in_categories", "order", "path").collect()
+
+
+def first_entry(spark: SparkSession, uris: list[str]) -> DataFrame:
+    """One row: the first image path of the lists, in their order; null if they name none."""
+    numbered = [_lines(spark, uri).select(P.list_entry("line").alias("rel_path"), F.lit(i).alias("list"), "place") for i, uri in enumerate(uris)]
+    lines = reduce(DataFrame.unionByName, numbered)
+    return lines.agg(F.min_by("rel_path", F.struct("list", "place")).alias("rel_path"))
+
+
+def list_places(entry: DataFrame, base: Column) -> Row:
+    """Ranks (from 0) of the image place and of the label place where an entry's objects are found, null if nowhere.
+
+    Images lie below the root or once more below their driver; labels in one of `LABEL_PLACES`.
+    """
+    images = [P.native_image_uri(base, "rel_path", F.lit(nested)) for nested in (False, True)]
+    labels = [P.native_label_uri(base, "rel_path", F.lit(place)) for place in LABEL_PLACES]
+    candidates = entry.filter("rel_path IS NOT NULL").select(F.posexplode(F.array(*images, *labels)).alias("rank", "uri"))
+    rank = F.when(F.col("found"), F.col("rank"))
+    is_image = F.col("rank") < len(images)
+    return with_presence(candidates, "uri").agg(
+        F.min(F.when(is_image, rank)).alias("image"), F.min(F.when(~is_image, rank - len(images))).alias("label")
+    ).first()
+
+
+def list_samples(spark: SparkSession, descriptor: Row, root: str, splits: Set[str] | None = None) -> DataFrame:
+    """Images named by list files: the first column of every line. Where images and labels lie is judged by the first."""
+    files, base = list_files(spark, root, descriptor.list_dir), F.lit(root)
+    if not files:
+        return _all(spark, [])
+    places = list_places(first_entry(spark, [_slashes(root, f.path) for f in files]), base)
+    label_place = descriptor.label_dir or LABEL_PLACES[places.label or 0]
     frames = []
-    for file in layout.lists:
+    for file in files:
         if splits is not None and file.split not in splits:
             continue
-        category = P.category_name(F.lit(file.category)) if file.category else F.lit(None)
-        entries = _lines(spark, file.uri).select(
+        category = P.category_name(F.lit(file.path)) if file.of_category else F.lit(None)
+        entries = _lines(spark, _slashes(root, file.path)).select(
             P.list_entry("line").alias("rel_path"), F.lit(file.split).alias("split"), category.alias("category")
         )
         frames.append(_samples(entries.withColumns({
-            "src_image_uri": P.native_image_uri(base, "rel_path", F.lit(layout.under_driver)),
-            "label_uri": P.native_label_uri(base, "rel_path", F.lit(layout.strategy)),
+            "src_image_uri": P.native_image_uri(base, "rel_path", F.lit(places.image == 1)),
+            "label_uri": P.native_label_uri(base, "rel_path", F.lit(label_place)),
         }), descriptor.dataset or descriptor.adapter, LIST_FORMAT_SIZE))
     return _all(spark, frames)
 

@@ -56,6 +56,19 @@ def list_objects(spark: SparkSession, *prefixes: str) -> DataFrame:
     return found.filter(~F.col("is_folder")).select("path", "length", "modificationTime")
 
 
+def with_presence(df: DataFrame, uri: str) -> DataFrame:
+    """Add `found`: whether the object a row names exists. For few rows; many are joined to a listing."""
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        store = Store()
+        for batch in batches:
+            yield extended(batch, {"found": pa.array([name is not None and store.exists(name) for name in batch.column(uri).to_pylist()], pa.bool_())})
+
+    return df.mapInArrow(run, T.StructType(df.schema.fields + [T.StructField("found", T.BooleanType())]))
+
+
 def user_images(objects: DataFrame) -> DataFrame:
     return objects.filter(is_user_image("path"))
 

@@ -60,19 +60,6 @@ class Store:
         system, path = self.locate(uri)
         return system.get_file_info(path).type in (fs.FileType.File, fs.FileType.Directory)
 
-    def first_line(self, uri: str) -> str | None:
-        """First line of a text that is not blank; reads no further than it has to."""
-        import io
-
-        parts = sorted(u for u, is_folder, _, _ in self.children(uri) if not is_folder and u.rsplit("/", 1)[-1][0] not in "._")
-        for part in parts or [uri]:
-            system, path = self.locate(part)
-            with io.TextIOWrapper(io.BufferedReader(system.open_input_file(path)), encoding="utf-8") as lines:
-                for line in lines:
-                    if line.strip():
-                        return line.strip()
-        return None
-
     def children(self, folder: str, prefix: str = "") -> list:
         """(uri, is_folder, length, modified) of a folder's direct entries whose name starts with `prefix`."""
         from pyarrow import fs
@@ -87,21 +74,6 @@ class Store:
             for e in entries if e.base_name.startswith(prefix)
         ]
 
-    def texts_under(self, prefix_uri: str, suffix: str) -> list[str]:
-        """Sorted texts (files, or folders of parts) with the suffix whose URI starts with the prefix.
-
-        For the handful of list files of a dataset; trees are listed by `list_objects`.
-        """
-        folder, _, name = prefix_uri.rpartition("/")
-        found, folders = [], [(folder, name)]
-        while folders:
-            for uri, is_folder, _, _ in self.children(*folders.pop()):
-                if uri.endswith(suffix):
-                    found.append(uri)
-                elif is_folder:
-                    folders.append((uri, ""))
-        return sorted(found)
-
     def write(self, uri: str, data: bytes) -> None:
         with self._target(uri) as out:
             out.write(data)
