@@ -30,13 +30,13 @@ def _complete(keys: Sequence[str]) -> Column:
 
 
 def dedup(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    """One row per key, the first by `order` (then by content); rows with a NULL key are all kept.
+    """One row per key, the first by `order` (then by a hash of its content); rows with a NULL key are all kept.
 
     `min_by` is pre-aggregated in every task, so a key that fills a third of the table is shuffled as
-    one row per task.
+    one row per task. The rank holds no second copy of the row.
     """
     columns = [F.col(c) for c in df.columns]
-    rank = F.struct(*[o.alias(f"_o{i}") for i, o in enumerate(order)], *columns)
+    rank = F.struct(*[o.alias(f"_o{i}") for i, o in enumerate(order)], F.xxhash64(*columns).alias("_hash"))
     best = df.filter(_complete(keys)).groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)])
     first = best.agg(F.min_by(F.struct(*columns), rank).alias("_row")).select("_row.*")
     return first.unionByName(df.filter(~_complete(keys)))
