@@ -11,6 +11,8 @@ from __future__ import annotations
 
 import json
 import math
+import random
+import time
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -152,22 +154,23 @@ class CatalogueTable:
         spread = F.xxhash64(*[F.col(c) for c in self.spec.schema.names])
         return F.pmod(F.when(_complete(self.spec.key), F.xxhash64(*keys)).otherwise(spread), F.lit(buckets)).cast("int")
 
-    def upsert(self, rows: DataFrame, order: Sequence[Column] = (), attempts: int = 5) -> int:
+    def upsert(self, rows: DataFrame, order: Sequence[Column] = (), attempts: int = 20) -> int:
         """Insert or replace rows by key; returns the number of rows sent. No rows, no write.
 
         Several rows with one key are reduced to the first by `order`. `rows` is passed over twice (rows
-        with and without a complete key), so stage it first if it is costly.
+        with and without a complete key), so stage it first if it is costly. A commit lost to another writer is tried
+        again after a random wait that grows to half a minute.
         """
         wanted = [c for c in self.spec.schema.names if c in rows.columns]
         ranked = rows.select(*wanted, *[o.alias(f"_rank{i}") for i, o in enumerate(order)])
         ranks = [F.col(f"_rank{i}") for i in range(len(order))]
         single = align(dedup(ranked, self.spec.key, ranks), self.spec.schema)
         source = stage(single, f"upsert-{self.spec.name}")
-        for _ in range(attempts):
+        for attempt in range(attempts):
             try:
                 return self._replace(source, self.snapshot())
             except SnapshotTaken:
-                continue
+                time.sleep(random.uniform(0, min(30, 0.1 * 2**attempt)))
         raise SnapshotTaken(f"{self.path}: {attempts} attempts lost to other writers")
 
     def _replace(self, source: DataFrame, before: Snapshot) -> int:
