@@ -1,9 +1,9 @@
 """Catalogue tables: keyed upsert, key de-duplication, union.
 
 Plain Parquet folders take no MERGE, so a table here is a set of immutable files grouped by a hash of
-the key, plus small snapshot files that name the current folder of every group. An upsert rewrites only
-the groups its keys fall into, into a new folder, and then commits a new snapshot; a crash before the
-commit leaves the old snapshot readable, and a concurrent commit is noticed and the upsert redone.
+the key, plus small snapshot files that name the current folders of every group. An upsert rewrites only
+the groups in which it replaces rows; to the others it adds a folder. Then it commits a new snapshot; a crash before
+the commit leaves the old snapshot readable, and a concurrent commit is noticed and the upsert redone.
 With a table provider that supports MERGE, use `merge_into` instead.
 """
 
@@ -24,6 +24,8 @@ from ..schemas import TableSpec, align
 from ..session import stage
 
 ROWS_PER_FILE = 5_000_000
+# Folders a group may have; the next upsert into it then makes them one.
+MOST_FOLDERS = 16
 
 
 def _complete(keys: Sequence[str]) -> Column:
@@ -84,7 +86,7 @@ def merge_into(rows: DataFrame, table: str, spec: TableSpec) -> None:
 class Snapshot:
     number: int
     buckets: int
-    folders: dict[int, str]
+    folders: dict[int, list[str]]
     rows: dict[int, int]
 
 
@@ -98,7 +100,7 @@ class CatalogueTable:
     def __init__(self, spark: SparkSession, path: str, spec: TableSpec, buckets: int = 64):
         self.spark, self.path, self.spec, self._new_buckets = spark, path.rstrip("/"), spec, buckets
 
-    # Snapshot files are a few kilobytes (one entry per bucket), so the driver may hold one.
+    # Snapshot files are a few kilobytes (at most MOST_FOLDERS names per bucket), so the driver may hold one.
     def _hadoop(self):
         jvm = self.spark._jvm
         root = jvm.org.apache.hadoop.fs.Path(f"{self.path}/_snapshots")
@@ -146,13 +148,15 @@ class CatalogueTable:
 
     def read(self) -> DataFrame:
         """Current rows. The number of folders is bounded by the number of buckets."""
-        return self._read(sorted(self.snapshot().folders.values()))
+        return self._read(sorted(name for names in self.snapshot().folders.values() for name in names))
+
+    def _key_bucket(self, buckets: int) -> Column:
+        return F.pmod(F.xxhash64(*[F.col(k) for k in self.spec.key]), F.lit(buckets)).cast("int")
 
     def _bucket(self, buckets: int) -> Column:
-        keys = [F.col(k) for k in self.spec.key]
         # Rows with a NULL key never match, so they may go anywhere: spread them by content.
-        spread = F.xxhash64(*[F.col(c) for c in self.spec.schema.names])
-        return F.pmod(F.when(_complete(self.spec.key), F.xxhash64(*keys)).otherwise(spread), F.lit(buckets)).cast("int")
+        spread = F.pmod(F.xxhash64(*[F.col(c) for c in self.spec.schema.names]), F.lit(buckets)).cast("int")
+        return F.when(_complete(self.spec.key), self._key_bucket(buckets)).otherwise(spread)
 
     def upsert(self, rows: DataFrame, order: Sequence[Column] = (), attempts: int = 20) -> int:
         """Insert or replace rows by key; returns the number of rows sent. No rows, no write.
@@ -180,9 +184,11 @@ class CatalogueTable:
         sent = sum(counts.values())
         if sent == 0:
             return 0
-        old = self._read([before.folders[b] for b in sorted(counts) if b in before.folders])
+        touched = {b: before.folders[b] for b in sorted(counts) if b in before.folders}
+        rewritten = {b for b, names in touched.items() if len(names) >= MOST_FOLDERS} | self._matched(source, touched, before.buckets)
+        old = self._read([name for b in sorted(rewritten) for name in touched[b]])
         merged = overlay(old, source, self.spec).withColumn("_bucket", bucket)
-        most = sent + sum(before.rows.get(b, 0) for b in counts)
+        most = sent + sum(before.rows.get(b, 0) for b in rewritten)
         files = max(1, math.ceil(most / len(counts) / ROWS_PER_FILE))
         part = F.pmod(F.xxhash64(*[F.col(c) for c in self.spec.schema.names]), F.lit(files))
         folder = f"{self.path}/data/{before.number + 1:012d}-{uuid.uuid4().hex[:8]}"
@@ -194,9 +200,18 @@ class CatalogueTable:
             .write.partitionBy("_bucket").parquet(folder)
         )
         # Buckets are even by construction; the counts only size the files of later upserts.
-        each = written.get["rows"] // len(counts)
-        self._commit(Snapshot(
-            before.number + 1, before.buckets,
-            {**before.folders, **{b: f"{folder}/_bucket={b}" for b in counts}}, {**before.rows, **dict.fromkeys(counts, each)},
-        ))
+        added = {b: before.rows.get(b, 0) + n for b, n in counts.items() if b not in rewritten}
+        left = written.get["rows"] - sum(counts[b] for b in added)
+        folders = {b: [*([] if b in rewritten else before.folders.get(b, [])), f"{folder}/_bucket={b}"] for b in counts}
+        rows = {**added, **{b: left // len(rewritten) for b in rewritten}}
+        self._commit(Snapshot(before.number + 1, before.buckets, {**before.folders, **folders}, {**before.rows, **rows}))
         return sent
+
+    def _matched(self, source: DataFrame, touched: dict[int, list[str]], buckets: int) -> set[int]:
+        """Buckets in which a row of `source` replaces one; only keys are read, and one row per bucket comes back."""
+        if not touched:
+            return set()
+        keys = list(self.spec.key)
+        old = self._read([name for names in touched.values() for name in names]).select(*keys)
+        hits = old.join(source.select(*keys), keys, "left_semi").select(self._key_bucket(buckets).alias("_bucket"))
+        return {r["_bucket"] for r in hits.distinct().collect()}

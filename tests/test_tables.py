@@ -69,6 +69,27 @@ def test_untouched_buckets_stay_in_place(spark, tmp_path):
     assert sum(before[b] != after[b] for b in before) == 1 and before.keys() == after.keys()
 
 
+def test_new_keys_rewrite_nothing(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(TB, "MOST_FOLDERS", 3)
+    table = TB.CatalogueTable(spark, str(tmp_path), SPEC, buckets=4)
+
+    def new(lo, hi):
+        return spark.range(lo, hi).selectExpr("'n' || id AS k", "'1' AS a", "'2' AS b")
+
+    table.upsert(new(0, 500))
+    first = table.snapshot().folders
+    table.upsert(new(500, 700))
+    after = table.snapshot().folders
+    assert all(len(after[b]) == 2 and after[b][0] == first[b][0] for b in first) and table.read().count() == 700
+    table.upsert(frame(spark, [("n3", "9", None), ("n900", "9", None)]))
+    again = table.snapshot().folders
+    assert len([b for b in after if not set(after[b]) <= set(again[b])]) == 1
+    assert table.read().count() == 701 and table.read().filter("k = 'n3'").first().a == "9"
+    for i in range(TB.MOST_FOLDERS):
+        table.upsert(frame(spark, [(f"m{i}-{j}", "1", None) for j in range(12)]))
+    assert max(map(len, table.snapshot().folders.values())) <= TB.MOST_FOLDERS and table.read().count() == 701 + 12 * TB.MOST_FOLDERS
+
+
 def test_other_writer_is_noticed(spark, tmp_path):
     table = TB.CatalogueTable(spark, str(tmp_path), SPEC, buckets=1)
     table.upsert(frame(spark, [("p", "1", None)]))
