@@ -4,24 +4,27 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-# Frames per group when numbering a sequence; bounds what one window group can hold.
-GROUP_SPAN = 4096
+from ..session import stage
+
+# A row number of `monotonically_increasing_id` has the partition above this bit.
+PARTITION_BIT = 33
 
 
 def frame_positions(df: DataFrame, sequence: str, frame_no: str, tie: str) -> DataFrame:
-    """Add `position`, the 1-based place of a frame in its sequence, ordered by an integer frame number.
+    """Add `position`, the 1-based place of a frame in its sequence, ordered by frame number and `tie`.
 
-    A sequence is cut into groups of `GROUP_SPAN` frame numbers. Frames are numbered within their group
-    and moved by the count of all earlier groups, so a sequence with a third of all frames is spread
-    over many groups instead of being one window.
+    All frames are sorted into ranges of about equal numbers of rows, whatever the frame numbers are, and staged with
+    their row number. A sequence's rows stand together in each range, so a position is the row number moved by one
+    figure per sequence and range; only those figures pass through a window. Rows without a sequence are one sequence.
     """
-    grouped = df.withColumn("_group", F.floor(F.col(frame_no) / GROUP_SPAN).cast("bigint"))
-    sizes = grouped.groupBy(sequence, "_group").agg(F.count("*").alias("_n"))
-    earlier = Window.partitionBy(sequence).orderBy("_group").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select(sequence, "_group", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"))
-    within = Window.partitionBy(sequence, "_group").orderBy(frame_no, tie)
-    numbered = grouped.withColumn("_rank", F.row_number().over(within)).join(starts, [sequence, "_group"])
-    return numbered.withColumn("position", F.col("_start") + F.col("_rank")).drop("_group", "_rank", "_start")
+    order = [F.col(sequence), F.col(frame_no), F.col(tie)]
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id())
+    placed = stage(ranged, "frames").withColumn("_range", F.shiftright("_at", PARTITION_BIT))
+    runs = placed.groupBy(F.col(sequence).alias("_s"), F.col("_range").alias("_r")).agg(F.min("_at").alias("_first"), F.count("*").alias("_n"))
+    earlier = Window.partitionBy("_s").orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
+    moves = runs.select("_s", "_r", (F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first") + 1).alias("_move"))
+    numbered = placed.join(moves, F.col(sequence).eqNullSafe(F.col("_s")) & (F.col("_range") == F.col("_r")))
+    return numbered.withColumn("position", F.col("_at") + F.col("_move")).drop("_at", "_range", "_s", "_r", "_move")
 
 
 def every_nth(df: DataFrame, sequence: str, frame_no: str, tie: str, n: int) -> DataFrame:
