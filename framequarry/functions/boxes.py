@@ -9,15 +9,14 @@ from .lanes import whole
 # Detector confidence kept for recall, and blur kernel size.
 MIN_CONFIDENCE = 0.1
 BLUR_KERNEL = 31
+# What the lower-case class name of each kind holds; the first kind that matches counts.
+KIND_PATTERNS = {"face": "face", "plate": "plate|licen"}
 
 
 def detection_kind(class_name: Column) -> Column:
     """`face`, `plate`, or NULL for a class to leave alone."""
     name = F.lower(class_name)
-    return (
-        F.when(F.contains(name, F.lit("face")), F.lit("face"))
-        .when(F.contains(name, F.lit("plate")) | F.contains(name, F.lit("licen")), F.lit("plate"))
-    )
+    return F.coalesce(*[F.when(name.rlike(pattern), F.lit(kind)) for kind, pattern in KIND_PATTERNS.items()])
 
 
 def clamped(box: Column, width: Column, height: Column) -> Column:

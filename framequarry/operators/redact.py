@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, types as T
 
-from ..functions.boxes import BLUR_KERNEL, MIN_CONFIDENCE
+from ..functions.boxes import BLUR_KERNEL, KIND_PATTERNS, MIN_CONFIDENCE
 from ..sources.store import THREADS, Store, extended, pieces, problem
 
 Detection = tuple[str, float, float, float, float, float]
@@ -81,26 +81,38 @@ def gaussian_blur(region, kernel: int):
     return np.clip(np.rint(out), 0, 255).astype(region.dtype)
 
 
+def whole_boxes(boxes: Sequence[Sequence[float]], width: int, height: int):
+    """Boxes in whole pixels inside a picture, one row each; those with nothing left are dropped."""
+    import numpy as np
+
+    edges = np.rint(np.asarray(boxes, float).reshape(-1, 4))
+    if not np.isfinite(edges).all():
+        raise ValueError("a box is not finite")
+    edges = edges.clip(0, [width, height, width, height]).astype(int)
+    return edges[(edges[:, 2:] > edges[:, :2]).all(axis=1)]
+
+
 def blurred(picture, boxes: Sequence[Sequence[float]], kernel: int = BLUR_KERNEL):
-    """Copy of the picture with every box blurred in turn; boxes are rounded half to even and clamped."""
+    """Copy of the picture with every box blurred, one after the other."""
     out = picture.copy()
-    height, width = out.shape[:2]
-    kernel += 1 - kernel % 2
-    for x1, y1, x2, y2 in boxes:
-        left, top = max(0, round(float(x1))), max(0, round(float(y1)))
-        right, bottom = min(width, round(float(x2))), min(height, round(float(y2)))
-        if right > left and bottom > top:
-            out[top:bottom, left:right] = gaussian_blur(out[top:bottom, left:right], kernel)
+    for left, top, right, bottom in whole_boxes(boxes, out.shape[1], out.shape[0]):
+        out[top:bottom, left:right] = gaussian_blur(out[top:bottom, left:right], kernel | 1)
     return out
 
 
-# What a detector's class name holds for each kind, tried in this order.
-KIND_MARKS = (("face", ("face",)), ("plate", ("plate", "licen")))
-
+def sure_boxes(detections: Sequence[Detection], min_confidence: float) -> tuple[dict[str, int], list]:
+    """Number of detections per kind, and the boxes to blur: `detections.kept_detections` for one picture."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
 
-def kind_of(name: str | None) -> str | None:
-    """The kind of a class name, as `boxes.detection_kind` gives it for columns."""
-    return next((kind for kind, marks in KIND_MARKS for mark in marks if mark in (name or "").lower()), None)
+    sure = [d for d in detections if d[1] >= min_confidence]
+    names = pc.utf8_lower(pa.array([d[0] for d in sure], pa.string()))
+    open_ones, counts = pa.array([True] * len(sure), pa.bool_()), {}
+    for kind, pattern in KIND_PATTERNS.items():
+        hits = pc.and_(open_ones, pc.fill_null(pc.match_substring_regex(names, pattern), False))
+        counts[kind] = pc.sum(hits).as_py() or 0
+        open_ones = pc.and_not(open_ones, hits)
+    return counts, [d[2:] for d, left in zip(sure, open_ones.to_pylist()) if not left]
 
 
 def redact_batch(contents: list, detect, codec: Codec, min_confidence: float, kernel: int) -> list[dict]:
@@ -140,17 +152,14 @@ def redact_batch(contents: list, detect, codec: Codec, min_confidence: float, ke
 
 def redacted(picture, detections: Sequence[Detection], codec: Codec, min_confidence: float, kernel: int) -> dict:
     """Clean bytes, counts and size of one picture."""
-    kept = [(kind_of(d[0]), d[2:]) for d in detections if d[1] >= min_confidence and kind_of(d[0])]
-    clean = codec.encode(blurred(picture, [box for _, box in kept], kernel) if kept else picture)
+    counts, boxes = sure_boxes(detections, min_confidence)
+    clean = codec.encode(blurred(picture, boxes, kernel) if boxes else picture)
     if clean is None:
         return {"error": "image: not encodable"}
     if not isinstance(clean, (bytes, bytearray)):
         raise TypeError(f"the codec gave {type(clean).__name__}, not bytes")
-    kinds = [kind for kind, _ in kept]
-    return {
-        "clean": bytes(clean), "faces": kinds.count("face"), "plates": kinds.count("plate"), "width": picture.shape[1], "height": picture.shape[0],
-        "error": None,
-    }
+    height, width = picture.shape[:2]
+    return {"clean": bytes(clean), "faces": counts["face"], "plates": counts["plate"], "width": width, "height": height, "error": None}
 
 
 _RESULT = [("faces", T.LongType()), ("plates", T.LongType()), ("width", T.LongType()), ("height", T.LongType())]

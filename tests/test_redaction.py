@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from conftest import tree, write
 from framequarry.functions.boxes import detection_kind
-from framequarry.operators.redact import blurred, gaussian_blur, kind_of, pixmap_codec, redact_batch, redact_contents
+from framequarry.operators.redact import blurred, gaussian_blur, pixmap_codec, redact_batch, redact_contents, sure_boxes
 from framequarry.operators.tables import CatalogueTable
 from framequarry.plans.redaction import redact_user_images
 from framequarry.schemas import IMAGES, USER_IMAGES_PRIVACY
@@ -39,7 +39,10 @@ def test_kinds(spark):
     cases = {"face": "face", "human face": "face", "license-plate": "plate", "number_plate": "plate", "LICENCE": "plate", "car": None, "": None, None: None}
     df = spark.createDataFrame([(c,) for c in cases], "c string").coalesce(1)
     assert [r[0] for r in df.select(detection_kind(F.col("c"))).collect()] == list(cases.values())
-    assert [kind_of(c) for c in cases] == list(cases.values())
+    for name, kind in cases.items():
+        counts, boxes = sure_boxes([(name, 0.5, 1, 2, 3, 4), (name, 0.05, 0, 0, 9, 9)], 0.1)
+        assert counts == {"face": int(kind == "face"), "plate": int(kind == "plate")} and boxes == [(1, 2, 3, 4)] * (kind is not None)
+    assert sure_boxes([], 0.1) == ({"face": 0, "plate": 0}, [])
 
 
 def test_blur_against_brute_force():
