@@ -6,13 +6,32 @@ functions run on executors, per object; partitioning, joining and counting stay
 
 from __future__ import annotations
 
+import random
+import time
 import uuid
+from collections.abc import Callable
 from contextlib import contextmanager, suppress
 from urllib.parse import urlsplit
 
 # Fixed value: requests in flight per task; object stores answer slowly and in parallel.
 THREADS = 16
 CHUNK = 8 << 20
+# Longest waits, in seconds, before a request that failed is sent again.
+WAITS = (0.5, 2, 8)
+# Errors that another try does not mend.
+LASTING = (FileNotFoundError, FileExistsError, PermissionError, IsADirectoryError, NotADirectoryError)
+
+
+def patiently(request: Callable, waits: tuple = WAITS):
+    """What `request` returns; a transient store error is tried again after a random wait, a lasting one is raised."""
+    for wait in waits:
+        try:
+            return request()
+        except LASTING:
+            raise
+        except OSError:
+            time.sleep(random.uniform(wait / 4, wait))
+    return request()
 
 
 class Store:
@@ -41,9 +60,13 @@ class Store:
     def read(self, uri: str) -> bytes | None:
         """Content, or None for an object that does not exist."""
         system, path = self.locate(uri)
-        try:
+
+        def content():
             with system.open_input_stream(path) as stream:
                 return stream.read()
+
+        try:
+            return patiently(content)
         except FileNotFoundError:
             return None
 
@@ -75,15 +98,22 @@ class Store:
         ]
 
     def write(self, uri: str, data: bytes) -> None:
-        with self._target(uri) as out:
-            out.write(data)
+        def put():
+            with self._target(uri) as out:
+                out.write(data)
+
+        patiently(put)
 
     def copy(self, source: str, target: str) -> None:
         """Copy in chunks, so the size of an object does not matter."""
         system, path = self.locate(source)
-        with system.open_input_stream(path) as stream, self._target(target) as out:
-            while chunk := stream.read(CHUNK):
-                out.write(chunk)
+
+        def whole():
+            with system.open_input_stream(path) as stream, self._target(target) as out:
+                while chunk := stream.read(CHUNK):
+                    out.write(chunk)
+
+        patiently(whole)
 
     @contextmanager
     def _target(self, uri: str):

@@ -155,3 +155,28 @@ def test_taxonomy(spark):
     assert prompt_text("{weather}", SCENE_TAXONOMY) == "['clear', 'cloudy', 'rain', 'snow', 'fog', 'unknown']"
     rows = taxonomy_frame(spark).filter(F.col("field") == "timeofday").orderBy("ord").collect()
     assert [(r.value, r.ord) for r in rows] == [("day", 0), ("night", 1), ("dawn_dusk", 2), ("unknown", 3)]
+
+
+def test_transient_store_errors_are_tried_again():
+    from framequarry.sources.store import patiently
+
+    def failing(times, error):
+        left = [error] * times
+
+        def request():
+            if left:
+                raise left.pop()
+            return "done"
+
+        return request, left
+
+    request, left = failing(2, OSError("reset by peer"))
+    assert patiently(request, (0, 0)) == "done"
+    request, left = failing(9, OSError("reset by peer"))
+    with pytest.raises(OSError):
+        patiently(request, (0, 0))
+    assert len(left) == 6
+    request, left = failing(9, FileNotFoundError("x"))
+    with pytest.raises(FileNotFoundError):
+        patiently(request, (0, 0))
+    assert len(left) == 8
