@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..config import Layout
 from ..functions import paths as P
+from ..operators import pending as PD
 from ..operators.object_io import copy_objects, label_carry_over, write_objects
 from ..plans.ingest import ingest
 from ..plans.labelling import label_images
@@ -149,10 +150,10 @@ _SPLIT_SQL = "CASE lang WHEN 'en' THEN 'train' WHEN 'de' THEN 'val' ELSE 'test'
 _CATEGORY_SQL = "CASE lang WHEN 'fr' THEN 'normal' WHEN 'es' THEN 'night' END"
 
 
-def _list_dataset(spark, sf, layout: Layout, dataset: str) -> None:
+def _list_dataset(spark, sf, layout: Layout, dataset: str, named: str = "roads", toxic: str = "1 2 three 4", twice: bool = False) -> None:
     """Lists, image folders and splits are found by probing; the label folder is named, as the first listed
     image need not have a label. Images are the documents' texts, nested under their driver; labels go by the labels table: broken
-    (toxic), empty (quality 0), lanes (quality 1), none (not in the table)."""
+    (toxic), empty (quality 0), lanes (quality 1), none (not in the table). With `twice`, val lists the train images too."""
     root = f"{layout.raw_public}/{dataset}"
     docs = table(spark, sf, "documents").select(
         "*", F.concat(F.lit("drv_"), "source").alias("driver"),
@@ -160,15 +161,16 @@ def _list_dataset(spark, sf, layout: Layout, dataset: str) -> None:
     )
     put(docs.select(_uri(root, "driver", "rel").alias("uri"), F.col("text").alias("data")))
     lanes = F.format_string("%d.5 %d 3.5 -0.5 9\r\n1 2 3\n10 20 %d.5 40\n", F.col("n_chars"), F.col("doc_id"), F.col("doc_id"))
-    label = F.when(F.col("toxic") == 1, "1 2 three 4").when(F.col("quality") == 0, "").otherwise(lanes)
+    label = F.when(F.col("toxic") == 1, toxic).when(F.col("quality") == 0, "").otherwise(lanes)
     put(docs.join(table(spark, sf, "labels"), "doc_id").select(
         _uri(root, F.lit("annotations_new"), F.concat(P.stem("rel"), F.lit(".lines.txt"))).alias("uri"), label.alias("data")
     ))
     lists = f"{root}/list/list"
     line = F.concat(F.lit("/"), "rel", F.lit(" /seg.png 1 0"))
     for lang, name in (("en", "train.txt"), ("de", "val.txt"), ("fr", "test_split/test0_normal.txt"), ("es", "test_split/night.txt")):
-        docs.filter(F.col("lang") == lang).select(F.explode(F.array(line, F.lit("  "))).alias("value")).write.text(f"{lists}/{name}")
-    _put_descriptor(spark, layout, dataset, f"dataset: roads\nversion: 2.0\nlicense: research\nadapter: culane\nsource_url: http://x\noptions: {{label_dir: annotations_new}}\n")
+        listed = F.col("lang").isin("en", "de") if twice and lang == "de" else F.col("lang") == lang
+        docs.filter(listed).select(F.explode(F.array(line, F.lit("  "))).alias("value")).write.text(f"{lists}/{name}")
+    _put_descriptor(spark, layout, dataset, f"dataset: {named}\nversion: 2.0\nlicense: research\nadapter: culane\nsource_url: http://x\noptions: {{label_dir: annotations_new}}\n")
 
 
 def _put_descriptor(spark, layout: Layout, dataset: str, text: str) -> None:
@@ -265,6 +267,16 @@ def ingest_catalogue(spark, sf):
     )
 
 
+@query("ingest_collisions", f"""
+WITH {_ROADS_SQL}
+SELECT 'roads/drv_' || source || '/' || lang || '.MP4/' || doc_id AS image_id, CAST(2 AS BIGINT) AS rows FROM r WHERE lang = 'en' AND has_label AND toxic = 0""")
+def ingest_collisions(spark, sf):
+    """Ids an ingest reports as used by several samples: the images that two splits list."""
+    layout = _layout(spark)
+    _list_dataset(spark, sf, layout, "set1", twice=True)
+    return ingest(spark, layout, "set1", EPOCH, dry_run=True).collisions
+
+
 @query("ingest_labels", f"""
 WITH {_ROADS_SQL}
 SELECT leaf || '/label/drv_' || source || '/' || lang || '.MP4/' || doc_id || '.lines.json' AS name,
@@ -464,19 +476,50 @@ def carried_labels(spark, sf):
     return read_objects(copies, "path").select(number.alias("doc_id"), F.md5("content").alias("digest"))
 
 
+# Every box of the stand-in model rounds to a square of 2 x 2 pixels in the upper half (columns 2k and 2k + 1), which is
+# blurred once per box. With mirrored borders the kernel's even steps weigh on a pixel itself, the odd ones on its neighbour.
+_HIT = "CAST(substr(body, 1 + 6 * k + {at}, 1) IN ('0', 'a', 'b', 'c', 'd', 'e', 'f') AS INTEGER)"
+_BLURRED = """SELECT doc_id, k, ch, hits,
+  CASE WHEN hits >= {n} THEN round_even(a*a*p + a*b*q + a*b*r + b*b*s, 0) ELSE p END AS p, CASE WHEN hits >= {n} THEN round_even(a*b*p + a*a*q + b*b*r + a*b*s, 0) ELSE q END AS q,
+  CASE WHEN hits >= {n} THEN round_even(a*b*p + b*b*q + a*a*r + a*b*s, 0) ELSE r END AS r, CASE WHEN hits >= {n} THEN round_even(b*b*p + a*b*q + a*b*r + a*a*s, 0) ELSE s END AS s"""
+_BLUR_SQL = f"""w AS (SELECT sum(e) FILTER (i % 2 = 0) / sum(e) AS a, sum(e) FILTER (i % 2 <> 0) / sum(e) AS b FROM (SELECT i, exp(-i * i / 50.0) AS e FROM generate_series(-15, 15) g(i))),
+raw AS (SELECT doc_id, k, ch, {_HIT.format(at=0)} + {_HIT.format(at=3)} AS hits, ascii(substr(body, 1 + 6 * k + ch, 1)) AS p, ascii(substr(body, 4 + 6 * k + ch, 1)) AS q,
+  ascii(substr(body, 25 + 6 * k + ch, 1)) AS r, ascii(substr(body, 28 + 6 * k + ch, 1)) AS s FROM p, generate_series(0, 3) x(k), generate_series(0, 2) y(ch)),
+one AS ({_BLURRED.format(n=1)} FROM raw, w), two AS ({_BLURRED.format(n=2)} FROM one, w),
+pixels AS (SELECT doc_id, unnest([6 * k + ch, 6 * k + 3 + ch, 24 + 6 * k + ch, 27 + 6 * k + ch]) AS place, unnest([p, q, r, s]) AS v FROM two),
+upper AS (SELECT doc_id, string_agg(printf('%02X', CAST(v AS BIGINT)), '' ORDER BY place) AS upper_half FROM pixels GROUP BY doc_id)"""
+
+
 @query("redacted_pictures", f"""
-WITH {_PIXELS_SQL}
+WITH {_PIXELS_SQL}, {_BLUR_SQL}
 SELECT doc_id, lang <> 'es' AS ok, CASE WHEN lang <> 'es' THEN faces END AS faces, CASE WHEN lang <> 'es' THEN plates END AS plates,
-       CASE WHEN lang <> 'es' THEN md5(substr(body, 49, 48)) END AS lower_half FROM p JOIN c USING (doc_id)""")
+       CASE WHEN lang <> 'es' THEN upper_half END AS upper_half, CASE WHEN lang <> 'es' THEN md5(substr(body, 49, 48)) END AS lower_half FROM p JOIN c USING (doc_id) JOIN upper USING (doc_id)""")
 def redacted_pictures(spark, sf):
-    """Pictures redacted in a column: the lower half holds no box and must come out unchanged."""
+    """Pictures redacted in a column: boxes in the upper half are blurred, the lower half holds none and comes out unchanged."""
     docs = _pixmaps(table(spark, sf, "documents").select("doc_id", "lang", "text")).select("doc_id", "data")
     done = redact_contents(docs, "data", pixel_detector, pixmap_codec())
-    lower = F.substring("clean", len(f"P6 {WIDTH} {HEIGHT} 255\n") + 49, 48)
-    return done.select("doc_id", F.col("error").isNull().alias("ok"), "faces", "plates", F.md5(lower).alias("lower_half"))
+    body = len(f"P6 {WIDTH} {HEIGHT} 255\n") + 1
+    return done.select(
+        "doc_id", F.col("error").isNull().alias("ok"), "faces", "plates",
+        F.hex(F.substring("clean", body, 48)).alias("upper_half"), F.md5(F.substring("clean", body + 48, 48)).alias("lower_half"),
+    )
+
+
+@query("retention_listing", f"""
+SELECT 'user/usr_' || source || '/' || {_SESSION_SQL} || '/images/' || doc_id AS image_id, 'in two days' AS seen FROM documents WHERE lang = 'es'""")
+def retention_listing(spark, sf):
+    """Listed raw images past their lifetime without an audit row, now (none is that old) and in two days: those that were not readable."""
+    layout = _layout(spark)
+    _user_tree(spark, sf, layout)
+    redact_user_images(spark, layout, pixel_detector, pixmap_codec(), "pixels-v1", EPOCH)
+    audit = CatalogueTable(spark, layout.table_path(USER_IMAGES_PRIVACY.name), USER_IMAGES_PRIVACY).read()
+    raw = user_images(list_objects(spark, layout.raw_user + "/")).withColumn("image_id", P.user_image_id("path", layout.raw_user))
+    seen = {"now": F.current_timestamp(), "in two days": F.current_timestamp() + F.expr("INTERVAL 2 DAYS")}
+    now, later = (PD.expired_unprocessed(raw, audit, as_of).select("image_id", F.lit(name).alias("seen")) for name, as_of in seen.items())
+    return now.unionByName(later)
 
 
-def size_labeller():
+def size_labeller(prompt, schema):
     """Stand-in model: labels by the number of bytes; some answers are outside the taxonomy or no JSON."""
     import json
 
@@ -490,6 +533,18 @@ def size_labeller():
     return label
 
 
+def schema_labeller(prompt, schema):
+    """Stand-in model that knows the allowed values from its schema only, and names those that the prompt lists."""
+    import json
+
+    fields = {name: field["enum"] for name, field in schema["properties"].items()}
+
+    def label(data: bytes) -> str:
+        return json.dumps({name: values[len(data) % len(values)] if str(values) in prompt else "not asked" for name, values in fields.items()})
+
+    return label
+
+
 _LABELLED_SQL = f"""{_ROADS_SQL}, u AS (SELECT *, strlen(text) AS n, 'roads/drv_' || source || '/' || lang || '.MP4/' || doc_id AS image_id FROM r WHERE has_label AND toxic = 0)"""
 
 
@@ -504,11 +559,23 @@ def label_run_rows(spark, sf):
     return rows.select("image_id", "weather", "scene", "timeofday", "road_geometry", "model")
 
 
-def _labelled_lake(spark, sf, **how) -> Layout:
+@query("label_prompt", f"""
+WITH {_LABELLED_SQL}
+SELECT image_id, (['clear', 'cloudy', 'rain', 'snow', 'fog', 'unknown'])[n % 6 + 1] AS weather,
+       (['highway', 'city', 'residential', 'rural', 'tunnel', 'parking', 'unknown'])[n % 7 + 1] AS scene,
+       (['day', 'night', 'dawn_dusk', 'unknown'])[n % 4 + 1] AS timeofday, (['straight', 'curve', 'unknown'])[n % 3 + 1] AS road_geometry FROM u""")
+def label_prompt(spark, sf):
+    """Classification rows of a labeller that takes every allowed value from the prompt and the schema it is given."""
+    layout = _labelled_lake(spark, sf, schema_labeller)
+    rows = CatalogueTable(spark, layout.table_path(CLASSIFICATIONS.name), CLASSIFICATIONS).read()
+    return rows.select("image_id", "weather", "scene", "timeofday", "road_geometry")
+
+
+def _labelled_lake(spark, sf, labeller=size_labeller, **how) -> Layout:
     layout = _layout(spark)
     _list_dataset(spark, sf, layout, "set1")
     ingest(spark, layout, "set1", EPOCH)
-    label_images(spark, layout, size_labeller, "sizes-v1", EPOCH, "public", "roads", **how)
+    label_images(spark, layout, labeller, "sizes-v1", EPOCH, "public", "roads", **how)
     return layout
 
 

@@ -15,7 +15,7 @@ from ..operators import manifests as M
 from ..operators import outcome as O
 from ..operators import rows as R
 from ..operators.object_io import place_samples
-from ..operators.tables import CatalogueTable
+from ..operators.tables import CatalogueTable, key_collisions
 from ..schemas import IMAGES, SOURCE_DATASETS
 from ..session import spread, stage
 from ..sources.descriptors import read_descriptor
@@ -25,11 +25,13 @@ from ..sources.objects import list_objects, read_objects, with_existence
 
 @dataclass(frozen=True)
 class IngestRun:
-    """`outcome` has a row per sample; `summary` is one row; nothing was written when `dry_run`."""
+    """`outcome` has a row per sample; `summary` is one row; `collisions` are the ids of several usable samples, of
+    which one became the catalogue row. Nothing was written when `dry_run`."""
 
     dataset: str
     outcome: DataFrame
     summary: DataFrame
+    collisions: DataFrame
     dry_run: bool
 
 
@@ -103,11 +105,11 @@ def ingest(
     planned = O.copy_action(judged, F.col("_image_there"), F.lit(descriptor.overwrite))
     done = planned.drop("rounded") if dry_run else _place(planned, descriptor.overwrite, epoch)
     outcome = stage(done.drop("_image_there", "_label_there"), "ingest-outcome")
+    ok, _ = O.split_outcome(outcome)
     if not dry_run:
-        ok, _ = O.split_outcome(outcome)
         _write_manifests(spark, ok, out_root, descriptor.overwrite)
         _write_rows(spark, layout, ok, descriptor, dataset, out_root, epoch)
-    return IngestRun(dataset, outcome, O.ingest_summary(outcome), dry_run)
+    return IngestRun(dataset, outcome, O.ingest_summary(outcome), key_collisions(ok, IMAGES.key), dry_run)
 
 
 def _write_manifests(spark: SparkSession, ok: DataFrame, out_root: str, overwrite: bool) -> None:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import boxes as B
 from ..operators import detections as D
 from ..operators import labelling as LB
+from ..sources.taxonomy import SCENE_TAXONOMY, taxonomy_frame
 from .registry import query, table
 
 # What the events below answer, and what validation makes of it.
@@ -53,6 +54,23 @@ def taxonomy_values(spark, sf):
     )
 
 
+_TAXONOMY_SQL = ", ".join(f"('{name}', '{value}', {i})" for name, values in SCENE_TAXONOMY.items() for i, value in enumerate(values))
+
+
+@query("taxonomy_rows", f"""
+WITH {_RESPONSE_SQL}, u AS (SELECT * FROM r WHERE problem IS NULL),
+said AS (SELECT 'weather' AS field, CASE WHEN weather IN ('clear', 'rain') THEN weather ELSE 'unknown' END AS value FROM u
+  UNION ALL SELECT 'scene', CASE WHEN scene = 'highway' THEN scene ELSE 'unknown' END FROM u
+  UNION ALL SELECT 'timeofday', 'night' FROM u UNION ALL SELECT 'road_geometry', 'unknown' FROM u)
+SELECT t.field, t.value, t.ord, count(said.value) AS rows FROM (VALUES {_TAXONOMY_SQL}) t(field, value, ord) LEFT JOIN said USING (field, value) GROUP BY ALL""")
+def taxonomy_rows(spark, sf):
+    """Every value of the taxonomy with the number of responses that gave it."""
+    usable = LB.read_responses(_responses(spark, sf)).filter("status = 'ok'")
+    given = F.explode(F.array(*[F.struct(F.lit(name).alias("field"), F.col(name).alias("value")) for name in SCENE_TAXONOMY]))
+    said = usable.select(given.alias("given")).select("given.*").groupBy("field", "value").agg(F.count("*").alias("rows"))
+    return taxonomy_frame(spark).join(said, ["field", "value"], "left").select("field", "value", "ord", F.coalesce("rows", F.lit(0)).alias("rows"))
+
+
 @query("taxonomy_conformance", f"""
 WITH {_RESPONSE_SQL}, u AS (SELECT * FROM r WHERE problem IS NULL)
 SELECT 'weather' AS field, count(*) AS responses, count(weather) AS given, count(*) FILTER (WHERE weather IN ('clear', 'rain')) AS allowed FROM u

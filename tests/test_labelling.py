@@ -23,7 +23,7 @@ def model(data: bytes) -> str:
     return data.decode()
 
 
-def labeller():
+def labeller(prompt, schema):
     return model
 
 
@@ -83,3 +83,28 @@ def test_values_outside_the_taxonomy(spark):
     df = spark.createDataFrame([("rain",), ("Rain",), (" rain",), ("",), (None,), ("unknown",)], "v string").coalesce(1)
     got = [r[0] for r in df.select(L.in_taxonomy(F.col("v"), SCENE_TAXONOMY["weather"])).collect()]
     assert got == ["rain"] + ["unknown"] * 5
+
+
+def echo(prompt, schema):
+    """Answers what it was asked; at most two calls at a time."""
+    import threading
+
+    free = threading.Semaphore(2)
+
+    def label(data):
+        assert free.acquire(blocking=False)
+        try:
+            return json.dumps({"prompt": prompt, "scene": schema["properties"]["scene"]["enum"]})
+        finally:
+            free.release()
+
+    return label
+
+
+def test_labeller_gets_prompt_and_schema(spark, tmp_path):
+    from framequarry.operators.labelling import label_objects
+
+    write(tmp_path, {str(i): "x" for i in range(40)})
+    named = spark.range(40).selectExpr(f"'{tmp_path}/' || id AS uri").coalesce(1)
+    said = label_objects(named, "uri", echo, {"scene": ["city", "unknown"]}, "One of {scene}.", in_flight=2).collect()
+    assert {(r.response, r.error) for r in said} == {(json.dumps({"prompt": "One of ['city', 'unknown'].", "scene": ["city", "unknown"]}), None)}

@@ -13,7 +13,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 EPOCH = 1700000000
 
 
-def labeller():
+def labeller(prompt, schema):
     return lambda data: '{"weather": "fog"}'
 
 
@@ -42,17 +42,19 @@ def test_descriptor_stream_end_to_end(spark, lake, tmp_path):
     def run_label(name):
         return counts_of(label_images(spark, lake, labeller, "m", EPOCH, "public", "culane").summary)
 
-    def start():
-        query = watch_descriptors(spark, lake.descriptors_root, str(tmp_path / "checkpoint"), str(tmp_path / "log"), run_ingest, run_label, EPOCH)
+    def start(checkpoint="checkpoint"):
+        query = watch_descriptors(spark, lake.descriptors_root, str(tmp_path / checkpoint), str(tmp_path / "log"), run_ingest, run_label, clock=lambda: EPOCH)
         query.awaitTermination()
-        return sorted((r.dataset, r.outcome, (r.counts or {}).get("num_images"), (r.counts or {}).get("classified")) for r in read_log(spark, str(tmp_path / "log")).collect())
+        return sorted((r.dataset, r.outcome, (r.counts or {}).get("num_images"), (r.counts or {}).get("classified")) for r in read_log(spark, str(tmp_path / "log")).filter(f"at = timestamp_seconds({EPOCH})").collect())
 
-    first = [("a", OK, 1, 1), ("broken", FAILED_INGEST, None, None)]
+    first = [("a", OK, 1, 1), ("broken", FAILED_INGEST, None, None), ("hollow", FAILED_INGEST, None, None)]
     assert start() == first
     assert start() == first
     write(lake.raw_public, {"_descriptors/a2.yml": "adapter: culane", "a2/list/val.txt": "e/2.jpg", "a2/e/2.jpg": "y", "a2/e/2.lines.txt": "1 2 3 4"})
-    assert start() == [("a", OK, 1, 1), ("a2", OK, 1, 1), ("broken", FAILED_INGEST, None, None)]
+    assert start() == [("a", OK, 1, 1), ("a2", OK, 1, 1), *first[1:]]
     assert [(r.dataset, r.outcome) for r in empty_descriptors(spark, lake.descriptors_root).collect()] == [("hollow", FAILED_INGEST)]
+    # A stream with a new checkpoint runs all descriptors again and leaves the older log; the empty one is known.
+    assert start("other") == sorted([*first, ("a2", OK, 1, 1), ("a", OK, 1, 0), ("a2", OK, 1, 0), first[1]])
     # A manual rerun of a dataset is the same function.
     assert run_dataset("a", run_ingest, run_label)[2]["reused"] == 1
 
