@@ -2,13 +2,15 @@
 
 The pages of a host are merged into one tree whose nodes are element paths. A node's importance follows from entropies
 over the host's pages: how much its presentation (the sequence of its children) and its content (its blocks of text)
-differ from page to page. What a host repeats is unimportant, and such branches are cut from each page, beside those
-whose element, role or class says that they are no article text. Hosts with few pages have only the latter.
+differ from page to page; pages with one content count once. What a host repeats is unimportant, and such branches are
+cut from each page, unless they hold an article or most of the page's text, beside those whose element, role or class
+says that they are no article text. Hosts with few pages have only the latter.
 """
 
 from __future__ import annotations
 
 import re
+from typing import NamedTuple
 
 import pyarrow as pa
 import xxhash
@@ -65,35 +67,63 @@ def _short(text: str) -> int:
     return xxhash.xxh3_64_intdigest(text) - (1 << 63)
 
 
-def page_features(page: str) -> set[tuple[str, str, int]]:
-    """(path, kind, feature) of a page: that it has a path, the sequence of the path's children, and its blocks of text."""
-    found: set[tuple[str, str, int]] = set()
+def page_features(page: str) -> tuple[list[str], list[int | None], list[int], list[int]]:
+    """A page's node paths in order, their sequences of children, and its distinct blocks of text: the node and the hash of each."""
     children: dict[str, list[str]] = {}
+    nodes: set[str] = set()
+    texts: set[tuple[str, int]] = set()
     for event, stack, text in walk(page, lambda element, above: element.name == "head"):
         path = stack[-1].path if stack else ""
         if event == "text":
-            found.add((path, "text", _short(text)))
+            texts.add((path, block_key(path, text)))
         elif event == "open":
-            found.add((path, "page", 0))
+            nodes.add(path)
             below = children.setdefault(stack[-2].path if len(stack) > 1 else "", [])
             if not below or below[-1] != path:
                 below.append(path)
-    found.update((path, "style", _short("".join(below))) for path, below in children.items())
-    return found
+    paths = sorted(nodes | {path for path, _ in texts} | set(children))
+    at = {path: i for i, path in enumerate(paths)}
+    found = sorted((at[path], key) for path, key in texts)
+    styles = [_short("".join(children[path])) if path in children else None for path in paths]
+    return paths, styles, [i for i, _ in found], [key for _, key in found]
+
+
+def block_key(path: str, text: str) -> int:
+    return _short(f"{path}\n{text}")
+
 
+def layout_of(paths: list[str]) -> int:
+    return _short("\n".join(paths))
 
-def unimportant_paths(pages: DataFrame) -> DataFrame:
-    """(host, paths): the cut nodes of each host's style tree, from pages (host, html).
 
-    Features are counted per host and path by partial aggregation, so the pages of one host meet nowhere. A host's list is
-    bounded: its paths each stand on PAGES_NEEDED pages and on a hundredth of the host's pages.
+def judged_layouts(pages: DataFrame) -> DataFrame:
+    """(host, layout, cut, ...): what the host's style tree says of the nodes of each layout, from pages (host, html).
+
+    A layout is a set of node paths. Pages of a host that are alike in nodes, sequences of children and blocks count once.
+    Features are counted per host and path by partial aggregation, so the pages of one host meet nowhere, and a page is
+    given the verdicts on its own nodes only.
     """
+    schema = "host string, layout long, digest long, paths array<string>, styles array<long>, places array<int>, blocks array<long>"
 
     def features(part):
-        rows = [(h, *f) for h, page in zip(part.column("host").to_pylist(), part.column("html").to_pylist()) if page for f in page_features(page)]
-        yield batch("host string, path string, kind string, feature long", *[list(c) for c in zip(*rows)] or [[]] * 4)
-
-    counted = map_batches(pages, features, "host string, path string, kind string, feature long").groupBy("host", "path", "kind", "feature").agg(F.count("*").alias("n"))
+        rows = []
+        for h, page in zip(part.column("host").to_pylist(), part.column("html").to_pylist()):
+            if page:
+                paths, styles, places, blocks = page_features(page)
+                rows.append((h, layout_of(paths), _short(repr((paths, styles, places, blocks))), paths, styles, places, blocks))
+        yield batch(schema, *[list(c) for c in zip(*rows)] or [[]] * 7)
+
+    once = stage(map_batches(pages, features, schema).dropDuplicates(["host", "digest"]), "features")
+
+    def feature(path, kind, value):
+        return F.struct(path.alias("path"), F.lit(kind).alias("kind"), value.alias("feature"))
+
+    found = F.concat(
+        F.transform("paths", lambda path: feature(path, "page", F.lit(0).cast("long"))),
+        F.transform("paths", lambda path, i: feature(path, "style", F.get("styles", i))),
+        F.transform("blocks", lambda block, i: feature(F.get("paths", F.get("places", i)), "text", block)),
+    )
+    counted = once.select("host", F.explode(found).alias("f")).select("host", "f.*").where("feature is not null").groupBy("host", "path", "kind", "feature").agg(F.count("*").alias("n"))
     text, style = F.col("kind") == "text", F.col("kind") == "style"
     # A feature on n of m pages, once each, has entropy log n / log m; a style has the share n / m of the pages.
     nodes = counted.groupBy("host", "path").agg(
@@ -106,57 +136,86 @@ def unimportant_paths(pages: DataFrame) -> DataFrame:
     parts = F.split("path", "/")
     upward = F.transform(F.sequence(F.lit(2), F.size(parts)), lambda i: F.array_join(F.slice(parts, 1, i), "/"))
     below = (
-        nodes.where("texts > 0").select("host", F.explode(upward).alias("path"), "text_logs", "texts")
+        nodes.where("texts > 0 and path <> ''").select("host", F.explode(upward).alias("path"), "text_logs", "texts")
         .groupBy("host", "path").agg(F.sum("text_logs").alias("logs"), F.sum("texts").alias("blocks"))
     )
-    content = 1 - F.col("logs") / F.col("blocks") / F.log("m")
-    presentation = F.when(F.col("styled") > 0, (F.log("styled") - F.col("style_logs") / F.col("styled")) / F.log("m")).otherwise(0.0)
+    most = F.log(F.greatest("m", F.lit(2)))
+    content = 1 - F.col("logs") / F.col("blocks") / most
+    presentation = F.when(F.col("styled") > 0, (F.log("styled") - F.col("style_logs") / F.col("styled")) / most).otherwise(0.0)
     importance = PRESENTATION_SHARE * presentation + (1 - PRESENTATION_SHARE) * content
     # Copies of one article on a host are no template: prose is cut only with an element around it that marks itself.
     name = F.regexp_extract("path", "([^/.#]+)[^/]*$", 1)
     prose = name.isin(sorted(PROSE_ELEMENTS)) | F.col("path").rlike("/(article|main)([.#][^/]*)?(/[^/]*)*/[^/.#]+$")
-    return (
+    cut = (
         nodes.join(below, ["host", "path"]).join(sizes, "host").where((F.col("m") >= PAGES_NEEDED) & (100 * F.col("m") >= F.col("pages")))
-        .where((importance < IMPORTANCE) & ~prose).groupBy("host").agg(F.collect_set("path").alias("paths"))
+        .where((importance < IMPORTANCE) & ~prose).select("host", "path")
     )
+    layouts = once.select("host", "layout", "paths").dropDuplicates(["host", "layout"]).select("host", "layout", F.explode("paths").alias("path"))
+    return layouts.join(cut, ["host", "path"]).groupBy("host", "layout").agg(F.collect_set("path").alias("cut"))
+
 
+class Block(NamedTuple):
+    """A block of text, the path of its node, and that of the outermost article around it, else empty."""
 
-def main_blocks(page: str, cut: frozenset[str]) -> list[str]:
-    """Blocks of the article if the page marks one, else of all that is left."""
+    text: str
+    path: str
+    article: str
 
-    def skip(element: Element, above: list[Element]) -> bool:
-        return is_noise(element, above) or element.path in cut
 
-    blocks, marked = [], []
-    for event, stack, text in walk(page, skip):
+def page_blocks(page: str) -> list[Block]:
+    """The blocks outside all branches that say themselves that they are no article text."""
+    found = []
+    for event, stack, text in walk(page, is_noise):
         if event == "text":
-            blocks.append(text)
-            if any(is_article(e) for e in stack):
-                marked.append(text)
-    return marked or blocks
+            found.append(Block(text, stack[-1].path if stack else "", next((e.path for e in stack if is_article(e)), "")))
+    return found
+
+
+def _at_or_below(path: str, node: str) -> bool:
+    return path == node or path.startswith(node + "/")
+
+
+def main_blocks(blocks: list[Block], cut: list[str]) -> list[str]:
+    """Blocks of the article if the page marks one, else of all that is left.
+
+    A node that holds an article, or most of the page's text, is not cut.
+    """
+    prose = sum(len(b.text) for b in blocks)
+    for node in cut:
+        held = [b for b in blocks if _at_or_below(b.path, node)]
+        if any(b.article and _at_or_below(b.article, node) for b in held) or 2 * sum(len(b.text) for b in held) > prose:
+            continue
+        blocks = [b for b in blocks if not _at_or_below(b.path, node)]
+    return [b.text for b in blocks if b.article] or [b.text for b in blocks]
 
 
 def extract_main_text(df: DataFrame, id_column: str = "page_id", url_column: str = "url", html_column: str = "html") -> DataFrame:
     """One row per row of `df`: page_id, url, text (blocks joined by \\n) and n_chars (its code points).
 
     Pages are grouped by the URL's host; pages without a host are a group. A null or empty page has an empty text, as has
-    one without text outside the cut branches. Broken markup is read as far as it goes. Repeated rows stay, and each
-    counts as a page of its host. Extra columns are not read; an empty table gives no rows.
+    one without text outside the cut branches. Broken markup is read as far as it goes. Repeated rows stay; pages of a
+    host with one content count once. Extra columns are not read; an empty table gives no rows.
     """
     pages = renamed(df, page_id=id_column, url=url_column, html=html_column).withColumn("host", host(F.col("url")))
-    noise = stage(unimportant_paths(pages.select("host", "html")), "noise")
+    layouts = stage(judged_layouts(pages.select("host", "html")), "layouts")
     kind = dict(pages.dtypes)["page_id"].replace("bigint", "long")
     schema = f"page_id {kind}, url string, text string, n_chars long"
+    parsed = f"page_id {kind}, url string, host string, layout long, texts array<string>, paths array<string>, articles array<string>"
+
+    def parse(part):
+        rows = []
+        for page in part.column("html").to_pylist():
+            blocks = page_blocks(page) if page else []
+            rows.append((layout_of(page_features(page)[0]) if page else None, *([b[i] for b in blocks] for i in range(3))))
+        yield batch(parsed, *(part.column(c) for c in ("page_id", "url", "host")), *[list(c) for c in zip(*rows)])
 
     def extract(part):
-        cuts: dict[tuple, frozenset[str]] = {}
         found = []
-        for page, paths in zip(part.column("html").to_pylist(), part.column("paths").to_pylist()):
-            key = tuple(paths or ())
-            found.append("\n".join(main_blocks(page, cuts.setdefault(key, frozenset(key)))) if page else "")
+        for texts, paths, articles, cut in zip(*(part.column(c).to_pylist() for c in ("texts", "paths", "articles", "cut"))):
+            found.append("\n".join(main_blocks([Block(*b) for b in zip(texts, paths, articles)], sorted(cut or []))))
         yield batch(schema, part.column("page_id"), part.column("url"), pa.array(found, pa.string()), [len(t) for t in found])
 
-    return map_batches(pages.join(noise, "host", "left").select("page_id", "url", "html", "paths"), extract, schema)
+    return map_batches(map_batches(pages, parse, parsed).join(layouts, ["host", "layout"], "left").drop("host", "layout"), extract, schema)
 
 
 @query("op1_main_text")

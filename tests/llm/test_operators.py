@@ -353,3 +353,18 @@ def test_main_text_of_the_pages(spark):
         article = page[page.index("<article>") : page.index("</article>")]
         blocks = [" ".join(html.unescape(re.sub("<[^>]*>", "", b)).split()) for b in re.split("</?(?:p|h1)>", article)]
         assert got[page_id] == "\n".join(b for b in blocks if b)
+
+
+def test_copied_articles_stay(spark):
+    """Articles that stand several times on a host are kept whole, with an article element inside the wrapper and without."""
+    for inner in ("{}", "<article>{}</article>"):
+        pages = []
+        for i in range(60):
+            story = "".join(f"<p>{sentence(1000 + 10 * (i // 5) + j, 9)}</p>" for j in range(3))
+            date = f"<span>{i}</span>" if i % 2 else ""
+            pages.append((i, f"http://h.com/{i}", f"<body><div class=box><p>Same</p></div><div class=content>{inner.format(story)}</div>{date}</body>"))
+        got = main_text.extract_main_text(spark.createDataFrame(pages, "page_id long, url string, html string"))
+        for r in got.collect():
+            lines = r.text.split("\n")
+            assert lines[:3] == [sentence(1000 + 10 * (r.page_id // 5) + j, 9) for j in range(3)]
+            assert "Same" not in lines
