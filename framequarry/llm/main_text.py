@@ -4,7 +4,8 @@ The pages of a host are merged into one tree whose nodes are element paths. A no
 over the host's pages: how much its presentation (the sequence of its children) and its content (its blocks of text)
 differ from page to page; pages with one content count once. What a host repeats is unimportant, and such branches are
 cut from each page, unless they hold an article or most of the page's text, beside those whose element, role or class
-says that they are no article text. Hosts with few pages have only the latter.
+says that they are no article text. An article element raises the importance of what it holds before any page is seen,
+and no more. Hosts with few pages have only the latter.
 """
 
 from __future__ import annotations
@@ -25,6 +26,11 @@ from .url_filter import host
 PAGES_NEEDED, IMPORTANCE = 12, 0.65
 #: Share of a node's own presentation in its importance; the rest is that of the text below it.
 PRESENTATION_SHARE = 0.1
+#: Importance before any page is seen: of what stands inside an article element, and of what stands outside, on pages
+#: without one and on pages whose articles hold most of the text. It weighs as much as so many pages.
+INSIDE, OUTSIDE, BESIDE, PRIOR_PAGES = 1.0, 0.8, 0.5, 2
+#: A single block of text is cut below this importance, unless less than this share of the page's text would be left.
+BLOCK_IMPORTANCE, LEAST_LEFT = 0.3, 0.25
 
 # Elements, roles and words in class names and ids that mark what is not the article.
 NOISE_ELEMENTS = set("nav footer aside form button select dialog template svg canvas object audio video menu search datalist".split())
@@ -97,7 +103,10 @@ def layout_of(paths: list[str]) -> int:
 
 
 def judged_layouts(pages: DataFrame) -> DataFrame:
-    """(host, layout, cut, ...): what the host's style tree says of the nodes of each layout, from pages (host, html).
+    """(host, layout, cut, sure, repeated): what the host's style tree says of each layout, from pages (host, html).
+
+    `cut` are the unimportant nodes, `sure` those whose own text is important also beside an article, and `repeated` the
+    keys of the blocks that the host repeats; paragraphs share one node, so blocks are judged one by one.
 
     A layout is a set of node paths. Pages of a host that are alike in nodes, sequences of children and blocks count once.
     Features are counted per host and path by partial aggregation, so the pages of one host meet nowhere, and a page is
@@ -124,6 +133,7 @@ def judged_layouts(pages: DataFrame) -> DataFrame:
         F.transform("blocks", lambda block, i: feature(F.get("paths", F.get("places", i)), "text", block)),
     )
     counted = once.select("host", F.explode(found).alias("f")).select("host", "f.*").where("feature is not null").groupBy("host", "path", "kind", "feature").agg(F.count("*").alias("n"))
+    counted = stage(counted, "counted")
     text, style = F.col("kind") == "text", F.col("kind") == "style"
     # A feature on n of m pages, once each, has entropy log n / log m; a style has the share n / m of the pages.
     nodes = counted.groupBy("host", "path").agg(
@@ -131,7 +141,7 @@ def judged_layouts(pages: DataFrame) -> DataFrame:
         F.sum(F.when(text, F.log(F.col("n")))).alias("text_logs"), F.count(F.when(text, 1)).alias("texts"),
         F.sum(F.when(style, F.col("n"))).alias("styled"), F.sum(F.when(style, F.col("n") * F.log(F.col("n")))).alias("style_logs"),
     )
-    nodes = stage(nodes, "nodes")
+    nodes = stage(nodes, "nodes").withColumn("inside", F.col("path").rlike("/(article|main)([.#][^/]*)?(/|$)"))
     sizes = nodes.groupBy("host").agg(F.max("m").alias("pages"))
     parts = F.split("path", "/")
     upward = F.transform(F.sequence(F.lit(2), F.size(parts)), lambda i: F.array_join(F.slice(parts, 1, i), "/"))
@@ -143,15 +153,29 @@ def judged_layouts(pages: DataFrame) -> DataFrame:
     content = 1 - F.col("logs") / F.col("blocks") / most
     presentation = F.when(F.col("styled") > 0, (F.log("styled") - F.col("style_logs") / F.col("styled")) / most).otherwise(0.0)
     importance = PRESENTATION_SHARE * presentation + (1 - PRESENTATION_SHARE) * content
-    # Copies of one article on a host are no template: prose is cut only with an element around it that marks itself.
-    name = F.regexp_extract("path", "([^/.#]+)[^/]*$", 1)
-    prose = name.isin(sorted(PROSE_ELEMENTS)) | F.col("path").rlike("/(article|main)([.#][^/]*)?(/[^/]*)*/[^/.#]+$")
-    cut = (
-        nodes.join(below, ["host", "path"]).join(sizes, "host").where((F.col("m") >= PAGES_NEEDED) & (100 * F.col("m") >= F.col("pages")))
-        .where((importance < IMPORTANCE) & ~prose).select("host", "path")
+    def smoothed(value, inside, outside):
+        before = F.when(F.col("inside"), inside).otherwise(outside)
+        return (F.col("m") * value + PRIOR_PAGES * before) / (F.col("m") + PRIOR_PAGES)
+
+    known = (F.col("m") >= PAGES_NEEDED) & (100 * F.col("m") >= F.col("pages"))
+    judged = nodes.join(sizes, "host").where(known).drop("pages")
+    # Paragraphs, headings and the page's frame are no branches of a template; their blocks are judged instead.
+    prose = F.regexp_extract("path", "([^/.#]+)[^/]*$", 1).isin(sorted(PROSE_ELEMENTS))
+    cut = judged.join(below, ["host", "path"]).where((smoothed(importance, INSIDE, OUTSIDE) < IMPORTANCE) & ~prose).select("host", "path", F.lit(True).alias("is_cut"))
+    own = 1 - F.col("text_logs") / F.col("texts") / most
+    sure = judged.where((F.col("texts") > 0) & (smoothed(own, INSIDE, BESIDE) >= IMPORTANCE) & ~F.col("inside")).select("host", "path", F.lit(True).alias("is_sure"))
+    # Few blocks of a path pass: their number grows with a low power of the number of pages.
+    spread = 1 - F.log("n") / most
+    repeated = (
+        counted.where("kind = 'text' and n > 1").join(judged.select("host", "path", "m", "inside"), ["host", "path"])
+        .where(smoothed(spread, INSIDE, BESIDE) < BLOCK_IMPORTANCE).groupBy("host", "path").agg(F.collect_list("feature").alias("keys"))
     )
+    said = cut.join(sure, ["host", "path"], "full").join(repeated, ["host", "path"], "full")
     layouts = once.select("host", "layout", "paths").dropDuplicates(["host", "layout"]).select("host", "layout", F.explode("paths").alias("path"))
-    return layouts.join(cut, ["host", "path"]).groupBy("host", "layout").agg(F.collect_set("path").alias("cut"))
+    return layouts.join(said, ["host", "path"]).groupBy("host", "layout").agg(
+        F.collect_list(F.when(F.col("is_cut"), F.col("path"))).alias("cut"), F.collect_list(F.when(F.col("is_sure"), F.col("path"))).alias("sure"),
+        F.flatten(F.collect_list("keys")).alias("repeated"),
+    )
 
 
 class Block(NamedTuple):
@@ -175,18 +199,28 @@ def _at_or_below(path: str, node: str) -> bool:
     return path == node or path.startswith(node + "/")
 
 
-def main_blocks(blocks: list[Block], cut: list[str]) -> list[str]:
-    """Blocks of the article if the page marks one, else of all that is left.
+def _size(blocks: list[Block]) -> int:
+    return sum(len(b.text) for b in blocks)
+
+
+def main_blocks(blocks: list[Block], cut: list[str], sure: set[str], repeated: set[int]) -> list[str]:
+    """The blocks that are left without the cut nodes and the repeated blocks.
 
-    A node that holds an article, or most of the page's text, is not cut.
+    A node that holds an article, or most of the page's text that is not repeated, is not cut; repeated blocks stay where
+    little else would be left, as on near copies. Beside articles that hold most of the text, only blocks of sure nodes stay.
     """
-    prose = sum(len(b.text) for b in blocks)
+    new = [b for b in blocks if block_key(b.path, b.text) not in repeated] if repeated else blocks
+    if _size(new) < LEAST_LEFT * _size(blocks):
+        new = blocks
+    prose = _size(new)
     for node in cut:
-        held = [b for b in blocks if _at_or_below(b.path, node)]
-        if any(b.article and _at_or_below(b.article, node) for b in held) or 2 * sum(len(b.text) for b in held) > prose:
+        held = [b for b in new if _at_or_below(b.path, node)]
+        if any(b.article and _at_or_below(b.article, node) for b in held) or 2 * _size(held) > prose:
             continue
-        blocks = [b for b in blocks if not _at_or_below(b.path, node)]
-    return [b.text for b in blocks if b.article] or [b.text for b in blocks]
+        new = [b for b in new if not _at_or_below(b.path, node)]
+    if 2 * _size([b for b in new if b.article]) > _size(new):
+        new = [b for b in new if b.article or b.path in sure]
+    return [b.text for b in new]
 
 
 def extract_main_text(df: DataFrame, id_column: str = "page_id", url_column: str = "url", html_column: str = "html") -> DataFrame:
@@ -211,8 +245,10 @@ def extract_main_text(df: DataFrame, id_column: str = "page_id", url_column: str
 
     def extract(part):
         found = []
-        for texts, paths, articles, cut in zip(*(part.column(c).to_pylist() for c in ("texts", "paths", "articles", "cut"))):
-            found.append("\n".join(main_blocks([Block(*b) for b in zip(texts, paths, articles)], sorted(cut or []))))
+        names = ("texts", "paths", "articles", "cut", "sure", "repeated")
+        for texts, paths, articles, cut, sure, repeated in zip(*(part.column(c).to_pylist() for c in names)):
+            blocks = [Block(*b) for b in zip(texts, paths, articles)]
+            found.append("\n".join(main_blocks(blocks, sorted(cut or []), set(sure or []), set(repeated or []))))
         yield batch(schema, part.column("page_id"), part.column("url"), pa.array(found, pa.string()), [len(t) for t in found])
 
     return map_batches(map_batches(pages, parse, parsed).join(layouts, ["host", "layout"], "left").drop("host", "layout"), extract, schema)

@@ -368,3 +368,17 @@ def test_copied_articles_stay(spark):
             lines = r.text.split("\n")
             assert lines[:3] == [sentence(1000 + 10 * (r.page_id // 5) + j, 9) for j in range(3)]
             assert "Same" not in lines
+
+
+def test_the_tree_judges_inside_articles(spark):
+    """Boxes and paragraphs that a host repeats inside its articles go; main text beside a short article stays."""
+    pages = []
+    for i in range(40):
+        story = "".join(f"<p>{sentence(5000 + 10 * i + j, 9)}</p>" for j in range(3))
+        pages.append((i, f"http://h.com/{i}", f"<body><article><h1>{sentence(9000 + i, 4)}</h1><div class=box>Buy now</div><p>All rights kept</p>{story}</article></body>"))
+        pages.append((100 + i, f"http://t.com/{i}", f"<body><article>Read more {i}</article><div class=text>{story}</div></body>"))
+    got = {r.page_id: r.text.split("\n") for r in main_text.extract_main_text(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    for i in range(40):
+        story = [sentence(5000 + 10 * i + j, 9) for j in range(3)]
+        assert got[i] == [sentence(9000 + i, 4), *story]
+        assert got[100 + i][-3:] == story
