@@ -5,7 +5,7 @@ over the host's pages: how much its presentation (the sequence of its children)
 differ from page to page; pages with one content count once. What a host repeats is unimportant, and such branches are
 cut from each page, unless they hold an article or most of the page's text, beside those whose element, role or class
 says that they are no article text. An article element raises the importance of what it holds before any page is seen,
-and no more. Hosts with few pages have only the latter.
+and no more; this prior fades with the number of pages, of which two are enough.
 """
 
 from __future__ import annotations
@@ -22,8 +22,8 @@ from .page_tree import Element, walk
 from .registry import batch, map_batches, query, read, renamed
 from .url_filter import host
 
-#: A node is judged by its importance if so many pages of its host have it, and cut below this importance.
-PAGES_NEEDED, IMPORTANCE = 12, 0.65
+#: A node that several pages of its host have is cut below this importance.
+IMPORTANCE = 0.65
 #: Share of a node's own presentation in its importance; the rest is that of the text below it.
 PRESENTATION_SHARE = 0.1
 #: Importance before any page is seen: of what stands inside an article element, and of what stands outside, on pages
@@ -142,7 +142,6 @@ def judged_layouts(pages: DataFrame) -> DataFrame:
         F.sum(F.when(style, F.col("n"))).alias("styled"), F.sum(F.when(style, F.col("n") * F.log(F.col("n")))).alias("style_logs"),
     )
     nodes = stage(nodes, "nodes").withColumn("inside", F.col("path").rlike("/(article|main)([.#][^/]*)?(/|$)"))
-    sizes = nodes.groupBy("host").agg(F.max("m").alias("pages"))
     parts = F.split("path", "/")
     upward = F.transform(F.sequence(F.lit(2), F.size(parts)), lambda i: F.array_join(F.slice(parts, 1, i), "/"))
     below = (
@@ -157,8 +156,7 @@ def judged_layouts(pages: DataFrame) -> DataFrame:
         before = F.when(F.col("inside"), inside).otherwise(outside)
         return (F.col("m") * value + PRIOR_PAGES * before) / (F.col("m") + PRIOR_PAGES)
 
-    known = (F.col("m") >= PAGES_NEEDED) & (100 * F.col("m") >= F.col("pages"))
-    judged = nodes.join(sizes, "host").where(known).drop("pages")
+    judged = nodes.where("m > 1")
     # Paragraphs, headings and the page's frame are no branches of a template; their blocks are judged instead.
     prose = F.regexp_extract("path", "([^/.#]+)[^/]*$", 1).isin(sorted(PROSE_ELEMENTS))
     cut = judged.join(below, ["host", "path"]).where((smoothed(importance, INSIDE, OUTSIDE) < IMPORTANCE) & ~prose).select("host", "path", F.lit(True).alias("is_cut"))

@@ -382,3 +382,13 @@ def test_the_tree_judges_inside_articles(spark):
         story = [sentence(5000 + 10 * i + j, 9) for j in range(3)]
         assert got[i] == [sentence(9000 + i, 4), *story]
         assert got[100 + i][-3:] == story
+
+
+def test_small_hosts_and_rare_layouts_are_judged(spark):
+    """A box that three pages share is found on a host of three pages, and in a layout that few of a host's pages have."""
+    page = "<body><div class=first><p>{}</p></div>{}</body>"
+    box = "<div class=extra><p>Same words</p></div>"
+    pages = [(i, f"http://few.com/{i}", page.format(sentence(i, 30), box)) for i in range(3)]
+    pages += [(10 + i, f"http://many.com/{i}", page.format(sentence(i, 30), box if i < 3 else "")) for i in range(400)]
+    got = main_text.extract_main_text(spark.createDataFrame(pages, "page_id long, url string, html string"))
+    assert {r.page_id: r.text for r in got.collect()} == {n: sentence(n if n < 10 else n - 10, 30) for n, _, _ in pages}
