@@ -8,6 +8,7 @@ from above, and what remains is decided by intersecting the sorted sets.
 A large group of near copies is not expanded into its pairs: each node is first compared with the node that leads most
 of its tokens, then in each tile with its nearest nodes of other components, and last with all nodes it is not yet
 connected with. Every pair that could connect two components is compared, so the components are those of all links.
+`jaccard_links` counts the links as well; it compares all candidates of every tile.
 """
 
 from __future__ import annotations
@@ -146,8 +147,8 @@ def _shared(batches):
         told = bool(keep[-1])
 
 
-def _tile_pairs(percent: int, nearest: int | None):
-    """Of rows sorted by tile: pairs of unconnected nodes whose sizes and bit counts leave the threshold possible."""
+def _tile_pairs(percent: int, nearest: int | None, every: bool = False):
+    """Of rows sorted by tile: pairs of unconnected nodes, or of all, whose sizes and bit counts leave the threshold possible."""
 
     def run(batches):
         for table in _runs(batches):
@@ -157,13 +158,13 @@ def _tile_pairs(percent: int, nearest: int | None):
             bits = table.column("bits").to_pylist()
             left, right = [], []
             for lo, hi in zip(cuts, cuts[1:]):
-                if hi - lo < 2 or (part[lo:hi] == part[lo]).all():
+                if hi - lo < 2 or not every and (part[lo:hi] == part[lo]).all():
                     continue
                 size = min(len(x) for x in bits[lo:hi])
                 maps = np.stack([folded(x, size) for x in bits[lo:hi]])
                 for i in range(lo, hi - 1):
                     rest = slice(i + 1, hi)
-                    ok = (part[rest] != part[i]) & (own[rest] | own[i]) & (node[rest] != node[i])
+                    ok = (every | (part[rest] != part[i])) & (own[rest] | own[i]) & (node[rest] != node[i])
                     if cross[i]:
                         ok &= block[rest] != block[i]
                     ok &= can_link(n[rest], n[i], np.abs(n[rest] - n[i]), percent)
@@ -220,6 +221,18 @@ def jaccard_components(df: DataFrame, id_column: str = "doc_id", text_column: st
     with one doc_id and different texts are judged by their texts. Sets are compared by 64-bit hashes of the shingles.
     Extra columns are not read. An empty table gives an empty result.
     """
+    return _joined(df, id_column, text_column, k, percent, False)
+
+
+def jaccard_links(df: DataFrame, id_column: str = "doc_id", text_column: str = "text", k: int = 5, percent: int = 75) -> DataFrame:
+    """The rows of `jaccard_components` with n_links, the number of other rows that each is linked to, copies included.
+
+    Every candidate pair of different sets is compared, which grows with the square of a group of near copies.
+    """
+    return _joined(df, id_column, text_column, k, percent, True)
+
+
+def _joined(df: DataFrame, id_column: str, text_column: str, k: int, percent: int, every: bool) -> DataFrame:
     docs = renamed(df, doc_id=id_column, text=text_column).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     frequent = frequent_tokens(docs, k)
 
@@ -237,7 +250,7 @@ def jaccard_components(df: DataFrame, id_column: str = "doc_id", text_column: st
 
     nodes = stage(
         map_batches(docs, sketch, "doc_id long, n long, sig binary, prefix binary, bits binary").where("sig is not null")
-        .groupBy("sig").agg(F.min("doc_id").alias("label"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("bits").alias("bits"))
+        .groupBy("sig").agg(F.min("doc_id").alias("label"), F.count("*").alias("copies"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("bits").alias("bits"))
         .withColumn("node", F.monotonically_increasing_id()),
         "nodes",
     )
@@ -291,17 +304,20 @@ def jaccard_components(df: DataFrame, id_column: str = "doc_id", text_column: st
             light.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("bits").alias("bits_a")), "a")
         return map_batches(ends.select("a", "b", "n_a", "n_b", "bits_a", "bits_b"), _bounded(percent), "a long, b long")
 
-    hubs = shared.where("node != hub").groupBy("node", "hub").agg(F.count("*").alias("common"))
-    best = hubs.groupBy("node").agg(F.max(F.struct("common", F.negative("hub").alias("low"))).alias("best"))
-    links = stage(linked(bounded(best.select(F.negative("best.low").alias("a"), F.col("node").alias("b")))), "links")
-    parts = stage(components(links, "a", "b"), "parts")
+    if every:
+        parts = nodes.select("node", F.col("node").alias("component"))
+    else:
+        hubs = shared.where("node != hub").groupBy("node", "hub").agg(F.count("*").alias("common"))
+        best = hubs.groupBy("node").agg(F.max(F.struct("common", F.negative("hub").alias("low"))).alias("best"))
+        links = stage(linked(bounded(best.select(F.negative("best.low").alias("a"), F.col("node").alias("b")))), "links")
+        parts = stage(components(links, "a", "b"), "parts")
 
     def tile_pairs(nearest: int | None) -> DataFrame:
         """Pairs of nodes of two components that share a token and can link by size and bits, or each node's nearest of them."""
         placed = shared.select("token", "node").join(parts, "node", "left").select("token", "node", F.coalesce("component", "node").alias("component"))
         between = (
             placed.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("size"))
-            .where("lo < hi").select("token", "size")
+            .where(F.lit(every) | (F.col("lo") < F.col("hi"))).select("token", "size")
         )
         band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent)))
         blocks = F.greatest(F.lit(1), F.ceil(F.col("size") / TILE_NODES)).cast("int")
@@ -315,21 +331,31 @@ def jaccard_components(df: DataFrame, id_column: str = "doc_id", text_column: st
                 "block", (F.col("block") != F.col("other")).alias("cross"), "bits",
             )
         )
-        return tiles.repartition("tile").sortWithinPartitions("tile", "node").mapInArrow(_tile_pairs(percent, nearest), "a long, b long").distinct()
-
-    # The nearest ones first: they connect most of a group of near copies, whose other pairs then need no look.
-    for nearest in (NEAREST, None):
-        more = stage(linked(tile_pairs(nearest)), "links")
-        if not more.isEmpty():
-            links = links.unionByName(more)
-            parts = stage(components(links, "a", "b"), "parts")
-
-    rooted = nodes.select("node", "sig", "label").join(parts, "node", "left").withColumn("root", F.coalesce("component", "node"))
+        return tiles.repartition("tile").sortWithinPartitions("tile", "node").mapInArrow(_tile_pairs(percent, nearest, every), "a long, b long").distinct()
+
+    if every:
+        links = stage(linked(tile_pairs(None)), "links")
+        parts = stage(components(links, "a", "b"), "parts")
+    else:
+        # The nearest ones first: they connect most of a group of near copies, whose other pairs then need no look.
+        for nearest in (NEAREST, None):
+            more = stage(linked(tile_pairs(nearest)), "links")
+            if not more.isEmpty():
+                links = links.unionByName(more)
+                parts = stage(components(links, "a", "b"), "parts")
+
+    rooted = nodes.select("node", "sig", "label", "copies").join(parts, "node", "left").withColumn("root", F.coalesce("component", "node"))
     lowest = rooted.groupBy("root").agg(F.min("label").alias("lowest"))
-    classes = stage(rooted.join(lowest, "root").select("sig", "lowest"), "classes")
+    classes = rooted.join(lowest, "root").select("node", "sig", "lowest", "copies")
+    if every:
+        ends = links.select("a", "b").union(links.select("b", "a"))
+        others = ends.join(nodes.select(F.col("node").alias("b"), "copies"), "b").groupBy("a").agg(F.sum("copies").alias("others"))
+        classes = classes.join(others.withColumnRenamed("a", "node"), "node", "left").withColumn("links", F.col("copies") - 1 + F.coalesce("others", F.lit(0)))
+    classes = stage(classes.drop("node", "copies", "others"), "classes")
     members = map_batches(docs, member, "doc_id long, n_shingles long, sig binary")
     return members.join(classes, "sig", "left").select(
         "doc_id", "n_shingles", F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("lowest")).alias("component_id"),
+        *([F.coalesce("links", F.lit(0)).alias("n_links")] if every else []),
     )
 
 

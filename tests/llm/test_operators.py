@@ -392,3 +392,18 @@ def test_small_hosts_and_rare_layouts_are_judged(spark):
     pages += [(10 + i, f"http://many.com/{i}", page.format(sentence(i, 30), box if i < 3 else "")) for i in range(400)]
     got = main_text.extract_main_text(spark.createDataFrame(pages, "page_id long, url string, html string"))
     assert {r.page_id: r.text for r in got.collect()} == {n: sentence(n if n < 10 else n - 10, 30) for n, _, _ in pages}
+
+
+def test_jaccard_links(spark, rows, docs):
+    """Every link counts, also those within a component and those of copies."""
+    words = sentence(1, 80).split()
+    chain = [(100 + i, " ".join(words[: 80 - 2 * (i // 2)] + [f"x{i // 2}{j}" for j in range(2 * (i // 2))])) for i in range(24)]
+    found = [(r[0], r[1]) for r in rows] + chain
+    sets = [shingles(t) for _, t in found]
+    want = sorted(((d, len(s), sum(1 for j, o in enumerate(sets) if j != i and s and o and 100 * len(s & o) >= 75 * len(s | o))) for i, ((d, _), s) in enumerate(zip(found, sets))), key=str)
+    frame = spark.createDataFrame(found, "doc_id long, text string").repartition(3)
+    got = jaccard_join.jaccard_links(frame)
+    assert sorted(map(tuple, got.select("doc_id", "n_shingles", "n_links").collect()), key=str) == want
+    parts = got.drop("n_links")
+    assert sorted(map(str, parts.collect())) == sorted(map(str, jaccard_join.jaccard_components(frame).collect()))
+    assert max(n for _, _, n in want) > 4 and jaccard_join.jaccard_links(empty(spark)).count() == 0
