@@ -46,34 +46,53 @@ def node(url: Column) -> Column:
     )
 
 
-def _target(html: Column, tag: str, told: str, value: str) -> Column:
-    """The value of the first tag that matches `told`, with `&amp;` decoded."""
+def _targets(html: Column, tag: str, told: str, value: str) -> Column:
+    """The values of all tags that match `told`, with `&amp;` decoded."""
     tags = F.filter(F.regexp_extract_all(html, F.lit(f"(?is)<{tag}\\b[^>]*>"), 0), lambda x: x.rlike(told))
-    found = F.regexp_extract(F.get(tags, F.lit(0)), value, 1)
-    return F.nullif(F.replace(F.trim(found), F.lit("&amp;"), F.lit("&")), F.lit(""))
+    values = F.transform(tags, lambda x: F.replace(F.trim(F.regexp_extract(x, value, 1)), F.lit("&amp;"), F.lit("&")))
+    return F.coalesce(F.filter(values, lambda x: x != ""), F.array().cast("array<string>"))
 
 
-def link_targets(html: Column) -> list[Column]:
-    """What a page names as its canonical URL, and where it redirects to."""
-    return [
-        _target(html, "link", r"""(?is)\brel\s*=\s*["']?canonical\b""", r"""(?is)\bhref\s*=\s*["']?([^"'>\s]+)"""),
-        _target(html, "meta", r"""(?is)\bhttp-equiv\s*=\s*["']?refresh\b""", r"""(?is)\bcontent\s*=\s*["']?[^"'>]*?url\s*=\s*["']?([^"'>\s]+)"""),
-    ]
+def link_targets(html: Column) -> Column:
+    """All that a page names as its canonical URL, and where it redirects to."""
+    return F.concat(
+        _targets(html, "link", r"""(?is)\brel\s*=\s*["']?canonical\b""", r"""(?is)\bhref\s*=\s*["']?([^"'>\s]+)"""),
+        _targets(html, "meta", r"""(?is)\bhttp-equiv\s*=\s*["']?refresh\b""", r"""(?is)\bcontent\s*=\s*["']?[^"'>]*?url\s*=\s*["']?([^"'>\s]+)"""),
+    )
+
+
+def _without_dots(place: Column) -> Column:
+    """A path from the root without its `.` and `..` segments; `..` takes the segment before it away."""
+    segments = F.slice(F.split(place, "/"), 2, F.size(F.split(place, "/")))
+    last = F.element_at(segments, -1)
+    kept = F.aggregate(
+        segments, F.array().cast("array<string>"),
+        lambda kept, s: F.when(s == "..", F.slice(kept, 1, F.greatest(F.size(kept) - 1, F.lit(0)))).when(s == ".", kept).otherwise(F.concat(kept, F.array(s))),
+    )
+    return F.concat(F.lit("/"), F.array_join(kept, "/"), F.when(last.isin(".", "..") & (F.size(kept) > 0), "/").otherwise(""))
 
 
 def resolved(base: Column, target: Column) -> Column:
-    """`target` as an absolute URL: with a scheme, with the base's scheme, or from the root of the base's host; else null."""
-    scheme = F.regexp_extract(base, "^(.*?)://", 1)
+    """`target` as an absolute URL, seen from the page `base`; null for schemes without `//`, and without a base host."""
+    root = F.concat(F.regexp_extract(base, "^(.*?)://", 1), F.lit("://"), host(base))
+    place = F.when(path(base) == "", "/").otherwise(path(base))
+    # The target's path, and its query and fragment.
+    own, rest = F.regexp_extract(target, "^[^?#]*", 0), F.regexp_extract(target, "^[^?#]*(.*)$", 1)
+    query_of_base = F.regexp_extract(base, "^[^?#]*(\\?[^#]*)?", 1)
     return (
         F.when(target.rlike("^[A-Za-z][A-Za-z0-9+.-]*://"), target)
-        .when(target.startswith("//"), F.concat(scheme, F.lit(":"), target))
-        .when(target.startswith("/"), F.concat(scheme, F.lit("://"), host(base), target))
+        .when(target.startswith("//"), F.concat(F.regexp_extract(base, "^(.*?)://", 1), F.lit(":"), target))
+        .when((F.instr(base, "://") == 0) | target.rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), None)
+        .when(own.startswith("/"), F.concat(root, F.when(own.rlike("/\\.\\.?(/|$)"), _without_dots(own)).otherwise(own), rest))
+        .when(target.startswith("#"), F.concat(root, path(base), query_of_base))
+        .when(own == "", F.concat(root, place, rest))
+        .otherwise(F.concat(root, _without_dots(F.concat(F.regexp_extract(place, "^(.*/)", 1), own)), rest))
     )
 
 
 def alias_edges(pages: DataFrame) -> DataFrame:
     """(src, dst) nodes of every canonical link and redirect of pages (url, html)."""
-    ends = pages.select("url", F.explode(F.array(*link_targets(F.col("html")))).alias("target")).where("target is not null")
+    ends = pages.select("url", F.explode(link_targets(F.col("html"))).alias("target"))
     return ends.select(node(F.col("url")).alias("src"), node(resolved(F.col("url"), F.col("target"))).alias("dst")).where("src is not null and dst is not null")
 
 

@@ -407,3 +407,30 @@ def test_jaccard_links(spark, rows, docs):
     parts = got.drop("n_links")
     assert sorted(map(str, parts.collect())) == sorted(map(str, jaccard_join.jaccard_components(frame).collect()))
     assert max(n for _, _, n in want) > 4 and jaccard_join.jaccard_links(empty(spark)).count() == 0
+
+
+def test_all_links_of_a_page(spark):
+    """All tags count, and relative targets are resolved against the page's place."""
+    base = "http://s.com/a/b/c?q=1#f"
+    want = {
+        "page2.html": "/a/b/page2.html", "../x": "/a/x", "./y?z#t": "/a/b/y?z", "?a=1&amp;b=2": "/a/b/c?a=1&b=2", "../../../up": "/up", "/r/../s": "/s", "..": "/a/",
+        "/plain": "/plain", "#g": "/a/b/c?q=1", "mailto:me": None, "../..": "/", ".": "/a/b/",
+    }
+    page = "".join(f'<link rel=canonical href="{t}">' for t in want) + '<meta http-equiv=refresh content="0;url=one"><meta http-equiv=refresh content="0;url=two">'
+    edges = url_filter.alias_edges(spark.createDataFrame([(base, page), ("http://t.com", '<link rel=canonical href="z"><link rel=canonical href="?k">')], "url string, html string"))
+    got = sorted(map(tuple, edges.collect()))
+    here = [("http://s.com/a/b/c?q=1", f"http://s.com{t}") for t in [*want.values(), "/a/b/one", "/a/b/two"] if t]
+    assert got == sorted([*here, ("http://t.com", "http://t.com/z"), ("http://t.com", "http://t.com/?k")])
+
+
+def test_urls_as_in_sql(spark):
+    """Query and SQL agree on pages with several links, from the root and with hosts."""
+    two = '<link rel=canonical href="/en/1"><link rel="canonical" href="http://blocked.net/x"><meta http-equiv="refresh" content="0; url=//q.com/">'
+    rows = [(1, "http://p.com/a", two), (2, "http://p.com/en/1", ""), (3, "http://q.com/", None), (4, "http://blocked.net/x", ""), (5, "http://free.com/", "")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = url_filter.filter_urls(pages, url_filter.alias_edges(pages), url_filter.rules_frame(spark, url_filter.RULES))
+    con = duckdb.connect()
+    con.execute("CREATE TABLE pages (page_id BIGINT, url VARCHAR, html VARCHAR)")
+    con.executemany("INSERT INTO pages VALUES (?, ?, ?)", rows)
+    assert sorted(map(tuple, got.collect())) == sorted(con.execute(url_filter.URLS_SQL).fetchall())
+    assert [r.verdict for r in got.orderBy("page_id").collect()] == ["block"] * 4 + ["allow"]
