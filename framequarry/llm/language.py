@@ -12,17 +12,13 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F, Window
+from pyspark.sql import DataFrame, functions as F
 
 from .registry import batch, map_batches, query, read, renamed
 from .words import Texts, texts
 
 #: Bytes of context; the counted n-grams are one byte longer.
 ORDER = 3
-#: Most frequent n-grams that a language's tree keeps; this bounds the model, not what is counted.
-KEPT_GRAMS = 60_000
-#: Contexts of ORDER bytes in all trees together that have children; the most frequent stay.
-KEPT_CONTEXTS = 24_576
 HELD_OUT_FOLD = 1
 
 _FOLDED = np.array([b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256)], np.uint8)
@@ -35,7 +31,7 @@ class Trees(NamedTuple):
     names: list[str]
     child2: np.ndarray  # n-gram of two bytes -> number
     child3: np.ndarray  # number of the two bytes before, byte -> number
-    child4: np.ndarray  # number of the three bytes before, byte -> number
+    keys4: np.ndarray  # n-grams of four bytes in order; the number of the first is 1
     cost2: np.ndarray  # every pair of bytes, escapes included
     escape2: np.ndarray
     cost3: np.ndarray
@@ -59,8 +55,8 @@ def grams(chunk: Texts) -> np.ndarray:
     return found
 
 
-def gram_counts(docs: DataFrame, kept: int = KEPT_GRAMS) -> DataFrame:
-    """(lang, gram, n) over all texts of `docs` (text, lang); the `kept` most frequent of each language."""
+def gram_counts(docs: DataFrame) -> DataFrame:
+    """(lang, gram, n) over all texts of `docs` (text, lang)."""
 
     def count(batches):
         totals: dict[str, list] = {}
@@ -84,8 +80,7 @@ def gram_counts(docs: DataFrame, kept: int = KEPT_GRAMS) -> DataFrame:
             keys, n = merged(parts)
             yield batch("lang string, gram long, n long", pa.array([name] * len(keys)), keys, n)
 
-    counted = docs.mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    return counted.withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))).where(F.col("place") <= kept).drop("place")
+    return docs.mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
 def _below(keys: np.ndarray, counts: np.ndarray, shift: int) -> tuple[np.ndarray, np.ndarray]:
@@ -142,29 +137,16 @@ def build_trees(names: list[str], lang: np.ndarray, gram: np.ndarray, n: np.ndar
     child3[before[ok], keys3[ok] & np.uint32(255)] = np.arange(1, len(keys3) + 1)[ok]
 
     cost4, context3, esc3 = _level(keys4, counts4, cost3[np.searchsorted(keys3, keys4 & np.uint32(0xFFFFFF))])
-    # Contexts get the numbers of the three-byte n-grams; only the most frequent keep children, so the table is bounded.
+    # Contexts get the numbers of the three-byte n-grams.
     place = np.searchsorted(keys3, context3)
     ok = (place < len(keys3)) & (keys3[np.minimum(place, len(keys3) - 1)] == context3)
     escape3 = np.zeros((len(keys3) + 1, len(names)))
     escape3[place[ok] + 1] = esc3[ok]
-    order = np.argsort(-counts3.sum(axis=1), kind="stable")
-    renumber = np.empty(len(keys3), np.int64)
-    renumber[order] = np.arange(len(keys3))
-    child3 = np.where(child3 > 0, renumber[np.maximum(child3, 1) - 1] + 1, 0).astype(np.int32)
-    cost3, escape3 = cost3[order], np.concatenate([escape3[:1], escape3[1:][order]])
-    size = min(len(keys3), KEPT_CONTEXTS)
-    child4 = np.zeros((size + 1, 256), np.int32)
-    number = np.searchsorted(keys3, keys4 >> np.uint32(8))
-    known = (number < len(keys3)) & (keys3[np.minimum(number, len(keys3) - 1)] == keys4 >> np.uint32(8))
-    number = np.where(known, renumber[np.minimum(number, len(keys3) - 1)] + 1, 0)
-    ok = (number > 0) & (number <= size)
-    child4[number[ok], keys4[ok] & np.uint32(255)] = np.arange(1, len(keys4) + 1)[ok]
-    escape3[size + 1 :] = 0
 
     def padded(x):
         return np.concatenate([np.zeros((1, len(names))), x]).astype(np.float32)
 
-    return Trees(names, child2, child3, child4, cost2.astype(np.float32), escape2.astype(np.float32), padded(cost3), escape3.astype(np.float32), padded(cost4))
+    return Trees(names, child2, child3, keys4, cost2.astype(np.float32), escape2.astype(np.float32), padded(cost3), escape3.astype(np.float32), padded(cost4))
 
 
 def code_lengths(chunk: Texts, trees: Trees) -> np.ndarray:
@@ -175,7 +157,8 @@ def code_lengths(chunk: Texts, trees: Trees) -> np.ndarray:
     early2 = trees.child2[found >> np.uint32(16)]
     at3 = trees.child3[before2, last]
     before3 = trees.child3[early2, (found >> np.uint32(8)) & np.uint32(255)]
-    at4 = trees.child4[np.where(before3 < len(trees.child4), before3, 0), last]
+    place = np.minimum(np.searchsorted(trees.keys4, found), len(trees.keys4) - 1)
+    at4 = np.where(trees.keys4[place] == found, place + 1, 0)
     total = trees.cost4[at4]
     miss = np.flatnonzero(at4 == 0)
     lower = trees.cost3[at3[miss]]
@@ -199,7 +182,7 @@ def has_letter(chunk: Texts) -> np.ndarray:
 
 
 def fit_trees(docs: DataFrame) -> Trees | None:
-    """Trees of all languages in `docs` (text, lang); at most KEPT_GRAMS rows per language come to the driver."""
+    """Trees of all languages in `docs` (text, lang); a row per language and distinct n-gram comes to the driver."""
     found = gram_counts(docs.where("text is not null and lang is not null")).toPandas()
     if not len(found):
         return None

@@ -434,3 +434,19 @@ def test_urls_as_in_sql(spark):
     con.executemany("INSERT INTO pages VALUES (?, ?, ?)", rows)
     assert sorted(map(tuple, got.collect())) == sorted(con.execute(url_filter.URLS_SQL).fetchall())
     assert [r.verdict for r in got.orderBy("page_id").collect()] == ["block"] * 4 + ["allow"]
+
+
+def test_small_language_keeps_its_contexts(spark):
+    """A language beside a much larger one with many contexts is scored by all of its n-grams."""
+    rng = np.random.default_rng(5)
+    large = np.unique(rng.integers(97, 123, (300_000, 4)).astype(np.uint32) @ np.array([1 << 24, 1 << 16, 1 << 8, 1], np.uint32))
+    large = np.concatenate([large, np.unique(rng.integers(194, 224, (60_000, 4)).astype(np.uint32) @ np.array([1 << 24, 1 << 16, 1 << 8, 1], np.uint32))])
+    small = np.unique(language.grams(next(W.texts(pa.array(["Ünï çødé 123 x"])))))
+    gram, lang = np.concatenate([large, small]), np.concatenate([np.zeros(len(large), int), np.ones(len(small), int)])
+    n = np.where(lang == 0, 1000, 1)
+    chunk = next(W.texts(pa.array(["Ünï çødé"])))
+    both = language.code_lengths(chunk, language.build_trees(["a", "b"], lang, gram, n))
+    alone = language.code_lengths(chunk, language.build_trees(["b"], np.zeros(len(small), int), small, np.ones(len(small), int)))
+    assert both[0, 1] == pytest.approx(alone[0, 0], rel=1e-4)
+    docs = spark.createDataFrame([("".join(chr(0x4E00 + int(c)) for c in rng.integers(0, 20_000, 3000)), "z") for _ in range(40)], "text string, lang string")
+    assert language.gram_counts(docs).count() > 60_000
