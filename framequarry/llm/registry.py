@@ -48,6 +48,11 @@ def text_key(df_text: Column) -> Column:
     return F.xxhash64(F.coalesce(df_text, F.lit("")), df_text.isNull())
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body` of a value that is computed once per row, also where `body` uses it for each element of an array."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 _SIMPLE = {
     "long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "float": pa.float32(), "string": pa.string(), "binary": pa.binary(), "boolean": pa.bool_(),
 }
