@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .registry import batch, map_batches, query, read, renamed
+from .registry import batch, let, map_batches, query, read, renamed
 from .words import PLAIN, mixed, texts, words
 
 #: A run has at least so many words, and so many times its period.
@@ -141,12 +141,17 @@ def with_planted_runs(doc_id: Column, text: Column) -> Column:
     """
     h = F.crc32(doc_id.cast("string"))
     g = F.floor(h / 10)
-    own = F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != "")
-    n = F.size(own)
-    a = F.pmod(g, n)
-    p = 1 + F.floor((n - a) / (3 + F.pmod(g, F.lit(8))))
-    planted = F.transform(own, lambda w, i: F.when(i < a, w).otherwise(F.get(own, (a + F.pmod(i - a, p)).cast("int"))))
-    return F.when((F.pmod(h, F.lit(10)) == 0) & (n > 0), F.array_join(planted, " ")).otherwise(text)
+
+    def planted(own: Column) -> Column:
+        n = F.size(own)
+        a = F.pmod(g, n)
+        places = F.struct(a.alias("a"), (1 + F.floor((n - a) / (3 + F.pmod(g, F.lit(8))))).alias("p"))
+        return F.when(n > 0, let(places, lambda at: F.array_join(
+            F.transform(own, lambda w, i: F.when(i < at["a"], w).otherwise(F.get(own, (at["a"] + F.pmod(i - at["a"], at["p"])).cast("int")))), " ",
+        ))).otherwise(text)
+
+    words_of = F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    return F.when(F.pmod(h, F.lit(10)) == 0, let(words_of, planted)).otherwise(text)
 
 
 @query("op13_periodic_runs")
