@@ -19,11 +19,7 @@ class Layout:
     descriptors: str = "_descriptors"
     project: str = "project"
     raw_metadata: str = "raw_metadata"
-    label_review: str = "label_review"
     classification: str = "classification"
-    # Groups a new table is cut into; an upsert rewrites the groups it touches. Choose for the size a table
-    # will grow to, a few million rows per group.
-    table_buckets: int = 64
 
     def _uri(self, root: str, *names: Column | str) -> Column:
         parts = [F.lit(root.rstrip("/"))] + [n if isinstance(n, Column) else F.lit(n) for n in names]

@@ -4,6 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..schemas import USER_IDENTITY, align
+from ..session import stage
+from .bloom import Bloom
+
 # Audits older than this are redone; raw user objects expire after this.
 REDO_AFTER = "INTERVAL 48 HOURS"
 RAW_LIFETIME = "INTERVAL 24 HOURS"
@@ -23,9 +27,13 @@ def unclassified(images: DataFrame, classifications: DataFrame) -> DataFrame:
 def unprocessed(raw: DataFrame, audit: DataFrame, as_of: Column) -> DataFrame:
     """Raw images without an audit row in the last 48 hours.
 
-    The audit files are sorted by `processed_at`, so the pushed filter skips the row groups of older days.
+    Where the audit is a scan of the table, its partition column `processed_date` keeps older days from being opened.
     """
-    recent = audit.filter(F.col("processed_at") >= as_of - F.expr(REDO_AFTER)).select("image_id")
+    since = as_of - F.expr(REDO_AFTER)
+    recent = audit.filter(F.col("processed_at") >= since)
+    if "processed_date" in audit.columns:
+        recent = recent.filter(F.col("processed_date") >= F.to_date(since))
+    recent = recent.select("image_id")
     return raw.join(recent, "image_id", "left_anti")
 
 
@@ -38,12 +46,17 @@ def expired_unprocessed(raw: DataFrame, audit: DataFrame, as_of: Column) -> Data
 def without_revoked(images: DataFrame, identity: DataFrame) -> DataFrame:
     """Images of users who did not withdraw; images without a user stay.
 
-    Public images have no user and are most of the catalogue: they go past the join, where their NULL
-    keys would all meet in one partition.
+    The images are read once. Few users withdraw, and public images have no user at all: a Bloom filter of the withdrawn
+    ids sorts out all but a few rows, and those rows get a key of their own that matches nothing. Where the ids are few
+    enough to broadcast no image is shuffled; where they are not, the rows without a match are dealt out evenly,
+    instead of all NULL keys or all images of one user to one task.
     """
-    revoked = identity.filter(F.col("revoked_at").isNotNull()).select("user_id")
-    owned = images.filter(F.col("user_id").isNotNull()).join(revoked, "user_id", "left_anti")
-    return owned.unionByName(images.filter(F.col("user_id").isNull()))
+    rows = align(identity, USER_IDENTITY.schema).filter(F.col("revoked_at").isNotNull() & F.col("user_id").isNotNull())
+    revoked = stage(rows.select(F.col("user_id").alias("_revoked")).distinct(), "revoked")
+    owner = F.col("user_id").cast("string")
+    own_key = F.concat(F.lit("\0"), F.xxhash64(*[F.col(f"`{c}`") for c in images.columns]).cast("string"))
+    keyed = images.withColumn("_owner", F.when(Bloom(revoked, "_revoked").may_hold(owner), owner).otherwise(own_key))
+    return keyed.join(revoked, F.col("_owner") == F.col("_revoked"), "left_anti").drop("_owner")
 
 
 def pseudonym(real_ref: Column, salt: str) -> Column:

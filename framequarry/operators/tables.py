@@ -1,31 +1,21 @@
 """Catalogue tables: keyed upsert, key de-duplication, union.
 
-Plain Parquet folders take no MERGE, so a table here is a set of immutable files grouped by a hash of
-the key, plus small snapshot files that name the current folders of every group. An upsert rewrites only
-the groups in which it replaces rows; to the others it adds a folder. Then it commits a new snapshot; a crash before
-the commit leaves the old snapshot readable, and a concurrent commit is noticed and the upsert redone.
-With a table provider that supports MERGE, use `merge_into` instead.
+Plain Parquet takes no MERGE, so an upsert finds the partitions that hold matched keys by a join on the keys alone,
+overwrites those partitions dynamically, and appends everything else. Tables are ordinary partitioned Parquet folders.
 """
 
 from __future__ import annotations
 
-import json
-import math
-import random
-import time
-import uuid
 from collections.abc import Sequence
-from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..schemas import TableSpec, align
 from ..session import stage
 
-ROWS_PER_FILE = 5_000_000
-# Folders a group may have; the next upsert into it then makes them one.
-MOST_FOLDERS = 16
+# Fixed value: the folder Spark gives to rows whose partition value is NULL.
+_NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 
 
 def _complete(keys: Sequence[str]) -> Column:
@@ -70,148 +60,72 @@ def catalogue_union(*frames: DataFrame) -> DataFrame:
     return out
 
 
-def merge_into(rows: DataFrame, table: str, spec: TableSpec) -> None:
-    """The same upsert as one MERGE, for a catalog table whose provider supports it."""
-    source = align(rows, spec.schema).alias("s")
-    match = F.lit(True)
-    for key in spec.key:
-        match = match & (F.col(f"s.{key}") == F.col(f"{table.split('.')[-1]}.{key}"))
-    merge = source.mergeInto(table, match)
-    if set(spec.schema.names) - set(spec.key):
-        merge = merge.whenMatched().updateAll()
-    merge.whenNotMatched().insertAll().merge()
-
+class CatalogueTable:
+    """A Parquet table at a folder URI that all executors share, partitioned as its spec says.
 
-@dataclass(frozen=True)
-class Snapshot:
-    number: int
-    buckets: int
-    folders: dict[int, list[str]]
-    rows: dict[int, int]
+    One writer at a time: plain Parquet has no commit that two could compete for. Where tables have several writers, keep
+    them with a table provider that has MERGE.
+    """
 
+    def __init__(self, spark: SparkSession, path: str, spec: TableSpec):
+        self.spark, self.path, self.spec = spark, path.rstrip("/"), spec
 
-class SnapshotTaken(Exception):
-    """Another writer committed first."""
+    def _file_system(self, *names: str):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path("/".join([self.path, *names]))
+        return path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()), path
 
-
-class CatalogueTable:
-    """Table at a folder URI that all executors share."""
-
-    def __init__(self, spark: SparkSession, path: str, spec: TableSpec, buckets: int = 64):
-        self.spark, self.path, self.spec, self._new_buckets = spark, path.rstrip("/"), spec, buckets
-
-    # Snapshot files are a few kilobytes (at most MOST_FOLDERS names per bucket), so the driver may hold one.
-    def _hadoop(self):
-        jvm = self.spark._jvm
-        root = jvm.org.apache.hadoop.fs.Path(f"{self.path}/_snapshots")
-        conf = self.spark._jsparkSession.sessionState().newHadoopConf()
-        return jvm, root, conf
-
-    def snapshot(self) -> Snapshot:
-        jvm, root, conf = self._hadoop()
-        fs = root.getFileSystem(conf)
-        names = [s.getPath().getName() for s in fs.listStatus(root)] if fs.exists(root) else []
-        numbers = [int(n[:-5]) for n in names if n.endswith(".json") and n[:-5].isdigit()]
-        if not numbers:
-            return Snapshot(0, self._new_buckets, {}, {})
-        path = f"{self.path}/_snapshots/{max(numbers):012d}.json"
-        text = self.spark.read.text(path, wholetext=True).first()[0]
-        body = json.loads(text)
-        return Snapshot(
-            max(numbers), body["buckets"], {int(k): v for k, v in body["folders"].items()},
-            {int(k): v for k, v in body["rows"].items()},
-        )
-
-    def _commit(self, snapshot: Snapshot) -> None:
-        jvm, root, conf = self._hadoop()
-        fs = root.getFileSystem(conf)
-        fs.mkdirs(root)
-        temporary = jvm.org.apache.hadoop.fs.Path(root, f".{uuid.uuid4().hex}")
-        final = jvm.org.apache.hadoop.fs.Path(root, f"{snapshot.number:012d}.json")
-        out = fs.create(temporary, False)
-        body = {"buckets": snapshot.buckets, "folders": snapshot.folders, "rows": snapshot.rows}
-        out.write(bytearray(json.dumps(body).encode()))
-        out.close()
-        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(root.toUri(), conf)
-        plain = self.spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
-        try:
-            context.rename(temporary, final, plain)
-        except Exception as error:  # the rename refuses to replace an existing snapshot
-            if "FileAlreadyExists" in str(error):
-                raise SnapshotTaken(str(final)) from error
-            raise
-
-    def _read(self, folders: Sequence[str]) -> DataFrame:
-        if not folders:
-            return self.spark.createDataFrame([], self.spec.schema)
-        return self.spark.read.schema(self.spec.schema).parquet(*folders)
+    def scan(self) -> DataFrame:
+        """Current rows with the partition column, so that a filter on it prunes folders."""
+        name, kind = self.spec.partition
+        schema = T.StructType([*self.spec.schema.fields, T.StructField(name, kind)])
+        fs, path = self._file_system()
+        if not fs.exists(path):
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(self.path)
 
     def read(self) -> DataFrame:
-        """Current rows. The number of folders is bounded by the number of buckets."""
-        return self._read(sorted(name for names in self.snapshot().folders.values() for name in names))
-
-    def _key_bucket(self, buckets: int) -> Column:
-        return F.pmod(F.xxhash64(*[F.col(k) for k in self.spec.key]), F.lit(buckets)).cast("int")
-
-    def _bucket(self, buckets: int) -> Column:
-        # Rows with a NULL key never match, so they may go anywhere: spread them by content.
-        spread = F.pmod(F.xxhash64(*[F.col(c) for c in self.spec.schema.names]), F.lit(buckets)).cast("int")
-        return F.when(_complete(self.spec.key), self._key_bucket(buckets)).otherwise(spread)
+        """Current rows."""
+        return self.scan().select(*self.spec.schema.names)
 
-    def upsert(self, rows: DataFrame, order: Sequence[Column] = (), attempts: int = 20) -> int:
+    def upsert(self, rows: DataFrame, order: Sequence[Column] = ()) -> int:
         """Insert or replace rows by key; returns the number of rows sent. No rows, no write.
 
-        Several rows with one key are reduced to the first by `order`. `rows` is passed over twice (rows
-        with and without a complete key), so stage it first if it is costly. A commit lost to another writer is tried
-        again after a random wait that grows to half a minute.
+        Several rows with one key are reduced to the first by `order`. `rows` is passed over twice (rows with and
+        without a complete key), so stage it first if it is costly. New keys only add files. What goes to other
+        partitions is appended before the matched ones are overwritten, so a run that dies in between loses no row: a
+        key that moved then stands in two partitions until its upsert is repeated, which every job here does.
         """
         wanted = [c for c in self.spec.schema.names if c in rows.columns]
         ranked = rows.select(*wanted, *[o.alias(f"_rank{i}") for i, o in enumerate(order)])
-        ranks = [F.col(f"_rank{i}") for i in range(len(order))]
-        single = align(dedup(ranked, self.spec.key, ranks), self.spec.schema)
-        source = stage(single, f"upsert-{self.spec.name}")
-        for attempt in range(attempts):
-            try:
-                return self._replace(source, self.snapshot())
-            except SnapshotTaken:
-                time.sleep(random.uniform(0, min(30, 0.1 * 2**attempt)))
-        raise SnapshotTaken(f"{self.path}: {attempts} attempts lost to other writers")
-
-    def _replace(self, source: DataFrame, before: Snapshot) -> int:
-        bucket = self._bucket(before.buckets).alias("_bucket")
-        # At most one row per bucket comes back.
-        counts = {r["_bucket"]: r["count"] for r in source.groupBy(bucket).count().collect()}
-        sent = sum(counts.values())
-        if sent == 0:
+        single = align(dedup(ranked, self.spec.key, [F.col(f"_rank{i}") for i in range(len(order))]), self.spec.schema)
+        part, _ = self.spec.partition
+        source = stage(single.withColumn(part, self.spec.partition_value()), f"upsert-{self.spec.name}")
+        # One row per partition that the rows go to, and below one per partition that holds one of their keys.
+        sent = {r[part]: r["count"] for r in source.groupBy(part).count().collect()}
+        if not sent:
             return 0
-        touched = {b: before.folders[b] for b in sorted(counts) if b in before.folders}
-        rewritten = {b for b, names in touched.items() if len(names) >= MOST_FOLDERS} | self._matched(source, touched, before.buckets)
-        old = self._read([name for b in sorted(rewritten) for name in touched[b]])
-        merged = overlay(old, source, self.spec).withColumn("_bucket", bucket)
-        most = sent + sum(before.rows.get(b, 0) for b in rewritten)
-        files = max(1, math.ceil(most / len(counts) / ROWS_PER_FILE))
-        part = F.pmod(F.xxhash64(*[F.col(c) for c in self.spec.schema.names]), F.lit(files))
-        folder = f"{self.path}/data/{before.number + 1:012d}-{uuid.uuid4().hex[:8]}"
-        written = Observation()
-        (
-            merged.observe(written, F.count("*").alias("rows"))
-            .repartition("_bucket", part)
-            .sortWithinPartitions("_bucket", *self.spec.cluster)
-            .write.partitionBy("_bucket").parquet(folder)
-        )
-        # Buckets are even by construction; the counts only size the files of later upserts.
-        added = {b: before.rows.get(b, 0) + n for b, n in counts.items() if b not in rewritten}
-        left = written.get["rows"] - sum(counts[b] for b in added)
-        folders = {b: [*([] if b in rewritten else before.folders.get(b, [])), f"{folder}/_bucket={b}"] for b in counts}
-        rows = {**added, **{b: left // len(rewritten) for b in rewritten}}
-        self._commit(Snapshot(before.number + 1, before.buckets, {**before.folders, **folders}, {**before.rows, **rows}))
-        return sent
-
-    def _matched(self, source: DataFrame, touched: dict[int, list[str]], buckets: int) -> set[int]:
-        """Buckets in which a row of `source` replaces one; only keys are read, and one row per bucket comes back."""
-        if not touched:
-            return set()
-        keys = list(self.spec.key)
-        old = self._read([name for names in touched.values() for name in names]).select(*keys)
-        hits = old.join(source.select(*keys), keys, "left_semi").select(self._key_bucket(buckets).alias("_bucket"))
-        return {r["_bucket"] for r in hits.distinct().collect()}
+        stored, keys = self.scan(), list(self.spec.key)
+        hits = stored.select(*keys, part).join(source.select(*keys), keys, "left_semi").groupBy(part).count()
+        matched = {r[part]: r["count"] for r in hits.collect()}
+        if not matched:
+            self._write(source, "append")
+            return sum(sent.values())
+        here = reduce(lambda a, b: a | b, [F.col(part).eqNullSafe(F.lit(None))] * (None in matched) + [F.col(part).isin([p for p in matched if p is not None])])
+        here = F.coalesce(here, F.lit(False))
+        if sent.keys() - matched.keys():
+            self._write(source.filter(~here), "append")
+        stored = stored.filter(here)
+        before = {r[part]: r["count"] for r in stored.groupBy(part).count().collect()}
+        self._write(stored.join(source.select(*keys), keys, "left_anti").unionByName(source.filter(here)), "overwrite")
+        # Rows move between partitions; one that got none is not overwritten and has to go.
+        for value in matched.keys() - sent.keys():
+            if matched[value] == before[value]:
+                fs, path = self._file_system(f"{part}={_NULL_FOLDER if value is None else value}")
+                fs.delete(path, True)
+        return sum(sent.values())
+
+    def _write(self, rows: DataFrame, mode: str) -> None:
+        """Files of about the advisory size per partition, sorted so that scans skip row groups; a large partition is split."""
+        part, _ = self.spec.partition
+        even = rows.hint("rebalance", part).sortWithinPartitions(part, *self.spec.cluster)
+        even.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(part).parquet(self.path)

@@ -124,10 +124,10 @@ def _write_rows(spark, layout: Layout, ok: DataFrame, descriptor: Row, dataset:
     split_rank = F.array_position(F.array(*[F.lit(s) for s in SPLITS]), F.col("split"))
     # One key may come from two splits or categories; the first split, then the first output path, wins.
     rows = R.public_rows(ok, as_of)
-    CatalogueTable(spark, layout.table_path(IMAGES.name), IMAGES, layout.table_buckets).upsert(rows, order=[split_rank, F.col("gcs_uri")])
+    CatalogueTable(spark, layout.table_path(IMAGES.name), IMAGES).upsert(rows, order=[split_rank, F.col("gcs_uri")])
     described = ok.withColumns({
         "run_dataset": F.lit(dataset), "version": F.lit(descriptor.version), "license": F.lit(descriptor.license),
         "gcs_prefix": F.lit(out_root), "source_url": F.lit(descriptor.source_url), "notes": F.lit(descriptor.notes),
     })
     versions = R.dataset_rows(described, as_of)
-    CatalogueTable(spark, layout.table_path(SOURCE_DATASETS.name), SOURCE_DATASETS, buckets=1).upsert(versions)
+    CatalogueTable(spark, layout.table_path(SOURCE_DATASETS.name), SOURCE_DATASETS).upsert(versions)

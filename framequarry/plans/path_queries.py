@@ -222,7 +222,7 @@ def _shaped_time():
 @query("iso_times", f"SELECT event_id, {_SHAPES} AS at_us FROM events")
 def iso_times(spark, sf):
     events = table(spark, sf, "events").withColumn("said", _shaped_time())
-    return events.select("event_id", F.unix_micros(TM.iso_time(F.col("said"))).alias("at_us"))
+    return TM.with_iso_times(events, at=F.col("said")).select("event_id", F.unix_micros("at").alias("at_us"))
 
 
 @query("session_metadata_times", f"""
@@ -242,7 +242,8 @@ def session_metadata_times(spark, sf):
         .when(F.col("event_type") == "signup", F.to_json(F.array(second)))
     )
     session = F.concat(F.date_format("ts", "yyyyMMdd'T'HHmm'Z'"), F.lit("__usr__01"))
-    return events.select("event_id", F.unix_micros(TM.captured_at(meta, session)).alias("captured_us"))
+    timed = TM.with_captured_at(events.select("event_id", meta.alias("meta"), session.alias("session")), "at", F.col("meta"), F.col("session"))
+    return timed.select("event_id", F.unix_micros("at").alias("captured_us"))
 
 
 @query("run_times", """

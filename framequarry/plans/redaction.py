@@ -54,10 +54,10 @@ def redact_user_images(
     is cut short keeps what it has finished; a rerun takes up the rest through the same anti-join.
     """
     as_of = epoch_time(epoch)
-    audit = CatalogueTable(spark, layout.table_path(USER_IMAGES_PRIVACY.name), USER_IMAGES_PRIVACY, layout.table_buckets)
-    images = CatalogueTable(spark, layout.table_path(IMAGES.name), IMAGES, layout.table_buckets)
+    audit = CatalogueTable(spark, layout.table_path(USER_IMAGES_PRIVACY.name), USER_IMAGES_PRIVACY)
+    images = CatalogueTable(spark, layout.table_path(IMAGES.name), IMAGES)
     objects = list_objects(spark, layout.raw_user.rstrip("/") + "/")
-    targets = PD.unprocessed(raw_frames(objects, layout), audit.read(), as_of)
+    targets = PD.unprocessed(raw_frames(objects, layout), audit.scan(), as_of)
     # Staged, because the audit changes while the slices are worked off.
     targets = stage(PD.first_by(targets, "raw_uri", limit), "redaction-targets")
     rows = targets.count()

@@ -12,7 +12,7 @@ from ..operators import review as RV
 from ..operators import rows as R
 from ..operators import sequences as S
 from ..operators import tables as TB
-from ..schemas import IMAGES
+from ..schemas import IMAGES, USER_IMAGES_PRIVACY
 from ..session import shared_dir
 from .registry import query, table
 
@@ -90,6 +90,20 @@ def pending_window(spark, sf):
     return PD.unprocessed(seen.select("image_id").distinct(), seen, epoch_time(AS_OF))
 
 
+@query("pending_window_dates", """
+WITH keys AS (SELECT user_id || '/' || event_type AS image_id, max(ts) AS ts FROM events GROUP BY 1)
+SELECT image_id FROM keys WHERE ts < TIMESTAMP '2024-01-29 00:00:00'""")
+def pending_window_dates(spark, sf):
+    """The same from the stored audit, of which only the days of the window are opened; a second upsert moves half of its rows to other days."""
+    audit = TB.CatalogueTable(spark, shared_dir(spark, "audit"), USER_IMAGES_PRIVACY)
+    seen = table(spark, sf, "events").groupBy(F.concat(F.col("user_id").cast("string"), F.lit("/"), "event_type").alias("image_id")).agg(
+        F.max("ts").alias("processed_at"), F.min("ts").alias("first"),
+    )
+    audit.upsert(seen.select("image_id", F.col("first").alias("processed_at")))
+    audit.upsert(seen.select("image_id", "processed_at"))
+    return PD.unprocessed(seen.select("image_id"), audit.scan(), epoch_time(AS_OF))
+
+
 @query("retention_expired", """
 SELECT event_id FROM events e WHERE ts < TIMESTAMP '2024-01-30 00:00:00'
   AND NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_orderkey = e.event_id AND o.o_orderstatus = 'F')""")
@@ -121,7 +135,7 @@ def upsert_overlay(spark, sf):
 @query("upsert_table", _UPSERTED_SQL)
 def upsert_table(spark, sf):
     """The same through a stored table, with the second upsert sent twice."""
-    images = TB.CatalogueTable(spark, shared_dir(spark, "images"), IMAGES, buckets=16)
+    images = TB.CatalogueTable(spark, shared_dir(spark, "images"), IMAGES)
     images.upsert(_images(spark, sf))
     images.upsert(_label_images(spark, sf))
     images.upsert(_label_images(spark, sf))
@@ -140,7 +154,7 @@ def upsert_null_keys(spark, sf):
         F.when(F.col("role") != "system", F.col("conv_id").cast("string")).alias("image_id"),
         F.col("role").alias("source"), F.col("turn").alias("width"),
     )
-    images = TB.CatalogueTable(spark, shared_dir(spark, "images"), IMAGES, buckets=8)
+    images = TB.CatalogueTable(spark, shared_dir(spark, "images"), IMAGES)
     for _ in range(2):
         images.upsert(rows, order=[-F.col("width")])
     return images.read().select("image_id", "source", "width")

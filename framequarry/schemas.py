@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -15,12 +16,30 @@ def _struct(*columns: tuple[str, T.DataType]) -> T.StructType:
 
 @dataclass(frozen=True)
 class TableSpec:
-    """A table: its schema, its key and the columns its files are sorted by (for scan pruning)."""
+    """A table: its schema, its key, the columns its files are sorted by (for scan pruning), and its partitions.
+
+    A table is partitioned by the date of the time column `dated_by`, or else by `groups` hash groups of the key. The
+    number of groups holds for the life of the table.
+    """
 
     name: str
     schema: T.StructType
     key: tuple[str, ...]
     cluster: tuple[str, ...] = field(default=())
+    dated_by: str | None = None
+    groups: int = 16
+
+    @property
+    def partition(self) -> tuple[str, T.DataType]:
+        """Name and type of the partition column, for instance `processed_date` of a table dated by `processed_at`."""
+        return (f"{self.dated_by.removesuffix('_at')}_date", T.DateType()) if self.dated_by else ("key_group", T.IntegerType())
+
+    def partition_value(self) -> Column:
+        if self.dated_by:
+            return F.to_date(self.dated_by)
+        # Rows with an incomplete key never match, so they may go anywhere: spread them by content.
+        spread = F.when(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in self.key]), F.xxhash64(*self.key))
+        return F.pmod(F.coalesce(spread, F.xxhash64(*self.schema.names)), F.lit(self.groups)).cast("int")
 
 
 IMAGES = TableSpec(
@@ -32,6 +51,7 @@ IMAGES = TableSpec(
     ),
     ("image_id",),
     ("source", "dataset", "user_id"),
+    dated_by="ingested_at",
 )
 
 SOURCE_DATASETS = TableSpec(
@@ -41,6 +61,7 @@ SOURCE_DATASETS = TableSpec(
         ("gcs_prefix", STRING), ("normalized_at", TIME), ("notes", STRING),
     ),
     ("dataset", "version"),
+    groups=1,
 )
 
 USER_IMAGES_PRIVACY = TableSpec(
@@ -52,6 +73,7 @@ USER_IMAGES_PRIVACY = TableSpec(
     ),
     ("image_id",),
     ("processed_at",),
+    dated_by="processed_at",
 )
 
 CLASSIFICATIONS = TableSpec(
@@ -63,6 +85,7 @@ CLASSIFICATIONS = TableSpec(
     ),
     ("image_id",),
     ("road_geometry", "weather"),
+    dated_by="classified_at",
 )
 
 LABEL_REVIEW_STATUS = TableSpec(
@@ -73,6 +96,7 @@ LABEL_REVIEW_STATUS = TableSpec(
     ),
     ("image_id",),
     ("status",),
+    dated_by="created_at",
 )
 
 USER_IDENTITY = TableSpec(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,10 +36,14 @@ def use_utc(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """New folder path in storage that all executors share, removed when the application ends.
 
-    The folder is the one the cluster names in `spark.checkpoint.dir`. Where that is unset it is the warehouse
-    folder, which a cluster shares as well; a temporary folder of one machine is never used.
+    The folder is the one the cluster names in `spark.checkpoint.dir`; a cluster that names none is refused. Only
+    a session on one machine (`local[...]`) may leave it unset, and then uses its warehouse folder.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_staged"
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_staged"
     path = f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)

@@ -24,7 +24,7 @@ def spark(tmp_path_factory):
 @pytest.fixture
 def lake(tmp_path):
     """Empty object roots and tables in a fresh folder."""
-    return Layout(*[str(tmp_path / n) for n in ("raw-public", "public", "raw-user", "user", "tables")], table_buckets=4)
+    return Layout(*[str(tmp_path / n) for n in ("raw-public", "public", "raw-user", "user", "tables")])
 
 
 def write(root, files):

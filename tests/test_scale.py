@@ -1,8 +1,11 @@
 """Plans and skew: what the physical plan must and must not contain, and hot groups against brute force."""
 
+from datetime import datetime
+
 from pyspark.sql import functions as F
 
 from framequarry.operators import pending as PD
+from framequarry.operators.bloom import Bloom
 from framequarry.operators import sequences as S
 from framequarry.operators.tables import CatalogueTable
 from framequarry.functions.times import epoch_time
@@ -13,6 +16,7 @@ from framequarry.session import OBJECTS_PER_TASK, spread
 from framequarry.sources.sessions import with_session_start
 
 SF = "/root/testdata/sf0.001"
+AS_OF = datetime(2024, 1, 31)
 
 
 def plan(df):
@@ -37,13 +41,19 @@ def test_source_filter_reaches_the_scan(spark):
 
 
 def test_redo_window_reaches_the_scan(spark, tmp_path):
-    audit = CatalogueTable(spark, str(tmp_path), USER_IMAGES_PRIVACY, 2)
-    audit.upsert(spark.createDataFrame([("a",)], "image_id string").withColumn("processed_at", epoch_time(1700000000)))
-    df = PD.unprocessed(spark.createDataFrame([("a",)], "image_id string"), audit.read(), epoch_time(1700000000))
+    audit = CatalogueTable(spark, str(tmp_path), USER_IMAGES_PRIVACY)
+    for day in range(4):
+        audit.upsert(spark.createDataFrame([("ab"[day // 3],)], "image_id string").withColumn("processed_at", epoch_time(1700000000 - day * 86400 * 3)))
+        audit.upsert(spark.createDataFrame([(f"d{day}",)], "image_id string").withColumn("processed_at", epoch_time(1700000000 - day * 86400 * 3)))
+    df = PD.unprocessed(spark.createDataFrame([("a",)], "image_id string"), audit.scan(), epoch_time(1700000000))
     reads = " ".join(scans(df))
     assert "al(processed_at,2023-11-12 22:13:20.0)" in reads and "ReadSchema: struct<image_id:string,processed_at:timestamp>" in reads
-    assert df.count() == 0
-    assert PD.unprocessed(spark.createDataFrame([("a",)], "image_id string"), audit.read(), epoch_time(1700000000 + 48 * 3600 + 1)).count() == 1
+    # Only the day with the window's rows is opened, of the four that the table has.
+    assert "(processed_date#" in reads.partition("PartitionFilters")[2] and ">= 2023-11-12)" in reads
+    recent = audit.scan().filter((F.col("processed_date") >= F.to_date(epoch_time(1700000000) - F.expr(PD.REDO_AFTER))))
+    assert len({r.f.rpartition("/")[0] for r in recent.select(F.col("_metadata.file_path").alias("f")).collect()}) == 1
+    assert PD.unprocessed(spark.createDataFrame([("d0",)], "image_id string"), audit.scan(), epoch_time(1700000000)).count() == 0
+    assert PD.unprocessed(spark.createDataFrame([("d0",)], "image_id string"), audit.scan(), epoch_time(1700000000 + 48 * 3600 + 1)).count() == 1
 
 
 def test_event_window_reaches_the_scan(spark):
@@ -108,7 +118,36 @@ def test_images_without_a_user_skip_the_join(spark):
     images = spark.createDataFrame([("a", None), ("b", None), ("c", "u"), ("d", "v")], "image_id string, user_id string")
     identity = spark.createDataFrame([("u", 1), ("v", None)], "user_id string, revoked_at int")
     df = PD.without_revoked(images, identity)
-    assert sorted(r.image_id for r in df.collect()) == ["a", "b", "d"]
+    assert sorted(r.image_id for r in df.collect()) == ["a", "b", "d"] and df.columns == images.columns
+
+
+def test_images_are_read_once_for_withdrawn_users(spark, tmp_path):
+    path = str(tmp_path / "images")
+    users = F.when(F.col("id") % 3 > 0, F.concat(F.lit("u"), (F.col("id") % 1000).cast("string")))
+    spark.range(0, 30000, 1, 4).select(F.col("id").cast("string").alias("image_id"), users.alias("user_id")).write.parquet(path)
+    images = spark.read.parquet(path)
+    identity = spark.range(200).select(F.concat(F.lit("u"), (F.col("id") * 7).cast("string")).alias("user_id"), F.when(F.col("id") % 2 == 0, F.lit(AS_OF)).alias("revoked_at"))
+    gone = {f"u{i * 7}" for i in range(0, 200, 2)}
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        for limit in (before, "-1"):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+            df = PD.without_revoked(images, identity)
+            assert "LeftAnti" in plan(df) and len([line for line in scans(df) if path in line]) == 1
+            assert ("Exchange hashpartitioning(_owner" in plan(df)) == (limit == "-1")
+            got = {r.image_id for r in df.collect()}
+            assert got == {str(i) for i in range(30000) if i % 3 == 0 or f"u{i % 1000}" not in gone}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_bloom_filter_rejects_most_and_no_key_wrongly(spark):
+    held = spark.range(0, 5000).select(F.col("id").cast("string").alias("k"))
+    bloom = Bloom(held.unionByName(spark.createDataFrame([(None,)], "k string")), "k")
+    told = spark.range(0, 50000).select(F.col("id"), bloom.may_hold(F.col("id").cast("string")).alias("may"))
+    assert told.filter("id < 5000 and not may").count() == 0 and told.filter("id >= 5000 and may").count() < 45000 * 0.05
+    assert not spark.createDataFrame([(None,)], "k string").select(bloom.may_hold(F.col("k"))).first()[0]
+    assert not spark.range(1).select(Bloom(held.limit(0), "k").may_hold(F.lit("x"))).first()[0]
 
 
 def test_object_tasks_follow_the_number_of_rows(spark):

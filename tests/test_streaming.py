@@ -67,7 +67,7 @@ def test_a_late_row_does_not_replace_a_later_one(spark, tmp_path):
     from framequarry.streaming.upserts import upsert_stream
 
     spec = TableSpec("latest", T.StructType([T.StructField("user_id", T.LongType()), T.StructField("event_id", T.LongType())]), ("user_id",))
-    latest = CatalogueTable(spark, str(tmp_path / "table"), spec, buckets=2)
+    latest = CatalogueTable(spark, str(tmp_path / "table"), spec)
     for number, rows in enumerate([[(1, 9), (2, 4)], [(1, 3), (2, 5)]]):
         spark.createDataFrame(rows, spec.schema).write.mode("append").parquet(str(tmp_path / "in"))
         stream = spark.readStream.schema(spec.schema).parquet(str(tmp_path / "in"))

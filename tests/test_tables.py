@@ -1,3 +1,5 @@
+from pathlib import Path
+
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F, types as T
@@ -24,7 +26,7 @@ ROWS = st.lists(st.tuples(st.sampled_from("pqrstu"), st.sampled_from("xyz"), st.
 @settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
 @given(first=ROWS, second=ROWS)
 def test_upsert_is_idempotent_and_keeps_keys(spark, tmp_path_factory, first, second):
-    table = TB.CatalogueTable(spark, str(tmp_path_factory.mktemp("t")), SPEC, buckets=3)
+    table = TB.CatalogueTable(spark, str(tmp_path_factory.mktemp("t")), SPEC)
     assert table.upsert(frame(spark, first)) == len(first)
     table.upsert(frame(spark, second))
     once = rows(table.read())
@@ -34,7 +36,7 @@ def test_upsert_is_idempotent_and_keeps_keys(spark, tmp_path_factory, first, sec
 
 
 def test_absent_columns_become_null(spark, tmp_path):
-    table = TB.CatalogueTable(spark, str(tmp_path), SPEC, buckets=2)
+    table = TB.CatalogueTable(spark, str(tmp_path), SPEC)
     table.upsert(frame(spark, [("p", "1", "2")]))
     table.upsert(frame(spark, [("p", "9", "ignored")], "k string, a string, extra string"))
     assert rows(table.read()) == [("p", "9", None)]
@@ -43,81 +45,90 @@ def test_absent_columns_become_null(spark, tmp_path):
 def test_no_rows_no_write(spark, tmp_path):
     table = TB.CatalogueTable(spark, str(tmp_path / "t"), SPEC)
     assert table.upsert(frame(spark, [])) == 0
-    assert table.snapshot().number == 0 and table.read().count() == 0
+    assert not (tmp_path / "t").exists() and table.read().count() == 0
 
 
 def test_null_keys_are_always_added(spark, tmp_path):
-    table = TB.CatalogueTable(spark, str(tmp_path), SPEC, buckets=2)
+    table = TB.CatalogueTable(spark, str(tmp_path), SPEC)
     for _ in range(2):
         table.upsert(frame(spark, [(None, "1", None), (None, "1", None), ("p", "1", None)]))
     assert rows(table.read()) == sorted([("p", "1", None)] + [(None, "1", None)] * 4, key=str)
 
 
 def test_key_only_table(spark, tmp_path):
-    table = TB.CatalogueTable(spark, str(tmp_path), KEYS_ONLY, buckets=2)
+    table = TB.CatalogueTable(spark, str(tmp_path), KEYS_ONLY)
     table.upsert(frame(spark, [("p",), ("q",)], "k string"))
     table.upsert(frame(spark, [("q",), ("r",)], "k string"))
     assert rows(table.read()) == [("p",), ("q",), ("r",)]
 
 
-def test_untouched_buckets_stay_in_place(spark, tmp_path):
-    table = TB.CatalogueTable(spark, str(tmp_path), SPEC, buckets=16)
-    table.upsert(frame(spark, [(c, "1", None) for c in "pqrstuvw"]))
-    before = table.snapshot().folders
-    table.upsert(frame(spark, [("p", "2", None)]))
-    after = table.snapshot().folders
-    assert sum(before[b] != after[b] for b in before) == 1 and before.keys() == after.keys()
+def files(table):
+    """{partition folder: names of its files}."""
+    found = {}
+    for p in Path(table.path).rglob("*.parquet"):
+        found.setdefault(p.parent.name, set()).add(p.name)
+    return found
 
 
-def test_new_keys_rewrite_nothing(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(TB, "MOST_FOLDERS", 3)
-    table = TB.CatalogueTable(spark, str(tmp_path), SPEC, buckets=4)
+def test_new_keys_rewrite_no_file(spark, tmp_path):
+    table = TB.CatalogueTable(spark, str(tmp_path), SPEC)
 
     def new(lo, hi):
         return spark.range(lo, hi).selectExpr("'n' || id AS k", "'1' AS a", "'2' AS b")
 
     table.upsert(new(0, 500))
-    first = table.snapshot().folders
-    table.upsert(new(500, 700))
-    after = table.snapshot().folders
-    assert all(len(after[b]) == 2 and after[b][0] == first[b][0] for b in first) and table.read().count() == 700
+    first = files(table)
+    assert table.upsert(new(500, 700)) == 200
+    after = files(table)
+    assert all(first[part] < after[part] for part in first) and table.read().count() == 700
     table.upsert(frame(spark, [("n3", "9", None), ("n900", "9", None)]))
-    again = table.snapshot().folders
-    assert len([b for b in after if not set(after[b]) <= set(again[b])]) == 1
+    again = files(table)
+    replaced = [part for part in after if not after[part] <= again[part]]
+    assert len(replaced) == 1 and not after[replaced[0]] & again[replaced[0]]
     assert table.read().count() == 701 and table.read().filter("k = 'n3'").first().a == "9"
-    for i in range(TB.MOST_FOLDERS):
-        table.upsert(frame(spark, [(f"m{i}-{j}", "1", None) for j in range(12)]))
-    assert max(map(len, table.snapshot().folders.values())) <= TB.MOST_FOLDERS and table.read().count() == 701 + 12 * TB.MOST_FOLDERS
 
 
-def test_other_writer_is_noticed(spark, tmp_path):
-    table = TB.CatalogueTable(spark, str(tmp_path), SPEC, buckets=1)
-    table.upsert(frame(spark, [("p", "1", None)]))
-    stale = table.snapshot()
-    table.upsert(frame(spark, [("q", "1", None)]))
-    with pytest.raises(TB.SnapshotTaken):
-        table._replace(align(frame(spark, [("r", "1", None)]), SPEC.schema), stale)
-    assert rows(table.read()) == [("p", "1", None), ("q", "1", None)]
-    # A retry starts from the newer snapshot and loses nothing.
-    table.upsert(frame(spark, [("r", "1", None)]))
-    assert [r[0] for r in rows(table.read())] == ["p", "q", "r"]
+def day(spark, values):
+    return frame(spark, values, "image_id string, width long, day string").withColumn("ingested_at", F.to_timestamp("day"))
+
+
+def test_rows_move_between_dates(spark, tmp_path):
+    table = TB.CatalogueTable(spark, str(tmp_path), IMAGES)
+    table.upsert(day(spark, [("a", 1, "2024-01-01"), ("b", 1, "2024-01-02"), ("c", 1, "2024-01-02"), ("d", 1, "2024-01-03"), ("e", 1, None)]))
+    before = files(table)
+    assert before.keys() == {f"ingested_date={d}" for d in ("2024-01-01", "2024-01-02", "2024-01-03", "__HIVE_DEFAULT_PARTITION__")}
+    # a and e leave their dates empty, b leaves c behind; the third day is not opened.
+    table.upsert(day(spark, [("a", 2, "2024-01-04"), ("b", 2, "2024-01-04"), ("e", 2, "2024-01-02")]))
+    after = files(table)
+    assert after.keys() == {f"ingested_date=2024-01-0{d}" for d in (2, 3, 4)} and after["ingested_date=2024-01-03"] == before["ingested_date=2024-01-03"]
+    got = {(r.image_id, r.width, str(r.ingested_date)) for r in table.scan().collect()}
+    assert got == {("a", 2, "2024-01-04"), ("b", 2, "2024-01-04"), ("c", 1, "2024-01-02"), ("d", 1, "2024-01-03"), ("e", 2, "2024-01-02")}
+    table.upsert(day(spark, [("d", 3, None)]))
+    assert {r.image_id: r.width for r in table.read().collect()} == {"a": 2, "b": 2, "c": 1, "d": 3, "e": 2}
+    assert "ingested_date=2024-01-03" not in files(table)
 
 
-def test_write_without_commit_is_invisible(spark, tmp_path, monkeypatch):
-    table = TB.CatalogueTable(spark, str(tmp_path), SPEC, buckets=2)
-    table.upsert(frame(spark, [("p", "1", None)]))
+def test_a_run_that_dies_between_its_writes_is_mended_by_its_repeat(spark, tmp_path, monkeypatch):
+    table = TB.CatalogueTable(spark, str(tmp_path), IMAGES)
+    table.upsert(day(spark, [("a", 1, "2024-01-01"), ("b", 1, "2024-01-01")]))
+    write = TB.CatalogueTable._write
 
-    def crash(self, snapshot):
-        raise KeyboardInterrupt
+    def dies(self, rows, mode):
+        if mode == "overwrite":
+            raise KeyboardInterrupt
+        write(self, rows, mode)
 
-    monkeypatch.setattr(TB.CatalogueTable, "_commit", crash)
+    monkeypatch.setattr(TB.CatalogueTable, "_write", dies)
     with pytest.raises(KeyboardInterrupt):
-        table.upsert(frame(spark, [("p", "2", None), ("q", "2", None)]))
-    assert rows(table.read()) == [("p", "1", None)]
+        table.upsert(day(spark, [("a", 2, "2024-01-02")]))
+    assert {r.image_id for r in table.read().collect()} == {"a", "b"}
+    monkeypatch.undo()
+    table.upsert(day(spark, [("a", 2, "2024-01-02")]))
+    assert sorted((r.image_id, r.width) for r in table.read().collect()) == [("a", 2), ("b", 1)]
 
 
 def test_one_row_per_key_in_a_batch(spark, tmp_path):
-    table = TB.CatalogueTable(spark, str(tmp_path), SPEC, buckets=2)
+    table = TB.CatalogueTable(spark, str(tmp_path), SPEC)
     source = frame(spark, [("p", "z", "1"), ("p", "a", "2"), ("q", "b", "3")])
     assert table.upsert(source, order=[F.col("a")]) == 2
     assert rows(table.read()) == [("p", "a", "2"), ("q", "b", "3")]
@@ -139,16 +150,6 @@ def test_align_types_and_order(spark):
     assert out.schema.names == IMAGES.schema.names and out.first().width == 5 and out.first().split is None
 
 
-def test_merge_for_providers_that_have_it(spark):
-    """A plain Parquet catalog table refuses MERGE, which is why `CatalogueTable` exists."""
-    spark.sql("CREATE TABLE IF NOT EXISTS merge_probe (k STRING, a STRING, b STRING) USING parquet")
-    try:
-        with pytest.raises(Exception, match="(?i)merge"):
-            TB.merge_into(frame(spark, [("p", "1", None)]), "merge_probe", SPEC)
-    finally:
-        spark.sql("DROP TABLE merge_probe")
-
-
 def test_manifests_survive_a_run_that_dies_between_the_renames(spark, tmp_path, monkeypatch):
     root, names = str(tmp_path), ["val/val.txt"]
 
