@@ -95,11 +95,6 @@ def label_text(rounded: Column, epoch: Column) -> Column:
     )
 
 
-def label_struct(rounded: Column, epoch: Column) -> Column:
-    """The label file's content as a typed column."""
-    return F.struct(epoch.cast("bigint").alias("timestamp"), rounded.alias("Lines"))
-
-
 def lane_report(rounded: Column, width: Column, height: Column) -> Column:
     """Lanes, points per lane, extent and, where the size is known, whether every point lies inside."""
     xs = F.flatten(F.transform(rounded, lambda lane: F.transform(lane, lambda p: p.x)))

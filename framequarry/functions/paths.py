@@ -55,12 +55,6 @@ def uri_object(uri: ColumnOrName, scheme: str = "gs") -> Column:
     return F.when(uri_bucket(uri, scheme).isNotNull(), name)
 
 
-def strict_uri_bucket(uri: ColumnOrName, scheme: str = "gs") -> Column:
-    """`uri_bucket`, but a malformed URI fails the job."""
-    message = F.concat(F.lit("malformed object URI: "), F.coalesce(_c(uri), F.lit("NULL")))
-    return F.coalesce(uri_bucket(uri, scheme), F.raise_error(message).cast("string"))
-
-
 def trimmed(part: ColumnOrName) -> Column:
     """Part without slashes at both ends; NULL where there was nothing to begin with."""
     value = F.nullif(_c(part), F.lit(""))

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .text import stripped
 
@@ -42,11 +40,6 @@ def _week_to_calendar(text: Column) -> Column:
     ).otherwise(text)
 
 
-def _bound(value: Column, body: Callable[[Column], Column]) -> Column:
-    """`body` of `value`, with `value` worked out once however often `body` names it."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def _instant(parts: Column) -> Column:
     def part(n: int) -> Column:
         return F.coalesce(F.nullif(F.get(parts, F.lit(n)), F.lit("")), F.lit("00"))
@@ -61,16 +54,22 @@ def _instant(parts: Column) -> Column:
     return F.when(offset < 86400, F.timestamp_micros(F.unix_micros(local) - signed * 1_000_000))
 
 
-def iso_time(text: Column) -> Column:
-    """ISO 8601 text to an instant: basic or extended, date only or with time, offset or UTC; else NULL."""
-    plain = F.replace(stripped(text), F.lit("Z"), F.lit("+00:00"))
-    moment = _bound(plain, _week_to_calendar)
-    return _bound(
-        moment,
-        lambda m: F.when(
-            m.rlike(_MOMENT), _bound(F.split(F.regexp_replace(m, _MOMENT, _PARTS), r"\|"), _instant)
-        ),
-    )
+def with_iso_times(df: DataFrame, **texts: Column) -> DataFrame:
+    """`df` with an instant per name, read from ISO 8601 text: basic or extended, date only or with time, offset or UTC; else NULL.
+
+    What a step needs several times is a column of the projection before it, so it is worked out once per row and all
+    steps stay in generated code; a function over arrays would leave it.
+    """
+    steps = [
+        lambda name: F.replace(stripped(texts[name]), F.lit("Z"), F.lit("+00:00")),
+        lambda name: _week_to_calendar(F.col(f"_{name}_0")),
+        lambda name: F.when(F.col(f"_{name}_1").rlike(_MOMENT), F.split(F.regexp_replace(f"_{name}_1", _MOMENT, _PARTS), r"\|")),
+    ]
+    found = df
+    for number, step in enumerate(steps):
+        found = found.withColumns({f"_{name}_{number}": step(name) for name in texts})
+    kept = [c for c in df.columns if c not in texts]
+    return found.select(*[F.col(f"`{c}`") for c in kept], *[_instant(F.col(f"_{name}_{len(steps) - 1}")).alias(name) for name in texts])
 
 
 def session_time(session_id: Column) -> Column:
@@ -85,19 +84,22 @@ def session_time(session_id: Column) -> Column:
     )
 
 
-def metadata_time(meta: Column) -> Column:
-    """First usable start time in a session's metadata text; NULL for bad JSON or a non-object."""
+def with_metadata_time(df: DataFrame, name: str, meta: Column) -> DataFrame:
+    """`df` with the first usable start time in a session's metadata text; NULL for bad JSON or a non-object."""
 
-    def text_at(document: Column, key: str) -> Column:
-        kind = F.schema_of_variant(F.try_variant_get(document, f"$.{key}", "variant"))
-        return F.when(kind == "STRING", F.try_variant_get(document, f"$.{key}", "string"))
+    def text_at(key: str) -> Column:
+        kind = F.schema_of_variant(F.try_variant_get("_document", f"$.{key}", "variant"))
+        return F.when(kind == "STRING", F.try_variant_get("_document", f"$.{key}", "string"))
 
-    texts = _bound(F.try_parse_json(meta), lambda doc: F.array(*[text_at(doc, key) for key in START_KEYS]))
-    return F.get(F.filter(F.transform(texts, iso_time), lambda t: t.isNotNull()), F.lit(0))
+    read = df.withColumn("_document", F.try_parse_json(meta))
+    timed = with_iso_times(read, **{f"_at_{key}": text_at(key) for key in START_KEYS}).drop("_document")
+    return timed.withColumn(name, F.coalesce(*[F.col(f"_at_{key}") for key in START_KEYS])).drop(*[f"_at_{key}" for key in START_KEYS])
 
 
-def captured_at(meta: Column, session_id: Column) -> Column:
-    return F.coalesce(metadata_time(meta), session_time(session_id))
+def with_captured_at(df: DataFrame, name: str, meta: Column, session_id: Column) -> DataFrame:
+    """`df` with the start of its session: from the metadata text, or else from the session's name."""
+    timed = with_metadata_time(df.withColumn("_session", session_id), "_from_metadata", meta)
+    return timed.withColumn(name, F.coalesce("_from_metadata", session_time(F.col("_session")))).drop("_from_metadata", "_session")
 
 
 def notes_text(source_url: Column, notes: Column) -> Column:

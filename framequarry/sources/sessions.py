@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import paths as P
-from ..functions.times import captured_at
+from ..functions.times import with_captured_at
 from ..session import spread, stage
 from .objects import read_objects
 
@@ -19,7 +19,7 @@ def session_starts(frames: DataFrame, raw_root: str) -> DataFrame:
     sessions = spread(sessions, sessions.count(), "user_id", "session_id")
     uri = P.join_path(F.lit(raw_root), "user_id", "session_id", F.lit("meta.json"))
     read = read_objects(sessions.withColumn("_uri", uri), "_uri", as_text=True)
-    return read.select("user_id", "session_id", captured_at(F.col("content"), F.col("session_id")).alias("captured_at"))
+    return with_captured_at(read, "captured_at", F.col("content"), F.col("session_id")).select("user_id", "session_id", "captured_at")
 
 
 def with_session_start(frames: DataFrame, sessions: DataFrame) -> DataFrame:

@@ -51,14 +51,6 @@ def test_uri_split(spark):
     assert got == [("b", "a/c"), ("b", ""), ("b", ""), (None, None), (None, None), (None, None), ("b", "a//c")]
 
 
-def test_strict_uri_split_raises(spark):
-    import pytest
-
-    assert columns(spark, ["gs://b/a"], P.strict_uri_bucket("p")) == [("b",)]
-    with pytest.raises(Exception, match="malformed object URI"):
-        columns(spark, ["s3://b/a"], P.strict_uri_bucket("p"))
-
-
 def test_categories_and_events(spark):
     lists = ["l/test0_normal.txt", "l/night.txt", "l/test1_.txt", "l/a_b_c.txt"]
     assert [r[0] for r in columns(spark, lists, P.category_name("p"))] == ["normal", "night", "test1_", "b_c"]

@@ -1,4 +1,5 @@
 import json
+import re
 from datetime import datetime, timezone
 
 from hypothesis import HealthCheck, given, settings, strategies as st
@@ -12,6 +13,11 @@ def micros(spark, values, expression):
     return [r[0] for r in df.select(F.unix_micros(expression(F.col("s")))).collect()]
 
 
+def iso_micros(spark, values):
+    df = spark.createDataFrame([(v, v) for v in values], "at string, s string").coalesce(1)
+    return [r.us for r in TM.with_iso_times(df, at=F.col("s")).select("s", F.unix_micros("at").alias("us")).collect()]
+
+
 def python_micros(text):
     try:
         moment = datetime.fromisoformat(text.strip().replace("Z", "+00:00"))
@@ -32,7 +38,7 @@ SPELLINGS = [
 
 
 def test_spellings_like_python(spark):
-    got = micros(spark, SPELLINGS, TM.iso_time)
+    got = iso_micros(spark, SPELLINGS)
     assert dict(zip(SPELLINGS, got)) == {s: python_micros(s) for s in SPELLINGS}
 
 
@@ -40,7 +46,7 @@ def test_spellings_like_python(spark):
 @given(moments=st.lists(st.datetimes(datetime(1971, 1, 1), datetime(2100, 1, 1), timezones=st.none() | st.just(timezone.utc)), min_size=1, max_size=40))
 def test_iso_round_trip(spark, moments):
     texts = [m.isoformat() for m in moments]
-    assert micros(spark, texts, TM.iso_time) == [python_micros(t) for t in texts]
+    assert iso_micros(spark, texts) == [python_micros(t) for t in texts]
 
 
 def test_session_names(spark):
@@ -56,11 +62,24 @@ def test_metadata(spark):
         (json.dumps({"captured_at": "soon", "started_at": None, "start_time": 20260101, "start": "2026-01-02"}), "2026-01-02"),
         (json.dumps({"date": ["2026-01-02"]}), None), (json.dumps({}), None), ("[]", None), ('"2026-01-02"', None), ("{bad", None), ("", None), (None, None),
     ]
-    got = micros(spark, [c[0] for c in cases], TM.metadata_time)
+    df = spark.createDataFrame([(c[0],) for c in cases], "s string").coalesce(1)
+    got = [r[0] for r in TM.with_metadata_time(df, "at", F.col("s")).select(F.unix_micros("at")).collect()]
     assert got == [python_micros(c[1]) if c[1] else None for c in cases]
 
 
 def test_captured_at_falls_back_to_the_name(spark):
     df = spark.createDataFrame([("{bad", "20260314T0830Z__u"), ('{"date": "2026-01-02"}', "20260314T0830Z__u"), (None, "x")], "m string, s string")
-    got = [r[0] for r in df.select(F.unix_micros(TM.captured_at(F.col("m"), F.col("s")))).collect()]
+    timed = TM.with_captured_at(df, "at", F.col("m"), F.col("s"))
+    assert timed.columns == ["m", "s", "at"]
+    got = [r[0] for r in timed.select(F.unix_micros("at")).collect()]
     assert got == [python_micros("2026-03-14T08:30"), python_micros("2026-01-02"), None]
+
+
+def test_all_steps_stand_in_generated_code(spark, tmp_path):
+    spark.createDataFrame([("x", "y")], "m string, s string").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    for timed in (TM.with_iso_times(df, at=F.col("m")), TM.with_captured_at(df, "at", F.col("m"), F.col("s"))):
+        plan = timed._jdf.queryExecution().executedPlan().toString()
+        projects = [line for line in plan.splitlines() if "Project" in line]
+        assert len(projects) > 2 and all(re.search(r"\*\(\d+\) Project", line) for line in projects)
+        assert "lambda" not in plan
