@@ -1,9 +1,14 @@
 """Op 7: join of texts whose word shingle sets have a Jaccard similarity of at least a threshold.
 
-Texts with one set are one node. Any two sets above the threshold share a token of their prefixes (the first
-`n - ceil(t * n) + 1` tokens in a common order), so only nodes with a prefix token in common are candidates. They meet
-in tiles of one token and two neighbouring size bands; inside a tile the bit counts of parity bitmaps bound the overlap
-from above, and what remains is decided by intersecting the sorted sets.
+Texts with one set are one node. Two sets above the threshold share many of the tokens that their beginnings hold in a
+common order; a first round, in the order of the hashes, drops the nodes whose beginning has too few tokens in common
+with any others. Among the nodes that are left all tokens are counted, and the rarest come first in the order of the
+second round: two sets above the threshold share a token of their prefixes (the first `n - ceil(t * n) + 1` tokens), and
+a token that stands late in both leaves too few behind it. A node whose prefix holds only tokens of its own has no links.
+
+Nodes with a prefix token in common meet in tiles of one token and two neighbouring size bands; inside a tile places,
+sizes and the bit counts of parity bitmaps bound the overlap from above, and what remains is decided by intersecting
+the sorted sets.
 
 A large group of near copies is not expanded into its pairs: each node is first compared with the node that leads most
 of its tokens, then in each tile with its nearest nodes of other components, and last with all nodes it is not yet
@@ -26,11 +31,14 @@ from .registry import batch, map_batches, query, read, renamed
 from .slots import in_table, slot_table
 from .words import LOWERED, sequence_hash, texts, windows, words
 
-#: Texts sampled to find tokens that are frequent; the order of tokens decides speed only, never the result.
-SAMPLED_TEXTS = 4000
-FREQUENT_TOKENS = 65536
+#: The first round looks at so many tokens in a hundred more than a prefix holds, and asks for as many in common.
+EXTRA = 8
+#: Tokens of more nodes than this are equally frequent in the order of the second round.
+MOST_COUNTED = 4096
 #: Nodes of one tile that are compared in one piece; larger tiles are cut into blocks, and all pairs of blocks compared.
 TILE_NODES = 1024
+#: Pairs that a task holds before it passes them on.
+PAIRS_HELD = 100_000
 #: Candidates a node proposes per tile before all that are left are compared.
 NEAREST = 2
 _NO_TOKENS = np.empty(0, np.uint64)
@@ -55,13 +63,20 @@ def signature(tokens: np.ndarray) -> bytes | None:
     return hashlib.blake2b(tokens.tobytes(), digest_size=16).digest() if len(tokens) else None
 
 
-def prefix(tokens: np.ndarray, percent: int, frequent: np.ndarray) -> np.ndarray:
-    """48-bit prefix tokens; tokens known to be frequent come last in the order."""
+def _least(n, percent: int):
+    """`ceil(percent * n / 100)`."""
+    return -(-n * percent // 100)
+
+
+def beginning(tokens: np.ndarray, percent: int) -> np.ndarray:
+    """48 bits of each token the first round looks at: of two linked sets, both beginnings hold the asked number of common tokens.
+
+    All but `n - ceil(t * n) + c` tokens of a set follow its beginning. Say the beginning of x ends before that of y:
+    then of the common tokens, at least `ceil(t * n)` (n tokens are in x), at most `ceil(t * n) - c` follow it, and the
+    others stand in both. c grows with n, so it is at least that of the smallest set that can be linked.
+    """
     n = len(tokens)
-    at = np.searchsorted(frequent, tokens)
-    late = frequent[np.minimum(at, len(frequent) - 1)] == tokens if len(frequent) else np.zeros(n, bool)
-    ordered = np.concatenate([tokens[~late], tokens[late]])
-    return ordered[: n - -(-n * percent // 100) + 1] >> np.uint64(16)
+    return tokens[: n - _least(n, percent) + _least(n, min(EXTRA, percent))] >> np.uint64(16)
 
 
 def parity_bits(tokens: np.ndarray) -> bytes:
@@ -81,19 +96,6 @@ def can_link(n_a, n_b, differing, percent: int):
     return (100 + percent) * (n_a + n_b - differing) >= 2 * percent * (n_a + n_b)
 
 
-def frequent_tokens(docs: DataFrame, k: int) -> np.ndarray:
-    share = min(1.0, SAMPLED_TEXTS / max(docs.count(), 1))
-    picked = docs.where(F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(1 << 20)) < int(share * (1 << 20)) + 1).select("text")
-
-    def tokens(part):
-        sets = list(shingle_sets(part.column(0), k))
-        yield batch("token long", pa.array(np.concatenate(sets).view(np.int64)))
-
-    found = map_batches(picked, tokens, "token long").groupBy("token").count().where("count >= 4")
-    rows = found.orderBy(F.desc("count"), "token").limit(FREQUENT_TOKENS).select("token").collect()
-    return np.sort(np.array([r[0] for r in rows], np.int64).view(np.uint64))
-
-
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
     """Tables that hold whole runs of equal values in the first column; the input is sorted by it."""
     kept: list[pa.RecordBatch] = []
@@ -118,33 +120,99 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(kept)
 
 
-def _shared(batches):
-    """Of rows sorted by (token, node): those whose token more than one node has, with the token's smallest node."""
-    last_token, last_node, hub, told = None, None, None, True
-    schema = "token long, node long, hub long"
+def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of (token, node) sorted by token: how many tokens of each node others have too, some at a time."""
+    schema = "node long, hits long"
+    last_token, last_node, told = None, None, True
     for part in batches:
         if not part.num_rows:
             continue
         token, node = (part.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
-        new = np.ones(len(token), bool)
-        new[1:] = token[1:] != token[:-1]
-        new[0] = token[0] != last_token
-        starts = np.flatnonzero(new)
-        group = np.cumsum(new) - 1
-        hubs = np.where(group >= 0, node[starts[np.maximum(group, 0)]] if len(starts) else 0, 0)
-        if hub is not None:
-            hubs = np.where(group < 0, hub, hubs)
-        follows = ~new
-        leads = np.zeros(len(token), bool)
-        leads[:-1] = new[:-1] & follows[1:]
-        keep = follows | leads
-        out = [token[keep], node[keep], hubs[keep]]
-        if not new[0] and not told:
-            out = [np.concatenate([[x], y]) for x, y in zip((last_token, last_node, last_node), out)]
-        if len(out[0]):
-            yield batch(schema, *out)
-        last_token, last_node, hub = int(token[-1]), int(node[-1]), int(hubs[-1])
-        told = bool(keep[-1])
+        follows = np.concatenate([[token[0] == last_token], token[1:] == token[:-1]])
+        leads = np.append(follows[1:], False)
+        keep = node[follows | leads]
+        if follows[0] and not told:
+            keep = np.append(keep, last_node)
+        found, hits = np.unique(keep, return_counts=True)
+        if len(found):
+            yield batch(schema, found, hits)
+        last_token, last_node, told = int(token[-1]), int(node[-1]), bool(follows[-1])
+
+
+_COUNTED = "node long, n long, token long, df long"
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of (token, node, n) sorted by token: the rows of tokens of several nodes, with their number, MOST_COUNTED at most.
+
+    The rows of a token are held until its number is known or has reached that bound.
+    """
+    token = np.empty(0, np.int64)
+    node = n = token
+    reached = None  # a token whose first MOST_COUNTED rows are out
+
+    def ready(size: int) -> Iterator[pa.RecordBatch]:
+        starts = np.flatnonzero(np.concatenate([[True], token[1:size] != token[: size - 1]]))
+        df = np.repeat(np.diff(np.append(starts, size)), np.diff(np.append(starts, size)))
+        df[token[:size] == reached] = MOST_COUNTED
+        keep = df > 1
+        if keep.any():
+            yield batch(_COUNTED, node[:size][keep], n[:size][keep], token[:size][keep], np.minimum(df[keep], MOST_COUNTED))
+
+    for part in batches:
+        if not part.num_rows:
+            continue
+        token, node, n = (np.concatenate([old, part.column(i).to_numpy(zero_copy_only=False)]) for i, old in enumerate((token, node, n)))
+        size = int(np.searchsorted(token, token[-1], "left"))
+        if len(token) - size >= MOST_COUNTED or token[-1] == reached:
+            late, size = int(token[-1]), len(token)
+        else:
+            late = None
+        if size:
+            yield from ready(size)
+        reached = late if late is not None else reached
+        token, node, n = token[size:], node[size:], n[size:]
+    if len(token):
+        yield from ready(len(token))
+
+
+_PREFIX = "token long, node long, n long, pos long"
+
+
+def _prefixes(percent: int):
+    """Of rows as `_counted` gives them, sorted by node: the tokens of each node's prefix that others have too, and their places."""
+
+    def run(batches):
+        for table in _runs(batches):
+            node, n, token, df = (table.column(c).to_numpy() for c in ("node", "n", "token", "df"))
+            order = np.lexsort((token, df, node))
+            node, n, token = node[order], n[order], token[order]
+            starts = np.flatnonzero(np.diff(node, prepend=node[0] - 1))
+            shared = np.diff(np.append(starts, len(node)))
+            first = n[starts] - shared  # tokens of this node alone come first
+            pos = np.arange(len(node)) - np.repeat(starts - first, shared)
+            keep = pos < n - _least(n, percent) + 1
+            if keep.any():
+                yield batch(_PREFIX, token[keep], node[keep], n[keep], pos[keep])
+
+    return run
+
+
+_MET = "token long, node long, n long, pos long, hub long"
+
+
+def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of prefix tokens sorted by (token, node): the same with the token's smallest node."""
+    last_token, hub = None, None
+    for part in batches:
+        if not part.num_rows:
+            continue
+        token, node, n, pos = (part.column(i).to_numpy(zero_copy_only=False) for i in range(4))
+        new = np.concatenate([[token[0] != last_token], token[1:] != token[:-1]])
+        lead = np.maximum.accumulate(np.where(new, np.arange(len(token)), -1))
+        hubs = np.where(lead < 0, hub if hub is not None else 0, node[np.maximum(lead, 0)])
+        yield batch(_MET, token, node, n, pos, hubs)
+        last_token, hub = int(token[-1]), int(hubs[-1])
 
 
 def _tile_pairs(percent: int, nearest: int | None, every: bool = False):
@@ -154,20 +222,22 @@ def _tile_pairs(percent: int, nearest: int | None, every: bool = False):
         for table in _runs(batches):
             tile = table.column("tile").to_numpy()
             cuts = [0, *(np.flatnonzero(tile[1:] != tile[:-1]) + 1).tolist(), len(tile)]
-            node, part, n, own, block, cross = (table.column(c).to_numpy() for c in ("node", "component", "n", "own", "block", "cross"))
+            node, part, n, pos, own, block, cross = (table.column(c).to_numpy() for c in ("node", "component", "n", "pos", "own", "block", "cross"))
             bits = table.column("bits").to_pylist()
-            left, right = [], []
+            left, right, size = [], [], 0
             for lo, hi in zip(cuts, cuts[1:]):
                 if hi - lo < 2 or not every and (part[lo:hi] == part[lo]).all():
                     continue
-                size = min(len(x) for x in bits[lo:hi])
-                maps = np.stack([folded(x, size) for x in bits[lo:hi]])
+                width = min(len(x) for x in bits[lo:hi])
+                maps = np.stack([folded(x, width) for x in bits[lo:hi]])
                 for i in range(lo, hi - 1):
                     rest = slice(i + 1, hi)
                     ok = (every | (part[rest] != part[i])) & (own[rest] | own[i]) & (node[rest] != node[i])
                     if cross[i]:
                         ok &= block[rest] != block[i]
                     ok &= can_link(n[rest], n[i], np.abs(n[rest] - n[i]), percent)
+                    # What the first common token of two sets leaves in the shorter rest bounds their overlap.
+                    ok &= (100 + percent) * np.minimum(n[rest] - pos[rest], n[i] - pos[i]) >= percent * (n[rest] + n[i])
                     at = np.flatnonzero(ok)
                     if not len(at):
                         continue
@@ -179,6 +249,10 @@ def _tile_pairs(percent: int, nearest: int | None, every: bool = False):
                     other = node[rest][at]
                     left.append(np.minimum(other, node[i]))
                     right.append(np.maximum(other, node[i]))
+                    size += len(at)
+                    if size >= PAIRS_HELD:
+                        yield batch("a long, b long", np.concatenate(left), np.concatenate(right))
+                        left, right, size = [], [], 0
             if left:
                 yield batch("a long, b long", np.concatenate(left), np.concatenate(right))
 
@@ -233,68 +307,76 @@ def jaccard_links(df: DataFrame, id_column: str = "doc_id", text_column: str = "
 
 
 def _joined(df: DataFrame, id_column: str, text_column: str, k: int, percent: int, every: bool) -> DataFrame:
-    docs = renamed(df, doc_id=id_column, text=text_column).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    frequent = frequent_tokens(docs, k)
+    docs = renamed(df, doc_id=id_column, text=text_column).select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("which"))
+    sketched = "doc_id long, which long, n long, sig binary, beginning binary"
 
     def sketch(part):
-        sets = list(shingle_sets(part.column("text"), k))
-        yield batch(
-            "doc_id long, n long, sig binary, prefix binary, bits binary", part.column("doc_id"), [len(s) for s in sets],
-            [signature(s) for s in sets], [prefix(s, percent, frequent).astype(np.uint64).view(np.uint8).reshape(-1, 8)[:, :6].tobytes() for s in sets],
-            [parity_bits(s) for s in sets],
-        )
+        for sets, rows in _chunks(part):
+            packed = [beginning(s, percent).astype(np.uint64).view(np.uint8).reshape(-1, 8)[:, :6].tobytes() for s in sets]
+            yield batch(sketched, rows.column("doc_id"), rows.column("which"), [len(s) for s in sets], [signature(s) for s in sets], packed)
 
     def member(part):
-        sets = list(shingle_sets(part.column("text"), k))
-        yield batch("doc_id long, n_shingles long, sig binary", part.column("doc_id"), [len(s) for s in sets], [signature(s) for s in sets])
+        for sets, rows in _chunks(part):
+            yield batch("doc_id long, n_shingles long, sig binary", rows.column("doc_id"), [len(s) for s in sets], [signature(s) for s in sets])
+
+    def _chunks(part):
+        """The sets of some rows at a time."""
+        sets, first = [], 0
+        for tokens in shingle_sets(part.column("text"), k):
+            sets.append(tokens)
+            if len(sets) == 512 or first + len(sets) == part.num_rows:
+                yield sets, part.slice(first, len(sets))
+                first, sets = first + len(sets), []
 
     nodes = stage(
-        map_batches(docs, sketch, "doc_id long, n long, sig binary, prefix binary, bits binary").where("sig is not null")
-        .groupBy("sig").agg(F.min("doc_id").alias("label"), F.count("*").alias("copies"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("bits").alias("bits"))
+        map_batches(docs, sketch, sketched).where("sig is not null")
+        .groupBy("sig").agg(
+            F.min("doc_id").alias("label"), F.min(F.struct(F.coalesce("doc_id", F.lit(0)).alias("key"), "which")).alias("place"),
+            F.count("*").alias("copies"), F.first("n").alias("n"), F.first("beginning").alias("beginning"),
+        )
         .withColumn("node", F.monotonically_increasing_id()),
         "nodes",
     )
 
-    def tokens(part):
-        packed, at = part.column("prefix").to_pylist(), part.column("node").to_numpy()
+    def begin(part):
+        packed, at = part.column("beginning").to_pylist(), part.column("node").to_numpy()
         wide = np.zeros((sum(map(len, packed)) // 6, 8), np.uint8)
         wide[:, :6] = np.frombuffer(b"".join(packed), np.uint8).reshape(-1, 6)
         yield batch("token long, node long", wide.reshape(-1).view(np.int64), np.repeat(at, [len(x) // 6 for x in packed]))
 
-    shared = stage(
-        map_batches(nodes.select("node", "prefix"), tokens, "token long, node long")
-        .repartition("token").sortWithinPartitions("token", "node").mapInArrow(_shared, "token long, node long, hub long"),
-        "shared",
-    )
-    light = nodes.select("node", "n", "bits")
+    first_round = map_batches(nodes.select("node", "beginning"), begin, "token long, node long").repartition("token").sortWithinPartitions("token")
+    hits = first_round.mapInArrow(_repeated, "node long, hits long").groupBy("node").agg(F.sum("hits").alias("hits"))
+    extra = min(EXTRA, percent)
+    asked = F.ceil(F.ceil(F.col("n") * percent / 100) * extra / 100)
+    wanted = stage(hits.join(nodes.select("node", "n", "place"), "node").where(F.col("hits") >= asked).select("node", "place.*"), "wanted")
+    table = slot_table(wanted, F.xxhash64("key", "which"))
+
+    def pick(part):
+        ok = pa.array(in_table(table, part.column("slot").to_numpy()))
+        yield batch("key long, which long, text string", *(part.column(c).filter(ok) for c in ("key", "which", "text")))
 
-    keyed = docs.select(F.coalesce("doc_id", F.lit(0)).alias("key"), "text")
+    kept = "node long, n long, tokens binary, bits binary"
 
-    def sets_of(pairs: DataFrame) -> DataFrame:
-        """The sets of the nodes in some pairs, from the text of a document of each; a bit table lets few other texts through."""
-        ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-        wanted = stage(ends.join(nodes.select("node", "label", "sig"), "node").select("node", F.coalesce("label", F.lit(0)).alias("key"), "sig"), "wanted")
-        table = slot_table(wanted, F.xxhash64("key"))
+    def whole(part):
+        for found, rows in _chunks(part):
+            yield batch(kept, rows.column("node"), [len(t) for t in found], [t.tobytes() for t in found], [parity_bits(t) for t in found])
 
-        def pick(part):
-            ok = in_table(table, part.column("slot").to_numpy())
-            yield batch("key long, text string", *(part.column(c).filter(pa.array(ok)) for c in ("key", "text")))
+    # The sets of the nodes that are left, from the text of a document of each; a bit table lets few other texts through.
+    keyed = docs.select(F.coalesce("doc_id", F.lit(0)).alias("key"), "which", "text").withColumn("slot", F.xxhash64("key", "which"))
+    few = map_batches(keyed, pick, "key long, which long, text string").join(wanted, ["key", "which"])
+    sets = stage(map_batches(few.groupBy("key", "which", "node").agg(F.first("text").alias("text")), whole, kept), "sets")
+    light = sets.select("node", "n", "bits")
 
-        def sets(part):
-            found, nodes_of = [], []
-            for tokens, sig, at in zip(shingle_sets(part.column("text"), k), part.column("sig").to_pylist(), part.column("node").to_pylist()):
-                if signature(tokens) == sig:
-                    found.append(tokens.tobytes())
-                    nodes_of.append(at)
-            yield batch("node long, tokens binary", nodes_of, found)
+    def every_token(part):
+        held = part.column("tokens").to_pylist()
+        sizes = [len(x) // 8 for x in held]
+        yield batch("token long, node long, n long", np.frombuffer(b"".join(held), np.int64), np.repeat(part.column("node").to_numpy(), sizes), np.repeat(sizes, sizes))
 
-        few = map_batches(keyed.withColumn("slot", F.xxhash64("key")), pick, "key long, text string")
-        once = few.join(wanted, "key").groupBy("key", "node", "sig", F.xxhash64("text").alias("which")).agg(F.first("text").alias("text"))
-        return stage(map_batches(once, sets, "node long, tokens binary"), "sets")
+    second_round = map_batches(sets.select("node", "tokens"), every_token, "token long, node long, n long").repartition("token").sortWithinPartitions("token")
+    prefixes = second_round.mapInArrow(_counted, _COUNTED).repartition("node").sortWithinPartitions("node").mapInArrow(_prefixes(percent), _PREFIX)
+    shared = stage(prefixes.repartition("token").sortWithinPartitions("token", "node").mapInArrow(_met, _MET), "shared")
 
     def linked(pairs: DataFrame) -> DataFrame:
-        pairs = stage(pairs, "pairs")
-        sets = sets_of(pairs)
         left = sets.select(F.col("node").alias("a"), F.col("tokens").alias("set_a"))
         right = sets.select(F.col("node").alias("b"), F.col("tokens").alias("set_b"))
         return map_batches(pairs.join(left, "a").join(right, "b").select("a", "b", "set_a", "set_b"), _linked(percent), "a long, b long")
@@ -314,7 +396,7 @@ def _joined(df: DataFrame, id_column: str, text_column: str, k: int, percent: in
 
     def tile_pairs(nearest: int | None) -> DataFrame:
         """Pairs of nodes of two components that share a token and can link by size and bits, or each node's nearest of them."""
-        placed = shared.select("token", "node").join(parts, "node", "left").select("token", "node", F.coalesce("component", "node").alias("component"))
+        placed = shared.join(parts, "node", "left").select("token", "node", "n", "pos", F.coalesce("component", "node").alias("component"))
         between = (
             placed.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("size"))
             .where(F.lit(every) | (F.col("lo") < F.col("hi"))).select("token", "size")
@@ -322,12 +404,12 @@ def _joined(df: DataFrame, id_column: str, text_column: str, k: int, percent: in
         band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent)))
         blocks = F.greatest(F.lit(1), F.ceil(F.col("size") / TILE_NODES)).cast("int")
         tiles = (
-            placed.join(between, "token").join(light, "node")
+            placed.join(between, "token").join(light.select("node", "bits"), "node")
             .withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
             .withColumn("own", F.explode(F.array(F.lit(True), F.lit(False)))).withColumn("band", band + F.when(F.col("own"), 0).otherwise(1))
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
             .select(
-                F.xxhash64("token", "band", F.least("block", "other"), F.greatest("block", "other")).alias("tile"), "node", "component", "n", "own",
+                F.xxhash64("token", "band", F.least("block", "other"), F.greatest("block", "other")).alias("tile"), "node", "component", "n", "pos", "own",
                 "block", (F.col("block") != F.col("other")).alias("cross"), "bits",
             )
         )
