@@ -2,58 +2,25 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.paths import is_user_image
-from ..session import shared_dir, small_frame, spread
+from ..session import stage
+from .listing import Objects
 from .store import THREADS, Store, extended, pieces, problem
 
-_ENTRIES = "path string, is_folder boolean, length long, modificationTime timestamp"
-
-
-def _list_folders(batches: Iterator) -> Iterator:
-    import pyarrow as pa
-
-    store = Store()
-    for batch in batches:
-        for row in batch.to_pylist():
-            found = store.children(row["folder"], row["prefix"])
-            for start in range(0, len(found), 10_000):
-                part = found[start:start + 10_000]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([e[0] for e in part], pa.string()), pa.array([e[1] for e in part], pa.bool_()),
-                        pa.array([e[2] if e[2] is not None and not e[1] else None for e in part], pa.int64()),
-                        pa.array([e[3] for e in part], pa.timestamp("us", tz="UTC")),
-                    ],
-                    names=["path", "is_folder", "length", "modificationTime"],
-                )
-
-
 def list_objects(spark: SparkSession, *prefixes: str) -> DataFrame:
     """All objects whose URI starts with one of the prefixes: path, length, modificationTime.
 
-    A prefix is text, not a folder: `x/images` also finds `x/images2/a`. A missing prefix gives no rows.
-    The tree is listed level by level. Every level is one job over all folders of that level, so a folder
-    that holds most of the tree is spread over tasks through its subfolders, and neither the driver nor a
-    file index ever holds the listing. Each level is written once to the shared folder.
+    A prefix is text, not a folder: `x/images` also finds `x/images2/a`. A missing prefix gives no rows. The tree is
+    listed once, by a data source that cuts it into folders and shares of large folders, and kept in the shared folder.
     """
-    base = shared_dir(spark, "listing")
-    starts = [(p.rpartition("/")[0], p.rpartition("/")[2]) for p in prefixes]
-    folders, number = small_frame(spark, starts, "folder string, prefix string"), len(starts)
-    levels = []
-    while number:
-        path = f"{base}/level={len(levels)}"
-        # A folder stands for many objects, so it weighs as much as a few dozen of them.
-        spread(folders, number * 64, "folder").mapInArrow(_list_folders, _ENTRIES).write.parquet(path)
-        levels.append(path)
-        entries = spark.read.schema(_ENTRIES).parquet(path)
-        folders = entries.filter("is_folder").select(F.col("path").alias("folder"), F.lit("").alias("prefix"))
-        number = folders.count()
-    found = spark.read.schema(_ENTRIES).parquet(*levels)
-    return found.filter(~F.col("is_folder")).select("path", "length", "modificationTime")
+    spark.dataSource.register(Objects)
+    wanted = str(4 * spark.sparkContext.defaultParallelism)
+    return stage(spark.read.format("objects").option("prefixes", json.dumps(prefixes)).option("partitions", wanted).load(), "listing")
 
 
 def with_presence(df: DataFrame, uri: str) -> DataFrame:

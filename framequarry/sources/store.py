@@ -6,11 +6,14 @@ functions run on executors, per object; partitioning, joining and counting stay
 
 from __future__ import annotations
 
+import os
 import random
 import time
 import uuid
-from collections.abc import Callable
+import zlib
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager, suppress
+from datetime import datetime, timezone
 from urllib.parse import urlsplit
 
 # Fixed value: requests in flight per task; object stores answer slowly and in parallel.
@@ -83,19 +86,36 @@ class Store:
         system, path = self.locate(uri)
         return system.get_file_info(path).type in (fs.FileType.File, fs.FileType.Directory)
 
-    def children(self, folder: str, prefix: str = "") -> list:
-        """(uri, is_folder, length, modified) of a folder's direct entries whose name starts with `prefix`."""
+    def entries(self, folder: str, prefix: str = "", share: int = 0, shares: int = 1) -> Iterator[tuple]:
+        """(uri, is_folder, length, modified) of a folder's direct entries, one by one, in no order.
+
+        Their names start with `prefix` and fall to the given one of `shares`, by a checksum that deals any names out
+        evenly. A missing folder has none. A local folder is read entry by entry, and only the own share is looked at
+        closer; other stores answer by folder.
+        """
         from pyarrow import fs
 
         system, path = self.locate(folder)
-        if system.get_file_info(path).type == fs.FileType.File:
-            return []
-        entries = system.get_file_info(fs.FileSelector(path, allow_not_found=True, recursive=False))
         base = folder.rstrip("/")
-        return [
-            (f"{base}/{e.base_name}", e.type == fs.FileType.Directory, e.size, e.mtime)
-            for e in entries if e.base_name.startswith(prefix)
-        ]
+
+        def wanted(name: str) -> bool:
+            return name.startswith(prefix) and (shares == 1 or zlib.crc32(name.encode("utf-8", "surrogateescape")) % shares == share)
+
+        if system.type_name == "local":
+            try:
+                found = os.scandir(path)
+            except (FileNotFoundError, NotADirectoryError):
+                return
+            with found:
+                for entry in found:
+                    if wanted(entry.name):
+                        with suppress(FileNotFoundError):  # gone since, or a link to nothing
+                            state = entry.stat()
+                            yield f"{base}/{entry.name}", entry.is_dir(), state.st_size, datetime.fromtimestamp(state.st_mtime, timezone.utc)
+        elif system.get_file_info(path).type != fs.FileType.File:
+            for entry in system.get_file_info(fs.FileSelector(path, allow_not_found=True, recursive=False)):
+                if wanted(entry.base_name):
+                    yield f"{base}/{entry.base_name}", entry.type == fs.FileType.Directory, entry.size, entry.mtime
 
     def write(self, uri: str, data: bytes) -> None:
         def put():
@@ -105,30 +125,44 @@ class Store:
         patiently(put)
 
     def copy(self, source: str, target: str) -> None:
-        """Copy in chunks, so the size of an object does not matter."""
+        """The store's own copy where both objects are in one; else, and where a store has none, in chunks of any size of object."""
         system, path = self.locate(source)
 
-        def whole():
+        def within():
+            with self._place(target) as (other, part):
+                other.copy_file(path, part)
+
+        def across():
             with system.open_input_stream(path) as stream, self._target(target) as out:
                 while chunk := stream.read(CHUNK):
                     out.write(chunk)
 
-        patiently(whole)
+        if system.equals(self.locate(target)[0]):
+            try:
+                return patiently(within)
+            except NotImplementedError:
+                pass
+        patiently(across)
 
     @contextmanager
     def _target(self, uri: str):
-        """Stream to a new object: a reader sees the old or the whole new content, also after a retry.
+        """Stream to a new object."""
+        with self._place(uri) as (system, part), system.open_output_stream(part) as out:
+            yield out
+
+    @contextmanager
+    def _place(self, uri: str):
+        """Where to write a new object: a reader sees the old or the whole new content, also after a retry.
 
         What a failed write leaves is removed, as a cut object would count as present in the next run.
         """
         system, path = self.locate(uri)
-        renames = system.type_name in ("local", "hdfs")  # object stores show an object once it is closed
+        renames = system.type_name in ("local", "hdfs")  # object stores show an object once it is whole
         part = f"{path}.{uuid.uuid4().hex}.part" if renames else path
         if renames:
             system.create_dir(path.rpartition("/")[0], recursive=True)
         try:
-            with system.open_output_stream(part) as out:
-                yield out
+            yield system, part
         except BaseException:
             with suppress(OSError):
                 system.delete_file(part)

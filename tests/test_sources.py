@@ -1,9 +1,14 @@
+import json
+import os
+
 import pytest
+from pyarrow import fs
 from pyspark.sql import functions as F
 
 from conftest import write
 from framequarry.operators.object_io import copy_objects, write_objects
 from framequarry.sources import descriptors as DS
+from framequarry.sources import listing as LS
 from framequarry.sources.formats import find_format, json_samples, list_samples
 from framequarry.sources.objects import list_objects, read_objects
 from framequarry.sources.store import Store
@@ -19,6 +24,7 @@ def test_listing_is_by_text_prefix_and_keeps_empty_files(spark, tmp_path):
     assert names(list_objects(spark, f"{tmp_path}/images"), tmp_path) == ["images/a/1.jpg", "images2/2.jpg"]
     assert names(list_objects(spark, f"{tmp_path}/"), tmp_path) == ["im.txt", "images/a/1.jpg", "images2/2.jpg", "other/3.jpg"]
     assert list_objects(spark, f"{tmp_path}/missing/x").count() == 0
+    assert names(list_objects(spark, f"{tmp_path}/other/", f"{tmp_path}/images/"), tmp_path) == ["images/a/1.jpg", "other/3.jpg"]
     sizes = {r.path.rsplit("/", 1)[-1]: (r.length, r.modificationTime is not None) for r in list_objects(spark, f"{tmp_path}/i").collect()}
     assert sizes == {"1.jpg": (1, True), "2.jpg": (0, True), "im.txt": (2, True)}
 
@@ -180,3 +186,106 @@ def test_transient_store_errors_are_tried_again():
     with pytest.raises(FileNotFoundError):
         patiently(request, (0, 0))
     assert len(left) == 8
+
+
+class _Counting(fs.FileSystemHandler):
+    """A store with a copy of its own (or without one) that counts how often objects are opened for reading."""
+
+    def __init__(self, copies=True):
+        self.local, self.copies, self.opened = fs.LocalFileSystem(), copies, 0
+
+    def __eq__(self, other):
+        return self is other
+
+    def __getattr__(self, name):
+        return getattr(self.local, name)
+
+    def copy_file(self, src, dest):
+        if not self.copies:
+            raise NotImplementedError("no copy")
+        self.local.copy_file(src, dest)
+
+    def open_input_stream(self, path):
+        self.opened += 1
+        return self.local.open_input_stream(path)
+
+    def get_type_name(self):
+        return "counting"
+
+    get_file_info = lambda self, paths: self.local.get_file_info(paths)
+    get_file_info_selector = lambda self, selector: self.local.get_file_info(selector)
+    normalize_path = lambda self, path: path
+
+
+for _name in ("create_dir", "delete_dir", "delete_dir_contents", "delete_root_dir_contents", "delete_file", "move", "open_input_file", "open_output_stream", "open_append_stream"):
+    setattr(_Counting, _name, lambda self, *args, _n=_name, **more: getattr(self.local, _n)(*args, **more))
+_Counting.__abstractmethods__ = frozenset()
+
+
+def test_one_store_copies_by_itself(tmp_path):
+    write(tmp_path, {"a": "x" * 100, "b": "old"})
+    handler = _Counting()
+    store = Store()
+    store._opened["file"] = fs.PyFileSystem(handler)
+    store.copy(f"{tmp_path}/a", f"{tmp_path}/b")
+    assert (tmp_path / "b").read_text() == "x" * 100 and handler.opened == 0
+    # Another store, or one without a copy, is read in chunks.
+    without = _Counting(copies=False)
+    store._opened["file"] = fs.PyFileSystem(without)
+    store.copy(f"{tmp_path}/a", f"{tmp_path}/c")
+    assert (tmp_path / "c").read_text() == "x" * 100 and without.opened == 1
+    other = _Counting()
+    store.locate = lambda uri: (fs.PyFileSystem(handler if uri.endswith("a") else other), uri)
+    store.copy(f"{tmp_path}/a", f"{tmp_path}/d")
+    assert (tmp_path / "d").read_text() == "x" * 100 and (handler.opened, other.opened) == (1, 0)
+
+
+def test_local_copies_are_whole_or_absent(tmp_path):
+    write(tmp_path, {"a": "x"})
+    store = Store()
+    store.copy(f"{tmp_path}/a", f"{tmp_path}/deep/b")
+    assert (tmp_path / "deep/b").read_text() == "x" and [p.name for p in (tmp_path / "deep").iterdir()] == ["b"]
+    with pytest.raises(FileNotFoundError):
+        store.copy(f"{tmp_path}/missing", f"{tmp_path}/deep/c")
+    assert [p.name for p in (tmp_path / "deep").iterdir()] == ["b"]
+
+
+def test_a_flat_folder_is_listed_by_several_tasks(spark, tmp_path, monkeypatch):
+    """200,000 entries in one folder: several partitions share them, each entry once, and nobody makes a list of them."""
+    (tmp_path / "deep/flat").mkdir(parents=True)
+    for i in range(200_000):
+        os.close(os.open(tmp_path / f"deep/flat/frame_{i:06d}.jpg", os.O_CREAT))
+    for i in range(0, 200_000, 1000):
+        (tmp_path / f"deep/flat/frame_{i:06d}.jpg").write_bytes(b"x")
+    (tmp_path / "deep/flat/sub").mkdir()
+    (tmp_path / "deep/flat/sub/last").write_bytes(b"yy")
+
+    held = []
+    whole = Store.entries
+
+    def counted(self, *args, **more):
+        held.append(0)
+        place = len(held) - 1
+        for entry in whole(self, *args, **more):
+            held[place] += 1
+            yield entry
+
+    monkeypatch.setattr(Store, "entries", counted)
+    parts = LS.ObjectsReader([f"{tmp_path}/deep/"], 12).partitions()
+    assert len(parts) == LS.SHARES and max(held) <= LS.LOOKED_AT + 1
+    monkeypatch.undo()
+    found = spark.read.format("objects").option("prefixes", json.dumps([f"{tmp_path}/deep/"])).option("partitions", "12").load()
+    per_task = found.groupBy(F.spark_partition_id().alias("task")).agg(F.count("*").alias("n")).collect()
+    assert len(per_task) == LS.SHARES and max(r.n for r in per_task) < 15_000
+    total = found.agg(F.count("*"), F.count_distinct("path"), F.sum("length")).first()
+    assert tuple(total) == (200_001, 200_001, 202)
+
+
+def test_a_tree_is_cut_at_its_folders(spark, tmp_path):
+    write(tmp_path, {f"d{i % 7}/e{i % 3}/f{i}": "x" for i in range(60)} | {"top": "", "d0/file": "y"})
+    for wanted in (1, 5, 1000):
+        parts = LS.ObjectsReader([f"{tmp_path}/"], wanted).partitions()
+        got = [r for part in parts for b in LS.ObjectsReader([], 1).read(part) for r in b.to_pylist()]
+        assert sorted(r["path"] for r in got) == sorted(str(p) for p in tmp_path.rglob("*") if p.is_file())
+        assert len(parts) >= min(wanted, 23)
+    assert LS.ObjectsReader([f"{tmp_path}/none/x"], 4).partitions() and list(LS.ObjectsReader([], 1).read(LS.Part(""))) == []
