@@ -11,12 +11,11 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..sources.store import THREADS, Store, extended, pieces, problem
+from .calls import windowed
 
 
 def _worker(act, rows: int):
     def run(batches: Iterator) -> Iterator:
-        from concurrent.futures import ThreadPoolExecutor
-
         import pyarrow as pa
 
         store = Store()
@@ -28,11 +27,9 @@ def _worker(act, rows: int):
             except Exception as error:  # noqa: BLE001 - becomes the row's error
                 return problem(error)
 
-        with ThreadPoolExecutor(THREADS) as pool:
-            for batch in batches:
-                for part in pieces(batch, rows):
-                    errors = list(pool.map(one, part.to_pylist()))
-                    yield extended(part, {"write_error": pa.array(errors, pa.string())})
+        parts = (part for batch in batches for part in pieces(batch, rows))
+        for part, errors in windowed(parts, None, one, THREADS):
+            yield extended(part, {"write_error": pa.array(errors, pa.string())})
 
     return run
 
@@ -53,7 +50,10 @@ def write_objects(df: DataFrame, uri: str, data: str) -> DataFrame:
 
 
 def copy_objects(df: DataFrame, source: str, target: str) -> DataFrame:
-    """Copy the object in `source` to `target`; a NULL on either side copies nothing."""
+    """Copy the object in `source` to `target`; a NULL on either side copies nothing.
+
+    Within one store the store itself copies, and no byte comes to the task.
+    """
 
     def act(store, row):
         if row[source] is not None and row[target] is not None:

@@ -170,6 +170,10 @@ def _list_dataset(spark, sf, layout: Layout, dataset: str, named: str = "roads",
     for lang, name in (("en", "train.txt"), ("de", "val.txt"), ("fr", "test_split/test0_normal.txt"), ("es", "test_split/night.txt")):
         listed = F.col("lang").isin("en", "de") if twice and lang == "de" else F.col("lang") == lang
         docs.filter(listed).select(F.explode(F.array(line, F.lit("  "))).alias("value")).write.text(f"{lists}/{name}")
+    _list_descriptor(spark, layout, dataset, named)
+
+
+def _list_descriptor(spark, layout: Layout, dataset: str, named: str) -> None:
     _put_descriptor(spark, layout, dataset, f"dataset: {named}\nversion: 2.0\nlicense: research\nadapter: culane\nsource_url: http://x\noptions: {{label_dir: annotations_new}}\n")
 
 

@@ -105,3 +105,58 @@ def test_labeller_gets_prompt_and_schema(spark, tmp_path):
     named = spark.range(40).selectExpr(f"'{tmp_path}/' || id AS uri").coalesce(1)
     said = label_objects(named, "uri", echo, {"scene": ["city", "unknown"]}, "One of {scene}.", in_flight=2).collect()
     assert {(r.response, r.error) for r in said} == {(json.dumps({"prompt": "One of ['city', 'unknown'].", "scene": ["city", "unknown"]}), None)}
+
+
+def test_a_slow_call_holds_up_no_other():
+    """One slow call among fast ones: the others go on, over batches too, at most `limit` run at a time, answers stand in row order."""
+    import threading
+    import time
+
+    import pyarrow as pa
+
+    from framequarry.operators.calls import OPEN_BATCHES, windowed
+
+    lock, running, peak, ended = threading.Lock(), 0, 0, []
+
+    def call(x):
+        nonlocal running, peak
+        with lock:
+            running += 1
+            peak = max(peak, running)
+        time.sleep(0.6 if x == 5 else 0.002)
+        with lock:
+            running -= 1
+            ended.append(x)
+        return 10 * x
+
+    batches = [pa.RecordBatch.from_pydict({"x": list(range(lo, lo + 20))}) for lo in range(0, 120, 20)]
+    got = [(b.column("x").to_pylist(), answers) for b, answers in windowed(iter([*batches, batches[0].slice(0, 0)]), "x", call, 4)]
+    assert [x for xs, _ in got for x in xs] == list(range(120)) and all(answers == [10 * x for x in xs] for xs, answers in got)
+    assert peak == 4 and sorted(ended) == list(range(120))
+    # Whatever may be open beside the slow call's batch was done before it ended.
+    assert ended.index(5) >= 20 * OPEN_BATCHES - 1
+    assert list(windowed(iter([]), "x", call, 4)) == []
+
+
+def test_calls_under_way_end_before_an_error_goes_on():
+    import threading
+    import time
+
+    import pytest
+    import pyarrow as pa
+
+    from framequarry.operators.calls import windowed
+
+    ended = threading.Semaphore(0)
+
+    def call(x):
+        time.sleep(0.05)
+        ended.release()
+
+    def source():
+        yield pa.RecordBatch.from_pydict({"x": [1, 2, 3]})
+        raise RuntimeError("the list cannot be read")
+
+    with pytest.raises(RuntimeError):
+        list(windowed(source(), "x", call, 8))
+    assert all(ended.acquire(blocking=False) for _ in range(3))
