@@ -44,7 +44,7 @@ def drop_repeated_lines(df: DataFrame, id_column: str = "doc_id", text_column: s
     without outer blanks. A text with fewer than three lines that are not blank has no window and stays as it is, as do
     null and empty texts; a text all of whose lines go is empty, its row stays. Rows with one id and one text are one
     document and get the same result; a null id comes first in the order. An empty table gives an empty table.
-    Extra columns are passed on; their names may be those used here.
+    Extra columns are passed on; their names may be those used here, but an n_lines_removed of `df` is replaced.
     """
     text = column(df, text_column)
     docs = df.select(column(df, id_column).alias("doc_id"), text_key(text).alias("which"), text.alias("text"))
@@ -56,10 +56,11 @@ def drop_repeated_lines(df: DataFrame, id_column: str = "doc_id", text_column: s
         .groupBy("doc_id", "which", "island").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
         .groupBy("doc_id", "which").agg(F.sort_array(F.collect_list(F.struct("lo", "hi"))).alias("cut"))
     )
-    row = df.select(F.struct(*[column(df, c) for c in df.columns]).alias("row"), column(df, id_column).alias("doc_id"), text_key(text).alias("which"), text.alias("text"))
+    # The text travels once, as a field of its row.
+    row = df.select(F.struct(*[column(df, c) for c in df.columns]).alias("row"), column(df, id_column).alias("doc_id"), text_key(text).alias("which"))
     found = row.alias("r").join(
         islands.alias("i"), F.col("r.doc_id").eqNullSafe(F.col("i.doc_id")) & (F.col("r.which") == F.col("i.which")), "left",
-    ).select("row", "text", "cut").withColumn("lines", F.split("text", "\n"))
+    ).select("row", "cut").withColumn("text", F.col("row").getField(text_column)).withColumn("lines", F.split("text", "\n"))
 
     def kept(i):
         start = F.when(i == 0, F.lit(0)).otherwise(F.get("cut", i - 1)["hi"] + 1)
@@ -71,7 +72,7 @@ def drop_repeated_lines(df: DataFrame, id_column: str = "doc_id", text_column: s
     return found.select(
         *[
             F.when(F.col("cut").isNull(), F.col("text")).otherwise(reduced).alias(c) if c == text_column else F.col("row").getField(c).alias(c)
-            for c in df.columns
+            for c in df.columns if c != "n_lines_removed"
         ],
         F.when(F.col("cut").isNull(), 0).otherwise(removed).cast("long").alias("n_lines_removed"),
     )

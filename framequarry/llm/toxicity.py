@@ -111,7 +111,7 @@ def fit_chain(hashes: list[np.ndarray], labels: np.ndarray, fold: np.ndarray) ->
 
 
 def train_chain(docs: DataFrame, labels: DataFrame, names: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Fit on at most TRAINING_TEXTS texts of `docs` (doc_id, text) with a row in `labels` (doc_id, one double per name)."""
+    """Fit on at most TRAINING_TEXTS texts of `docs` (doc_id, text), one per id with a row in `labels` (doc_id, one double per name)."""
     picked = labels.where("doc_id is not null").orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAINING_TEXTS)
 
     def collect(part):
@@ -132,8 +132,11 @@ def train_chain(docs: DataFrame, labels: DataFrame, names: list[str]) -> list[tu
             yield batch("category long, hashes binary, weights array<double>", [k], [found.tobytes()], [weights.tolist()])
 
     kinds = "".join(f", {n} double" for n in names)
-    # At most TRAINING_TEXTS label rows are broadcast, and as many texts' features meet in the one task that fits.
-    sample = docs.join(F.broadcast(picked), "doc_id").select("text", F.pmod(F.xxhash64("doc_id"), F.lit(FOLDS)).alias("fold"), *names)
+    # At most TRAINING_TEXTS label rows are broadcast, and as many texts' features meet in the one task that fits: rows
+    # that share an id give one text, the one with the smallest hash.
+    text = F.coalesce("text", F.lit(""))
+    once = docs.join(F.broadcast(picked.select("doc_id")), "doc_id").groupBy("doc_id").agg(F.min_by(text, F.struct(F.xxhash64(text), text)).alias("text"))
+    sample = once.join(F.broadcast(picked), "doc_id").select("text", F.pmod(F.xxhash64("doc_id"), F.lit(FOLDS)).alias("fold"), *names)
     rows = (
         map_batches(sample, collect, f"fold long, hashes binary{kinds}").repartition(1).sortWithinPartitions("hashes", "fold", *names)
         .mapInArrow(fit, "category long, hashes binary, weights array<double>").collect()
@@ -152,7 +155,8 @@ def classify(
     `labels` (doc_id and what the categories' conditions read) covers some texts of `trained_on` (`df` if not given); a
     condition that is null says nothing about its category. Several labels of one id count as the category if any does.
     Without labels, or with one class only, the probabilities are the smoothed shares of the labels. A null or empty
-    text has no features. Rows with a null id are judged, but not trained on. Repeated rows stay. Extra columns are not
+    text has no features. Rows with a null id are judged, but not trained on; of rows that share an id one is trained on.
+    Repeated rows stay. Extra columns are not
     read. An empty table gives no rows.
     """
     names = list(categories)
