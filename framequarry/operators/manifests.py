@@ -2,11 +2,13 @@
 
 A manifest may name a third of all images, so it is never one string in one row: it is a set of
 (manifest, path) rows, written as sorted text parts under a folder with the manifest's name. Reading
-the folder as text, or joining the parts in name order, gives the list.
+the folder as text, or joining the parts in name order, gives the list. Beside a manifest stands a fingerprint of the lines
+that were merged into it last, whatever their order: when the same come again, none of the old lines is read.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -34,6 +36,51 @@ def merged_lines(new: DataFrame, old: DataFrame | None, names: list[str]) -> Dat
     return lines.distinct()
 
 
+def fingerprints(lines: DataFrame) -> dict[str, list[str]]:
+    """{manifest: number, sum and xor of the line hashes} of distinct (txt_rel, path) rows; one row per manifest comes back."""
+    hashed = lines.select("txt_rel", F.xxhash64("path").alias("h"), F.xxhash64(F.lit(1), "path").alias("g"))
+    # Hashes are added in halves, so that the sums of any number of lines stay exact.
+    sums = [F.sum(F.shiftrightunsigned("g", 32)).cast("string"), F.sum(F.col("g").bitwiseAND(0xFFFFFFFF)).cast("string")]
+    found = hashed.groupBy("txt_rel").agg(F.array(F.count("*").cast("string"), *sums, F.bit_xor("h").cast("string")).alias("print"))
+    return {r.txt_rel: list(r["print"]) for r in found.collect()}
+
+
+def _beside(root: str, name: str) -> str:
+    folder, _, last = f"{root.rstrip('/')}/{name}".rpartition("/")
+    return f"{folder}/.{last}.fingerprint"
+
+
+def _parts(spark: SparkSession, target: str) -> list[list]:
+    """Names, lengths and times of a manifest's files: a fingerprint holds for those it was made for."""
+    fs, path = _file_system(spark, target)
+    files = fs.listStatus(path) if fs.exists(path) else []
+    return sorted([f.getPath().getName(), f.getLen(), f.getModificationTime()] for f in files)
+
+
+def unchanged(spark: SparkSession, prints: dict[str, list[str]], root: str) -> set[str]:
+    """The manifests that hold the lines with these fingerprints already, and that nobody has touched since."""
+    same = set()
+    for name, lines in prints.items():
+        target = f"{root.rstrip('/')}/{name}"
+        fs, path = _file_system(spark, _beside(root, name))
+        if fs.exists(path) and not _left_behind(spark, target):
+            stream = fs.open(path)
+            told = json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+            stream.close()
+            if told == {"lines": lines, "parts": _parts(spark, target)}:
+                same.add(name)
+    return same
+
+
+def remember(spark: SparkSession, prints: dict[str, list[str]], root: str) -> None:
+    """Note the fingerprints of lines that the manifests now hold."""
+    for name, lines in prints.items():
+        fs, path = _file_system(spark, _beside(root, name))
+        out = fs.create(path, True)
+        out.write(bytearray(json.dumps({"lines": lines, "parts": _parts(spark, f"{root.rstrip('/')}/{name}")}).encode()))
+        out.close()
+
+
 def manifest_changes(merged: DataFrame, old: DataFrame) -> DataFrame:
     """Per manifest: its lines, how many are new or gone, and whether it must be written."""
     marked = merged.withColumn("_new", F.lit(1)).join(

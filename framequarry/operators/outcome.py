@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Observation, functions as F
+
+from ..session import stage
 
 
 def label_status(df: DataFrame, ingest_unlabeled: Column, skip_missing: Column) -> DataFrame:
@@ -70,3 +74,18 @@ def labelling_summary(outcome: DataFrame) -> DataFrame:
         F.count("*").alias("candidates"), F.count_if(ok).alias("classified"), F.count_if(~ok).alias("failed")
     )
     return totals.withColumn("exit_code", _exit_code(F.col("failed")))
+
+
+def staged_with_progress(part: DataFrame, purpose: str, done: dict[str, int], progress: Callable[[dict[str, int]], None] | None) -> DataFrame:
+    """Stage a slice of a run's outcome; its counts are observed as it is written, added to `done`, and told.
+
+    Nothing is read a second time for it. `progress` gets the counts of all slices so far: slices, candidates, ok and failed.
+    """
+    counts = Observation()
+    ok = F.col("status") == "ok"
+    written = stage(part.observe(counts, F.count("*").alias("candidates"), F.count_if(ok).alias("ok"), F.count_if(~ok).alias("failed")), purpose)
+    for name, value in (counts.get | {"slices": 1}).items():
+        done[name] = done.get(name, 0) + value
+    if progress:
+        progress(dict(done))
+    return written

@@ -16,7 +16,7 @@ from ..operators.tables import CatalogueTable
 from ..schemas import CLASSIFICATIONS, IMAGES, SOURCE_DATASETS, USER_IMAGES_PRIVACY
 from ..session import shared_dir, small_frame, spread, stage
 from ..sources.descriptors import first_valid, read_descriptor, scan_descriptors
-from ..sources.formats import json_samples, list_samples
+from ..sources.formats import LABEL_PLACES, json_samples, list_samples
 from ..sources.objects import list_objects, read_objects, user_images
 from ..sources.sessions import session_starts, with_session_start
 from .registry import query, table
@@ -150,10 +150,11 @@ _SPLIT_SQL = "CASE lang WHEN 'en' THEN 'train' WHEN 'de' THEN 'val' ELSE 'test'
 _CATEGORY_SQL = "CASE lang WHEN 'fr' THEN 'normal' WHEN 'es' THEN 'night' END"
 
 
-def _list_dataset(spark, sf, layout: Layout, dataset: str, named: str = "roads", toxic: str = "1 2 three 4", twice: bool = False) -> None:
+def _list_dataset(spark, sf, layout: Layout, dataset: str, named: str = "roads", toxic: str = "1 2 three 4", twice: bool = False, place: str | None = None) -> None:
     """Lists, image folders and splits are found by probing; the label folder is named, as the first listed
     image need not have a label. Images are the documents' texts, nested under their driver; labels go by the labels table: broken
-    (toxic), empty (quality 0), lanes (quality 1), none (not in the table). With `twice`, val lists the train images too."""
+    (toxic), empty (quality 0), lanes (quality 1), none (not in the table). With `twice`, val lists the train images too.
+    With a `place` the labels lie there, the first listed image has one, and the descriptor does not say where."""
     root = f"{layout.raw_public}/{dataset}"
     docs = table(spark, sf, "documents").select(
         "*", F.concat(F.lit("drv_"), "source").alias("driver"),
@@ -162,15 +163,19 @@ def _list_dataset(spark, sf, layout: Layout, dataset: str, named: str = "roads",
     put(docs.select(_uri(root, "driver", "rel").alias("uri"), F.col("text").alias("data")))
     lanes = F.format_string("%d.5 %d 3.5 -0.5 9\r\n1 2 3\n10 20 %d.5 40\n", F.col("n_chars"), F.col("doc_id"), F.col("doc_id"))
     label = F.when(F.col("toxic") == 1, toxic).when(F.col("quality") == 0, "").otherwise(lanes)
-    put(docs.join(table(spark, sf, "labels"), "doc_id").select(
-        _uri(root, F.lit("annotations_new"), F.concat(P.stem("rel"), F.lit(".lines.txt"))).alias("uri"), label.alias("data")
-    ))
+    told = table(spark, sf, "labels")
+    put(docs.join(told, "doc_id").select(P.native_label_uri(F.lit(root), "rel", F.lit(place or "annotations_new")).alias("uri"), label.alias("data")))
+    if place:
+        docs = docs.join(told.select("doc_id", F.lit(0).alias("last")), "doc_id", "left").orderBy(F.coalesce("last", F.lit(1)), "doc_id").coalesce(1)
     lists = f"{root}/list/list"
     line = F.concat(F.lit("/"), "rel", F.lit(" /seg.png 1 0"))
     for lang, name in (("en", "train.txt"), ("de", "val.txt"), ("fr", "test_split/test0_normal.txt"), ("es", "test_split/night.txt")):
         listed = F.col("lang").isin("en", "de") if twice and lang == "de" else F.col("lang") == lang
         docs.filter(listed).select(F.explode(F.array(line, F.lit("  "))).alias("value")).write.text(f"{lists}/{name}")
-    _list_descriptor(spark, layout, dataset, named)
+    if place:
+        _put_descriptor(spark, layout, dataset, f"dataset: {named}\nadapter: culane\n")
+    else:
+        _list_descriptor(spark, layout, dataset, named)
 
 
 def _list_descriptor(spark, layout: Layout, dataset: str, named: str) -> None:
@@ -198,6 +203,22 @@ def list_sample_scan(spark, sf):
     return _sample_columns(list_samples(spark, read_descriptor(spark, layout.descriptors_root, "roads"), f"{layout.raw_public}/roads"), f"{layout.raw_public}/roads")
 
 
+@query("list_label_places", f"""
+SELECT place, CASE place WHEN 'alongside' THEN '' WHEN 'nested' THEN 'drv_' || source || '/' ELSE 'annotations_new/' END
+  || 'drv_' || source || '/' || lang || '.MP4/' || doc_id || '.lines.txt' AS label_path, {_SPLIT_SQL} AS split
+FROM documents, (VALUES ('alongside'), ('nested'), ('annotations_new')) p(place)""")
+def list_label_places(spark, sf):
+    """Where labels lie is found from the first listed image, for each of the three places."""
+    frames = []
+    for place in LABEL_PLACES:
+        layout = _layout(spark)
+        _list_dataset(spark, sf, layout, "roads", place=place)
+        root = f"{layout.raw_public}/roads"
+        samples = list_samples(spark, read_descriptor(spark, layout.descriptors_root, "roads"), root)
+        frames.append(samples.select(F.lit(place).alias("place"), P.below("label_uri", root).alias("label_path"), "split"))
+    return frames[0].unionByName(frames[1]).unionByName(frames[2])
+
+
 @query("list_samples_of_splits", f"SELECT {_SPLIT_SQL} AS split, {_CATEGORY_SQL} AS category, count(*) AS rows FROM documents WHERE lang <> 'en' GROUP BY ALL")
 def list_samples_of_splits(spark, sf):
     layout = _layout(spark)
@@ -300,7 +321,7 @@ def ingest_labels(spark, sf):
 
 _INGEST_SUMMARY_SQL = """count(*) FILTER (WHERE has_label AND toxic = 0) AS num_images, {written} AS written, {reused} AS reused, CAST(0 AS BIGINT) AS unlabeled,
   count(*) FILTER (WHERE NOT has_label) AS skipped_no_label, count(*) FILTER (WHERE toxic = 1) AS failed, 'test,train,val' AS splits,
-  CASE WHEN count(*) FILTER (WHERE toxic = 1) > 0 THEN 1 ELSE 0 END AS exit_code FROM r"""
+  CASE WHEN count(*) FILTER (WHERE toxic = 1) > 0 THEN 1 ELSE 0 END AS exit_code, false AS aborted FROM r"""
 _USABLE = "count(*) FILTER (WHERE has_label AND toxic = 0)"
 _NONE = "CAST(0 AS BIGINT)"
 
@@ -319,6 +340,29 @@ def ingest_runs(spark, sf):
     return frames[0].unionByName(frames[1]).unionByName(frames[2]).withColumn("splits", F.array_join("splits", ","))
 
 
+@query("ingest_aborted", f"""
+WITH {_ROADS_SQL}
+SELECT 'cut' AS run, count(*) FILTER (WHERE has_label AND lang <> 'de') AS num_images, CAST(0 AS BIGINT) AS reused, 1 AS exit_code, true AS aborted,
+  count(*) FILTER (WHERE has_label AND lang <> 'de') AS recorded, 'list/list/val.txt' AS unreadable FROM r
+UNION ALL SELECT 'mended', count(*) FILTER (WHERE has_label), count(*) FILTER (WHERE has_label AND lang <> 'de'), 0, false,
+  count(*) FILTER (WHERE has_label), '' FROM r""")
+def ingest_aborted(spark, sf):
+    """One list file cannot be read: the others' images are recorded and the run ends with code 1; mended, its repeat does the rest."""
+    layout = _layout(spark)
+    _list_dataset(spark, sf, layout, "set1", toxic="")
+    root = f"{layout.raw_public}/set1"
+    bad = F.unhex(F.lit("2f6aff2e6a70670a"))
+    put(spark.range(1).select(F.lit(f"{root}/list/list/val.txt/part-broken.txt").alias("uri"), bad.alias("data")))
+    frames = []
+    for run in ("cut", "mended"):
+        done = ingest(spark, layout, "set1", EPOCH)
+        recorded = CatalogueTable(spark, layout.table_path(IMAGES.name), IMAGES).read().count()
+        named = ",".join(sorted(uri.removeprefix(f"{root}/") for uri in done.unreadable))
+        frames.append(done.summary.select(F.lit(run).alias("run"), "num_images", "reused", "exit_code", "aborted", F.lit(recorded).cast("long").alias("recorded"), F.lit(named).alias("unreadable")))
+        put(spark.range(1).select(F.lit(f"{root}/list/list/val.txt/part-broken.txt").alias("uri"), F.lit("").alias("data")))
+    return frames[0].unionByName(frames[1])
+
+
 @query("ingest_versions", """
 SELECT 'curves' AS dataset, '' AS version, CAST(NULL AS VARCHAR) AS license, count(*) AS num_images, CAST(NULL AS VARCHAR) AS notes
 FROM documents d LEFT JOIN labels l USING (doc_id) WHERE lang <> 'es' AND coalesce(toxic, 0) = 0""")

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Set
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 
@@ -19,20 +19,22 @@ from ..operators.tables import CatalogueTable, key_collisions
 from ..schemas import IMAGES, SOURCE_DATASETS
 from ..session import spread, stage
 from ..sources.descriptors import read_descriptor
-from ..sources.formats import FORMATS, SPLITS, DatasetFormat, find_format
+from ..sources.formats import FORMATS, SPLITS, DatasetFormat, find_format, unreadable
 from ..sources.objects import list_objects, read_objects, with_existence
 
 
 @dataclass(frozen=True)
 class IngestRun:
     """`outcome` has a row per sample; `summary` is one row; `collisions` are the ids of several usable samples, of
-    which one became the catalogue row. Nothing was written when `dry_run`."""
+    which one became the catalogue row; `unreadable` are list files that could not be read, with their errors: such a run
+    is aborted, records what the others name, and its repeat goes on from there. Nothing was written when `dry_run`."""
 
     dataset: str
     outcome: DataFrame
     summary: DataFrame
     collisions: DataFrame
     dry_run: bool
+    unreadable: dict[str, str] = field(default_factory=dict)
 
 
 def labelled_samples(samples: DataFrame, form: DatasetFormat, descriptor: Row) -> DataFrame:
@@ -95,10 +97,20 @@ def ingest(
     form = find_format(descriptor.adapter, formats)
     raw_root, out_root = f"{layout.raw_public.rstrip('/')}/{dataset}", f"{layout.public.rstrip('/')}/{dataset}"
 
-    samples = form.samples(spark, descriptor, raw_root, splits)
-    if limit is not None:
-        samples = samples.orderBy("split", "category", "rel_path").limit(limit)
-    samples = stage(output_names(samples, F.lit(out_root)), "ingest-samples")
+    def named(*without) -> DataFrame:
+        samples = form.samples(spark, descriptor, raw_root, splits, *without)
+        if limit is not None:
+            samples = samples.orderBy("split", "category", "rel_path").limit(limit)
+        return stage(output_names(samples, F.lit(out_root)), "ingest-samples")
+
+    bad: dict[str, str] = {}
+    try:
+        samples = named()
+    except Exception:  # noqa: BLE001 - raised again unless it is a list file that failed
+        bad = unreadable(spark, form.lists(spark, descriptor, raw_root, splits)) if form.lists else {}
+        if not bad:
+            raise
+        samples = named(set(bad))
     objects = None if dry_run else list_objects(spark, out_root + "/")
     known = spread(_with_existing(samples, objects), samples.count(), "gcs_uri")
     judged = labelled_samples(known, form, descriptor)
@@ -109,14 +121,22 @@ def ingest(
     if not dry_run:
         _write_manifests(spark, ok, out_root, descriptor.overwrite)
         _write_rows(spark, layout, ok, descriptor, dataset, out_root, epoch)
-    return IngestRun(dataset, outcome, O.ingest_summary(outcome), key_collisions(ok, IMAGES.key), dry_run)
+    summary = O.ingest_summary(outcome).withColumn("aborted", F.lit(bool(bad)))
+    summary = summary.withColumn("exit_code", F.when(F.col("aborted"), 1).otherwise(F.col("exit_code")))
+    return IngestRun(dataset, outcome, summary, key_collisions(ok, IMAGES.key), dry_run, bad)
 
 
 def _write_manifests(spark: SparkSession, ok: DataFrame, out_root: str, overwrite: bool) -> None:
-    new = ok.select("txt_rel", F.col("img_rel").alias("path"))
-    names = M.manifest_names(new)
+    new = stage(ok.select("txt_rel", F.col("img_rel").alias("path")).distinct(), "manifest-new")
+    # A rerun that finds nothing new compares fingerprints; the old lines of other manifests are read and merged.
+    prints = M.fingerprints(new)
+    names = sorted(prints.keys() - M.unchanged(spark, prints, out_root))
+    if not names:
+        return
+    new = new.filter(F.col("txt_rel").isin(names))
     old = M.read_manifests(spark, out_root, names)
     M.write_manifests(M.merged_lines(new, None if overwrite else old, names), old, out_root)
+    M.remember(spark, {name: prints[name] for name in names}, out_root)
 
 
 def _write_rows(spark, layout: Layout, ok: DataFrame, descriptor: Row, dataset: str, out_root: str, epoch: int) -> None:

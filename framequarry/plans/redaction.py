@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -47,11 +48,13 @@ def redact_user_images(
     spark: SparkSession, layout: Layout, detector: Detector, codec: Codec, model_version: str, epoch: int,
     dry_run: bool = False, limit: int | None = None, slices: int = 1,
     min_confidence: float = MIN_CONFIDENCE, kernel: int = BLUR_KERNEL, batch: int = BATCH,
+    progress: Callable[[dict[str, int]], None] | None = None,
 ) -> RedactionRun:
     """Redact what has no audit row of the last 48 hours.
 
     With `slices` above 1 the work is cut by a hash of the key and recorded slice by slice, so a run that
-    is cut short keeps what it has finished; a rerun takes up the rest through the same anti-join.
+    is cut short keeps what it has finished; a rerun takes up the rest through the same anti-join. `progress` is told the
+    counts so far whenever a slice is done.
     """
     as_of = epoch_time(epoch)
     audit = CatalogueTable(spark, layout.table_path(USER_IMAGES_PRIVACY.name), USER_IMAGES_PRIVACY)
@@ -62,15 +65,15 @@ def redact_user_images(
     targets = stage(PD.first_by(targets, "raw_uri", limit), "redaction-targets")
     rows = targets.count()
 
-    parts = []
+    parts, done = [], {}
     for number in range(slices):
         todo = targets.filter(F.pmod(F.xxhash64("image_id"), F.lit(slices)) == number)
-        done = redact_objects(
+        redacted = redact_objects(
             spread(todo, math.ceil(rows / slices), "image_id"), "raw_uri", "clean_uri", detector, codec,
             dry_run, "raw_lines", "clean_lines", min_confidence, kernel, batch,
         )
         status = F.when(F.col("error").isNull(), "ok").otherwise("error")
-        part = stage(done.withColumn("status", status), "redaction-outcome")
+        part = O.staged_with_progress(redacted.withColumn("status", status), "redaction-outcome", done, progress)
         if not dry_run:
             ok, _ = O.split_outcome(part)
             timed = stage(with_session_start(ok, session_starts(ok, layout.raw_user)), "redaction-timed")

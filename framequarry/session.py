@@ -16,6 +16,7 @@ def build_session(app: str = "framequarry", master: str | None = None, **conf: s
         builder = builder.master(master)
     settings = {
         "spark.sql.session.timeZone": "UTC",
+        "spark.sql.variant.allowDuplicateKeys": "true",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -28,8 +29,9 @@ def build_session(app: str = "framequarry", master: str | None = None, **conf: s
 
 
 def use_utc(spark: SparkSession) -> SparkSession:
-    """Every timestamp in the data model is UTC, so the session must be too."""
+    """Every timestamp in the data model is UTC, so the session must be too; of a JSON object's repeated keys the last counts."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     return spark
 
 

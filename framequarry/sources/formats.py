@@ -19,7 +19,7 @@ from ..functions.text import LINE_BREAK, stripped
 from ..schemas import SAMPLES, align
 from ..session import small_frame
 from .objects import list_objects, with_presence
-from .store import Store
+from .store import Store, problem
 
 # The folders and list files of the two formats, and the picture size of the first.
 SPLITS = ("train", "val", "test")
@@ -31,10 +31,12 @@ LIST_FORMAT_SIZE = (1640, 590)
 
 @dataclass(frozen=True)
 class DatasetFormat:
-    """`samples` reads a dataset's images (optionally of some splits), `parse` adds lanes to label texts."""
+    """`samples` reads a dataset's images (optionally of some splits, or without some list files), `parse` adds lanes to
+    label texts, `lists` names the list files that `samples` reads."""
 
-    samples: Callable[[SparkSession, Row, str, Set[str] | None], DataFrame]
+    samples: Callable[..., DataFrame]
     parse: Callable[[DataFrame, str], DataFrame]
+    lists: Callable[[SparkSession, Row, str, Set[str] | None], list[str]] | None = None
 
 
 def _slashes(*parts: str) -> str:
@@ -42,8 +44,13 @@ def _slashes(*parts: str) -> str:
 
 
 def _lines(spark: SparkSession, uri: str) -> DataFrame:
-    """Lines of a list file that are not blank, and their place in its order; a long file is split over tasks."""
-    rows = spark.read.text(uri).select(
+    """Lines of a list file that are not blank, and their place in its order; a long file is split over tasks.
+
+    A file that is no UTF-8 text cannot be read, like one that the store does not give.
+    """
+    text = spark.read.text(uri)
+    sound = F.when(F.is_valid_utf8("value"), F.col("value")).otherwise(F.raise_error(F.lit(f"list file is not UTF-8: {uri}")).cast("string"))
+    rows = text.withColumn("value", sound).select(
         F.col("_metadata.file_path").alias("part"), F.col("_metadata.file_block_start").alias("start"),
         F.explode(F.split("value", LINE_BREAK)).alias("line"),
     )
@@ -120,9 +127,24 @@ def list_places(entry: DataFrame, base: Column) -> Row:
     ).first()
 
 
-def list_samples(spark: SparkSession, descriptor: Row, root: str, splits: Set[str] | None = None) -> DataFrame:
+def unreadable(spark: SparkSession, uris: list[str]) -> dict[str, str]:
+    """The list files that cannot be read to their end, each with its error; a dataset has a handful."""
+    found = {}
+    for uri in uris:
+        try:
+            _lines(spark, uri).agg(F.count("line")).first()
+        except Exception as error:  # noqa: BLE001 - becomes part of the run's record
+            found[uri] = problem(error).splitlines()[0]
+    return found
+
+
+def list_names(spark: SparkSession, descriptor: Row, root: str, splits: Set[str] | None = None) -> list[str]:
+    return [_slashes(root, f.path) for f in list_files(spark, root, descriptor.list_dir)]
+
+
+def list_samples(spark: SparkSession, descriptor: Row, root: str, splits: Set[str] | None = None, without: Set[str] = frozenset()) -> DataFrame:
     """Images named by list files: the first column of every line. Where images and labels lie is judged by the first."""
-    files, base = list_files(spark, root, descriptor.list_dir), F.lit(root)
+    files, base = [f for f in list_files(spark, root, descriptor.list_dir) if _slashes(root, f.path) not in without], F.lit(root)
     if not files:
         return _all(spark, [])
     places = list_places(first_entry(spark, [_slashes(root, f.path) for f in files]), base)
@@ -142,7 +164,13 @@ def list_samples(spark: SparkSession, descriptor: Row, root: str, splits: Set[st
     return _all(spark, frames)
 
 
-def json_samples(spark: SparkSession, descriptor: Row, root: str, splits: Set[str] | None = None) -> DataFrame:
+def json_names(spark: SparkSession, descriptor: Row, root: str, splits: Set[str] | None = None) -> list[str]:
+    store = Store()
+    named = [_slashes(root, f, f"{f}.txt") for f, s in NATIVE_FOLDERS.items() if splits is None or s in splits]
+    return [uri for uri in named if store.has_text(uri)]
+
+
+def json_samples(spark: SparkSession, descriptor: Row, root: str, splits: Set[str] | None = None, without: Set[str] = frozenset()) -> DataFrame:
     """Images of split folders: named whole-line by `<folder>.txt`, or listed where there is no such file
     and images without labels are wanted."""
     wanted = {f: s for f, s in NATIVE_FOLDERS.items() if splits is None or s in splits}
@@ -156,6 +184,8 @@ def json_samples(spark: SparkSession, descriptor: Row, root: str, splits: Set[st
     frames = []
     for folder, uri, found in question.mapInPandas(probe, "folder string, uri string, found boolean").collect():
         base = _slashes(root, folder)
+        if uri in without:
+            continue
         if found:
             entry = F.regexp_replace(stripped(F.col("line")), "^/+", "")
             native = _lines(spark, uri).select(entry.alias("native"))
@@ -174,8 +204,8 @@ def json_samples(spark: SparkSession, descriptor: Row, root: str, splits: Set[st
 
 # The names descriptors use for the formats.
 FORMATS: dict[str, DatasetFormat] = {
-    "culane": DatasetFormat(list_samples, LN.parse_text_lanes),
-    "curvelanes": DatasetFormat(json_samples, LN.parse_json_lanes),
+    "culane": DatasetFormat(list_samples, LN.parse_text_lanes, list_names),
+    "curvelanes": DatasetFormat(json_samples, LN.parse_json_lanes, json_names),
 }
 
 

@@ -1,3 +1,5 @@
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -172,3 +174,50 @@ def test_nothing_usable_writes_no_rows(spark, lake):
     from pathlib import Path
 
     assert not Path(lake.tables).exists()
+
+
+def test_an_unchanged_rerun_reads_no_old_line(spark, lake, monkeypatch):
+    from framequarry.operators import manifests as M
+
+    list_dataset(lake)
+    ingest(spark, lake, "set1", EPOCH)
+    name = "set1/train/train.txt"
+    before = {p.name: p.stat().st_mtime_ns for p in Path(lake.public, name).iterdir()}
+    asked, reads = [], M.read_manifests
+    monkeypatch.setattr(M, "read_manifests", lambda spark, root, names: asked.append(names) or reads(spark, root, names))
+    ingest(spark, lake, "set1", EPOCH + 1)
+    assert asked == [] and {p.name: p.stat().st_mtime_ns for p in Path(lake.public, name).iterdir()} == before
+    # A manifest that somebody else changed, or whose fingerprint is gone, is read again.
+    write(lake.public, {f"{name}/part-other.txt": "train/images/other.jpg\n"})
+    ingest(spark, lake, "set1", EPOCH + 2)
+    assert asked == [["train/train.txt"]] and "train/images/other.jpg" in manifest(lake, name)
+    ingest(spark, lake, "set1", EPOCH + 3)
+    assert len(asked) == 1
+    next(Path(lake.public, "set1/train").glob(".train.txt.fingerprint")).unlink()
+    ingest(spark, lake, "set1", EPOCH + 4)
+    assert asked[1:] == [["train/train.txt"]] and "train/images/other.jpg" in manifest(lake, name)
+
+
+def test_fingerprints_know_no_order_and_every_line(spark):
+    from framequarry.operators import manifests as M
+
+    def of(rows, parts=1):
+        return M.fingerprints(spark.createDataFrame(rows, "txt_rel string, path string").repartition(parts))
+
+    rows = [("a", f"p{i}") for i in range(500)] + [("b", "p1")]
+    assert of(rows) == of(rows[::-1], 7) and of(rows).keys() == {"a", "b"}
+    assert of(rows)["a"] != of(rows[1:])["a"] != of([("a", "x"), *rows[1:]])["a"] and of(rows)["b"] == of([("b", "p1")])["b"]
+    assert of([]) == {}
+
+
+def test_a_list_that_cannot_be_read_aborts_but_records(spark, lake):
+    write(lake.raw_public, {
+        "_descriptors/c.yml": "adapter: curvelanes\noptions: {ingest_unlabeled: true}", "c/train/train.txt": b"images/\xff.jpg\n", "c/valid/valid.txt": "images/1.jpg\n",
+        "c/valid/images/1.jpg": "x", "c/train/images/2.jpg": "y",
+    })
+    run = ingest(spark, lake, "c", EPOCH)
+    row = run.summary.first()
+    assert (row.num_images, row.failed, row.aborted, row.exit_code) == (1, 0, True, 1) and list(run.unreadable) == [f"{lake.raw_public}/c/train/train.txt"]
+    write(lake.raw_public, {"c/train/train.txt": "images/2.jpg\n"})
+    row = ingest(spark, lake, "c", EPOCH).summary.first()
+    assert (row.num_images, row.reused, row.aborted, row.exit_code) == (2, 1, False, 0)

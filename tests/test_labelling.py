@@ -160,3 +160,19 @@ def test_calls_under_way_end_before_an_error_goes_on():
     with pytest.raises(RuntimeError):
         list(windowed(source(), "x", call, 8))
     assert all(ended.acquire(blocking=False) for _ in range(3))
+
+
+def test_progress_is_told_slice_by_slice(spark, lake):
+    catalogue(spark, lake, ANSWERS)
+    told, written = [], []
+
+    def progress(counts):
+        told.append(counts)
+        written.append(len(done(spark, lake)))
+
+    run = label_images(spark, lake, labeller, "m1", EPOCH, "public", "", slices=4, progress=progress)
+    # Counts are there while the run goes on: a slice's are told before its rows are in the table.
+    assert [c["slices"] for c in told] == [1, 2, 3, 4] and written[0] == 0 and all(w <= c["ok"] for w, c in zip(written, told))
+    assert all(a["candidates"] <= b["candidates"] for a, b in zip(told, told[1:]))
+    row = run.summary.first()
+    assert (told[-1]["candidates"], told[-1]["ok"], told[-1]["failed"]) == (row.candidates, row.classified, row.failed) == (8, 4, 4)

@@ -101,3 +101,9 @@ def test_geometry(spark):
     rows = [([straight],), ([straight, bent],), ([],), ([straight[:2]],), (None,)]
     df = spark.createDataFrame(rows, "l array<array<struct<x:double,y:double>>>").coalesce(1)
     assert [r[0] for r in df.select(LN.road_geometry(F.col("l"))).collect()] == ["straight", "curve", "unknown", "unknown", "unknown"]
+
+
+def test_of_repeated_keys_the_last_counts(spark):
+    texts = ['{"Lines": [[{"x": 1, "y": 2}]], "Lines": [[{"x": 5, "x": 7, "y": 6}]]}', '{"a": 1, "a": 2}']
+    lanes, errors = parsed(spark, texts, LN.parse_json_lanes)
+    assert errors == [None, None] and lanes == [json_model(t) for t in texts] and lanes[0][0][0][0] == 7

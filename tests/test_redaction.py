@@ -188,3 +188,10 @@ def test_a_failing_picture_costs_its_own_row():
     assert all(r["error"] == "detector: 1 answers for 2 pictures" for r in short)
     wrong = redact_batch([data], lambda ps: [[]], Codec(plain.decode, lambda p: "text"), 0.1, 3)
     assert "not bytes" in wrong[0]["error"]
+
+
+def test_progress_of_a_redaction(spark, lake):
+    user_tree(lake)
+    told = []
+    row = redact_user_images(spark, lake, face_detector, CODEC, "d-v1", EPOCH, slices=3, progress=told.append).summary.first()
+    assert len(told) == 3 and (told[-1]["candidates"], told[-1]["ok"], told[-1]["failed"]) == (row.candidates, row.anonymized, row.failed)
