@@ -20,25 +20,33 @@ from .words import Texts, texts
 #: Bytes of context; the counted n-grams are one byte longer.
 ORDER = 3
 HELD_OUT_FOLD = 1
+#: Labelled texts a language is learned from, about, where it has more.
+LEARNED_TEXTS = 50_000
 
 _FOLDED = np.array([b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256)], np.uint8)
 _LETTER = np.array([65 <= b <= 90 or 97 <= b <= 122 for b in range(256)])
 
 
-class Trees(NamedTuple):
-    """Code lengths in bits by n-gram, and the escape costs of contexts; one column per language, row 0 for unseen."""
+class Tree(NamedTuple):
+    """One language's code lengths in bits, by sorted n-grams that it has seen, and the escape costs of its contexts."""
 
-    names: list[str]
-    child2: np.ndarray  # n-gram of two bytes -> number
-    child3: np.ndarray  # number of the two bytes before, byte -> number
-    keys4: np.ndarray  # n-grams of four bytes in order; the number of the first is 1
-    cost2: np.ndarray  # every pair of bytes, escapes included
-    escape2: np.ndarray
+    pairs: np.ndarray  # of every pair of bytes, escapes included
+    escape2: np.ndarray  # of every context of two bytes
+    keys3: np.ndarray
     cost3: np.ndarray
+    contexts3: np.ndarray
     escape3: np.ndarray
+    keys4: np.ndarray
     cost4: np.ndarray
 
 
+class Trees(NamedTuple):
+    """A tree per language; each holds its own n-grams only, so that many languages cost the sum of their sizes."""
+
+    names: list[str]
+    trees: list[Tree]
+
+
 def grams(chunk: Texts) -> np.ndarray:
     """The last ORDER + 1 bytes at every byte, as one number; blanks stand before a text's beginning."""
     data = _FOLDED[chunk.data].astype(np.uint32)
@@ -109,66 +117,52 @@ def _level(keys, counts, lower):
     return np.where(counts > 0, own, escape[at] + lower), context, escape
 
 
-def build_trees(names: list[str], lang: np.ndarray, gram: np.ndarray, n: np.ndarray) -> Trees:
-    """Code lengths for every language from the counts of its n-grams of four bytes."""
-    keys4, at = np.unique(gram.astype(np.uint32), return_inverse=True)
-    counts4 = np.zeros((len(keys4), len(names)))
-    counts4[at, lang] = n
+def _tree(gram: np.ndarray, n: np.ndarray) -> Tree:
+    """A language's tree from the counts of its n-grams of four bytes."""
+    order = np.argsort(gram, kind="stable")
+    keys4, counts4 = gram[order].astype(np.uint32), n[order].astype(float)[:, None]
     keys3, counts3 = _below(keys4, counts4, 24)
     keys2, counts2 = _below(keys3, counts3, 16)
     keys1, counts1 = _below(keys2, counts2, 8)
-    all1 = np.zeros((256, len(names)))
-    all1[keys1] = counts1
+    all1, all2 = np.zeros((256, 1)), np.zeros((65536, 1))
+    all1[keys1], all2[keys2] = counts1, counts2
     cost1, _, _ = _level(np.arange(256, dtype=np.uint32), all1, 8.0)
-    all2 = np.zeros((65536, len(names)))
-    all2[keys2] = counts2
     pairs = np.arange(65536, dtype=np.uint32)
     cost2, _, _ = _level(pairs, all2, cost1[pairs & 255])
-    child2 = np.zeros(65536, np.int32)
-    child2[keys2] = np.arange(1, len(keys2) + 1)
-
     cost3, context2, esc2 = _level(keys3, counts3, cost2[keys3 & np.uint32(0xFFFF)])
-    escape2 = np.zeros((len(keys2) + 1, len(names)))
-    ok = child2[context2] > 0
-    escape2[child2[context2[ok]]] = esc2[ok]
-    child3 = np.zeros((len(keys2) + 1, 256), np.int32)
-    before = child2[keys3 >> np.uint32(8)]
-    ok = before > 0
-    child3[before[ok], keys3[ok] & np.uint32(255)] = np.arange(1, len(keys3) + 1)[ok]
-
+    escape2 = np.zeros(65536, np.float32)
+    escape2[context2] = esc2[:, 0]
     cost4, context3, esc3 = _level(keys4, counts4, cost3[np.searchsorted(keys3, keys4 & np.uint32(0xFFFFFF))])
-    # Contexts get the numbers of the three-byte n-grams.
-    place = np.searchsorted(keys3, context3)
-    ok = (place < len(keys3)) & (keys3[np.minimum(place, len(keys3) - 1)] == context3)
-    escape3 = np.zeros((len(keys3) + 1, len(names)))
-    escape3[place[ok] + 1] = esc3[ok]
+    return Tree(*(x.reshape(-1).astype(x.dtype if x.dtype == np.uint32 else np.float32) for x in (cost2, escape2, keys3, cost3, context3, esc3, keys4, cost4)))
+
+
+def build_trees(names: list[str], lang: np.ndarray, gram: np.ndarray, n: np.ndarray) -> Trees:
+    """The trees of all languages from counts of n-grams of four bytes; `lang` numbers the names."""
+    order = np.argsort(lang, kind="stable")
+    cuts = np.searchsorted(lang[order], np.arange(len(names) + 1))
+    return Trees(names, [_tree(gram[order[lo:hi]], n[order[lo:hi]]) for lo, hi in zip(cuts, cuts[1:])])
+
 
-    def padded(x):
-        return np.concatenate([np.zeros((1, len(names))), x]).astype(np.float32)
+def _found(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray, otherwise: np.ndarray | float) -> np.ndarray:
+    place = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return np.where(keys[place] == wanted, values[place], otherwise)
 
-    return Trees(names, child2, child3, keys4, cost2.astype(np.float32), escape2.astype(np.float32), padded(cost3), escape3.astype(np.float32), padded(cost4))
+
+def _costs(tree: Tree, found: np.ndarray) -> np.ndarray:
+    """Bits of the last byte of each n-gram."""
+    lowest = tree.escape2[(found >> np.uint32(8)) & np.uint32(0xFFFF)] + tree.pairs[found & np.uint32(0xFFFF)]
+    lower = _found(tree.keys3, tree.cost3, found & np.uint32(0xFFFFFF), lowest)
+    return _found(tree.keys4, tree.cost4, found, _found(tree.contexts3, tree.escape3, found >> np.uint32(8), 0.0) + lower)
 
 
 def code_lengths(chunk: Texts, trees: Trees) -> np.ndarray:
-    """Bits of each text under each language."""
-    found = grams(chunk)
-    last = found & np.uint32(255)
-    before2, pair = trees.child2[(found >> np.uint32(8)) & np.uint32(0xFFFF)], found & np.uint32(0xFFFF)
-    early2 = trees.child2[found >> np.uint32(16)]
-    at3 = trees.child3[before2, last]
-    before3 = trees.child3[early2, (found >> np.uint32(8)) & np.uint32(255)]
-    place = np.minimum(np.searchsorted(trees.keys4, found), len(trees.keys4) - 1)
-    at4 = np.where(trees.keys4[place] == found, place + 1, 0)
-    total = trees.cost4[at4]
-    miss = np.flatnonzero(at4 == 0)
-    lower = trees.cost3[at3[miss]]
-    deeper = at3[miss] == 0
-    lower[deeper] = trees.escape2[before2[miss][deeper]] + trees.cost2[pair[miss][deeper]]
-    total[miss] = trees.escape3[before3[miss]] + lower
+    """Bits of each text under each language; every distinct n-gram of the chunk is looked up once per language."""
+    distinct, at = np.unique(grams(chunk), return_inverse=True)
     sums = np.zeros((chunk.n, len(trees.names)))
     filled = np.flatnonzero(np.diff(chunk.offsets) > 0)
     if len(filled):
-        sums[filled] = np.add.reduceat(total, chunk.offsets[filled], axis=0, dtype=np.float64)
+        for k, tree in enumerate(trees.trees):
+            sums[filled, k] = np.add.reduceat(_costs(tree, distinct)[at], chunk.offsets[filled], dtype=np.float64)
     return sums
 
 
@@ -181,12 +175,22 @@ def has_letter(chunk: Texts) -> np.ndarray:
     return found
 
 
-def fit_trees(docs: DataFrame) -> Trees | None:
-    """Trees of all languages in `docs` (text, lang); a row per language and distinct n-gram comes to the driver."""
-    found = gram_counts(docs.where("text is not null and lang is not null")).toPandas()
+def fit_trees(docs: DataFrame, learned_texts: int = LEARNED_TEXTS) -> Trees | None:
+    """Trees of all languages in `docs` (text, lang), each from about `learned_texts` of its texts at most.
+
+    The texts whose hash is low are taken, so a language with fewer is learned from all of them, and the result does not
+    depend on the order of rows. A row per language and distinct n-gram of those texts comes to the driver.
+    """
+    known = docs.where("text is not null and lang is not null")
+    sizes = known.groupBy("lang").agg(F.count("*").alias("size")).withColumn("bound", F.lit(float(2**31)) * F.least(F.lit(1.0), learned_texts / F.col("size")))
+    # One row per language.
+    bounds = {r["lang"]: r["bound"] for r in sizes.collect()}
+    if not bounds:
+        return None
+    low = F.element_at(F.create_map(*[F.lit(x) for pair in bounds.items() for x in pair]), F.col("lang"))
+    found = gram_counts(known.where(F.pmod(F.xxhash64("text"), F.lit(2**31)) < low)).toPandas()
     if not len(found):
         return None
-    found = found.sort_values(["lang", "gram"])
     names, lang = np.unique(found["lang"].to_numpy(str), return_inverse=True)
     return build_trees([str(x) for x in names], lang, found["gram"].to_numpy(), found["n"].to_numpy())
 
@@ -202,10 +206,12 @@ def identify_language(df: DataFrame, trees: Trees | None, id_column: str = "doc_
     docs = renamed(df, doc_id=id_column, text=text_column)
     kind = dict(docs.dtypes)["doc_id"].replace("bigint", "long")
     schema = f"doc_id {kind}, lang_pred string, score double"
-    held = docs.sparkSession.sparkContext.broadcast(trees and tuple(trees))  # plain arrays: a worker needs no class to read them
+    # Plain arrays: a worker needs no class to read them.
+    held = docs.sparkSession.sparkContext.broadcast(trees and (trees.names, [tuple(t) for t in trees.trees]))
 
     def predict(part):
-        learned, names, scores = held.value and Trees(*held.value), [], []
+        learned = held.value and Trees(held.value[0], [Tree(*t) for t in held.value[1]])
+        names, scores = [], []
         for chunk in texts(part.column("text")):
             letters = has_letter(chunk)
             if learned is None:
