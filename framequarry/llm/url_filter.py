@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..session import small_frame
 from .components import components
-from .registry import query, read, renamed
+from .registry import let, query, read, renamed
 
 #: The rules of the query: action, host, path.
 RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
@@ -46,19 +46,66 @@ def node(url: Column) -> Column:
     )
 
 
-def _targets(html: Column, tag: str, told: str, value: str) -> Column:
-    """The values of all tags that match `told`, with `&amp;` decoded."""
-    tags = F.filter(F.regexp_extract_all(html, F.lit(f"(?is)<{tag}\\b[^>]*>"), 0), lambda x: x.rlike(told))
-    values = F.transform(tags, lambda x: F.replace(F.trim(F.regexp_extract(x, value, 1)), F.lit("&amp;"), F.lit("&")))
-    return F.coalesce(F.filter(values, lambda x: x != ""), F.array().cast("array<string>"))
+# Fixed patterns, the same in the query's SQL: what holds no tags, the tags that link, an attribute with its value, a
+# character reference, and the target of a refresh.
+_NO_TAGS = r"(?is)<!--.*?(?:-->|\z)" + "".join(rf"|<{e}\b.*?(?:</{e}\b[^>]*>|\z)" for e in ("script", "style", "textarea", "title"))
+_TAG = r"(?is)<(?:link|meta|base)[\s/][^>]*>"
+_ATTRIBUTE = r"""(?is)([^\s=/"'<>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?"""
+_REFERENCE = r"(?i)&(#x[0-9a-f]{1,6}|#[0-9]{1,7}|amp|lt|gt|quot|apos);?"
+_REFRESH = r"""(?is)^[\s0-9.]*[;,]?\s*url\s*=\s*["']?([^"']*)"""
+_NAMED = {"amp": "&", "lt": "<", "gt": ">", "quot": '"', "apos": "'"}
 
 
-def link_targets(html: Column) -> Column:
-    """All that a page names as its canonical URL, and where it redirects to."""
-    return F.concat(
-        _targets(html, "link", r"""(?is)\brel\s*=\s*["']?canonical\b""", r"""(?is)\bhref\s*=\s*["']?([^"'>\s]+)"""),
-        _targets(html, "meta", r"""(?is)\bhttp-equiv\s*=\s*["']?refresh\b""", r"""(?is)\bcontent\s*=\s*["']?[^"'>]*?url\s*=\s*["']?([^"'>\s]+)"""),
-    )
+def _character(reference: Column) -> Column:
+    """What a reference, without its `&` and `;`, stands for."""
+    code = F.when(reference.rlike("(?i)^#x"), F.conv(F.substring(reference, 3, 9), 16, 10)).when(reference.startswith("#"), F.substring(reference, 2, 9)).cast("bigint")
+    known = (code > 0) & (code <= 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+    wide = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+    found = F.when(code.isNull(), None).when(known, wide).otherwise("\ufffd")
+    for name, character in _NAMED.items():
+        found = F.when(F.lower(reference) == name, character).otherwise(found)
+    return found
+
+
+def decoded(text: Column) -> Column:
+    """The text with its character references resolved, each once."""
+    parts = F.struct(F.split(text, _REFERENCE, -1).alias("plain"), F.regexp_extract_all(text, F.lit(_REFERENCE), F.lit(1)).alias("coded"))
+    return F.when(F.instr(text, "&") == 0, text).otherwise(let(parts, lambda p: F.array_join(
+        F.zip_with(p["plain"], p["coded"], lambda plain, coded: F.concat(plain, F.coalesce(_character(coded), F.lit("")))), "",
+    )))
+
+
+def _attributes(tag: Column) -> Column:
+    """href, rel, http-equiv and content of a tag; of repeated ones the first."""
+    body = F.regexp_replace(tag, "^<[A-Za-z]+", "")
+    names, values = (F.regexp_extract_all(body, F.lit(_ATTRIBUTE), F.lit(group)) for group in (1, 2))
+    found = F.zip_with(names, values, lambda name, value: F.struct(F.lower(name).alias("name"), value.alias("value")))
+
+    def value(pairs: Column, name: str) -> Column:
+        first = F.get(F.filter(pairs, lambda p: p["name"] == name), 0)["value"]
+        plain = F.when(first.rlike("^[\"']"), F.regexp_replace(first, "(?s)^.(.*).$", "$1")).otherwise(first)
+        return F.coalesce(F.trim(decoded(plain)), F.lit(""))
+
+    return let(found, lambda pairs: F.struct(*[value(pairs, name).alias(name.replace("-", "_")) for name in ("href", "rel", "http-equiv", "content")]))
+
+
+def link_targets(pages: DataFrame) -> DataFrame:
+    """(url, base, target) of all that pages (url, html) name as their canonical URL and redirect to; `base` as the page says, or null.
+
+    Comments, scripts, styles and texts hold no links. Attribute names are whole, `rel` is a list of tokens, and
+    character references are resolved.
+    """
+    marked = pages.where(F.col("html").rlike("(?i)canonical|refresh")).select("url", F.regexp_extract_all(F.regexp_replace("html", _NO_TAGS, " "), F.lit(_TAG), F.lit(0)).alias("tags"))
+    kinds = F.transform("tags", lambda tag: F.struct(F.lower(F.regexp_extract(tag, "^<([A-Za-z]+)", 1)).alias("kind"), _attributes(tag).alias("a")))
+
+    def of(found: Column) -> Column:
+        canonical = F.filter(found, lambda t: (t["kind"] == "link") & F.array_contains(F.split(F.lower(t["a"]["rel"]), r"\s+"), "canonical"))
+        refresh = F.filter(found, lambda t: (t["kind"] == "meta") & (F.lower(t["a"]["http_equiv"]) == "refresh"))
+        targets = F.concat(F.transform(canonical, lambda t: t["a"]["href"]), F.transform(refresh, lambda t: F.trim(F.regexp_extract(t["a"]["content"], _REFRESH, 1))))
+        base = F.get(F.filter(found, lambda t: (t["kind"] == "base") & (t["a"]["href"] != "")), 0)["a"]["href"]
+        return F.struct(base.alias("base"), F.filter(targets, lambda t: t != "").alias("targets"))
+
+    return marked.select("url", let(kinds, of).alias("found")).select("url", "found.base", F.explode("found.targets").alias("target"))
 
 
 def _without_dots(place: Column) -> Column:
@@ -74,6 +121,10 @@ def _without_dots(place: Column) -> Column:
 
 def resolved(base: Column, target: Column) -> Column:
     """`target` as an absolute URL, seen from the page `base`; null for schemes without `//`, and without a base host."""
+    return let(F.struct(base.alias("base"), target.alias("target")), lambda x: _resolved(x["base"], x["target"]))
+
+
+def _resolved(base: Column, target: Column) -> Column:
     root = F.concat(F.regexp_extract(base, "^(.*?)://", 1), F.lit("://"), host(base))
     place = F.when(path(base) == "", "/").otherwise(path(base))
     # The target's path, and its query and fragment.
@@ -92,8 +143,11 @@ def resolved(base: Column, target: Column) -> Column:
 
 def alias_edges(pages: DataFrame) -> DataFrame:
     """(src, dst) nodes of every canonical link and redirect of pages (url, html)."""
-    ends = pages.select("url", F.explode(link_targets(F.col("html"))).alias("target"))
-    return ends.select(node(F.col("url")).alias("src"), node(resolved(F.col("url"), F.col("target"))).alias("dst")).where("src is not null and dst is not null")
+    ends = link_targets(pages)
+    base = F.coalesce(resolved(F.col("url"), F.col("base")), F.col("url"))
+    return ends.select("url", "target", base.alias("base")).select(
+        node(F.col("url")).alias("src"), let(resolved(F.col("base"), F.col("target")), node).alias("dst"),
+    ).where("src is not null and dst is not null")
 
 
 def judged(places: DataFrame, rules: DataFrame) -> DataFrame:
@@ -140,17 +194,57 @@ _NODE = (
     "CASE WHEN instr(regexp_extract({0}, '^[^#]*'), '://') > 0 THEN lower(regexp_extract({0}, '^[^#]*?://')) || " + _HOST
     + " || regexp_extract(regexp_extract({0}, '^[^#]*'), '^.*?://[^/?]*(.*)$', 1) END"
 )
+_Q = {name: value.replace("'", "''") for name, value in (("no_tags", _NO_TAGS), ("tag", _TAG), ("attribute", _ATTRIBUTE), ("reference", _REFERENCE), ("refresh", _REFRESH))}
+
+
+def _decoded_sql(text: str) -> str:
+    code = "CASE WHEN regexp_matches(r, '(?i)^#x') THEN CAST(('0x' || substr(r, 3)) AS BIGINT) WHEN starts_with(r, '#') THEN CAST(substr(r, 2) AS BIGINT) END"
+    named = " ".join(f"WHEN lower(r) = '{name}' THEN '{value.replace(chr(39), chr(39) * 2)}'" for name, value in _NAMED.items())
+    character = f"CASE {named} WHEN {code} BETWEEN 1 AND 1114111 AND NOT {code} BETWEEN 55296 AND 57343 THEN chr(CAST({code} AS INTEGER)) ELSE chr(65533) END"
+    plain, coded = f"string_split_regex({text}, '{_Q['reference']}')", f"regexp_extract_all({text}, '{_Q['reference']}', 1)"
+    return f"array_to_string(list_transform(list_zip({plain}, list_transform({coded}, lambda r: {character})), lambda z: z[1] || coalesce(z[2], '')), '')"
+
+
+def _attribute_sql(name: str) -> str:
+    first = f"list_filter(list_zip(list_transform(regexp_extract_all(body, '{_Q['attribute']}', 1), lambda x: lower(x)), regexp_extract_all(body, '{_Q['attribute']}', 2)), lambda p: p[1] = '{name}')[1][2]"
+    plain = f"(CASE WHEN regexp_matches({first}, '^[\"'']') THEN regexp_extract({first}, '(?s)^.(.*).$', 1) ELSE {first} END)"
+    return f"coalesce(trim({_decoded_sql(plain)}), '')"
+
+
+def _dots_sql(place: str) -> str:
+    segments = f"list_slice(string_split({place}, '/'), 2, NULL)"
+    kept = (
+        f"list_reduce(list_prepend(CAST([] AS VARCHAR[]), list_transform({segments}, lambda s: [s])), "
+        "lambda a, b: CASE WHEN b[1] = '..' THEN list_slice(a, 1, len(a) - 1) WHEN b[1] = '.' THEN a ELSE list_concat(a, b) END)"
+    )
+    return f"('/' || array_to_string({kept}, '/') || CASE WHEN {segments}[-1] IN ('.', '..') AND len({kept}) > 0 THEN '/' ELSE '' END)"
+
+
+def _resolved_sql(base: str, target: str) -> str:
+    scheme = f"regexp_extract({base}, '^(.*?)://', 1)"
+    root, path_of = f"{scheme} || '://' || {_HOST.format(base)}", _PATH.format(base)
+    place = f"CASE WHEN {path_of} = '' THEN '/' ELSE {path_of} END"
+    own, rest = f"regexp_extract({target}, '^[^?#]*')", f"regexp_extract({target}, '^[^?#]*(.*)$', 1)"
+    return f"""CASE WHEN regexp_matches({target}, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN {target} WHEN starts_with({target}, '//') THEN {scheme} || ':' || {target}
+    WHEN instr({base}, '://') = 0 OR regexp_matches({target}, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN NULL
+    WHEN starts_with({own}, '/') THEN {root} || CASE WHEN regexp_matches({own}, '/\\.\\.?(/|$)') THEN {_dots_sql(own)} ELSE {own} END || {rest}
+    WHEN starts_with({target}, '#') THEN {root} || {path_of} || regexp_extract({base}, '^[^?#]*(\\?[^#]*)?', 1)
+    WHEN {own} = '' THEN {root} || {place} || {rest} ELSE {root} || {_dots_sql(f"(regexp_extract({place}, '^(.*/)', 1) || {own})")} || {rest} END"""
+
+
 URLS_SQL = f"""
-WITH RECURSIVE tags AS (
-  SELECT url, unnest(regexp_extract_all(html, '(?is)<(?:link|meta)\\b[^>]*>')) AS tag FROM pages
+WITH RECURSIVE marked AS (
+  SELECT row_number() OVER () AS page, url, regexp_extract_all(regexp_replace(html, '{_Q['no_tags']}', ' ', 'g'), '{_Q['tag']}') AS tags FROM pages WHERE regexp_matches(html, '(?i)canonical|refresh')
+), tags AS (SELECT page, url, i, tags[i] AS tag, regexp_replace(tags[i], '^<[A-Za-z]+', '') AS body FROM (SELECT *, unnest(range(1, len(tags) + 1)) AS i FROM marked)
+), told AS (
+  SELECT page, url, i, lower(regexp_extract(tag, '^<([A-Za-z]+)', 1)) AS kind, {_attribute_sql('href')} AS href, {_attribute_sql('rel')} AS rel,
+    {_attribute_sql('http-equiv')} AS equiv, {_attribute_sql('content')} AS content FROM tags
+), bases AS (SELECT page, arg_min(href, i) AS base FROM told WHERE kind = 'base' AND href <> '' GROUP BY page
 ), targets AS (
-  SELECT url, regexp_extract(tag, '(?is)\\bhref\\s*=\\s*["'']?([^"''>\\s]+)', 1) AS t FROM tags WHERE regexp_matches(tag, '(?is)^<link.*\\brel\\s*=\\s*["'']?canonical\\b')
-  UNION ALL
-  SELECT url, regexp_extract(tag, '(?is)\\bcontent\\s*=\\s*["'']?[^"''>]*?url\\s*=\\s*["'']?([^"''>\\s]+)', 1) FROM tags
-  WHERE regexp_matches(tag, '(?is)^<meta.*\\bhttp-equiv\\s*=\\s*["'']?refresh\\b')
-), ends AS (
-  SELECT url, CASE WHEN regexp_matches(t, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN t WHEN starts_with(t, '//') THEN regexp_extract(url, '^(.*?)://', 1) || ':' || t
-    WHEN starts_with(t, '/') THEN regexp_extract(url, '^(.*?)://', 1) || '://' || {_HOST.format("url")} || t END AS t FROM targets
+  SELECT page, url, href AS t FROM told WHERE kind = 'link' AND list_contains(string_split_regex(lower(rel), '\\s+'), 'canonical')
+  UNION ALL SELECT page, url, trim(regexp_extract(content, '{_Q['refresh']}', 1)) FROM told WHERE kind = 'meta' AND lower(equiv) = 'refresh'
+), based AS (SELECT url, t, coalesce({_resolved_sql('url', 'base')}, url) AS base FROM targets LEFT JOIN bases USING (page) WHERE t <> ''
+), ends AS (SELECT url, {_resolved_sql('base', 't')} AS t FROM based
 ), edges AS (SELECT {_NODE.format("url")} AS a, {_NODE.format("t")} AS b FROM ends
 ), pairs AS (SELECT a, b FROM edges WHERE a <> b UNION SELECT b, a FROM edges WHERE a <> b
 ), reach AS (SELECT a, a AS r FROM pairs UNION SELECT p.a, reach.r FROM reach JOIN pairs p ON p.b = reach.a
@@ -161,11 +255,11 @@ WITH RECURSIVE tags AS (
 ), named AS (
   SELECT host, path, h || p AS rule, action FROM places JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)
   QUALIFY row_number() OVER (PARTITION BY host, path ORDER BY length(h || p) DESC, action) = 1
-), told AS (
+), spread AS (
   SELECT c, bool_or(action = 'block') AND NOT bool_or(action = 'allow') AS bad FROM parts JOIN named ON host = {_HOST.format("a")} AND path = {_PATH.format("a")} GROUP BY c
 )
 SELECT page_id, host, path, rule, CASE WHEN action IS NOT NULL THEN action WHEN bad THEN 'block' ELSE 'allow' END AS verdict
-FROM urls LEFT JOIN named USING (host, path) LEFT JOIN parts ON node = a LEFT JOIN told USING (c)
+FROM urls LEFT JOIN named USING (host, path) LEFT JOIN parts ON node = a LEFT JOIN spread USING (c)
 """
 
 
