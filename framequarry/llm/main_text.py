@@ -11,6 +11,7 @@ and no more; this prior fades with the number of pages, of which two are enough.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -18,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import stage
-from .page_tree import Element, walk
+from .page_tree import Article, Element, walk
 from .registry import batch, map_batches, query, read, renamed
 from .url_filter import host
 
@@ -32,8 +33,11 @@ INSIDE, OUTSIDE, BESIDE, PRIOR_PAGES = 1.0, 0.8, 0.5, 2
 #: A single block of text is cut below this importance, unless less than this share of the page's text would be left.
 BLOCK_IMPORTANCE, LEAST_LEFT = 0.3, 0.25
 
+#: A marked element that holds more than this share of the text, or the largest article, is no branch to cut.
+MOST_TEXT = 0.75
+
 # Elements, roles and words in class names and ids that mark what is not the article.
-NOISE_ELEMENTS = set("nav footer aside form button select dialog template svg canvas object audio video menu search datalist".split())
+NOISE_ELEMENTS = set("nav footer aside button select dialog template svg canvas object audio video menu search datalist".split())
 NOISE_ROLES = set("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 NOISE_WORDS = set(
     "ad ads adv advert adverts advertisement advertising adsense sponsor sponsored promo promoted promotion banner nav navbar navigation navi menu "
@@ -41,57 +45,94 @@ NOISE_WORDS = set(
     "subscription signup login register share sharing social related recommended recommendations comment comments commentlist disqus reply replies "
     "respond widget widgets toolbar pagination pager masthead copyright legal disclaimer skip search form".split()
 )
-HEADER_WORDS = {"header", "topbar", "site-header"}
+HEADER_WORDS = {"header", "topbar"}
 ARTICLE_ELEMENTS = ("article", "main")
 KEPT_ELEMENTS = {"html", "body", "article", "main", "h1", "h2", "h3", "h4", "h5", "h6"}
 PROSE_ELEMENTS = KEPT_ELEMENTS | {"p", "blockquote", "pre"}
-_WORD = re.compile(r"[a-z]+", re.I)
+_WORD = re.compile(r"[a-z]+")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
-def is_article(element: Element) -> bool:
-    return element.name in ARTICLE_ELEMENTS or element.attributes.get("role") in ARTICLE_ELEMENTS or element.attributes.get("itemprop") == "articleBody"
+def is_article(name: str, attrs: dict[str, str]) -> bool:
+    return name in ARTICLE_ELEMENTS or attrs.get("role") in ARTICLE_ELEMENTS or attrs.get("itemprop") == "articleBody"
+
 
+def noise_mark(name: str, attrs: dict[str, str], inside: bool) -> str:
+    """Whether an element is surely no article text ("hidden"), or calls itself so by a word that may mean anything ("marked").
 
-def is_noise(element: Element, above: list[Element]) -> bool:
-    """Whether the element itself says that its branch is no article text."""
-    attrs = element.attributes
-    if element.name in ("html", "body"):
-        return False
-    if element.name in NOISE_ELEMENTS or element.name == "head" or attrs.get("role") in NOISE_ROLES:
-        return True
-    if "hidden" in attrs or attrs.get("aria-hidden") == "true" or _HIDDEN.search(attrs.get("style", "")):
-        return True
-    inside = any(is_article(e) for e in above)
-    marks = {w.lower() for w in _WORD.findall(attrs.get("class", "") + " " + attrs.get("id", ""))}
-    if element.name == "header" or marks & HEADER_WORDS:
-        return not inside
-    return bool(marks & NOISE_WORDS) and element.name not in KEPT_ELEMENTS - {"article"}
+    An article is marked by whole class names only, other elements by the words in them; headings and the page's frame by none.
+    """
+    if name in ("html", "body"):
+        return ""
+    if name in NOISE_ELEMENTS or attrs.get("role") in NOISE_ROLES or "hidden" in attrs or attrs.get("aria-hidden") == "true" or _HIDDEN.search(attrs.get("style", "")):
+        return "hidden"
+    if name == "header" or name == "form":
+        return "marked" if name == "form" or not inside else ""
+    if name in KEPT_ELEMENTS and name != "article":
+        return ""
+    said = f"{attrs.get('class', '')} {attrs.get('id', '')}".lower()
+    words = set(said.split()) if name == "article" else set(_WORD.findall(said))
+    return "marked" if words & NOISE_WORDS or words & HEADER_WORDS and not inside else ""
 
 
 def _short(text: str) -> int:
     return xxhash.xxh3_64_intdigest(text) - (1 << 63)
 
 
-def page_features(page: str) -> tuple[list[str], list[int | None], list[int], list[int]]:
-    """A page's node paths in order, their sequences of children, and its distinct blocks of text: the node and the hash of each."""
+class Block(NamedTuple):
+    """A block of text, the path of its node, and that of the outermost article around it, else empty."""
+
+    text: str
+    path: str
+    article: str
+
+
+class Page(NamedTuple):
+    """What one walk over a page finds: its places in the style tree in order, their sequences of children, its distinct
+    blocks (the place and the hash of each), and the blocks that may be article text with their places and articles."""
+
+    paths: list[str]
+    styles: list[int | None]
+    places: list[int]
+    keys: list[int]
+    blocks: list[Block]
+
+
+def read_page(page: str) -> Page:
     children: dict[str, list[str]] = {}
     nodes: set[str] = set()
     texts: set[tuple[str, int]] = set()
-    for event, stack, text in walk(page, lambda element, above: element.name == "head"):
-        path = stack[-1].path if stack else ""
+    shown: list[tuple[str, Element]] = []
+    articles: dict[int, Article] = {}
+    for event, element, more in walk(page, noise_mark, is_article):
         if event == "text":
-            texts.add((path, block_key(path, text)))
-        elif event == "open":
-            nodes.add(path)
-            below = children.setdefault(stack[-2].path if len(stack) > 1 else "", [])
-            if not below or below[-1] != path:
-                below.append(path)
+            texts.add((element.path, block_key(element.path, more)))
+            if not element.hidden:
+                shown.append((more, element))
+        elif event == "article":
+            articles[element.article[1]] = more
+        else:
+            nodes.add(element.path)
+            below = children.setdefault(more.path, [])
+            if not below or below[-1] != element.path:
+                below.append(element.path)
     paths = sorted(nodes | {path for path, _ in texts} | set(children))
     at = {path: i for i, path in enumerate(paths)}
     found = sorted((at[path], key) for path, key in texts)
     styles = [_short("".join(children[path])) if path in children else None for path in paths]
-    return paths, styles, [i for i, _ in found], [key for _, key in found]
+
+    held, sizes = Counter(), Counter()
+    for text, element in shown:
+        for mark in element.marks:
+            held[mark] += len(text)
+        if element.article and not articles[element.article[1]].marked:
+            sizes[element.article[1]] += len(text)
+    total = sum(len(text) for text, _ in shown)
+    kept = {mark for mark, size in held.items() if size > MOST_TEXT * total}
+    if sizes:
+        kept |= set(articles[max(sizes, key=sizes.get)].marks)
+    blocks = [Block(text, e.path, e.article[0] if e.article else "") for text, e in shown if kept.issuperset(e.marks)]
+    return Page(paths, styles, [i for i, _ in found], [key for _, key in found], blocks)
 
 
 def block_key(path: str, text: str) -> int:
@@ -103,7 +144,7 @@ def layout_of(paths: list[str]) -> int:
 
 
 def judged_layouts(pages: DataFrame) -> DataFrame:
-    """(host, layout, cut, sure, repeated): what the host's style tree says of each layout, from pages (host, html).
+    """(host, layout, cut, sure, repeated): what the host's style tree says of each layout, from read pages.
 
     `cut` are the unimportant nodes, `sure` those whose own text is important also beside an article, and `repeated` the
     keys of the blocks that the host repeats; paragraphs share one node, so blocks are judged one by one.
@@ -112,17 +153,7 @@ def judged_layouts(pages: DataFrame) -> DataFrame:
     Features are counted per host and path by partial aggregation, so the pages of one host meet nowhere, and a page is
     given the verdicts on its own nodes only.
     """
-    schema = "host string, layout long, digest long, paths array<string>, styles array<long>, places array<int>, blocks array<long>"
-
-    def features(part):
-        rows = []
-        for h, page in zip(part.column("host").to_pylist(), part.column("html").to_pylist()):
-            if page:
-                paths, styles, places, blocks = page_features(page)
-                rows.append((h, layout_of(paths), _short(repr((paths, styles, places, blocks))), paths, styles, places, blocks))
-        yield batch(schema, *[list(c) for c in zip(*rows)] or [[]] * 7)
-
-    once = stage(map_batches(pages, features, schema).dropDuplicates(["host", "digest"]), "features")
+    once = stage(pages.where("layout is not null").select("host", "layout", "digest", "paths", "styles", "places", "keys").dropDuplicates(["host", "digest"]), "features")
 
     def feature(path, kind, value):
         return F.struct(path.alias("path"), F.lit(kind).alias("kind"), value.alias("feature"))
@@ -130,7 +161,7 @@ def judged_layouts(pages: DataFrame) -> DataFrame:
     found = F.concat(
         F.transform("paths", lambda path: feature(path, "page", F.lit(0).cast("long"))),
         F.transform("paths", lambda path, i: feature(path, "style", F.get("styles", i))),
-        F.transform("blocks", lambda block, i: feature(F.get("paths", F.get("places", i)), "text", block)),
+        F.transform("keys", lambda block, i: feature(F.get("paths", F.get("places", i)), "text", block)),
     )
     counted = once.select("host", F.explode(found).alias("f")).select("host", "f.*").where("feature is not null").groupBy("host", "path", "kind", "feature").agg(F.count("*").alias("n"))
     counted = stage(counted, "counted")
@@ -176,23 +207,6 @@ def judged_layouts(pages: DataFrame) -> DataFrame:
     )
 
 
-class Block(NamedTuple):
-    """A block of text, the path of its node, and that of the outermost article around it, else empty."""
-
-    text: str
-    path: str
-    article: str
-
-
-def page_blocks(page: str) -> list[Block]:
-    """The blocks outside all branches that say themselves that they are no article text."""
-    found = []
-    for event, stack, text in walk(page, is_noise):
-        if event == "text":
-            found.append(Block(text, stack[-1].path if stack else "", next((e.path for e in stack if is_article(e)), "")))
-    return found
-
-
 def _at_or_below(path: str, node: str) -> bool:
     return path == node or path.startswith(node + "/")
 
@@ -229,27 +243,38 @@ def extract_main_text(df: DataFrame, id_column: str = "page_id", url_column: str
     host with one content count once. Extra columns are not read; an empty table gives no rows.
     """
     pages = renamed(df, page_id=id_column, url=url_column, html=html_column).withColumn("host", host(F.col("url")))
-    layouts = stage(judged_layouts(pages.select("host", "html")), "layouts")
     kind = dict(pages.dtypes)["page_id"].replace("bigint", "long")
     schema = f"page_id {kind}, url string, text string, n_chars long"
-    parsed = f"page_id {kind}, url string, host string, layout long, texts array<string>, paths array<string>, articles array<string>"
+    parsed = (
+        f"page_id {kind}, url string, host string, layout long, digest long, paths array<string>, styles array<long>, places array<int>, keys array<long>, "
+        "texts array<string>, nodes array<string>, articles array<string>"
+    )
 
     def parse(part):
         rows = []
         for page in part.column("html").to_pylist():
-            blocks = page_blocks(page) if page else []
-            rows.append((layout_of(page_features(page)[0]) if page else None, *([b[i] for b in blocks] for i in range(3))))
+            found = read_page(page) if page else None
+            if found:
+                features = found[:4]
+                rows.append((layout_of(found.paths), _short(repr(features)), *features, *([b[i] for b in found.blocks] for i in range(3))))
+            else:
+                rows.append((None, None, *([] for _ in range(7))))
         yield batch(parsed, *(part.column(c) for c in ("page_id", "url", "host")), *[list(c) for c in zip(*rows)])
 
+    # A page is walked once; its features are counted, and its blocks judged, from what is kept.
+    read = stage(map_batches(pages, parse, parsed), "pages")
+    layouts = stage(judged_layouts(read), "layouts")
+
     def extract(part):
         found = []
-        names = ("texts", "paths", "articles", "cut", "sure", "repeated")
+        names = ("texts", "nodes", "articles", "cut", "sure", "repeated")
         for texts, paths, articles, cut, sure, repeated in zip(*(part.column(c).to_pylist() for c in names)):
             blocks = [Block(*b) for b in zip(texts, paths, articles)]
             found.append("\n".join(main_blocks(blocks, sorted(cut or []), set(sure or []), set(repeated or []))))
         yield batch(schema, part.column("page_id"), part.column("url"), pa.array(found, pa.string()), [len(t) for t in found])
 
-    return map_batches(map_batches(pages, parse, parsed).join(layouts, ["host", "layout"], "left").drop("host", "layout"), extract, schema)
+    blocks = read.select("page_id", "url", "host", "layout", "texts", "nodes", "articles")
+    return map_batches(blocks.join(layouts, ["host", "layout"], "left").drop("host", "layout"), extract, schema)
 
 
 @query("op1_main_text")
