@@ -296,7 +296,70 @@ def damaged(df: DataFrame) -> DataFrame:
     ).drop("copy")
 
 
-@query("op11_conversation_repair")
+def _edit_sql(state: str, cost: str, letter: str, line: str = "") -> str:
+    return f"{{'c': {state}.c + {cost}, 'a': {state}.a || '{letter}', 'r': {state}.r{line and ' || ' + line}}}"
+
+
+def _least_sql(*options: str) -> str:
+    return f"list_sort([{', '.join(options)}])[1]"
+
+
+def _kept_sql(state: str, initial: str) -> str:
+    """Keep the row if it may stay and its role has this initial."""
+    return f"CASE WHEN must_go OR initial <> '{initial}' THEN NULL ELSE {_edit_sql(state, 'more', 'K', 'line')} END"
+
+
+def _reroled_sql(state: str, role: str) -> str:
+    line = f"chr(10) || '{role}:' || text"
+    return f"CASE WHEN must_go THEN NULL ELSE {_edit_sql(state, f'{REROLE_COST} + more', 'R', line)} END"
+
+
+def _options_sql(*options: str) -> str:
+    return f"list_sort(list_filter([{', '.join(options)}], lambda x: x IS NOT NULL))[1]"
+
+
+_FIRST = "{{'c': {}, 'a': '{}', 'r': {}}}"
+_USER, _ASSISTANT = "chr(10) || 'user:'", "chr(10) || 'assistant:'"
+#: The checksum byte by byte, the damage, the faults, and then a step per row: of each state the cheapest edits so far, the
+#: ASCII-least among equals, with the lines they leave; `g` after a row, `s` after insertions behind it.
+REPAIRS_SQL = f"""
+WITH RECURSIVE bits AS (SELECT i, i AS v, 0 AS k FROM range(256) t(i) UNION ALL SELECT i, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END, k + 1 FROM bits WHERE k < 8
+), crc AS (SELECT list(v ORDER BY i) AS t FROM bits WHERE k = 8
+), keyed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k FROM conversations
+), told AS (
+  SELECT *, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(k, ''), lambda x: CAST(ord(x) AS BIGINT))),
+    lambda c, b: xor(c >> 8, crc.t[(xor(c, b) & 255) + 1])), 4294967295) % 20 AS fault FROM keyed, crc
+), damaged AS (
+  SELECT conv_id, turn, CASE fault WHEN 4 THEN 'user' ELSE role END AS role, CASE fault WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(CASE fault WHEN 3 THEN [0, 1] ELSE [0] END) AS copy FROM told WHERE fault <> 0
+), placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS n, regexp_extract(text, '(?s)^(.*?)[\x20\x09-\x0D]*$', 1) AS shown FROM damaged
+), judged AS (
+  SELECT *, left(role, 1) AS initial, shown = '' AS blank, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY n) > 1 AS again, right(shown, 1) NOT IN ('.', '!', '?') AS cut,
+    lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY n) AS before FROM placed
+), marked AS (SELECT *, blank OR again AS must_go, CAST(CASE WHEN cut AND NOT blank AND NOT again THEN {TRUNCATED_COST} ELSE 0 END AS BIGINT) AS more, chr(10) || role || ':' || text AS line FROM judged
+), walk AS (
+  SELECT DISTINCT conv_id, CAST(0 AS BIGINT) AS n, {_FIRST.format("CAST(0 AS BIGINT)", "", "''")} AS s0, {_FIRST.format(f"CAST({1 << 40} AS BIGINT)", "", "''")} AS s1,
+    {_FIRST.format(f"CAST({INSERT_COST} AS BIGINT)", "I", _USER)} AS s2, {_FIRST.format(f"CAST({2 * INSERT_COST} AS BIGINT)", "II", _USER + " || " + _ASSISTANT)} AS s3 FROM conversations
+  UNION ALL
+  SELECT conv_id, n, g0, g1, i2, {_least_sql("g3", _edit_sql("i2", str(INSERT_COST), "I", _ASSISTANT))} FROM (
+    SELECT *, {_least_sql("g2", *[_edit_sql(g, str(INSERT_COST), "I", _USER) for g in ("g0", "g1", "g3")])} AS i2 FROM (
+      SELECT w.conv_id, m.n, {_edit_sql("s0", str(DELETE_COST), "D")} AS g0,
+        {_options_sql(_edit_sql("s1", str(DELETE_COST), "D"), _kept_sql("s0", "s"))} AS g1,
+        {_options_sql(_edit_sql("s2", str(DELETE_COST), "D"), *[f(s, x) for s in ("s0", "s1", "s3") for f, x in ((_kept_sql, "u"), (_reroled_sql, "user"))])} AS g2,
+        {_options_sql(_edit_sql("s3", str(DELETE_COST), "D"), _kept_sql("s2", "a"), _reroled_sql("s2", "assistant"))} AS g3
+      FROM walk w JOIN marked m ON w.conv_id IS NOT DISTINCT FROM m.conv_id AND m.n = w.n + 1))
+), done AS (SELECT conv_id, {_least_sql("s0", "s3")} AS best FROM walk QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY n DESC) = 1
+), counted AS (
+  SELECT conv_id, max(turn) - min(turn) + 1 - count(DISTINCT turn) AS gaps, count(*) FILTER (WHERE blank) AS blank, count(*) FILTER (WHERE again AND NOT blank) AS duplicate,
+    count(*) FILTER (WHERE cut AND NOT blank AND NOT again) AS truncated, count(*) FILTER (WHERE before || initial NOT IN ('su', 'ua', 'au')) AS illegal FROM marked GROUP BY conv_id)
+SELECT d.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+  best.c AS cost, best.a AS audit, sha256(substr(best.r, 2)) AS repaired_sha256
+FROM done d LEFT JOIN counted c ON d.conv_id IS NOT DISTINCT FROM c.conv_id
+"""
+
+
+@query("op11_conversation_repair", REPAIRS_SQL)
 def op11_conversation_repair(spark, sf_dir):
     rows = read(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
     found = repair_conversations(damaged(rows), every=rows.select("conv_id"))

@@ -160,7 +160,62 @@ def _shown(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
 
-@query("op12_secret_scan")
+def _text(pattern: str) -> str:
+    return "'" + pattern.replace("'", "''") + "'"
+
+
+def _placed_sql(name: str, source: str, text: str, pattern: str, group: int) -> str:
+    """What stands between the matches of each text (p), the matches (f), and their values (v)."""
+    found = f"regexp_extract_all({text}, {_text(pattern)}"
+    return f"{name} AS (SELECT rid, string_split_regex({text}, {_text(pattern)}) AS p, {found}) AS f, {found}, {group}) AS v FROM {source} WHERE regexp_matches({text}, {_text(pattern)}))"
+
+
+def _spans_sql(kind: str, rank: int, source: str, least: int) -> str:
+    start = "list_sum(list_transform(p[1:i], lambda x: len(x))) + coalesce(list_sum(list_transform(f[1:i - 1], lambda x: len(x))), 0)"
+    return (
+        f"SELECT rid, {rank} AS rank, '{kind}' AS kind, CAST({start} AS BIGINT) AS lo, CAST({start} + len(f[i]) AS BIGINT) AS hi, v[i] AS value "
+        f"FROM (SELECT *, unnest(range(1, len(f) + 1)) AS i FROM {source}) WHERE len(v[i]) >= {least}"
+    )
+
+
+def _blanked_sql(name: str, before: str, source: str, least: int) -> str:
+    match = f"CASE WHEN i > len(f) THEN '' WHEN len(v[i]) >= {least} THEN repeat(' ', len(f[i])) ELSE f[i] END"
+    joined = f"array_to_string(list_transform(range(1, len(p) + 1), lambda i: p[i] || {match}), '')"
+    return f"{name} AS (SELECT rid, CASE WHEN p IS NULL THEN t ELSE {joined} END AS t FROM {before} LEFT JOIN {source} USING (rid))"
+
+
+def _secrets_sql() -> str:
+    parts, texts = ["docs AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents)"], "docs"
+    for kind, (pattern, group, least) in BASE.items():
+        parts.append(_placed_sql(kind, "docs", "t", pattern, group))
+        # What one kind leaves is looked through for the next, on its own text.
+        parts += [_placed_sql(f"{kind}_rest", texts, "t", pattern, group), _blanked_sql(f"without_{kind}", texts, f"{kind}_rest", least)]
+        texts = f"without_{kind}"
+    # Runs of the tokens' characters are whole without a look behind.
+    parts.append(_placed_sql("token", texts, "t", TOKEN.partition(")")[2], 0))
+    base = " UNION ALL ".join(_spans_sql(kind, rank, kind, least) for rank, (kind, (_, _, least)) in enumerate(BASE.items()))
+    codes = f"range(1, len(value)) q(i)) WHERE a BETWEEN 0 AND {_CODES - 1} AND b BETWEEN 0 AND {_CODES - 1}"
+    pair = f"ord(substr(value, i, 1)) - {_LOW} AS a, ord(substr(value, i + 1, 1)) - {_LOW} AS b"
+    return f"""WITH {", ".join(parts)}
+, base AS ({base}), tokens AS ({_spans_sql("markov", len(BASE), "token", 1)})
+, samples AS (SELECT 1 AS label, value FROM base UNION ALL SELECT 0, value FROM tokens WHERE NOT regexp_matches(value, '{UNLIKE_NAMES}'))
+, seen AS (SELECT label, a, b, count(*) AS n FROM (SELECT label, {pair} FROM samples, {codes} GROUP BY ALL)
+, grid AS (SELECT label, a, b FROM range(2) x(label), range({_CODES}) y(a), range({_CODES}) z(b))
+, totals AS (SELECT label, sum(n) AS n FROM seen GROUP BY label), firsts AS (SELECT label, a, sum(n) AS n FROM seen GROUP BY ALL), seconds AS (SELECT label, b, sum(n) AS n FROM seen GROUP BY ALL)
+, chances AS (
+  SELECT label, a, b, (coalesce(s.n, 0) + {BACKED_OFF} * (coalesce(v.n, 0) + 1) / (coalesce(t.n, 0) + {_CODES})) / (coalesce(u.n, 0) + {BACKED_OFF}) AS chance
+  FROM grid LEFT JOIN seen s USING (label, a, b) LEFT JOIN totals t USING (label) LEFT JOIN firsts u USING (label, a) LEFT JOIN seconds v USING (label, b))
+, ratios AS (SELECT x.a, x.b, ln(x.chance / y.chance) AS ratio FROM chances x JOIN chances y USING (a, b) WHERE x.label = 1 AND y.label = 0)
+, scored AS (SELECT rid, rank, kind, lo, hi, value FROM (SELECT *, {pair} FROM tokens, {codes.replace(') WHERE', ') x JOIN ratios USING (a, b) WHERE')} GROUP BY ALL HAVING sum(ratio) >= {NATS})
+, every AS (SELECT * FROM base UNION ALL SELECT * FROM scored)
+, shown AS (
+  SELECT rid, {", ".join(f"count(*) FILTER (WHERE kind = '{kind}') AS n_{kind}" for kind in BASE)},
+    string_agg(kind || ':' || lo || ':' || hi, ',' ORDER BY lo, rank) FILTER (WHERE kind <> 'markov') AS base, string_agg(kind || ':' || lo || ':' || hi, ',' ORDER BY lo, rank) AS spans
+  FROM every GROUP BY rid)
+SELECT doc_id, {", ".join(f"coalesce(n_{kind}, 0) AS n_{kind}" for kind in BASE)}, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM docs LEFT JOIN shown USING (rid)"""
+
+
+@query("op12_secret_scan", _secrets_sql())
 def op12_secret_scan(spark, sf_dir):
     found = find_secrets(read(spark, sf_dir, "documents", "doc_id", "text"))
     return found.select(

@@ -102,3 +102,22 @@ def test_scores_are_those_of_the_counts(spark):
         assert abs(got - want) < 1e-6
     none = spark.createDataFrame([], "value string")
     assert set(secrets.train_models(none, none)) == {0.0}
+
+
+def test_the_sql_knows_the_models_too(spark, tmp_path):
+    """The query and its SQL on texts in which the models find spans beside those of the patterns."""
+    rng = np.random.default_rng(6)
+    syllables = "ter ver con ing tion mar lo ni sa re do pa um est al or".split()
+    names = ["_".join("".join(rng.choice(syllables, 3)) for _ in range(3)) for _ in range(80)]
+
+    def drawn():
+        return base64.b64encode(rng.bytes(24)).decode()
+
+    rows = [(i, f"é {' '.join(rng.choice(names, 4))} token={drawn()} x {rng.bytes(10).hex()}" + (f" {drawn()} y" if i % 3 == 0 else "")) for i in range(120)]
+    rows += [(200 + i, t) for i, t in enumerate(TEXTS) if i < 12 and "ſ" not in (t or "")]
+    spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    got = sorted(map(tuple, queries.QUERIES["op12_secret_scan"](spark, str(tmp_path)).collect()))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    assert got == sorted(con.execute(queries.SQL["op12_secret_scan"]).fetchall())
+    assert sum("markov" in r[5] for r in got) >= 30
