@@ -17,17 +17,18 @@ def windowed(batches: Iterator, column: str | None, call: Callable[[Any], Any],
     `in_flight` calls run at a time, and no more rows than that are being read. `call` must not raise. Should the
     rows' source fail, the calls under way are waited for before the error goes on.
     """
-    from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
+    from concurrent.futures import ThreadPoolExecutor
+    from queue import SimpleQueue
 
     running: dict = {}
+    ended: SimpleQueue = SimpleQueue()
     held: deque = deque()  # [batch, answers, how many are missing], in order
 
     def collect() -> None:
-        done, _ = wait(running, return_when=FIRST_COMPLETED)
-        for future in done:
-            entry, row = running.pop(future)
-            entry[1][row] = future.result()
-            entry[2] -= 1
+        future = ended.get()
+        entry, row = running.pop(future)
+        entry[1][row] = future.result()
+        entry[2] -= 1
 
     def ready() -> Iterator[tuple[Any, list]]:
         while held and not held[0][2]:
@@ -47,7 +48,9 @@ def windowed(batches: Iterator, column: str | None, call: Callable[[Any], Any],
                 if len(running) >= in_flight:
                     collect()
                     yield from ready()
-                running[pool.submit(call, value)] = entry, row
+                future = pool.submit(call, value)
+                running[future] = entry, row
+                future.add_done_callback(ended.put)
         while held:
             if held[0][2]:
                 collect()
