@@ -10,15 +10,18 @@ from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from ..sources.requests import Requests
 from ..sources.store import THREADS, Store, extended, pieces, problem
 from .calls import windowed
 
 
 def _worker(act, rows: int):
     def run(batches: Iterator) -> Iterator:
+        from itertools import chain
+
         import pyarrow as pa
 
-        store = Store()
+        store, requests = Store(), Requests()
 
         def one(row):
             try:
@@ -28,7 +31,15 @@ def _worker(act, rows: int):
                 return problem(error)
 
         parts = (part for batch in batches for part in pieces(batch, rows))
-        for part, errors in windowed(parts, None, one, THREADS):
+
+        def answered():
+            for part in parts:
+                errors = requests.at_once(one, part.to_pylist())
+                yield part.slice(0, len(errors)), errors
+                if len(errors) < part.num_rows:
+                    yield from windowed(chain([part.slice(len(errors))], parts), None, one, THREADS)
+
+        for part, errors in answered():
             yield extended(part, {"write_error": pa.array(errors, pa.string())})
 
     return run

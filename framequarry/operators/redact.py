@@ -13,13 +13,33 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, types as T
 
 from ..functions.boxes import BLUR_KERNEL, KIND_PATTERNS, MIN_CONFIDENCE
-from ..sources.store import THREADS, Store, extended, pieces, problem
+from ..sources.requests import Requests
+from ..sources.store import Store, extended, pieces, problem
 
 Detection = tuple[str, float, float, float, float, float]
 Detector = Callable[[], Callable[[list], list[Sequence[Detection]]]]
 
 # Fixed value: images per detector call.
 BATCH = 16
+# Lines of the largest blur matrices that are kept (128 KB each), and how many of them and of class names are.
+KEPT_LINES, KEPT = 128, 64
+
+
+class Kept(dict):
+    """Results of a function by its arguments, a bounded number of them; each task starts with none."""
+
+    def __init__(self, make: Callable):
+        super().__init__()
+        self.make = make
+
+    def __missing__(self, key: tuple):
+        if len(self) >= KEPT:
+            self.clear()
+        self[key] = self.make(*key)
+        return self[key]
+
+    def __reduce__(self):
+        return Kept, (self.make,)
 
 
 @dataclass(frozen=True)
@@ -71,14 +91,18 @@ def _blur_matrix(size: int, kernel: int):
     return matrix
 
 
+_MATRICES = Kept(_blur_matrix)
+
+
 def gaussian_blur(region, kernel: int):
     """Gaussian blur of a picture region, as one product per axis."""
     import numpy as np
 
-    rows, columns = (_blur_matrix(n, kernel) for n in region.shape[:2])
-    out = np.tensordot(rows, region.astype(np.float64), axes=(1, 0))
-    out = np.tensordot(columns, out, axes=(1, 1)).transpose(1, 0, 2)
-    return np.clip(np.rint(out), 0, 255).astype(region.dtype)
+    height, width, bands = region.shape
+    rows, columns = (_MATRICES[n, kernel] if n <= KEPT_LINES else _blur_matrix(n, kernel) for n in (height, width))
+    out = rows.dot(region.astype(np.float64).reshape(height, -1)).reshape(height, width, bands)
+    out = columns.dot(out.transpose(1, 0, 2).reshape(width, -1)).reshape(width, height, bands).transpose(1, 0, 2)
+    return np.rint(out).clip(0, 255).astype(region.dtype)
 
 
 def whole_boxes(boxes: Sequence[Sequence[float]], width: int, height: int):
@@ -100,19 +124,26 @@ def blurred(picture, boxes: Sequence[Sequence[float]], kernel: int = BLUR_KERNEL
     return out
 
 
-def sure_boxes(detections: Sequence[Detection], min_confidence: float) -> tuple[dict[str, int], list]:
-    """Number of detections per kind, and the boxes to blur: `detections.kept_detections` for one picture."""
+def kind_of(class_name: str | None) -> str | None:
+    """`boxes.detection_kind` of one name; a model has few class names."""
     import pyarrow as pa
     import pyarrow.compute as pc
 
-    sure = [d for d in detections if d[1] >= min_confidence]
-    names = pc.utf8_lower(pa.array([d[0] for d in sure], pa.string()))
-    open_ones, counts = pa.array([True] * len(sure), pa.bool_()), {}
-    for kind, pattern in KIND_PATTERNS.items():
-        hits = pc.and_(open_ones, pc.fill_null(pc.match_substring_regex(names, pattern), False))
-        counts[kind] = pc.sum(hits).as_py() or 0
-        open_ones = pc.and_not(open_ones, hits)
-    return counts, [d[2:] for d, left in zip(sure, open_ones.to_pylist()) if not left]
+    name = pc.utf8_lower(pa.scalar(class_name, pa.string()))
+    return next((kind for kind, pattern in KIND_PATTERNS.items() if pc.match_substring_regex(name, pattern).as_py()), None)
+
+
+_KINDS = Kept(kind_of)
+
+
+def sure_boxes(detections: Sequence[Detection], min_confidence: float) -> tuple[dict[str, int], list]:
+    """Number of detections per kind, and the boxes to blur: `detections.kept_detections` for one picture."""
+    counts, boxes = dict.fromkeys(KIND_PATTERNS, 0), []
+    for name, confidence, *box in detections:
+        if confidence >= min_confidence and (kind := _KINDS[name,]):
+            counts[kind] += 1
+            boxes.append(tuple(box))
+    return counts, boxes
 
 
 def redact_batch(contents: list, detect, codec: Codec, min_confidence: float, kernel: int) -> list[dict]:
@@ -206,8 +237,6 @@ def redact_objects(
     """
 
     def run(batches: Iterator) -> Iterator:
-        from concurrent.futures import ThreadPoolExecutor
-
         store, detect = Store(), detector()
 
         def fetch(uri):
@@ -216,7 +245,8 @@ def redact_objects(
             except Exception as error:  # noqa: BLE001 - an unreadable object is a failed row, with its reason
                 return error
 
-        def finish(row, result):
+        def finish(job):
+            row, result = job
             if result["error"] is None and not dry_run:
                 try:
                     store.write(row[clean_uri], result["clean"])
@@ -226,12 +256,12 @@ def redact_objects(
                     return {"error": problem(error)}
             return {k: v for k, v in result.items() if k != "clean"}
 
-        with ThreadPoolExecutor(THREADS) as pool:
+        with Requests() as reads, Requests() as writes:
             for rows in batches:
                 for part in pieces(rows, batch):
                     named = part.to_pylist()
-                    contents = list(pool.map(fetch, [r[raw_uri] for r in named]))
+                    contents = reads.map(fetch, [r[raw_uri] for r in named])
                     results = redact_batch(contents, detect, codec, min_confidence, kernel)
-                    yield extended(part, _arrays(list(pool.map(finish, named, results))))
+                    yield extended(part, _arrays(writes.map(finish, list(zip(named, results)))))
 
     return df.mapInArrow(run, _result_schema(df))

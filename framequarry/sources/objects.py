@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from ..functions.paths import is_user_image
 from ..session import stage
 from .listing import Objects
+from .requests import Requests
 from .store import THREADS, Store, extended, pieces, problem
 
 def list_objects(spark: SparkSession, *prefixes: str) -> DataFrame:
@@ -42,8 +43,6 @@ def user_images(objects: DataFrame) -> DataFrame:
 
 def _fetcher(uri: str, as_text: bool, rows: int):
     def fetch(batches: Iterator) -> Iterator:
-        from concurrent.futures import ThreadPoolExecutor
-
         import pyarrow as pa
 
         store = Store()
@@ -59,10 +58,10 @@ def _fetcher(uri: str, as_text: bool, rows: int):
             except Exception as error:  # noqa: BLE001 - becomes the row's error
                 return None, False, problem(error)
 
-        with ThreadPoolExecutor(THREADS) as pool:
+        with Requests() as requests:
             for batch in batches:
                 for part in pieces(batch, rows):
-                    got = list(pool.map(one, part.column(uri).to_pylist()))
+                    got = requests.map(one, part.column(uri).to_pylist())
                     yield extended(part, {
                         "content": pa.array([g[0] for g in got], pa.string() if as_text else pa.binary()),
                         "found": pa.array([g[1] for g in got], pa.bool_()),
