@@ -24,9 +24,11 @@ from .registry import query, table
 EPOCH = 1700000000
 
 
-def put(objects: DataFrame) -> None:
-    """Write (uri, data) rows and fail loudly."""
-    failed = stage(write_objects(objects.select("uri", "data"), "uri", "data").select("uri", "write_error"), "put").filter("write_error IS NOT NULL")
+def put(objects: DataFrame, rows: int | None = None) -> None:
+    """Write (uri, data) rows and fail loudly. Small ones are dealt out by their number, given in `rows`."""
+    objects = objects.select("uri", "data")
+    written = write_objects(objects if rows is None else spread(objects, rows, "uri"), "uri", "data")
+    failed = stage(written.select("uri", "write_error").filter("write_error IS NOT NULL"), "put")
     if not failed.isEmpty():
         raise OSError(failed.first().write_error)
 
@@ -53,6 +55,11 @@ def _names(docs: DataFrame) -> DataFrame:
     return spread(docs.select("doc_id", "uri"), docs.count(), "doc_id")
 
 
+def _read(named: DataFrame, uri: str) -> DataFrame:
+    """Contents of the objects that rows of a table or a listing name, read by tasks sized by rows."""
+    return read_objects(spread(named, named.count(), uri), uri)
+
+
 @query("object_listing", """
 SELECT lang || '/' || source || '/' || doc_id || '.txt' AS name, CASE doc_id % 7 WHEN 3 THEN 0 ELSE CAST(strlen(text) AS BIGINT) END AS length
 FROM documents WHERE lang IN ('en', 'es') AND doc_id % 7 <> 5""")
@@ -104,7 +111,7 @@ def object_copies(spark, sf):
     root = shared_dir(spark, "objects")
     docs = _names(_document_tree(spark, sf, f"{root}/a")).withColumn("copy", P.swap_root("uri", f"{root}/a", f"{root}/b"))
     copied = stage(copy_objects(docs, "uri", "copy").drop("uri"), "copies")
-    return read_objects(copied, "copy").select("doc_id", F.col("write_error").isNotNull().alias("failed"), F.md5("content").alias("digest"))
+    return _read(copied, "copy").select("doc_id", F.col("write_error").isNotNull().alias("failed"), F.md5("content").alias("digest"))
 
 
 @query("descriptor_scan", """
@@ -164,7 +171,7 @@ def _list_dataset(spark, sf, layout: Layout, dataset: str, named: str = "roads",
     lanes = F.format_string("%d.5 %d 3.5 -0.5 9\r\n1 2 3\n10 20 %d.5 40\n", F.col("n_chars"), F.col("doc_id"), F.col("doc_id"))
     label = F.when(F.col("toxic") == 1, toxic).when(F.col("quality") == 0, "").otherwise(lanes)
     told = table(spark, sf, "labels")
-    put(docs.join(told, "doc_id").select(P.native_label_uri(F.lit(root), "rel", F.lit(place or "annotations_new")).alias("uri"), label.alias("data")))
+    put(docs.join(told, "doc_id").select(P.native_label_uri(F.lit(root), "rel", F.lit(place or "annotations_new")).alias("uri"), label.alias("data")), told.count())
     if place:
         docs = docs.join(told.select("doc_id", F.lit(0).alias("last")), "doc_id", "left").orderBy(F.coalesce("last", F.lit(1)), "doc_id").coalesce(1)
     lists = f"{root}/list/list"
@@ -241,11 +248,12 @@ def _json_dataset(spark, sf, layout: Layout, dataset: str, options: str) -> None
     folder = F.when(F.col("lang") == "en", "train").when(F.col("lang") == "de", "valid").otherwise("test")
     name = F.concat("source", F.lit(" a/"), _id(), F.when(F.col("lang") == "es", ".JPG").otherwise(".jpg"))
     docs = table(spark, sf, "documents").select("doc_id", "lang", "n_chars", folder.alias("folder"), F.concat(F.lit("images/"), name).alias("native"))
-    put(docs.select(_uri(root, "folder", "native").alias("uri"), F.col("n_chars").cast("string").alias("data")))
+    put(docs.select(_uri(root, "folder", "native").alias("uri"), F.col("n_chars").cast("string").alias("data")), docs.count())
     lane = F.concat(F.lit('[{"x": "'), F.col("n_chars").cast("string"), F.lit('.5", "y": "2.5"}, {"x": 3, "y": 4.75}]'))
     bad = F.concat(F.lit('{"Lines": [[{"x": '), _id(), F.lit("}]]}"))
     body = F.when(F.col("toxic") == 1, bad).when(F.col("quality") == 0, '{"Lines": []}').otherwise(F.concat(F.lit('{"Lines": [[], '), lane, F.lit("]}")))
-    put(docs.join(table(spark, sf, "labels"), "doc_id").select(_uri(root, "folder", P.json_label_path("native")).alias("uri"), body.alias("data")))
+    told = table(spark, sf, "labels")
+    put(docs.join(told, "doc_id").select(_uri(root, "folder", P.json_label_path("native")).alias("uri"), body.alias("data")), told.count())
     for lang, where in (("en", "train"), ("de", "valid")):
         docs.filter(F.col("lang") == lang).select(F.concat(F.lit("/"), "native", F.lit(" ")).alias("value")).write.text(f"{root}/{where}/{where}.txt")
     _put_descriptor(spark, layout, dataset, f"adapter: curvelanes\n{options}")
@@ -286,7 +294,7 @@ def ingest_catalogue(spark, sf):
     _list_dataset(spark, sf, layout, "set1")
     ingest(spark, layout, "set1", EPOCH)
     rows = CatalogueTable(spark, layout.table_path(IMAGES.name), IMAGES).read()
-    return read_objects(rows, "gcs_uri").select(
+    return _read(rows, "gcs_uri").select(
         "image_id", "source", "dataset", P.below("gcs_uri", layout.public).alias("gcs_name"), "width", "height", "frame_id", "sequence_id",
         "split", F.unix_seconds("ingested_at").alias("ingested_s"), F.md5("content").alias("digest"),
     )
@@ -316,7 +324,7 @@ def ingest_labels(spark, sf):
     ingest(spark, layout, "set1", EPOCH)
     root = f"{layout.public}/set1"
     files = list_objects(spark, f"{root}/").filter(F.endswith("path", F.lit(".lines.json"))).select("path")
-    return read_objects(files, "path").select(P.below("path", root).alias("name"), F.md5("content").alias("digest"))
+    return _read(files, "path").select(P.below("path", root).alias("name"), F.md5("content").alias("digest"))
 
 
 _INGEST_SUMMARY_SQL = """count(*) FILTER (WHERE has_label AND toxic = 0) AS num_images, {written} AS written, {reused} AS reused, CAST(0 AS BIGINT) AS unlabeled,
@@ -436,10 +444,11 @@ def _user_tree(spark, sf, layout: Layout) -> None:
     docs = _pixmaps(table(spark, sf, "documents").select("doc_id", "source", "lang", "text"))
     session = F.when(F.col("lang") == "de", "20240102T0304Z__usr__01").when(F.col("lang") == "fr", "nodate__x").otherwise(F.col("lang"))
     docs = docs.select("*", _uri(layout.raw_user, F.concat(F.lit("usr_"), "source"), session).alias("folder"))
-    put(docs.select(F.concat_ws("/", "folder", F.lit("images"), F.concat(_id(), F.lit(".jpg"))).alias("uri"), "data"))
+    rows = docs.count()
+    put(docs.select(F.concat_ws("/", "folder", F.lit("images"), F.concat(_id(), F.lit(".jpg"))).alias("uri"), "data"), rows)
     put(docs.filter("lang = 'de'").select(
         F.concat_ws("/", "folder", F.lit("lines"), F.concat(_id(), F.lit(".lines.json"))).alias("uri"), F.format_string('{"frame": %d}', "doc_id").alias("data")
-    ))
+    ), rows)
     sessions = docs.filter("lang = 'en'").select("folder").distinct()
     put(sessions.select(F.concat("folder", F.lit("/meta.json")).alias("uri"), F.lit('{"start": "soon", "date": "2024-05-06"}').alias("data")))
 
@@ -481,7 +490,7 @@ def redaction_catalogue(spark, sf):
     _user_tree(spark, sf, layout)
     redact_user_images(spark, layout, pixel_detector, pixmap_codec(), "pixels-v1", EPOCH)
     rows = CatalogueTable(spark, layout.table_path(IMAGES.name), IMAGES).read()
-    return read_objects(rows, "gcs_uri").select(
+    return _read(rows, "gcs_uri").select(
         "image_id", "source", P.below("gcs_uri", layout.clean_user).alias("name"), "width", "height", "user_id", "sequence_id", "split",
         F.unix_micros("captured_at").alias("captured_us"), F.col("found").alias("placed"),
     )
@@ -518,10 +527,11 @@ def carried_labels(spark, sf):
     named = user_images(objects).select(
         P.lines_uri("path").alias("raw_lines"), P.swap_root(P.lines_uri("path"), layout.raw_user, layout.clean_user).alias("clean_lines")
     )
-    stage(copy_objects(label_carry_over(named, objects, "raw_lines", "clean_lines"), "raw_lines", "clean_lines"), "carried")
+    plan = stage(label_carry_over(named, objects, "raw_lines", "clean_lines"), "carry-over")
+    stage(copy_objects(spread(plan, plan.count(), "raw_lines"), "raw_lines", "clean_lines"), "carried")
     copies = list_objects(spark, layout.clean_user + "/").select("path")
     number = F.regexp_extract("path", r"/(\d+)\.lines\.json$", 1).cast("bigint")
-    return read_objects(copies, "path").select(number.alias("doc_id"), F.md5("content").alias("digest"))
+    return _read(copies, "path").select(number.alias("doc_id"), F.md5("content").alias("digest"))
 
 
 # Every box of the stand-in model rounds to a square of 2 x 2 pixels in the upper half (columns 2k and 2k + 1), which is
