@@ -11,11 +11,11 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..sources.requests import Requests
-from ..sources.store import THREADS, Store, extended, pieces, problem
+from ..sources.store import THREADS, Store, extended, named_rows, pieces, problem
 from .calls import windowed
 
 
-def _worker(act, rows: int):
+def _worker(act, rows: int, *columns: str):
     def run(batches: Iterator) -> Iterator:
         from itertools import chain
 
@@ -34,7 +34,7 @@ def _worker(act, rows: int):
 
         def answered():
             for part in parts:
-                errors = requests.at_once(one, part.to_pylist())
+                errors = requests.at_once(one, named_rows(part, *columns))
                 yield part.slice(0, len(errors)), errors
                 if len(errors) < part.num_rows:
                     yield from windowed(chain([part.slice(len(errors))], parts), None, one, THREADS)
@@ -57,7 +57,7 @@ def write_objects(df: DataFrame, uri: str, data: str) -> DataFrame:
         if row[uri] is not None and value is not None:
             store.write(row[uri], value.encode("utf-8") if isinstance(value, str) else value)
 
-    return df.mapInArrow(_worker(act, 256), _with_error(df))
+    return df.mapInArrow(_worker(act, 256, uri, data), _with_error(df))
 
 
 def copy_objects(df: DataFrame, source: str, target: str) -> DataFrame:
@@ -70,7 +70,7 @@ def copy_objects(df: DataFrame, source: str, target: str) -> DataFrame:
         if row[source] is not None and row[target] is not None:
             store.copy(row[source], row[target])
 
-    return df.mapInArrow(_worker(act, 256), _with_error(df))
+    return df.mapInArrow(_worker(act, 256, source, target), _with_error(df))
 
 
 def place_samples(df: DataFrame, copy: str, source: str, target: str, label_uri: str, label: str) -> DataFrame:
@@ -82,7 +82,7 @@ def place_samples(df: DataFrame, copy: str, source: str, target: str, label_uri:
         if row[label] is not None:
             store.write(row[label_uri], row[label].encode("utf-8"))
 
-    return df.mapInArrow(_worker(act, 64), _with_error(df))
+    return df.mapInArrow(_worker(act, 64, copy, source, target, label_uri, label), _with_error(df))
 
 
 def label_carry_over(images: DataFrame, objects: DataFrame, raw_lines: str, clean_lines: str) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, types as T
 
 from ..functions.boxes import BLUR_KERNEL, KIND_PATTERNS, MIN_CONFIDENCE
 from ..sources.requests import Requests
-from ..sources.store import Store, extended, pieces, problem
+from ..sources.store import Store, extended, named_rows, pieces, problem
 
 Detection = tuple[str, float, float, float, float, float]
 Detector = Callable[[], Callable[[list], list[Sequence[Detection]]]]
@@ -256,10 +256,11 @@ def redact_objects(
                     return {"error": problem(error)}
             return {k: v for k, v in result.items() if k != "clean"}
 
+        used = [name for name in (raw_uri, clean_uri, raw_lines, clean_lines) if name]
         with Requests() as reads, Requests() as writes:
             for rows in batches:
                 for part in pieces(rows, batch):
-                    named = part.to_pylist()
+                    named = named_rows(part, *used)
                     contents = reads.map(fetch, [r[raw_uri] for r in named])
                     results = redact_batch(contents, detect, codec, min_confidence, kernel)
                     yield extended(part, _arrays(writes.map(finish, list(zip(named, results)))))

@@ -130,3 +130,35 @@ def test_named_objects_are_dealt_out_by_rows(spark, tmp_path):
     read = Q._read(named, "uri")
     assert read.rdd.getNumPartitions() > 1
     assert sorted(int(r.content) for r in read.collect()) == list(range(300))
+
+
+def test_only_the_columns_in_use_become_python_rows():
+    import pyarrow as pa
+
+    from framequarry.operators.object_io import _worker
+
+    seen = []
+    batch = pa.RecordBatch.from_pydict({"u": ["a", None], "d": [b"1", b"2"], "other": [1, 2]})
+    got = list(_worker(lambda store, row: seen.append(row), 1, "u", "d", "u")(iter([batch])))
+    assert seen == [{"u": "a", "d": b"1"}, {"u": None, "d": b"2"}]
+    assert [r for part in got for r in part.to_pylist()] == [{**r, "write_error": None} for r in batch.to_pylist()]
+
+
+def test_a_task_takes_enough_objects_to_pay_for_its_workers(spark):
+    from framequarry.session import spread
+
+    assert [spread(spark.range(1), rows, "id").rdd.getNumPartitions() for rows in (64, 20_000, 80_000)] == [1, 8, 10]
+
+
+def test_the_first_entry_is_cut_out_of_one_line(spark, tmp_path):
+    from framequarry.sources.formats import _lines, first_entry
+
+    text = " \n\t \x85 \r\n/a/1.jpg x\x0b/a/2.jpg  /a/3.jpg 1\r\x1c\n/a/4.jpg　y\n"
+    write(tmp_path, {"none.txt": "\n \n", "list.txt": text})
+    uris = [f"{tmp_path}/{n}.txt" for n in ("none", "list")]
+    expected = [line for line in text.splitlines() if line.strip()]
+    assert [r.line for r in _lines(spark, uris[1]).orderBy("place").collect()] == expected and len(expected) == 4
+    entry = first_entry(spark, uris)
+    assert entry.first().rel_path == "a/1.jpg" and first_entry(spark, uris[:1]).first().rel_path is None
+    # The pattern for an entry is applied to the line that came first, not to all of them.
+    assert "min_by(line" in entry._jdf.queryExecution().optimizedPlan().toString()
