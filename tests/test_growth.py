@@ -1,5 +1,6 @@
 """What the object jobs cost by object: threads, folders, blur matrices, and tasks by the number of rows."""
 
+import os
 import threading
 import time
 
@@ -162,3 +163,64 @@ def test_the_first_entry_is_cut_out_of_one_line(spark, tmp_path):
     assert entry.first().rel_path == "a/1.jpg" and first_entry(spark, uris[:1]).first().rel_path is None
     # The pattern for an entry is applied to the line that came first, not to all of them.
     assert "min_by(line" in entry._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_written_data_ends_in_the_task(spark, tmp_path):
+    rows = [(f"{tmp_path}/o/{i}", "x" * i, i) for i in range(5)] + [(None, "y", 5), (f"{tmp_path}/o/none", None, 6)]
+    got = write_objects(spark.createDataFrame(rows, "u string, d string, n int"), "u", "d", without=("d",))
+    assert got.columns == ["u", "n", "write_error"]
+    assert sorted((r.n, r.u, r.write_error) for r in got.collect()) == [(n, u, None) for u, _, n in rows]
+    assert {p.name: len(p.read_text()) for p in (tmp_path / "o").iterdir()} == {str(i): i for i in range(5)}
+
+
+def test_local_objects_need_no_stream_and_no_random_number_each(tmp_path, monkeypatch):
+    from framequarry.sources import store as S
+
+    put, seen, short = os.write, [], [True]
+
+    def drawn():
+        raise AssertionError("a name was drawn")
+
+    def some(handle, data):
+        seen.append(len(data))
+        return put(handle, data[:7] if short[0] else data)
+
+    store = Store()
+    monkeypatch.setattr(S.uuid, "uuid4", drawn)
+    monkeypatch.setattr(S.os, "write", some)
+    monkeypatch.setattr(S, "LOCAL_CHUNK", 20)
+    a, b, empty = (f"{tmp_path}/new/{n}" for n in ("a", "b", "empty"))
+    store.write(a, bytes(range(50)))
+    store.copy(a, b)
+    store.write(empty, b"")
+    store.copy(empty, a)
+    assert store.read(b) == bytes(range(50)) and store.read(a) == store.read(empty) == b"" and max(seen) == 50 and len(seen) > 10
+    for source, error in ((f"{tmp_path}/gone", FileNotFoundError), (f"{tmp_path}/new", IsADirectoryError)):
+        with pytest.raises(error):
+            store.copy(source, f"{tmp_path}/new/c")
+
+    def full(handle, data):
+        raise PermissionError("full")
+
+    monkeypatch.setattr(S.os, "write", full)
+    with pytest.raises(PermissionError):
+        store.write(b, b"other")
+    # A write that fails leaves the old object and nothing beside it.
+    assert sorted(p.name for p in (tmp_path / "new").iterdir()) == ["a", "b", "empty"] and store.read(b) == bytes(range(50))
+    monkeypatch.undo()
+    assert Store()._own != store._own
+
+
+def test_an_entry_is_cut_at_a_space_and_a_word_is_stripped_once(spark):
+    from framequarry.functions import lanes as LN, paths as P
+
+    spaces = [chr(c) for c in range(0x3100) if chr(c).isspace()]
+    values = ["", " ", "/", "//a/b  c", "a", "😀/x y", " \x1f//é"] + [f"{s}{s}//a{s}/b{s}" for s in spaces] + spaces
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)] + [(len(values), None)], "i int, v string").coalesce(1)
+    entry = df.select(P.list_entry("v").alias("e"))
+    assert [r.e for r in entry.collect()] == [(v.split() or [""])[0].lstrip("/") for v in values] + [None]
+    assert "regexp_extract" not in entry._jdf.queryExecution().optimizedPlan().toString()
+    lanes = LN.parse_text_lanes(spark.createDataFrame([(f"{s}1.5{s} 2_0 3{s}4\n",) for s in spaces if len(f"a{s}".splitlines()[0]) > 1], "t string"), "t")
+    assert {str(r.lanes) for r in lanes.collect()} == {"[[Row(x=1.5, y=20.0), Row(x=3.0, y=4.0)]]"}
+    # Tokens are cut at spaces, so none is left to strip.
+    assert "regexp_replace" not in lanes._jdf.queryExecution().optimizedPlan().toString()
