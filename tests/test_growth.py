@@ -224,3 +224,69 @@ def test_an_entry_is_cut_at_a_space_and_a_word_is_stripped_once(spark):
     assert {str(r.lanes) for r in lanes.collect()} == {"[[Row(x=1.5, y=20.0), Row(x=3.0, y=4.0)]]"}
     # Tokens are cut at spaces, so none is left to strip.
     assert "regexp_replace" not in lanes._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_a_raw_tree_goes_when_no_run_reads_it_and_staged_tables_go_with_their_run(spark, folder, tmp_path, monkeypatch):
+    from framequarry.plans import stream_queries as S
+
+    told = spark.range(900).filter("id % 3 = 1").select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"), (F.col("id") % 2).cast("int").alias("toxic"))
+    told.write.mode("overwrite").parquet(f"{folder}/labels.parquet")
+    there, lakes, whole = [], [], S._list_dataset
+
+    def names(root):
+        return sorted(n for n in os.listdir(root) if n != "_descriptors") if os.path.exists(root) else []
+
+    def staged():
+        return {n for n in os.listdir(spark.conf.get("spark.checkpoint.dir")) if n.startswith(("ingest", "labelling", "listing", "manifest", "upsert", "removed"))}
+
+    def listed(spark, sf, layout, *rest, **more):
+        there.append((names(layout.raw_public), names(layout.public)))
+        lakes.append(layout)
+        return whole(spark, sf, layout, *rest, **more)
+
+    monkeypatch.setattr(S, "_list_dataset", listed)
+    before = staged()
+    rows = sorted(map(tuple, S.stream_run_log(spark, folder).collect()), key=str)
+    failed = [(n, "FAILED_INGEST", None, None, None) for n in ("gone", "hollow")]
+    done = [("set2", "OK", 300, 300, 0), ("set3", "OK", 300, 0, 0), ("set3", "OK", 300, 300, 0)]
+    assert rows == [*failed, ("set1", "FAILED_INGEST", 150, None, 150), *done]
+    # One raw tree at a time, and every placed image and label stays.
+    assert there == [([], []), ([], ["set1"]), ([], ["set1", "set2"])]
+    assert names(lakes[0].raw_public) == ["set3"]
+    placed = [sum(n.endswith((".jpg", ".lines.json")) for _, _, found in os.walk(f"{lakes[0].public}/{name}") for n in found) for name in ("set1", "set2", "set3")]
+    assert placed == [300, 600, 600]
+    assert staged() <= before
+
+
+def test_removed_objects(spark, tmp_path):
+    from framequarry.operators.object_io import remove_objects
+
+    write(tmp_path, {"set1/a/1": "x", "set1/2": "y", "set10/3": "z", "set1.txt": "w", "folder/4": "v"})
+    rows = [(f"{tmp_path}/set1/2",), (f"{tmp_path}/set1/gone",), (None,), (f"{tmp_path}/folder",)]
+    errors = {r.u: r.write_error for r in remove_objects(spark.createDataFrame(rows, "u string"), "u").collect()}
+    assert [errors[u] is None for (u,) in rows] == [True, True, True, False]
+    Q.remove_tree(spark, f"{tmp_path}/set1")
+    Q.remove_tree(spark, f"{tmp_path}/set1")
+    assert sorted(str(p.relative_to(tmp_path)) for p in tmp_path.rglob("*") if p.is_file()) == ["folder/4", "set1.txt", "set10/3"]
+    assert not (tmp_path / "set1").exists()
+
+
+def test_staged_tables_go_with_the_work_they_are_for(spark):
+    from framequarry.session import stage, staged_within
+
+    def file_of(df):
+        return df.inputFiles()[0].removeprefix("file://")
+
+    kept = stage(spark.range(3), "kept")
+    with pytest.raises(ValueError), staged_within(spark):
+        outer = file_of(stage(spark.range(3), "outer"))
+        with staged_within(spark):
+            inner = file_of(stage(spark.range(3), "inner"))
+        assert os.path.exists(outer) and not os.path.exists(inner)
+        others = []
+        thread = threading.Thread(target=lambda: others.append(stage(spark.range(4), "other")))
+        thread.start()
+        thread.join()
+        raise ValueError
+    after = stage(spark.range(5), "after")
+    assert not os.path.exists(outer) and [df.count() for df in (kept, *others, after)] == [3, 4, 5]
